@@ -24,7 +24,7 @@ from .common import SPACE_CLASS, let, words
 LEAST_WORDS, REPEAT_WINDOW, MOST_REPEATED = 20, 8, 30
 #: Guards: characters for the class comparison, words for the word comparison.
 LEAST_CHARS, LEAST_COMMON_OF = 200, 60
-MOST_CHAR_DISTANCE, MOST_WORD_DISTANCE = 0.25, 0.55
+MOST_CHAR_DISTANCE, MOST_WORD_DISTANCE = 0.22, 0.55
 
 # Shares of character classes in running prose - lower-case (or
 # caseless) letters, upper-case letters, digits, white space, sentence
@@ -60,15 +60,14 @@ def js_distance(counts: Column, reference: Column) -> Column:
     return let(F.struct(F.transform(counts, lambda c: c.cast("double")).alias("c"), reference.alias("r")), distance)
 
 
-def char_counts(text: Column) -> Column:
-    """Counts of the six character classes."""
-    n = F.length(text)
-    upper = F.regexp_count(text, F.lit("\\p{Lu}"))
-    letters = n - F.length(F.regexp_replace(text, "\\p{L}+", ""))
-    digits = F.regexp_count(text, F.lit("\\p{Nd}"))
-    space = n - F.length(F.regexp_replace(text, SPACE_CLASS, ""))
-    stops = F.regexp_count(text, F.lit("[.,;:!?'\"()\\-]"))
-    return F.array(letters - upper, upper, digits, space, stops, n - letters - digits - space - stops)
+def char_counts(rest: Column, letters: Column) -> Column:
+    """Counts of the six character classes, from the text without its lower-case letters and the number of those."""
+    upper = F.regexp_count(rest, F.lit("\\p{Lu}"))
+    digits = F.regexp_count(rest, F.lit("\\p{Nd}"))
+    space = F.length(rest) - F.length(F.regexp_replace(rest, SPACE_CLASS, ""))
+    stops = F.regexp_count(rest, F.lit("[.,;:!?'\"()\\-]"))
+    seen = F.array(letters, upper, digits, space, stops)
+    return let(seen, lambda c: F.concat(c, F.array(F.length(rest) + letters - F.aggregate(c, F.lit(0), lambda a, x: a + x))))
 
 
 def _by_lang(lang: Column, table: dict, default) -> Column:
@@ -84,30 +83,24 @@ def char_reference(lang: Column) -> Column:
 
 
 def _equal_to(word: str):
-    return lambda w: w == word
+    return lambda w: (w == word) | (w == word.capitalize())
 
 
-def word_distance(text: Column, lang: Column) -> Column:
+def word_distance(w: Column, lang: Column) -> Column:
     """Distance of the common-word histogram (common words, then all others); null for languages without a list."""
-    tokens = F.split(F.lower(text), "[^\\p{L}]+")
-    any_common = sorted({w for ws in COMMON_WORDS.values() for w in ws})
-
-    def compare(t: Column) -> Column:
-        total = F.size(F.filter(t, lambda w: w != ""))
-
-        def histogram(common: Column) -> Column:
-            def counted(listed: tuple) -> Column:
-                per = [F.size(F.filter(common, _equal_to(x))) for x in listed]
-                return let(F.array(*per), lambda c: F.concat(c, F.array(total - F.aggregate(c, F.lit(0), lambda a, x: a + x))))
+    any_common = sorted({x for ws in COMMON_WORDS.values() for word in ws for x in (word, word.capitalize())})
 
-            return _by_lang(lang, {k: counted(v) for k, v in COMMON_WORDS.items()}, None)
+    def histogram(common: Column) -> Column:
+        def counted(listed: tuple) -> Column:
+            per = [F.size(F.filter(common, _equal_to(x))) for x in listed]
+            return let(F.array(*per), lambda c: F.concat(c, F.array(F.size(w) - F.aggregate(c, F.lit(0), lambda a, x: a + x))))
 
-        counts = let(F.filter(t, lambda w: w.isin(any_common)), histogram)
-        size = len(next(iter(COMMON_WORDS.values())))
-        reference = F.array(*[F.lit(COMMON_SHARE / size)] * size, F.lit(1 - COMMON_SHARE))
-        return F.when(lang.isin(list(COMMON_WORDS)) & (total >= LEAST_COMMON_OF), js_distance(counts, reference))
+        return _by_lang(lang, {k: counted(v) for k, v in COMMON_WORDS.items()}, None)
 
-    return let(tokens, compare)
+    counts = let(F.filter(w, lambda x: x.isin(any_common)), histogram)
+    size = len(next(iter(COMMON_WORDS.values())))
+    reference = F.array(*[F.lit(COMMON_SHARE / size)] * size, F.lit(1 - COMMON_SHARE))
+    return F.when(lang.isin(list(COMMON_WORDS)) & (F.size(w) >= LEAST_COMMON_OF), js_distance(counts, reference))
 
 
 def repeated_words(w: Column) -> Column:
@@ -130,32 +123,44 @@ def repeated_words(w: Column) -> Column:
     return F.when(F.size(w) < size + 1, F.lit(0)).otherwise(let(F.transform(starts, lambda i: F.xxhash64(F.slice(w, i, size))), windows))
 
 
-def measures(text: Column) -> Column:
-    """struct of n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words (all long)."""
-    text = F.coalesce(text, F.lit(""))
+def measures(text: Column, lang: Column) -> Column:
+    """struct of n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words (all long), char_distance and word_distance."""
+    text, lang = F.coalesce(text, F.lit("")), F.coalesce(lang, F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]"))
     dup = let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x)))
-    by_word = let(words(text), lambda w: F.struct(F.size(w).alias("n"), repeated_words(w).alias("r")))
+    by_word = let(words(text), lambda w: F.struct(F.size(w).alias("n"), repeated_words(w).alias("r"), word_distance(w, lang).alias("d")))
+    n = F.length(text)
+    # all that isn't a lower-case (or caseless) letter: about a quarter of a text
+    by_char = let(
+        F.regexp_replace(text, "[\\p{L}&&[^\\p{Lu}]]+", ""),
+        lambda rest: F.struct(
+            (n - F.length(rest) + F.length(F.regexp_replace(rest, SPACE_CLASS, ""))).alias("word_chars"),
+            F.regexp_count(rest, F.lit("[#*$%&|<>]")).alias("n_symbols"),
+            F.when(n >= LEAST_CHARS, js_distance(char_counts(rest, n - F.length(rest)), char_reference(lang))).alias("d"),
+        ),
+    )
     return let(
-        by_word,
-        lambda b: F.struct(
-            b["n"].cast("long").alias("n_words"),
-            F.length(F.regexp_replace(text, SPACE_CLASS, "")).cast("long").alias("word_chars"),
-            F.regexp_count(text, F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols"),
+        F.struct(by_word.alias("w"), by_char.alias("c")),
+        lambda m: F.struct(
+            m["w"]["n"].cast("long").alias("n_words"),
+            m["c"]["word_chars"].cast("long").alias("word_chars"),
+            m["c"]["n_symbols"].cast("long").alias("n_symbols"),
             dup.cast("long").alias("n_dup_lines"),
-            b["r"].cast("long").alias("n_repeat_words"),
+            m["w"]["r"].cast("long").alias("n_repeat_words"),
+            m["c"]["d"].alias("char_distance"),
+            m["w"]["d"].alias("word_distance"),
         ),
     )
 
 
 def judged(docs: DataFrame, keep: list[str]) -> DataFrame:
-    """The columns in ``keep``, the measures, base_failed, char_distance, word_distance and kept."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    lang = F.coalesce(F.col("lang"), F.lit(""))
-    rows = docs.select(*[F.col(c).alias(f"_in_{c}") for c in keep], measures(F.col("text")).alias("_m"), F.when(F.length(text) >= LEAST_CHARS, js_distance(char_counts(text), char_reference(lang))).alias("char_distance"), word_distance(text, lang).alias("word_distance"))
-    failed = (F.col("_m.n_words") < LEAST_WORDS) | (100 * F.col("_m.n_repeat_words") > MOST_REPEATED * F.col("_m.n_words"))
-    near = (F.coalesce("char_distance", F.lit(0.0)) <= MOST_CHAR_DISTANCE) & (F.coalesce("word_distance", F.lit(0.0)) <= MOST_WORD_DISTANCE)
-    return rows.select(*[F.col(f"_in_{c}").alias(c) for c in keep], "_m.*", failed.alias("base_failed"), (~failed & near).alias("kept"), "char_distance", "word_distance")
+    """The columns in ``keep``, the measures, base_failed, kept, char_distance and word_distance."""
+    rows = docs.select(*[F.col(c).alias(f"_in_{c}") for c in keep], measures(F.col("text"), F.col("lang")).alias("_m"))
+    m = {c: F.col(f"_m.{c}") for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "char_distance", "word_distance")}
+    failed = (m["n_words"] < LEAST_WORDS) | (100 * m["n_repeat_words"] > MOST_REPEATED * m["n_words"])
+    near = (F.coalesce(m["char_distance"], F.lit(0.0)) <= MOST_CHAR_DISTANCE) & (F.coalesce(m["word_distance"], F.lit(0.0)) <= MOST_WORD_DISTANCE)
+    first = [m[c].alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
+    return rows.select(*[F.col(f"_in_{c}").alias(c) for c in keep], *first, failed.alias("base_failed"), (~failed & near).alias("kept"), m["char_distance"].alias("char_distance"), m["word_distance"].alias("word_distance"))
 
 
 def filtered(docs: DataFrame) -> DataFrame:
