@@ -5,6 +5,8 @@ from __future__ import annotations
 import tempfile
 
 import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -92,6 +94,42 @@ def window_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
     return mix(acc)
 
 
+def summed_tables(src: DataFrame, fill, lengths: list[int], block: int = 1 << 14, salts: int = 256) -> list[np.ndarray]:
+    """Sums over all partitions of the count tables that ``fill(batches)`` returns, of the fixed ``lengths``.
+
+    Each partition sends one packed row per block; blocks are merged on two
+    levels, so a group never holds the parts of more than about 1/salts of the
+    partitions.  What reaches the driver is one row per block.
+    """
+    schema = "salt int, table int, block int, counts binary"
+    names = ["salt", "table", "block", "counts"]
+
+    def parts(batches):
+        tables = fill(batches)
+        salt = TaskContext.get().partitionId() % salts
+        for t, counts in enumerate(tables):
+            cut = [counts[i : i + block].astype(np.int64) for i in range(0, len(counts), block)]
+            used = [i for i, c in enumerate(cut) if c.any()]
+            small = [cut[i].astype(np.int32) if cut[i].max() < 2**31 else cut[i] for i in used]
+            yield pa.RecordBatch.from_arrays([pa.array([salt] * len(used), pa.int32()), pa.array([t] * len(used), pa.int32()), pa.array(used, pa.int32()), pa.array([c.tobytes() for c in small], pa.binary())], names=names)
+
+    def merge(table):
+        key = table.slice(0, 1).drop_columns(["counts"])
+        width = min(block, lengths[key.column("table")[0].as_py()] - block * key.column("block")[0].as_py())
+        total = np.zeros(width, np.int64)
+        for b in table.column("counts").to_pylist():
+            total += np.frombuffer(b, np.int32 if len(b) == 4 * width else np.int64)
+        packed = total.astype(np.int32) if total.max() < 2**31 else total
+        return key.append_column("counts", pa.array([packed.tobytes()], pa.binary()))
+
+    out = [np.zeros(n, np.int64) for n in lengths]
+    merged = src.mapInArrow(parts, schema).groupBy("salt", "table", "block").applyInArrow(merge, schema)
+    for r in merged.groupBy("table", "block").applyInArrow(merge, schema).toLocalIterator():
+        at, width = r["block"] * block, min(block, lengths[r["table"]] - block * r["block"])
+        out[r["table"]][at : at + width] = np.frombuffer(bytes(r["counts"]), np.int32 if len(r["counts"]) == 4 * width else np.int64)
+    return out
+
+
 def connected_components(edges: DataFrame, most_rounds: int = 40) -> DataFrame:
     """(node, component) for the nodes of ``edges`` (a, b long); component is the least node reachable.
 

@@ -6,33 +6,72 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op2_shards, op5_rules, op8_mix, op9_bpe
+from . import oracles
+from . import op1_quality, op2_shards, op3_join, op4_extract, op5_rules, op6_licenses, op7_vectors, op8_mix, op9_bpe, op10_lm
 
 
-def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def op1_random_indexing_quality(spark, sf_dir):
+    return op1_quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
 def op2_hash_tree_shards(spark, sf_dir):
-    return op2_shards.slots(_docs(spark, sf_dir))
+    return op2_shards.slots(_table(spark, sf_dir, "documents"))
+
+
+def op3_adaptive_prefix_join(spark, sf_dir):
+    return op3_join.components(_table(spark, sf_dir, "documents"))
+
+
+def op4_tree_model_extraction(spark, sf_dir):
+    return op4_extract.extract(_table(spark, sf_dir, "pages"), ["page_id", "url"])
 
 
 def op5_divergence_rules(spark, sf_dir):
-    return op5_rules.judged(_docs(spark, sf_dir), ["doc_id"])
+    return op5_rules.judged(_table(spark, sf_dir, "documents"), ["doc_id"])
+
+
+def op6_license_rules(spark, sf_dir):
+    return op6_licenses.scan(_table(spark, sf_dir, "documents"), ["doc_id"]).drop("spans")
+
+
+def op7_product_quantised_dedup(spark, sf_dir):
+    return op7_vectors.near_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
 def op8_fair_queue_mix(spark, sf_dir):
-    return op8_mix.mix(_docs(spark, sf_dir))
+    return op8_mix.mix(_table(spark, sf_dir, "documents"))
 
 
 def op9_tree_bpe(spark, sf_dir):
-    return op9_bpe.encode_texts(_docs(spark, sf_dir), ["doc_id"], with_ids=False)
+    return op9_bpe.encode_texts(_table(spark, sf_dir, "documents"), ["doc_id"], with_ids=False)
+
+
+def op10_cross_entropy_difference(spark, sf_dir):
+    good = _table(spark, sf_dir, "labels").where("quality = 1")
+    return op10_lm.score(_table(spark, sf_dir, "documents"), good)
+
+
+QUERIES = (
+    op1_random_indexing_quality,
+    op2_hash_tree_shards,
+    op3_adaptive_prefix_join,
+    op4_tree_model_extraction,
+    op5_divergence_rules,
+    op6_license_rules,
+    op7_product_quantised_dedup,
+    op8_fair_queue_mix,
+    op9_tree_bpe,
+    op10_cross_entropy_difference,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    made = (op2_hash_tree_shards, op5_divergence_rules, op8_fair_queue_mix, op9_tree_bpe)
-    return {f.__name__: f for f in made}
+    return {f.__name__: f for f in QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(oracles.SQL)
