@@ -27,11 +27,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, cut_lineage, prepare
+from .common import WordHashes, cut_lineage, prepare, summed_tables
 
-SAMPLE = 6000
+SAMPLE = 4000
 WIDTH, NONZERO, REACH = 96, 4, 2
-MOST_TOKENS = 60_000
+MOST_TOKENS = 20_000
 LEAST_COUNT = 3
 HIDDEN, EPOCHS, RATE = 32, 200, 0.01
 TOKEN = re.compile(rb"[A-Z]{2,}|[A-Za-z\x80-\xff]+|[0-9]+|[^\sA-Za-z0-9\x80-\xff]+|\n")
@@ -58,7 +58,7 @@ class WordVectors:
     def __init__(self, hashes: np.ndarray, vectors: np.ndarray, share: np.ndarray):
         order = np.argsort(hashes)
         norm = np.linalg.norm(vectors[order], axis=1, keepdims=True)
-        self.hashes, self.vectors, self.share = hashes[order], vectors[order] / np.maximum(norm, 1e-9), share[order]
+        self.hashes, self.vectors, self.share = hashes[order], (vectors[order] / np.maximum(norm, 1e-9)).astype(np.float32), share[order]
 
     def pooled(self, hashed: list[np.ndarray]) -> np.ndarray:
         """One row of features per document."""
@@ -141,40 +141,49 @@ class Network:
         return 1 / (1 + np.exp(-np.clip(self.logits(x) / self.temperature, -30, 30)))
 
 
-def _context_sums(sample: DataFrame) -> DataFrame:
-    """(token, n, vector): occurrences and summed index vectors of the neighbours of each token."""
-    schema = "token long, n long, vector array<float>"
+def _vocabulary(sample: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """(token hashes ascending, occurrences) of the sample's commonest tokens, at most MOST_TOKENS."""
 
-    def sums(batches):
-        hashes = WordHashes()
+    def count(batches):
+        hashes, seen = WordHashes(), [np.empty(0, np.uint64)]
+        for batch in batches:
+            seen += [hashes.of(tokens(t)) for t in batch.column(0).to_pylist()]
+        token, n = np.unique(np.concatenate(seen), return_counts=True)
+        for i in range(0, len(token), 50_000):
+            yield pa.RecordBatch.from_arrays([pa.array(token[i : i + 50_000].view(np.int64)), pa.array(n[i : i + 50_000].astype(np.int64))], names=["token", "n"])
+
+    counted = sample.select("text").mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_COUNT)
+    rows = counted.orderBy(F.desc("n"), "token").limit(MOST_TOKENS).collect()
+    token, n = np.array([r["token"] for r in rows], np.int64).view(np.uint64), np.array([r["n"] for r in rows], np.float64)
+    order = np.argsort(token)
+    return token[order], n[order]
+
+
+def _context_sums(sample: DataFrame, vocabulary: np.ndarray) -> np.ndarray:
+    """Summed index vectors of the neighbours of each token of the vocabulary."""
+    if not len(vocabulary):
+        return np.zeros((0, WIDTH), np.float32)
+    shared = sample.sparkSession.sparkContext.broadcast(vocabulary)
+
+    def fill(batches):
+        hashes, known = WordHashes(), shared.value
+        out = np.zeros((len(known), WIDTH), np.int32)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 200):
-                docs = [hashes.of(tokens(t)) for t in batch.column(0).slice(lo, 200).to_pylist()]
-                docs = [d for d in docs if len(d)]
-                if not docs:
-                    continue
-                distinct, flat = np.unique(np.concatenate(docs), return_inverse=True)
-                base, out = index_vectors(distinct), np.zeros((len(distinct), WIDTH), np.float32)
-                of = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
-                for k in range(1, REACH + 1):
-                    near = of[k:] == of[:-k]
-                    a, b = flat[k:][near], flat[:-k][near]
-                    np.add.at(out, a, base[b])
-                    np.add.at(out, b, base[a])
-                n = np.bincount(flat, minlength=len(distinct))
-                yield pa.RecordBatch.from_arrays([pa.array(distinct.view(np.int64)), pa.array(n.astype(np.int64)), pa.array(list(out), pa.list_(pa.float32()))], names=["token", "n", "vector"])
-
-    def merge(table):
-        token = table.column("token").to_numpy()
-        distinct, at = np.unique(token, return_inverse=True)
-        out = np.zeros((len(distinct), WIDTH), np.float32)
-        np.add.at(out, at, table.column("vector").combine_chunks().flatten().to_numpy().reshape(-1, WIDTH))
-        n = np.bincount(at, weights=table.column("n").to_numpy(), minlength=len(distinct)).astype(np.int64)
-        keep = n >= LEAST_COUNT
-        return pa.table({"token": pa.array(distinct[keep]), "n": pa.array(n[keep]), "vector": pa.array(list(out[keep]), pa.list_(pa.float32()))})
-
-    # the sample is bounded, so each of the 64 groups is
-    return sample.select("text").mapInArrow(sums, schema).groupBy(F.pmod(F.col("token"), F.lit(64)).alias("part")).applyInArrow(merge, schema)
+            for text in batch.column(0).to_pylist():
+                own = hashes.of(tokens(text))
+                at = np.minimum(np.searchsorted(known, own), len(known) - 1)
+                inside = known[at] == own
+                for lo in range(0, len(own), 20_000):
+                    piece = slice(max(0, lo - REACH), lo + 20_000 + REACH)
+                    base, a, ok = index_vectors(own[piece]).astype(np.int32), at[piece], inside[piece]
+                    mid = np.arange(len(a)) + piece.start
+                    ok = ok & (mid >= lo) & (mid < lo + 20_000)
+                    for k in range(1, REACH + 1):
+                        np.add.at(out, a[k:][ok[k:]], base[:-k][ok[k:]])
+                        np.add.at(out, a[:-k][ok[:-k]], base[k:][ok[:-k]])
+        return [out.ravel()]
+
+    return summed_tables(sample.select("text"), fill, [len(vocabulary) * WIDTH])[0].reshape(-1, WIDTH).astype(np.float32)
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> tuple[WordVectors, Network]:
@@ -188,10 +197,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[WordVectors, Network]:
     chosen = ids.where(F.pmod(F.xxhash64("h"), F.lit(1_000_003)) < int(share * 1_000_003) + 1)
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen.select("_q_id", "h", "y")), (F.col("doc_id") == F.col("_q_id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("h")))
     sample = cut_lineage(texts.select("text", "y", "h").dropDuplicates(["h"]))
-    vocabulary = _context_sums(sample).orderBy(F.desc("n"), "token").limit(MOST_TOKENS).toPandas()
-    n = vocabulary["n"].to_numpy(np.float64)
-    vectors = np.stack(vocabulary["vector"].to_numpy()) if len(vocabulary) else np.zeros((0, WIDTH), np.float32)
-    words = WordVectors(vocabulary["token"].to_numpy(np.int64).view(np.uint64), vectors, n / max(n.sum(), 1))
+    vocabulary, n = _vocabulary(sample)
+    words = WordVectors(vocabulary, _context_sums(sample, vocabulary), n / max(n.sum(), 1))
     shared = docs.sparkSession.sparkContext.broadcast(words)
 
     def features(batches):
@@ -200,9 +207,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[WordVectors, Network]:
             x = shared.value.pooled([hashes.of(tokens(t)) for t in batch.column(0).to_pylist()])
             yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(list(x), pa.list_(pa.float32()))], names=["y", "h", "x"])
 
-    rows = sample.mapInArrow(features, "y double, h long, x array<float>").orderBy("h").toPandas()
-    x = np.stack(rows["x"].to_numpy()).astype(np.float64) if len(rows) else np.zeros((0, 2 * WIDTH + 2))
-    return words, Network(x, (rows["y"].to_numpy(np.float64) >= 0.5).astype(np.float64))
+    rows = sample.mapInArrow(features, "y double, h long, x array<float>").orderBy("h").collect()
+    x = np.array([r["x"] for r in rows], np.float64).reshape(len(rows), 2 * WIDTH + 2)
+    return words, Network(x, np.array([float(r["y"] >= 0.5) for r in rows]))
 
 
 def scored(docs: DataFrame, model: tuple[WordVectors, Network], keep: list[str], name: str = "score") -> DataFrame:
