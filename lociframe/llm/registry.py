@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import oracles
-from . import op1_quality, op2_shards, op3_join, op4_extract, op5_rules, op6_licenses, op7_vectors, op8_mix, op9_bpe, op10_lm
+from . import op1_quality, op2_shards, op3_join, op4_extract, op5_rules, op6_licenses, op7_vectors, op8_mix, op9_bpe, op10_lm, oracles
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,7 +31,8 @@ def op4_tree_model_extraction(spark, sf_dir):
 
 
 def op5_divergence_rules(spark, sf_dir):
-    return op5_rules.judged(_table(spark, sf_dir, "documents"), ["doc_id"])
+    judged = op5_rules.judged(_table(spark, sf_dir, "documents"), ["doc_id"])
+    return judged.withColumns({c: F.round(c, 6) for c in ("char_distance", "word_distance")})
 
 
 def op6_license_rules(spark, sf_dir):
