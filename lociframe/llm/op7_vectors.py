@@ -34,7 +34,7 @@ from .common import connected_components, cut_lineage, prepare
 LINK = 0.93
 SAMPLE, ROUNDS, SUBSPACES, CODES = 8192, 12, 8, 64
 #: Vectors per list aimed at, and the most lists.
-LIST_ROWS, MOST_LISTS = 2000, 4096
+LIST_ROWS, MOST_LISTS = 8000, 4096
 BLOCK = 2048
 NAMELESS = 1 << 62
 
@@ -165,7 +165,7 @@ def near_duplicates(vectors: DataFrame, link: float = LINK) -> DataFrame:
     e = F.col("embedding")
     fine = e.isNotNull() & F.col("label").isNotNull() & F.forall(e, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))) & F.exists(e, lambda v: v != 0)
     key = [F.xxhash64("embedding").alias("h1"), F.xxhash64(F.lit(1), "embedding").alias("h2")]
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("string").alias("label"), F.when(fine, e.cast("array<double>")).alias("embedding"), F.coalesce(fine, F.lit(False)).alias("fine")).select("*", *key)
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("string").alias("label"), F.when(fine, e).alias("embedding"), F.coalesce(fine, F.lit(False)).alias("fine")).select("*", *key)
     node = F.coalesce("vec_id", F.lit(NAMELESS) + F.pmod("h1", F.lit(1 << 61)))
     rows = rows.select("vec_id", node.alias("node"), "label", "embedding", "fine", "h1", "h2")
     classes = rows.where("fine").groupBy("label", "h1", "h2").agg(F.min("node").alias("node"), F.count("*").alias("copies"), F.any_value("embedding").alias("embedding"))
@@ -200,7 +200,8 @@ def near_duplicates(vectors: DataFrame, link: float = LINK) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(c.astype(np.int32)), pa.array(c == home[row[at : at + 4096]])], names=[*batch.schema.names, "cell", "home"])
 
     cols = classes.select("label", "size", "node", "copies", "embedding")
-    schema = "label string, size int, node long, copies long, embedding array<double>, cell int, home boolean"
+    kind = dict(vectors.dtypes)["embedding"]
+    schema = f"label string, size int, node long, copies long, embedding {kind}, cell int, home boolean"
     dealt = cut_lineage(cols.mapInArrow(deal, schema))
     group = ["label", "size", "cell"]
     counts = dealt.groupBy(*group).agg(F.sum(F.col("home").cast("long")).alias("s"), F.count("*").alias("q"))
