@@ -40,17 +40,27 @@ def degrees(edges: DataFrame) -> DataFrame:
 
 
 def components(edges: DataFrame, most: int = 50) -> DataFrame:
-    """(node, component): least reachable node, by min-label hooking with pointer jumping; one checkpoint a round."""
-    both = cut_lineage(edges.select("a", "b").union(edges.select("b", "a")).where("a <> b").distinct())
-    label = cut_lineage(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("c")))
+    """(node, component): least reachable node.
+
+    Alternates large-star and small-star steps (each a min-aggregation with
+    map-side combine and an equi-join) until the edges no longer change; one
+    checkpoint a round.  Nodes of self-loops are components of their own.
+    """
+    e = cut_lineage(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    nodes = e.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+    e, before = e.where("u <> v"), None
     for _ in range(most):
-        near = both.join(label.select(F.col("node").alias("b"), "c"), "b").groupBy(F.col("a").alias("node")).agg(F.min("c").alias("m"))
-        low = label.join(near, "node").select("node", F.least("c", "m").alias("m"))
-        jump = low.join(label.select(F.col("node").alias("m"), F.col("c").alias("_j")), "m").select("node", F.least("m", "_j").alias("c"))
-        new = cut_lineage(jump)
-        if not new.join(label.withColumnRenamed("c", "_old"), "node").where("c <> _old").limit(1).count():
-            return new.select("node", F.col("c").alias("component"))
-        label = new
+        both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        hooked = large.join(low, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
+        e = cut_lineage(hooked.select("e.*").where("u <> v").distinct())
+        now = e.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
+        if now == before:
+            root = e.groupBy("u").agg(F.min("v").alias("c"))
+            return nodes.join(root, nodes["node"] == root["u"], "left").select("node", F.coalesce("c", "node").alias("component"))
+        before = now
     raise RuntimeError("components did not settle")
 
 
