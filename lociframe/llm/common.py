@@ -49,10 +49,22 @@ def text_bytes(text: Column) -> Column:
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long")
 
 
+def give_back() -> None:
+    """Return freed memory of a Python worker to the system: workers live on between stages."""
+    import ctypes
+    import gc
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 class WordHashes(dict):
     """word -> 64-bit hash, kept for reuse and emptied when it gets too large."""
 
-    def __init__(self, most: int = 400_000):
+    def __init__(self, most: int = 120_000):
         super().__init__()
         self.most = most
 
@@ -106,6 +118,7 @@ def summed_tables(src: DataFrame, fill, lengths: list[int], block: int = 1 << 14
 
     def parts(batches):
         tables = fill(batches)
+        give_back()
         salt = TaskContext.get().partitionId() % salts
         for t, counts in enumerate(tables):
             cut = [counts[i : i + block].astype(np.int64) for i in range(0, len(counts), block)]
