@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, lower_words, mix, prepare, summed_tables
+from .common import WordHashes, give_back, lower_words, mix, prepare, summed_tables
 
 WORD_BITS, PAIR_BITS = 18, 21
 BLEND, ALPHA = 0.7, 0.1
@@ -46,7 +46,7 @@ SIZES = (1 << WORD_BITS, 1 << WORD_BITS, 1 << PAIR_BITS)
 
 
 def counted(rows: DataFrame) -> list[np.ndarray]:
-    """Counts of words, contexts and pairs for the target, then for the background.
+    """Counts of words, contexts and pairs for the target, then for the background (all rows).
 
     ``rows``: text, and is_target as boolean.
     """
@@ -57,7 +57,7 @@ def counted(rows: DataFrame) -> list[np.ndarray]:
             found = [indices(t, hashes) for t in batch.column(0).to_pylist()]
             target = batch.column(1).to_pylist()
             for model in range(2):
-                own = [f for f, yes in zip(found, target, strict=True) if yes == (model == 0)]
+                own = [f for f, yes in zip(found, target, strict=True) if yes or model]
                 for table in range(3):
                     if own:
                         np.add.at(totals[3 * model + table], np.concatenate([f[table] for f in own]), 1)
@@ -91,8 +91,8 @@ def score(docs: DataFrame, target: DataFrame) -> DataFrame:
     prepare(docs.sparkSession)
     wanted = target.select(F.col("doc_id").alias("_lm_id")).where("_lm_id IS NOT NULL").distinct()
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    flagged = rows.join(wanted, rows["doc_id"] == wanted["_lm_id"], "left_semi").select("text", F.lit(True).alias("is_target"))
-    flagged = flagged.union(rows.select("text", F.lit(False)))
+    # one pass over the texts counts for both models; the same join at every size
+    flagged = rows.join(wanted.hint("merge"), rows["doc_id"] == wanted["_lm_id"], "left").select("text", F.col("_lm_id").isNotNull().alias("is_target"))
     shared = docs.sparkSession.sparkContext.broadcast(Models(counted(flagged)))
 
     def judge(batches):
@@ -107,5 +107,6 @@ def score(docs: DataFrame, target: DataFrame) -> DataFrame:
                 for model in range(2):
                     per[model] = np.bincount(of, weights=models.losses(model, *flat), minlength=len(n)) / np.maximum(n, 1)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(per[0]), pa.array(per[1]), pa.array(per[0] - per[1])], names=["doc_id", "n_words", "target_loss", "background_loss", "score"])
+        give_back()
 
     return rows.mapInArrow(judge, "doc_id long, n_words long, target_loss double, background_loss double, score double")
