@@ -9,7 +9,8 @@ speed).  If two sets of x and y n-grams reach the threshold, their prefixes of
 ``l``.  Each document takes the ``l`` from 1 to ``MOST_MATCHES`` of least
 estimated cost: tokens to index plus candidates to verify, both from the
 sketch.  A pair is compared at the smaller ``l`` of the two and verified on
-whole sets only if that many prefix n-grams are shared.
+whole sets only if that many prefix n-grams are shared, and their parity bits
+(a lower bound on how far two sets differ) allow it.
 
 Copies in great numbers are not expanded into pairs.  First every prefix
 token's documents are checked against one of them (a star), and what is linked
@@ -28,11 +29,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, connected_components, cut_lineage, lower_words, prepare, summed_tables, window_hashes
+from .common import WordHashes, connected_components, cut_lineage, give_back, lower_words, prepare, summed_tables, window_hashes
 
 #: Counters in the order-giving sketch (4 bytes each) and in the filter of documents to verify (1 bit each).
 SKETCH_BITS, FILTER_BITS = 20, 23
 MOST_MATCHES = 4
+#: Bits of the difference filter that goes along with candidates.
+PARITY = 512
 #: Cost of verifying one candidate, in index entries.
 VERIFY_COST = 8.0
 #: Ids of rows without doc_id lie above this.
@@ -49,6 +52,21 @@ def least_overlap(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
 
+def parity_bits(grams: np.ndarray) -> np.ndarray:
+    """PARITY bits as longs: whether an odd number of n-grams falls on each place.
+
+    Two sets differ in at least as many n-grams as their bits differ.
+    """
+    odd = np.bincount(((grams >> np.uint64(20)) & np.uint64(PARITY - 1)).astype(np.int64), minlength=PARITY) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def may_reach(x_n, y_n, x_parity, y_parity, percent: int):
+    """False only for sets that differ in more n-grams than the threshold allows, judged by their sizes and parity bits."""
+    apart = sum((F.bit_count(F.get(x_parity, F.lit(i)).bitwiseXOR(F.get(y_parity, F.lit(i)))) for i in range(1, PARITY // 64)), F.bit_count(F.get(x_parity, F.lit(0)).bitwiseXOR(F.get(y_parity, F.lit(0)))))
+    return (F.least(x_n, y_n) * 100 >= F.greatest(x_n, y_n) * percent) & (apart * (100 + percent) <= (x_n + y_n) * (100 - percent))
+
+
 def _rows(docs: DataFrame) -> DataFrame:
     """(node, text_key, text): node is doc_id, or a number above NAMELESS from the text where that is null."""
     key = F.xxhash64(F.coalesce("text", F.lit("")))
@@ -71,8 +89,8 @@ def count_sketch(rows: DataFrame, size: int) -> np.ndarray:
     return summed_tables(rows.select("text"), fill, [1 << SKETCH_BITS])[0].astype(np.float32)
 
 
-def prefix(grams: np.ndarray, counts: np.ndarray, noise: float, percent: int) -> tuple[int, np.ndarray, float]:
-    """(l, ordered prefix for it, weight of common n-grams in it) of a non-empty set."""
+def prefix(grams: np.ndarray, counts: np.ndarray, noise: float, percent: int) -> tuple[int, np.ndarray]:
+    """(l, ordered prefix for it) of a non-empty set."""
     n = len(grams)
     least = least_overlap(n, percent)
     seen = counts[(grams & np.uint64(len(counts) - 1)).astype(np.int64)].astype(np.float64)
@@ -89,35 +107,36 @@ def prefix(grams: np.ndarray, counts: np.ndarray, noise: float, percent: int) ->
     matches = np.arange(1, most + 1)
     upto = cost[n - least + matches - 1]
     chosen = int(np.argmin(n - least + matches + VERIFY_COST * upto / matches**2)) + 1
-    return chosen, grams[at[: n - least + chosen]], float(cost[n - least + chosen - 1])
+    return chosen, grams[at[: n - least + chosen]]
 
 
 def signatures(rows: DataFrame, counts: np.ndarray, size: int, percent: int) -> DataFrame:
-    """(node, text_key, n, f1, f2, l, heavy, prefix): the set's size and 128-bit fingerprint, and its prefix."""
+    """(node, text_key, n, f1, f2, l, prefix, parity): the set's size and 128-bit fingerprint, its prefix and parity bits."""
     shared = rows.sparkSession.sparkContext.broadcast((counts, float(np.median(counts))))
-    schema = "node long, text_key long, n long, f1 long, f2 long, l int, heavy float, prefix array<long>"
-    names = ["node", "text_key", "n", "f1", "f2", "l", "heavy", "prefix"]
+    schema = "node long, text_key long, n long, f1 long, f2 long, l int, prefix array<long>, parity array<long>"
+    names = ["node", "text_key", "n", "f1", "f2", "l", "prefix", "parity"]
 
     def sign(batches):
         hashes = WordHashes()
         table, noise = shared.value
         odd = np.uint64(0x9E3779B97F4A7C15)
         for batch in batches:
-            n, f1, f2, ls, heavy, prefixes = [], [], [], [], [], []
+            n, f1, f2, ls, prefixes, parity = [], [], [], [], [], []
             for text in batch.column(2).to_pylist():
                 grams = sorted_set(text, size, hashes)
                 n.append(len(grams))
                 with np.errstate(over="ignore"):
                     f1.append(int(np.bitwise_xor.reduce(grams, initial=0).astype(np.int64)))
                     f2.append(int(np.add.reduce(grams * odd ^ (grams >> np.uint64(29)), dtype=np.uint64, initial=0).astype(np.int64)))
-                l, p, h = prefix(grams, table, noise, percent) if len(grams) else (0, grams, 0.0)
+                l, p = prefix(grams, table, noise, percent) if len(grams) else (0, grams)
                 ls.append(l)
-                heavy.append(h)
+                parity.append(parity_bits(grams))
                 prefixes.append(p.view(np.int64))
             flat = np.concatenate(prefixes) if prefixes else np.empty(0, np.int64)
             offsets = np.concatenate([[0], np.cumsum([len(p) for p in prefixes])]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(f1, pa.int64()), pa.array(f2, pa.int64()), pa.array(ls, pa.int32()), pa.array(heavy, pa.float32()), lists], names=names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(f1, pa.int64()), pa.array(f2, pa.int64()), pa.array(ls, pa.int32()), lists, pa.array(parity, pa.list_(pa.int64()))], names=names)
+        give_back()
 
     return rows.mapInArrow(sign, schema)
 
@@ -133,25 +152,34 @@ def _bits(nodes: DataFrame) -> np.ndarray:
     return out
 
 
-def verified(pairs: DataFrame, rows: DataFrame, reps: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of class representatives whose whole sets reach the threshold."""
+def verified(pairs: DataFrame, rows: DataFrame, size: int, percent: int) -> DataFrame:
+    """The pairs (a, b) of nodes whose whole sets reach the threshold.
+
+    Sets are made only for documents that pass the filter of nodes to verify,
+    once per task, and meet the pairs in two joins.
+    """
     prepare(rows.sparkSession)
-    need = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    need = cut_lineage(need.join(reps.select("node", "text_key"), "node"))
+    need = pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
     wanted = rows.sparkSession.sparkContext.broadcast(_bits(need))
     at = F.pmod(F.xxhash64("node"), F.lit(1 << FILTER_BITS)).cast("int")
 
     def sets(batches):
-        hashes, bits = WordHashes(), wanted.value
+        hashes, bits, seen = WordHashes(), wanted.value, set()
         for batch in batches:
             where = batch.column(2).to_numpy()
             keep = np.flatnonzero(bits[where >> 3] >> (where & 7) & 1)
-            batch = batch.take(pa.array(keep))
-            grams = [sorted_set(t, size, hashes).tobytes() for t in batch.column(3).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(grams, pa.binary())], names=["node", "text_key", "grams"])
-
-    found = rows.select("node", "text_key", at.alias("at"), "text").mapInArrow(sets, "node long, text_key long, grams binary")
-    found = found.join(need, ["node", "text_key"]).dropDuplicates(["node", "text_key"]).select("node", "grams")
+            node, key = batch.column(0).to_numpy()[keep].tolist(), batch.column(1).to_numpy()[keep].tolist()
+            fresh = []
+            for i, pair in zip(keep.tolist(), zip(node, key, strict=True), strict=True):
+                if pair not in seen:
+                    seen.add(pair)
+                    fresh.append(i)
+            part = batch.take(pa.array(fresh, pa.int64()))
+            grams = [sorted_set(t, size, hashes).tobytes() for t in part.column(3).to_pylist()]
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(grams, pa.binary())], names=["node", "grams"])
+        give_back()
+
+    found = rows.select("node", "text_key", at.alias("at"), "text").mapInArrow(sets, "node long, grams binary")
     both = pairs.join(found.select(F.col("node").alias("a"), F.col("grams").alias("ga")), "a").join(found.select(F.col("node").alias("b"), F.col("grams").alias("gb")), "b")
 
     def compare(batches):
@@ -172,34 +200,45 @@ def linked(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFrame:
     prepare(docs.sparkSession)
     rows = _rows(docs)
     signed = cut_lineage(signatures(rows, count_sketch(rows, size), size, percent))
-    classes = signed.where("n > 0").groupBy("f1", "f2", "n").agg(F.min(F.struct("node", "text_key")).alias("r"), F.min("node").alias("first"), F.first("l").alias("l"), F.first("heavy").alias("heavy"), F.first("prefix").alias("prefix"))
-    classes = cut_lineage(classes.select(F.col("r.node").alias("node"), F.col("r.text_key").alias("text_key"), "f1", "f2", "n", "l", "heavy", "prefix"))
+    key = ["f1", "f2", "n"]
+    classes = signed.where("n > 0").groupBy(*key).agg(F.min("node").alias("node"), F.first("l").alias("l"), F.first("prefix").alias("prefix"))
     lead = F.col("n") - F.expr(f"(n * {percent} + 99) div 100")
-    # order: the first lead + 1 tokens of a prefix belong to l = 1, then one more for each further l
-    tokens = classes.select("node", "n", "l", "heavy", lead.alias("lead"), F.posexplode("prefix").alias("pos", "token"))
-    tokens = tokens.select("token", "node", "n", "l", "heavy", F.greatest(F.lit(1), F.col("pos") - F.col("lead") + 1).cast("int").alias("at"))
-    shared = tokens.groupBy("token").agg(F.count("*").alias("c"), F.max(F.struct("heavy", F.col("node").alias("hub"), F.col("n").alias("hub_n"))).alias("h")).where("c > 1")
-    tokens = cut_lineage(tokens.join(shared.select("token", "h.hub", "h.hub_n"), "token").drop("heavy"))
+    # the first lead + 1 tokens of a prefix belong to l = 1, then one more to each further l
+    tokens = classes.select("node", "n", "l", lead.alias("lead"), F.posexplode("prefix").alias("pos", "token"))
+    at = F.greatest(F.lit(1), F.col("pos") - F.col("lead") + 1)
+    tokens = tokens.select("token", "node", ((F.col("n") * 8 + F.col("l")) * 8 + at).alias("packed"))
+    shared = tokens.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token")
+    tokens = tokens.join(shared, "token").select("token", "node", F.expr("packed div 64").alias("n"), F.expr("CAST(packed div 8 % 8 AS INT)").alias("l"), F.expr("CAST(packed % 8 AS INT)").alias("at"))
+    tokens = cut_lineage(tokens)
     fits = lambda x, y: (F.least(x, y) * 100 >= F.greatest(x, y) * percent)
-    star = tokens.where((F.col("node") != F.col("hub")) & fits(F.col("n"), F.col("hub_n"))).select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-    star = cut_lineage(star)
-    links = cut_lineage(verified(star, rows, classes, size, percent))
+    # a token's hub: the document with most common n-grams in its prefix, which is nearest to what its copies share
+    central = tokens.groupBy("node").agg(F.count("*").alias("shared"))
+    hubs = tokens.join(central, "node").groupBy("token").agg(F.max(F.struct("shared", F.col("node").alias("hub"), F.col("n").alias("hub_n"))).alias("h")).select("token", "h.hub", "h.hub_n")
+    star = tokens.join(hubs, "token").where((F.col("node") != F.col("hub")) & fits(F.col("n"), F.col("hub_n")))
+    star = star.groupBy(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"), "node").agg(F.count("*").alias("m")).where("m > 1")
+    # one hub for each document: this round only has to join most copies, the next one is exact
+    star = star.groupBy("node").agg(F.max_by(F.struct("a", "b"), F.struct("m", "a", "b")).alias("p")).select("p.a", "p.b").distinct()
+    bits = cut_lineage(signed.where("n > 0").groupBy(*key).agg(F.min("node").alias("node"), F.first("parity").alias("parity")).select("node", "n", "parity"))
+    star = star.join(bits.toDF("a", "x_n", "x_parity"), "a").join(bits.toDF("b", "y_n", "y_parity"), "b")
+    star = star.where(may_reach(F.col("x_n"), F.col("y_n"), F.col("x_parity"), F.col("y_parity"), percent))
+    star = cut_lineage(star.select("a", "b").distinct())
+    links = cut_lineage(verified(star, rows, size, percent))
     comp = connected_components(links)
-    tokens = tokens.drop("hub", "hub_n").join(comp, "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component")
+    tokens = tokens.join(comp, "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component")
     mixed = tokens.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("token")
-    tokens = cut_lineage(tokens.join(mixed, "token"))
-    x = tokens.select("token", *[F.col(c).alias(f"x_{c}") for c in ("node", "n", "l", "at", "c")])
-    y = tokens.select("token", *[F.col(c).alias(f"y_{c}") for c in ("node", "n", "l", "at", "c")])
+    tokens = cut_lineage(tokens.join(mixed, "token").join(bits, ["node", "n"]))
+    x = tokens.select("token", *[F.col(c).alias(f"x_{c}") for c in ("node", "n", "l", "at", "c", "parity")])
+    y = tokens.select("token", *[F.col(c).alias(f"y_{c}") for c in ("node", "n", "l", "at", "c", "parity")])
     matches = F.least("x_l", "y_l")
-    across = x.join(y, (x["token"] == y["token"]) & (F.col("x_c") < F.col("y_c")) & fits(F.col("x_n"), F.col("y_n")) & (F.col("x_at") <= matches) & (F.col("y_at") <= matches))
+    across = x.join(y, (x["token"] == y["token"]) & (F.col("x_c") < F.col("y_c")) & may_reach(F.col("x_n"), F.col("y_n"), F.col("x_parity"), F.col("y_parity"), percent) & (F.col("x_at") <= matches) & (F.col("y_at") <= matches))
     across = across.select("x_node", "y_node", "x_n", "y_n", matches.alias("l")).groupBy("x_node", "y_node", "x_n", "y_n", "l").agg(F.count("*").alias("m")).where("m >= l")
     across = across.select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
     across = cut_lineage(across.join(star, ["a", "b"], "left_anti"))
-    links = links.union(verified(across, rows, classes, size, percent))
+    links = links.union(verified(across, rows, size, percent))
     comp = connected_components(links)
     # a doc_id with several texts is one node of the graph: its classes meet in it
-    named = classes.select("f1", "f2", "n", "node").join(comp, "node", "left").select("f1", "f2", "n", F.coalesce("component", "node").alias("component"))
-    out = signed.select("node", "text_key", "n", "f1", "f2").join(named, ["f1", "f2", "n"], "left")
+    named = signed.where("n > 0").groupBy(*key).agg(F.min("node").alias("node")).join(comp, "node", "left").select(*key, F.coalesce("component", "node").alias("component"))
+    out = signed.select("node", "text_key", "n", "f1", "f2").join(named, key, "left")
     return out.select("node", "text_key", "n", F.coalesce("component", "node").alias("component"))
 
 
