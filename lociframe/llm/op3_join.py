@@ -34,8 +34,8 @@ from .common import WordHashes, connected_components, cut_lineage, give_back, lo
 #: Counters in the order-giving sketch (4 bytes each) and in the filter of documents to verify (1 bit each).
 SKETCH_BITS, FILTER_BITS = 20, 23
 MOST_MATCHES = 4
-#: Bits of the difference filter that goes along with candidates.
-PARITY = 512
+#: Bits of the difference filter that goes along with candidates; sets of LONG or more n-grams have eight times as many.
+PARITY, LONG = 512, 2000
 #: Cost of verifying one candidate, in index entries.
 VERIFY_COST = 8.0
 #: Ids of rows without doc_id lie above this.
@@ -53,17 +53,19 @@ def least_overlap(n: int, percent: int) -> int:
 
 
 def parity_bits(grams: np.ndarray) -> np.ndarray:
-    """PARITY bits as longs: whether an odd number of n-grams falls on each place.
+    """Bits (as longs) that say whether an odd number of n-grams falls on each place; more places for long texts.
 
     Two sets differ in at least as many n-grams as their bits differ.
     """
-    odd = np.bincount(((grams >> np.uint64(20)) & np.uint64(PARITY - 1)).astype(np.int64), minlength=PARITY) & 1
+    places = PARITY if len(grams) < LONG else 8 * PARITY
+    odd = np.bincount(((grams >> np.uint64(20)) & np.uint64(places - 1)).astype(np.int64), minlength=places) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
 def may_reach(x_n, y_n, x_parity, y_parity, percent: int):
     """False only for sets that differ in more n-grams than the threshold allows, judged by their sizes and parity bits."""
-    apart = sum((F.bit_count(F.get(x_parity, F.lit(i)).bitwiseXOR(F.get(y_parity, F.lit(i)))) for i in range(1, PARITY // 64)), F.bit_count(F.get(x_parity, F.lit(0)).bitwiseXOR(F.get(y_parity, F.lit(0)))))
+    differ = F.aggregate(F.zip_with(x_parity, y_parity, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda a, b: a + b)
+    apart = F.when(F.size(x_parity) == F.size(y_parity), differ).otherwise(0)
     return (F.least(x_n, y_n) * 100 >= F.greatest(x_n, y_n) * percent) & (apart * (100 + percent) <= (x_n + y_n) * (100 - percent))
 
 
