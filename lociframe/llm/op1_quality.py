@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, cut_lineage, prepare, summed_tables
+from .common import WordHashes, cut_lineage, give_back, prepare, summed_tables
 
 SAMPLE = 4000
 WIDTH, NONZERO, REACH = 96, 4, 2
@@ -79,7 +79,7 @@ class WordVectors:
         total = np.bincount(doc, weights=n, minlength=len(full))
         starts = np.searchsorted(doc, np.arange(len(full)))
         got = np.zeros((len(full), out.shape[1]), np.float32)
-        step = 200_000
+        step = 20_000
         vectors = np.where(known[:, None], self.vectors[at] if len(self.hashes) else 0.0, 0.0).astype(np.float32)
         for lo in range(0, len(full), 64):
             hi = min(lo + 64, len(full))
@@ -204,8 +204,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[WordVectors, Network]:
     def features(batches):
         hashes = WordHashes()
         for batch in batches:
-            x = shared.value.pooled([hashes.of(tokens(t)) for t in batch.column(0).to_pylist()])
-            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(list(x), pa.list_(pa.float32()))], names=["y", "h", "x"])
+            texts = batch.column(0).to_pylist()
+            x = [v for lo in range(0, len(texts), 50) for v in shared.value.pooled([hashes.of(tokens(t)) for t in texts[lo : lo + 50]])]
+            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(x, pa.list_(pa.float32()))], names=["y", "h", "x"])
 
     rows = sample.mapInArrow(features, "y double, h long, x array<float>").orderBy("h").collect()
     x = np.array([r["x"] for r in rows], np.float64).reshape(len(rows), 2 * WIDTH + 2)
@@ -226,10 +227,11 @@ def scored(docs: DataFrame, model: tuple[WordVectors, Network], keep: list[str],
         for batch in batches:
             got = []
             texts = batch.column(at).to_pylist()
-            for lo in range(0, len(texts), 250):
-                got.append(network.probability(words.pooled([hashes.of(tokens(t)) for t in texts[lo : lo + 250]])))
+            for lo in range(0, len(texts), 50):
+                got.append(network.probability(words.pooled([hashes.of(tokens(t)) for t in texts[lo : lo + 50]])))
             score = np.concatenate(got) if got else np.empty(0)
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keep))), pa.array(score, pa.float64())], names=[*keep, name])
+        give_back()
 
     return read.mapInArrow(run, schema)
 

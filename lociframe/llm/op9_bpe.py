@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import prepare
+from .common import give_back, prepare
 
 LEAF_BYTES = 1 << 15
 WINDOW_BYTES = 96
@@ -160,6 +160,7 @@ def encode_texts(docs: DataFrame, keep: list[str], path: str | None = None, with
                 columns += [pa.array(hashes, pa.string()), pa.array(decoded, pa.string())]
                 names = [*keep, "n_tokens", *["ids"] * with_ids, "ids_sha256", "decoded_sha256"]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
+        give_back()
 
     return src.mapInArrow(run, schema)
 
