@@ -1,15 +1,19 @@
 """Cross-entropy difference under matched n-gram language models.
 
-A target and a background bigram model share one hashed vocabulary, one order
-and one smoothing: counts of words and of word pairs by hash, interpolated as
-``p(w | v) = B * c(v, w) / c(v) + (1 - B) * (c(w) + A) / (N + A * V)``.
-A document's score is the mean over its words of the target's loss minus the
-background's (in nats): below zero means closer to the target.
-
-Counts cover every word of every document, by partition with local summing
-and then by hash; what is gathered grows with the corpus, while the models are
-tables of a fixed size (``WORD_BITS`` and ``PAIR_BITS``), which is what is
-broadcast.
+A target and a background bigram model share one vocabulary, one order and one
+smoothing: exact counts of words, contexts and word pairs (by 64-bit hash),
+interpolated as ``p(w | v) = B * c(v, w) / c(v) + (1 - B) * (c(w) + A) / (N + A * V)``
+with V of 2^WORD_BITS in both.  A document's score is the mean over its words
+of the target's loss minus the background's (in nats): below zero means closer
+to the target.
+
+Counts cover every word of every document and keep every key, so the tables
+grow with the corpus.  Documents are dealt to chunks of about CHUNK_BYTES of
+text; a chunk sends its distinct keys with their counts to buckets by key, a
+bucket sums them over all chunks and answers each chunk in the chunk's own
+order, and the chunk, whose texts are shuffled once for both uses, scores its
+documents.  Numbers of chunks and buckets grow with the text; nothing is
+collected or broadcast.
 
 Cases: null and blank texts have no words and score 0; an empty target or
 background leaves uniform models; repeated rows count as often as they occur;
@@ -18,68 +22,180 @@ further columns are not read; texts of any length are read whole.
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, give_back, lower_words, mix, prepare, summed_tables
+from .common import WordHashes, give_back, lower_words, mix, prepare
 
-WORD_BITS, PAIR_BITS = 18, 21
+WORD_BITS = 18
 BLEND, ALPHA = 0.7, 0.1
 START = np.uint64(0x51ED270B153A1D47)
+#: Text of a chunk on average; a bucket holds the keys of twice that.
+CHUNK_BYTES = 8 << 20
+LEAST_CHUNKS = 8
+#: Counts kept for each key of kind 0 (words and contexts) and 1 (pairs): of which keys of a word, in all documents or the target's.
+TABLES = (((0, False), (0, True), (1, False), (1, True)), ((2, False), (2, True)))
+COUNTED = "chunk long, bucket int, kind int, n int, keys binary, counts binary, target_words long, all_words long"
+ANSWERED = COUNTED.replace("keys binary, ", "")
+_COUNTED = [("chunk", pa.int64()), ("bucket", pa.int32()), ("kind", pa.int32()), ("n", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary()), ("target_words", pa.int64()), ("all_words", pa.int64())]
+_ANSWERED = [c for c in _COUNTED if c[0] != "keys"]
 
 
 def indices(text: str | None, hashes: WordHashes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Table places of each word, of the word before it and of the pair."""
+    """Keys (64-bit hashes) of each word, of the word before it and of the pair."""
     w = hashes.of(lower_words(text))
     if not len(w):
-        return (np.empty(0, np.int64),) * 3
+        return (np.empty(0, np.uint64),) * 3
     before = np.concatenate([[START], w[:-1]])
-    place = lambda h, bits: (h >> np.uint64(64 - bits)).astype(np.int64)
     with np.errstate(over="ignore"):
         pair = mix(before * np.uint64(0x9E3779B97F4A7C15) + w)
-    return place(mix(w), WORD_BITS), place(mix(before), WORD_BITS), place(pair, PAIR_BITS)
+    return w, before, pair
 
 
-SIZES = (1 << WORD_BITS, 1 << WORD_BITS, 1 << PAIR_BITS)
+def _read(texts: list) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
+    """Words of each text; distinct keys (ascending) of words with contexts and of pairs; places in these of each word, context and pair."""
+    hashes = WordHashes()
+    found = [indices(t, hashes) for t in texts]
+    n = np.array([len(f[0]) for f in found], np.int64)
+    flat = [np.concatenate([f[i] for f in found]) for i in range(3)]
+    words, at = np.unique(np.concatenate(flat[:2]), return_inverse=True)
+    pairs, at_pair = np.unique(flat[2], return_inverse=True)
+    return n, [words, pairs], [at[: len(flat[0])], at[len(flat[0]) :], at_pair]
 
 
-def counted(rows: DataFrame) -> list[np.ndarray]:
-    """Counts of words, contexts and pairs for the target, then for the background (all rows).
+def _planes(values: np.ndarray) -> bytes:
+    """Integers (0 or more) as planes of bytes, lowest first, as many as the greatest needs."""
+    width = (int(values.max(initial=0)).bit_length() + 7) // 8
+    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
 
-    ``rows``: text, and is_target as boolean.
-    """
 
-    def fill(batches):
-        hashes, totals = WordHashes(), [np.zeros(n, np.int64) for n in (*SIZES, *SIZES)]
-        for batch in batches:
-            found = [indices(t, hashes) for t in batch.column(0).to_pylist()]
-            target = batch.column(1).to_pylist()
-            for model in range(2):
-                own = [f for f, yes in zip(found, target, strict=True) if yes or model]
-                for table in range(3):
-                    if own:
-                        np.add.at(totals[3 * model + table], np.concatenate([f[table] for f in own]), 1)
-        return totals
+def _values(planes: bytes, n: int) -> np.ndarray:
+    out = np.zeros((n, 8), np.uint8)
+    if n:
+        got = np.frombuffer(planes, np.uint8).reshape(-1, n)
+        out[:, : len(got)] = got.T
+    return out.reshape(-1).view("<u8")
+
+
+def _packed_keys(keys: np.ndarray) -> bytes:
+    """Ascending keys as the first one and the steps."""
+    return keys[:1].tobytes() + _planes(np.diff(keys))
+
+
+def _unpacked_keys(packed: bytes, n: int) -> np.ndarray:
+    first = np.frombuffer(packed[:8], np.uint64)
+    return np.cumsum(np.concatenate([first, _values(packed[8:], n - 1)]), dtype=np.uint64) if n else first
+
+
+def _packed(counts: np.ndarray) -> bytes:
+    return zlib.compress(_planes(counts.reshape(-1)), 1)
+
 
-    return summed_tables(rows.select("text", "is_target"), fill, [*SIZES, *SIZES])
+def _unpacked(counts: bytes, kind: int, n: int) -> np.ndarray:
+    """Rows of counts of ``n`` keys, see TABLES."""
+    return _values(zlib.decompress(counts), len(TABLES[kind]) * n).astype(np.int64).reshape(len(TABLES[kind]), n)
 
 
-class Models:
-    """Both models' tables, of fixed size."""
+def _table(rows: list[tuple], schema: list[tuple]) -> pa.Table:
+    columns = zip(*rows, strict=True) if rows else [[]] * len(schema)
+    return pa.Table.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, schema, strict=True)], names=[name for name, _ in schema])
 
-    def __init__(self, counts: list[np.ndarray]):
-        self.tables = [[t.astype(np.float32) for t in counts[:3]], [t.astype(np.float32) for t in counts[3:]]]
-        self.totals = [float(counts[0].sum()), float(counts[3].sum())]
 
-    def losses(self, model: int, word: np.ndarray, context: np.ndarray, pair: np.ndarray) -> np.ndarray:
-        """Loss of each word in nats."""
-        words, contexts, pairs = self.tables[model]
-        base = (words[word].astype(np.float64) + ALPHA) / (self.totals[model] + ALPHA * len(words))
-        seen = contexts[context].astype(np.float64)
-        follow = np.where(seen > 0, np.minimum(pairs[pair] / np.maximum(seen, 1), 1.0), base)
-        return -np.log(BLEND * follow + (1 - BLEND) * base)
+def _counted(rows: DataFrame, wanted: DataFrame, bits: int) -> DataFrame:
+    """Each chunk's distinct keys and their counts by bucket (2^bits of them); the row of kind 0 is there for every bucket."""
+    first = np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)
+
+    def count(docs: pa.Table, ids: pa.Table) -> pa.Table:
+        out = []
+        if docs.num_rows:
+            chunk = docs.column("chunk")[0].as_py()
+            is_target = pc.is_in(docs.column("doc_id"), value_set=ids.column("_lm_id").combine_chunks()).to_numpy(zero_copy_only=False)
+            n, kinds, places = _read(docs.column("text").to_pylist())
+            of_target = np.repeat(is_target.astype(bool), n)
+            totals = int(of_target.sum()), int(n.sum())
+            for kind, keys in enumerate(kinds):
+                counts = np.stack([np.bincount(places[of] if every else places[of][of_target], minlength=len(keys)) for of, every in TABLES[kind]])
+                cut = [*np.searchsorted(keys, first).tolist(), len(keys)]
+                for bucket, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)):
+                    if b > a or kind == 0:
+                        out.append((chunk, bucket, kind, b - a, _packed_keys(keys[a:b]), _packed(counts[:, a:b]), *totals))
+        give_back()
+        return _table(out, _COUNTED)
+
+    return rows.groupBy("chunk").cogroup(wanted.groupBy("chunk")).applyInArrow(count, COUNTED)
+
+
+def _summed(table: pa.Table):
+    """Of a bucket's rows, for each kind: the rows' places, the number of keys of each, the place of each key among the distinct ones, and their sums."""
+    kinds, lengths, keys, counts = (table.column(c).to_pylist() for c in ("kind", "n", "keys", "counts"))
+    for kind in range(len(TABLES)):
+        rows = [r for r, k in enumerate(kinds) if k == kind]
+        if not rows:
+            continue
+        distinct, at = np.unique(np.concatenate([_unpacked_keys(keys[r], lengths[r]) for r in rows]), return_inverse=True)
+        every = np.concatenate([_unpacked(counts[r], kind, lengths[r]) for r in rows], axis=1)
+        # sums in float64 are exact to 2^53
+        yield kind, rows, [lengths[r] for r in rows], at, np.stack([np.bincount(at, weights=c, minlength=len(distinct)).astype(np.int64) for c in every])
+
+
+def _answer(table: pa.Table) -> pa.Table:
+    """A bucket's rows with the counts over all chunks in place of their own."""
+    chunks, bucket = table.column("chunk").to_pylist(), table.column("bucket")[0].as_py()
+    one_each = table.filter(pc.equal(table.column("kind"), 0))
+    totals = [pc.sum(one_each.column(c)).as_py() for c in ("target_words", "all_words")]
+    out = []
+    for kind, rows, lengths, at, sums in _summed(table):
+        end = 0
+        for row, length in zip(rows, lengths, strict=True):
+            out.append((chunks[row], bucket, kind, length, _packed(sums[:, at[end : end + length]]), *totals))
+            end += length
+    give_back()
+    return _table(out, _ANSWERED)
+
+
+def _losses(word: np.ndarray, context: np.ndarray, pair: np.ndarray, places: list[np.ndarray], total: int) -> np.ndarray:
+    """One model's loss of each word in nats, from the counts of the distinct keys and each word's places in them."""
+    base = ((word + ALPHA) / (total + ALPHA * (1 << WORD_BITS)))[places[0]]
+    seen = context[places[1]]
+    follow = np.where(seen > 0, pair[places[2]] / np.maximum(seen, 1), base)
+    return -np.log(BLEND * follow + (1 - BLEND) * base)
+
+
+def _judge(docs: pa.Table, answers: pa.Table) -> pa.Table:
+    n, kinds, places = _read(docs.column("text").to_pylist())
+    found = [[] for _ in TABLES]
+    for kind, _, length, counts in sorted(zip(*(answers.column(c).to_pylist() for c in ("kind", "bucket", "n", "counts")), strict=True), key=lambda r: r[:2]):
+        found[kind].append(_unpacked(counts, kind, length))
+    per = np.zeros((2, len(n)))
+    if n.sum():
+        of = np.repeat(np.arange(len(n)), n)
+        totals = [answers.column(c)[0].as_py() for c in ("target_words", "all_words")]
+        words, pairs = (np.concatenate(f, axis=1) for f in found)
+        if [words.shape[1], pairs.shape[1]] != [len(keys) for keys in kinds]:
+            raise RuntimeError("a chunk's answers don't fit its keys")
+        for model in range(2):
+            losses = _losses(words[model], words[2 + model], pairs[model], places, totals[model])
+            per[model] = np.bincount(of, weights=losses, minlength=len(n)) / np.maximum(n, 1)
+    give_back()
+    return pa.table({"doc_id": docs.column("doc_id"), "n_words": n, "target_loss": per[0], "background_loss": per[1], "score": per[0] - per[1]})
+
+
+def _dealt(docs: DataFrame, target: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """Rows and wanted ids by chunk, and the bits that number the buckets."""
+    prepare(docs.sparkSession)
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    chunks = max(LEAST_CHUNKS, -(-size // CHUNK_BYTES))
+    chunk = lambda key: F.pmod(F.xxhash64(key), F.lit(chunks)).alias("chunk")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    # rows without an id are no target's and may lie anywhere
+    rows = rows.select("doc_id", "text", chunk(F.coalesce("doc_id", F.xxhash64("text"))))
+    wanted = target.select(F.col("doc_id").cast("long").alias("_lm_id")).where("_lm_id IS NOT NULL").select("_lm_id", chunk(F.col("_lm_id")))
+    return rows, wanted, (chunks // 2 - 1).bit_length()
 
 
 def score(docs: DataFrame, target: DataFrame) -> DataFrame:
@@ -88,25 +204,19 @@ def score(docs: DataFrame, target: DataFrame) -> DataFrame:
     ``target``: doc_id of the rows whose texts make the target model; the
     background is all of ``docs``.
     """
-    prepare(docs.sparkSession)
-    wanted = target.select(F.col("doc_id").alias("_lm_id")).where("_lm_id IS NOT NULL").distinct()
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    # one pass over the texts counts for both models; the same join at every size
-    flagged = rows.join(wanted.hint("merge"), rows["doc_id"] == wanted["_lm_id"], "left").select("text", F.col("_lm_id").isNotNull().alias("is_target"))
-    shared = docs.sparkSession.sparkContext.broadcast(Models(counted(flagged)))
-
-    def judge(batches):
-        hashes, models = WordHashes(), shared.value
-        for batch in batches:
-            found = [indices(t, hashes) for t in batch.column(1).to_pylist()]
-            n = np.array([len(f[0]) for f in found], np.int64)
-            per = np.zeros((2, len(n)))
-            if n.sum():
-                flat = [np.concatenate([f[i] for f in found]) for i in range(3)]
-                of = np.repeat(np.arange(len(n)), n)
-                for model in range(2):
-                    per[model] = np.bincount(of, weights=models.losses(model, *flat), minlength=len(n)) / np.maximum(n, 1)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(per[0]), pa.array(per[1]), pa.array(per[0] - per[1])], names=["doc_id", "n_words", "target_loss", "background_loss", "score"])
-        give_back()
+    rows, wanted, bits = _dealt(docs, target)
+    answers = _counted(rows, wanted, bits).groupBy("bucket").applyInArrow(_answer, ANSWERED)
+    return rows.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_judge, "doc_id long, n_words long, target_loss double, background_loss double, score double")
+
+
+def table_sizes(docs: DataFrame, target: DataFrame) -> DataFrame:
+    """Number of distinct words, contexts and word pairs that the models count, by kind."""
+
+    def sizes(table: pa.Table) -> pa.Table:
+        out = []
+        for kind, *_, sums in _summed(table):
+            all_of = {"words": sums[1], "contexts": sums[3]} if kind == 0 else {"pairs": sums[1]}
+            out += [(name, int((counts > 0).sum())) for name, counts in all_of.items()]
+        return _table(out, [("kind", pa.string()), ("n", pa.int64())])
 
-    return rows.mapInArrow(judge, "doc_id long, n_words long, target_loss double, background_loss double, score double")
+    return _counted(*_dealt(docs, target)).groupBy("bucket").applyInArrow(sizes, "kind string, n long").groupBy("kind").agg(F.sum("n").alias("n"))

@@ -408,6 +408,32 @@ def test_language_models_against_brute_force(spark, docs, odd):
     assert op10_lm.score(empty(odd), odd).count() == 0 and op10_lm.score(odd, empty(odd)).count() == odd.count()
 
 
+def test_language_models_keep_every_word_and_pair_apart(spark):
+    # 40,000 pairs of words of their own, each met once or twice: counts are as exact for the last as for the first
+    data = [(i, f"left{i} right{i} " + (f"left{i} right{i}" if i % 2 else f"left{i} other{i}")) for i in range(40_000)]
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    good = df.where("doc_id % 4 < 2")
+    n, v = {0: 4 * 20_000, 1: 4 * 40_000}, 1 << op10_lm.WORD_BITS
+    want = {}
+    for odd_one in (0, 1):
+        for inside in (0, 1):
+            per = []
+            for model in (0, 1):
+                k = 1 if model or inside else 0
+                base = lambda c: (c * k + op10_lm.ALPHA) / (n[model] + op10_lm.ALPHA * v)  # noqa: B023, E731
+                # places: left after the start, right after left, left after right, right or other after left
+                starts = 1 / 40_000 if model else (1 / 20_000 if inside else 0.0)
+                follows = [starts, *((1.0, 1.0, 1.0) if odd_one else (0.5, 1.0, 0.5))] if k else [starts, *[base(0)] * 3]
+                bases = [base(2), base(2), base(2), base(2)] if odd_one else [base(2), base(1), base(2), base(1)]
+                per.append(sum(-math.log(op10_lm.BLEND * f + (1 - op10_lm.BLEND) * b) for f, b in zip(follows, bases, strict=True)) / 4)
+            want[odd_one, inside] = per
+    for r in op10_lm.score(df, good).collect():
+        i = r["doc_id"]
+        assert np.allclose([r["target_loss"], r["background_loss"]], want[i % 2, int(i % 4 < 2)], rtol=1e-9), i
+    sizes = {r["kind"]: r["n"] for r in op10_lm.table_sizes(df, good).collect()}
+    assert sizes == {"words": 100_000, "contexts": 80_001, "pairs": 40_000 * 3 + 20_000}
+
+
 # ---- shared ----
 
 
