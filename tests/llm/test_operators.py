@@ -245,6 +245,21 @@ def test_rules_reject_what_is_far_from_prose(spark):
     assert {r["doc_id"]: r["kept"] for r in op5_rules.judged(df, ["doc_id"]).collect()} == {0: True, 1: False}
 
 
+def test_rules_reject_long_texts_without_common_words(spark):
+    rng = random.Random(8)
+    prose = "The house of the old man stood by the river and it was known to all that in winter the wind came over the hills with snow, as is the custom on such days for a land at peace. "
+    plain = ["".join(rng.choices("aeioulnrst", k=rng.randint(3, 7))) for _ in range(400)]
+    salad = "".join(w.capitalize() + ", " if i % 9 == 0 else w + " " for i, w in enumerate(w for w in plain if w not in op5_rules.COMMON_WORDS["en"]))
+    shorter = " ".join(salad.split()[: op5_rules.LEAST_COMMON_OF - 1])
+    varied = "".join(f"{prose} {' '.join(plain[9 * i : 9 * i + 9])}. " for i in range(5))
+    texts = [(0, varied, "en"), (1, salad, "en"), (2, salad, None), (3, shorter, "en")]
+    got = {r["doc_id"]: r for r in op5_rules.judged(spark.createDataFrame(texts, "doc_id long, text string, lang string"), ["doc_id"]).collect()}
+    assert not any(r["base_failed"] or r["char_distance"] > op5_rules.MOST_CHAR_DISTANCE for i, r in got.items() if i)
+    assert not got[1]["kept"] and round(got[1]["word_distance"], 3) == 0.411
+    assert got[2]["kept"] and got[3]["kept"] and got[2]["word_distance"] is None and got[3]["word_distance"] is None
+    assert got[0]["word_distance"] < 0.3
+
+
 def brute_licenses(text: str) -> tuple:
     low = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
     w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
