@@ -3,7 +3,8 @@
 A text is brought to lower case (A-Z) and to words parted by single spaces.
 Rules are regular expressions over that form, each with a keyword, a priority,
 a confidence and a label: templates of license statements times license names,
-and signature sentences.  Texts without any cue word skip all rules, and a
+and signature sentences.  Texts without any cue word, of which every rule
+needs one, skip all rules, and a
 rule's expression runs only where its keyword occurs.  Detections that lie in
 another one's interval are suppressed, of equal intervals the one of higher
 priority stays, and of two that overlap in part the later one goes if its
@@ -30,8 +31,9 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: What parts words, before and after lower-casing.
 RAW_WORD = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
 GAP = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
-#: Texts without one of these have no license statement.
-CUES = "(?i)licen[sc]e|copyright|permission|redistribut|rights reserved|spdx|public domain|warrant"
+#: Every rule has one of these in a part that isn't optional. They are parts of single words, so it makes no difference
+#: what stands between words and whether the text or its normal form is read.
+CUES = "(?i)licen[sc]e|under|copyright|permission|redistribut|reserved|domain|warrant|altered"
 
 # Base phrases and their labels.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}

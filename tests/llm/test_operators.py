@@ -290,6 +290,24 @@ def test_licenses_against_brute_force(spark, docs, odd):
     assert op6_licenses.scan(empty(odd), ["doc_id"]).count() == 0
 
 
+def test_licenses_without_the_word_license_and_across_lines(spark, monkeypatch):
+    texts = ["This library is released under the MIT terms", "available under the Apache 2.0 terms", "distributed under BSD", "Altered source versions must be plainly marked as such, and", "All rights\nreserved", "went into the public\ndomain then", "no statement here"]
+    with monkeypatch.context() as m:
+        m.setattr(op6_licenses, "CUES", "")  # brute force without a gate
+        want = [brute_licenses(t) for t in texts]
+    assert [w[5] for w in want] == ["mit", "apache", "bsd", "zlib", "proprietary", "public-domain", ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in op6_licenses.scan(df, ["doc_id"]).collect():
+        assert tuple(r[c] for c in ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")) == want[r["doc_id"]], texts[r["doc_id"]]
+
+
+def test_every_license_rule_needs_a_cue():
+    cues = re.escape(op6_licenses.CUES.removeprefix("(?i)")).replace("\\|", "|")
+    for r in op6_licenses.rules():
+        needed = re.sub(r"\(\?:[^()]*\)[?*]", "", r["pattern"].replace("(?:of|and conditions of)", ""))
+        assert re.search(cues, needed), r["pattern"]
+
+
 # ---- 7 ----
 
 
