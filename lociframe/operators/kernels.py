@@ -242,7 +242,8 @@ def susie(z: np.ndarray, ld: np.ndarray, n: float, effects: int = 10, prior: flo
     for k in range(effects):
         order = np.argsort(-alpha[k], kind="stable")
         members = np.sort(order[: int(np.searchsorted(np.cumsum(alpha[k][order]), coverage)) + 1])
-        pure = np.abs(ld[np.ix_(members, members)]).min() >= purity if len(members) <= 100 else False
+        # in blocks of rows: a set may hold most of a region
+        pure = all(np.abs(ld[np.ix_(members[i : i + 256], members)]).min() >= purity for i in range(0, len(members), 256))
         if pure and not any(np.array_equal(members, s) for s in sets):
             sets.append(members)
     return sets, lbf, done

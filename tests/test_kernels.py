@@ -41,6 +41,17 @@ def test_fine_mapping_finds_one_causal_variant():
     assert done and any(17 in s for s in sets) and lbf.shape == (4, 40)
 
 
+def test_susie_judges_credible_sets_of_any_size():
+    ld = np.eye(320)
+    ld[:300, :300] = 0.999
+    np.fill_diagonal(ld, 1.0)
+    z = np.where(np.arange(320) < 300, 9.0, 0.0)
+    sets, _, _ = K.susie(z, ld, 5000, effects=1)
+    assert len(sets) == 1 and len(sets[0]) > 256 and sets[0].max() < 300
+    ld[:150, 150:300] = ld[150:300, :150] = 0.3  # alike within halves only: impure as one set
+    assert not K.susie(z, ld, 5000, effects=1)[0]
+
+
 def test_clumping_takes_the_strongest_of_each_clump():
     z = np.array([1.0, 5.0, 4.9, 0.2, 3.0])
     ld = np.eye(5)
