@@ -1,96 +1,54 @@
 """License scans by ordered signature rules, in DataFrame expressions only.
 
 A text is brought to lower case (A-Z) and to words parted by single spaces.
-Rules are regular expressions over that form, each with a keyword, a priority,
-a confidence and a label: templates of license statements times license names,
-and signature sentences.  Texts without any cue word, of which every rule
-needs one, skip all rules, and a
-rule's expression runs only where its keyword occurs.  Detections that lie in
-another one's interval are suppressed, of equal intervals the one of higher
-priority stays, and of two that overlap in part the later one goes if its
-priority is lower.
+Rules are hand-written regular expressions over that form (``op6_signatures``),
+each with a priority, a confidence and a label.  A rule runs only where the
+longest text that its expression cannot match without stands; texts without
+any cue word skip all rules, and every rule's expression holds a cue word
+(checked when the rules are read, so neither gate can lose a detection).
+Detections that lie in another one's interval are suppressed, of equal
+intervals the one of higher priority stays, and of two neighbours left that
+overlap in part the one of lower priority goes.
 
 The base phrases are found apart from the rules: every place where their words
 stand consecutively counts, and their labels always stay.
 
 Cases: a null text counts as empty (no words, no places, empty strings, score
 0); rows are scanned one by one in one projection, so repeated rows, ties,
-empty tables and further columns change nothing; whole texts are read.
+empty tables and further columns change nothing; whole texts are read, and a
+text with n detections takes work in proportion to n log n.
 """
 
 from __future__ import annotations
 
-import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import let
+from .op6_signatures import literals, rules
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: What parts words, before and after lower-casing.
 RAW_WORD = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
 GAP = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
-#: Every rule has one of these in a part that isn't optional. They are parts of single words, so it makes no difference
-#: what stands between words and whether the text or its normal form is read.
-CUES = "(?i)licen[sc]e|under|copyright|permission|redistribut|reserved|domain|warrant|altered"
+#: Parts of single words, so it makes no difference what stands between words; every rule needs one of them.
+CUES = ("licen", "under", "copyright", "permission", "permitted", "redistribut", "reserved", "domain", "warrant", "altered", "acknowledg", "misrepresent", "evil", "openssl", "jpeg", "proprietary", "prohibited", "whatever", "reproduced", "internal")
 
 # Base phrases and their labels.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 
-# Label -> (name in words, identifier in words).
-NAMES = {
-    "afl": ("academic free", "afl"), "agpl": ("(?:gnu )?affero general public", "agpl"), "apache": ("apache", "apache"), "artistic": ("artistic", "artistic"),
-    "beerware": ("beer ?ware", "beerware"), "boost": ("boost software", "bsl"), "bsd": ("bsd", "bsd"), "busl": ("business source", "busl"),
-    "cc-by": ("creative commons attribution", "cc by"), "cc0": ("creative commons zero", "cc0"), "cddl": ("common development and distribution", "cddl"), "cecill": ("cecill", "cecill"),
-    "cpl": ("common public", "cpl"), "ecl": ("educational community", "ecl"), "elastic": ("elastic", "elastic"), "epl": ("eclipse public", "epl"),
-    "eupl": ("european union public", "eupl"), "gfdl": ("(?:gnu )?free documentation", "gfdl"), "gpl": ("(?:gnu )?general public", "gpl"), "ipl": ("ibm public", "ipl"),
-    "isc": ("isc", "isc"), "json": ("json", "json"), "lgpl": ("(?:gnu )?(?:lesser|library) general public", "lgpl"), "lppl": ("latex project public", "lppl"),
-    "mit": ("mit", "mit"), "mpl": ("mozilla public", "mpl"), "mspl": ("microsoft public", "ms pl"), "ncsa": ("university of illinois ncsa open source", "ncsa"),
-    "odbl": ("open database", "odbl"), "ofl": ("sil open font", "ofl"), "openssl": ("openssl", "openssl"), "osl": ("open software", "osl"),
-    "php": ("php", "php"), "postgresql": ("postgresql", "postgresql"), "psf": ("python software foundation", "psf"), "qpl": ("q public", "qpl"),
-    "ruby": ("ruby", "ruby"), "sleepycat": ("sleepycat", "sleepycat"), "sspl": ("server side public", "sspl"), "unlicense": ("unlicense", "unlicense"),
-    "upl": ("universal permissive", "upl"), "vim": ("vim", "vim"), "w3c": ("w3c software", "w3c"), "wtfpl": ("do what the fuck you want to public", "wtfpl"),
-    "x11": ("x11", "x11"), "zlib": ("zlib", "zlib"), "zpl": ("zope public", "zpl"),
-}
-# Templates as (priority, confidence, expression); N is a name, I an identifier.
-TEMPLATES = (
-    (60, 1.0, " spdx licen[sc]e identifier (?:I)(?: [0-9]+)*(?: only| or later)?(?= )"),
-    (50, 0.95, " (?:licensed|released|distributed|available|published|provided|covered) under (?:the )?(?:terms (?:of|and conditions of) )?(?:the )?(?:N)(?: licen[sc]e)?(?: v(?:ersion)?)?(?: [0-9]+)*(?= )"),
-    (40, 0.9, " (?:N) licen[sc]e (?:v|ver|version) ?[0-9]+(?: [0-9]+)*(?= )"),
-    (30, 0.85, " (?:subject to|see|accept|agree to|governed by|copy of|terms of) (?:the )?(?:terms of )?(?:the )?(?:N) licen[sc]e(?= )"),
-    (20, 0.8, " licen[sc]e (?:is )?(?:the )?(?:N)(?: [0-9]+)*(?= )"),
-    (10, 0.7, " (?:N) licen[sc]e(?= )"),
-)
-# Signature sentences as (priority, confidence, label, keyword, expression).
-SENTENCES = (
-    (70, 0.9, "mit", "hereby", " permission is hereby granted free of charge to any person obtaining a copy(?= )"),
-    (70, 0.9, "bsd", "redistribution", " redistribution and use in source and binary forms(?= )"),
-    (70, 0.9, "isc", "permission", " permission to use copy modify and(?: or)? distribute this software(?= )"),
-    (70, 0.9, "apache", "conditions", " without warranties or conditions of any kind either express or implied(?= )"),
-    (70, 0.9, "gpl", "redistribute", " you can redistribute it and or modify it under the terms of the gnu(?= )"),
-    (70, 0.9, "zlib", "altered", " altered source versions must be plainly marked as such(?= )"),
-    (70, 0.9, "unlicense", "unencumbered", " free and unencumbered software released into the public domain(?= )"),
-    (65, 0.8, "public-domain", "domain", " (?:in|into|to) the public domain(?= )"),
-    (15, 0.5, "proprietary", "reserved", " all rights reserved(?= )"),
-    (5, 0.3, "copyright", "copyright", " copyright (?:c )?(?:19|20)[0-9][0-9](?= )"),
-)
-
-
-def rules() -> list[dict]:
-    """All rules in order of priority: 6 templates x names, and the sentences."""
-    out = [{"keyword": k, "priority": p, "confidence": c, "label": label, "pattern": x} for p, c, label, k, x in SENTENCES]
-    for label, (name, ident) in NAMES.items():
-        for p, c, x in TEMPLATES:
-            spdx = "(?:I)" in x
-            pattern = x.replace("(?:I)", f"(?:{ident})").replace("(?:N)", f"(?:{name})")
-            plain = re.sub(r"\(\?:[^)]*\)\??", "", ident if spdx else name).split()[0]  # the first word that isn't optional
-            out.append({"keyword": plain, "priority": p, "confidence": c, "label": label, "pattern": pattern})
-    return sorted(out, key=lambda r: (-r["priority"], r["label"], r["pattern"]))
+SPAN = "struct<s:int,e:int,p:int,label:string,confidence:double>"
 
 
 def _table() -> Column:
-    return F.array(*[F.struct(F.lit(r["keyword"]).alias("keyword"), F.lit(r["priority"]).alias("priority"), F.lit(r["confidence"]).alias("confidence"), F.lit(r["label"]).alias("label"), F.lit(r["pattern"]).alias("pattern")) for r in rules()])
+    out = []
+    for r in rules():
+        if not any(c in x for x in literals(r["pattern"].removesuffix("(?= )")) for c in CUES):
+            raise ValueError(f"no cue in {r['pattern']}")
+        out.append(F.struct(*[F.lit(r[c]).alias(c) for c in ("keyword", "priority", "confidence", "label", "pattern")]))
+    return F.array(*out)
 
 
 def normal_form(text: Column) -> Column:
@@ -98,42 +56,43 @@ def normal_form(text: Column) -> Column:
     return F.regexp_replace(F.concat(F.lit(" "), F.translate(text, UPPER, LOWER), F.lit(" ")), GAP, " ")
 
 
+def running(values: Column, combine) -> Column:
+    """Running sums, maxima or the like of an array, by doubling steps: work in proportion to n log n."""
+    steps = F.filter(F.array(*[F.lit(1 << k) for k in range(31)]), lambda k: k < F.size(values))
+    return F.aggregate(steps, values, lambda acc, k: F.transform(acc, lambda x, i: F.when(i >= k, combine(x, F.get(acc, i - k))).otherwise(x)))
+
+
 def _spans(norm: Column, rule: Column) -> Column:
     """Detections of one rule: array of (start, minus end, minus priority, label, confidence)."""
-    start = F.lit(0)
-    kind = "struct<at:int,out:array<struct<s:int,e:int,p:int,label:string,confidence:double>>>"
 
     def placed(x: Column) -> Column:
-        gaps = F.zip_with(F.slice(x["parts"], 1, F.size(x["found"])), x["found"], lambda p, f: F.struct(F.length(p).alias("p"), F.length(f).alias("f")))
-        zero = F.struct(start.alias("at"), F.array().alias("out")).cast(kind)
-
-        def step(acc: Column, g: Column) -> Column:
-            s = acc["at"] + g["p"]
-            one = F.struct(s.alias("s"), (-(s + g["f"])).alias("e"), (-rule["priority"]).alias("p"), rule["label"].alias("label"), rule["confidence"].alias("confidence"))
-            return F.struct((s + g["f"]).alias("at"), F.concat(acc["out"], F.array(one)).alias("out")).cast(kind)
-
-        return F.aggregate(gaps, zero, step)["out"]
+        # a detection ends where the text before it, the detections before it and itself have been passed
+        steps = F.transform(x["found"], lambda f, i: F.length(f) + F.length(F.get(x["parts"], i)))
+        ends = running(steps, lambda a, b: a + b)
+        return let(ends, lambda e: F.transform(x["found"], lambda f, i: F.struct((F.get(e, i) - F.length(f)).alias("s"), (-F.get(e, i)).alias("e"), (-rule["priority"]).alias("p"), rule["label"].alias("label"), rule["confidence"].alias("confidence"))))
 
     return let(F.struct(F.split(norm, rule["pattern"], -1).alias("parts"), F.regexp_extract_all(norm, rule["pattern"], F.lit(0)).alias("found")), placed)
 
 
 def _resolved(spans: Column) -> Column:
-    """Sorted detections without the suppressed ones."""
-    kind = "struct<upto:int,p:int,out:array<struct<s:int,e:int,p:int,label:string,confidence:double>>>"
-    zero = F.struct(F.lit(-1).alias("upto"), F.lit(0).alias("p"), F.array().alias("out")).cast(kind)
+    """Detections in order without the suppressed ones."""
 
-    def step(acc: Column, x: Column) -> Column:
-        inside = -x["e"] <= acc["upto"]
-        weaker = (x["s"] < acc["upto"] - 1) & (x["p"] > acc["p"])
-        kept = F.struct((-x["e"]).alias("upto"), x["p"].alias("p"), F.concat(acc["out"], F.array(x)).alias("out")).cast(kind)
-        return F.when(inside | weaker, acc).otherwise(kept)
+    def uncontained(x: Column) -> Column:
+        upto = running(F.transform(x, lambda d: -d["e"]), F.greatest)
+        return let(upto, lambda u: F.filter(x, lambda d, i: (i == 0) | (-d["e"] > F.get(u, i - 1))))
 
-    return F.aggregate(F.sort_array(spans), zero, step)["out"]
+    def strong(x: Column) -> Column:
+        # p is minus the priority
+        before = lambda d, i: F.coalesce((d["s"] < -F.get(x, i - 1)["e"]) & (F.get(x, i - 1)["p"] < d["p"]), F.lit(False))
+        after = lambda d, i: F.coalesce((F.get(x, i + 1)["s"] < -d["e"]) & (F.get(x, i + 1)["p"] < d["p"]), F.lit(False))
+        return F.filter(x, lambda d, i: ~before(d, i) & ~after(d, i))
+
+    return let(let(F.sort_array(spans), uncontained), strong)
 
 
 def detections(norm: Column) -> Column:
     """Array of (s, e, p, label, confidence): what the rules find in a normal form; e and p are negated."""
-    hits = F.filter(_table(), lambda r: F.contains(norm, F.concat(F.lit(" "), r["keyword"])))
+    hits = F.filter(_table(), lambda r: F.contains(norm, r["keyword"]))
     return let(F.flatten(F.transform(hits, lambda r: _spans(norm, r))), _resolved)
 
 
@@ -151,6 +110,11 @@ def _phrase(norm: Column, total: Column, phrase: str, label: str) -> Column:
     return let(F.split(norm, f" {phrase}(?= )", -1), places)
 
 
+def cued(text: Column) -> Column:
+    """True if a cue word stands anywhere; nothing but ASCII letters matters, and these lower-case alike everywhere."""
+    return let(F.lower(text), lambda t: reduce(Column.__or__, [F.contains(t, F.lit(c)) for c in CUES]))
+
+
 def scan(docs: DataFrame, keep: list[str]) -> DataFrame:
     """The columns in ``keep``, n_words, n_base, first_word, last_word, base_labels, labels, score and the detections' spans."""
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -171,5 +135,5 @@ def scan(docs: DataFrame, keep: list[str]) -> DataFrame:
         return F.struct(n.cast("long").alias("n_base"), ends("first", F.array_min).alias("first_word"), ends("last", F.array_max).alias("last_word"), join(own).alias("base_labels"), join(F.concat(own, by_rule)).alias("labels"), score.alias("score"), spans.alias("spans"))
 
     none = F.struct(F.lit(0).cast("long").alias("n_base"), F.lit(None).cast("long").alias("first_word"), F.lit(None).cast("long").alias("last_word"), F.lit("").alias("base_labels"), F.lit("").alias("labels"), F.lit(0.0).alias("score"), F.array().cast("array<struct<start:int,end:int,label:string,confidence:double>>").alias("spans"))
-    rows = docs.select(*[F.col(c).alias(f"_in_{c}") for c in keep], total.cast("long").alias("n_words"), F.when(text.rlike(CUES), let(normal_form(text), found)).otherwise(none).alias("_m"))
+    rows = docs.select(*[F.col(c).alias(f"_in_{c}") for c in keep], total.cast("long").alias("n_words"), F.when(cued(text), let(normal_form(text), found)).otherwise(none).alias("_m"))
     return rows.select(*[F.col(f"_in_{c}").alias(c) for c in keep], "n_words", "_m.*")
