@@ -1,23 +1,26 @@
 """Cross-entropy difference under matched n-gram language models.
 
-A target and a background bigram model share one vocabulary, one order and one
-smoothing: exact counts of words, contexts and word pairs (by 64-bit hash),
-interpolated as ``p(w | v) = B * c(v, w) / c(v) + (1 - B) * (c(w) + A) / (N + A * V)``
-with V of 2^WORD_BITS in both.  A document's score is the mean over its words
-of the target's loss minus the background's (in nats): below zero means closer
-to the target.
-
-Counts cover every word of every document and keep every key, so the tables
-grow with the corpus.  Documents are dealt to chunks of about CHUNK_BYTES of
-text; a chunk sends its distinct keys with their counts to buckets by key, a
-bucket sums them over all chunks and answers each chunk in the chunk's own
-order, and the chunk, whose texts are shuffled once for both uses, scores its
-documents.  Numbers of chunks and buckets grow with the text; nothing is
-collected or broadcast.
-
-Cases: null and blank texts have no words and score 0; an empty target or
-background leaves uniform models; repeated rows count as often as they occur;
-further columns are not read; texts of any length are read whole.
+A target and a background bigram model are matched: one vocabulary of V words
+(all that occur), one order, and the same shares of pair, word and uniform
+probability whatever their sizes,
+``p(w | v) = B * c(v, w) / c(v) + (1 - B) * ((1 - U) * c(w) / N + U / V)``,
+the latter part alone after a context not seen.  A document is scored by what
+the other documents say: its own counts are left out of each model that it is
+part of.  The score is the mean over its words of the target's loss minus the
+background's (in nats): below zero means closer to the target.
+
+Counts cover every word of every document and keep every key (64-bit hashes),
+so the tables grow with the corpus.  Documents are dealt to chunks of about
+CHUNK_BYTES of text; a chunk sends its distinct keys with their counts to
+buckets by key, a bucket sums them over all chunks and answers each chunk in
+the chunk's own order, and the chunk scores its documents.  Numbers of chunks
+and buckets grow with the text; nothing is collected or broadcast.
+
+Cases: null and blank texts have no words and score 0; a target or background
+without other documents leaves uniform models; repeated rows are documents of
+their own and count as often as they occur, so each is known from the others;
+ties have equal scores; an empty table gives an empty result; further columns
+are not read; texts of any length are read whole.
 """
 
 from __future__ import annotations
@@ -32,18 +35,19 @@ from pyspark.sql import functions as F
 
 from .common import WordHashes, give_back, lower_words, mix, prepare
 
-WORD_BITS = 18
-BLEND, ALPHA = 0.7, 0.1
+#: Shares of the pair probability, and of the uniform one in what remains.
+BLEND, UNIFORM = 0.7, 0.02
 START = np.uint64(0x51ED270B153A1D47)
 #: Text of a chunk on average; a bucket holds the keys of twice that.
 CHUNK_BYTES = 8 << 20
 LEAST_CHUNKS = 8
 #: Counts kept for each key of kind 0 (words and contexts) and 1 (pairs): of which keys of a word, in all documents or the target's.
 TABLES = (((0, False), (0, True), (1, False), (1, True)), ((2, False), (2, True)))
-COUNTED = "chunk long, bucket int, kind int, n int, keys binary, counts binary, target_words long, all_words long"
-ANSWERED = COUNTED.replace("keys binary, ", "")
-_COUNTED = [("chunk", pa.int64()), ("bucket", pa.int32()), ("kind", pa.int32()), ("n", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary()), ("target_words", pa.int64()), ("all_words", pa.int64())]
-_ANSWERED = [c for c in _COUNTED if c[0] != "keys"]
+COUNTED = "chunk long, bucket int, kind int, n int, keys binary, counts binary, target_words long, all_words long, target_ids binary"
+#: vocabulary: distinct words of the bucket.
+ANSWERED = COUNTED.replace("keys binary, ", "") + ", vocabulary long"
+_COUNTED = [("chunk", pa.int64()), ("bucket", pa.int32()), ("kind", pa.int32()), ("n", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary()), ("target_words", pa.int64()), ("all_words", pa.int64()), ("target_ids", pa.binary())]
+_ANSWERED = [*(c for c in _COUNTED if c[0] != "keys"), ("vocabulary", pa.int64())]
 
 
 def indices(text: str | None, hashes: WordHashes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -118,12 +122,13 @@ def _counted(rows: DataFrame, wanted: DataFrame, bits: int) -> DataFrame:
             n, kinds, places = _read(docs.column("text").to_pylist())
             of_target = np.repeat(is_target.astype(bool), n)
             totals = int(of_target.sum()), int(n.sum())
+            known = ids.column("_lm_id").to_numpy().tobytes()
             for kind, keys in enumerate(kinds):
                 counts = np.stack([np.bincount(places[of] if every else places[of][of_target], minlength=len(keys)) for of, every in TABLES[kind]])
                 cut = [*np.searchsorted(keys, first).tolist(), len(keys)]
                 for bucket, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)):
                     if b > a or kind == 0:
-                        out.append((chunk, bucket, kind, b - a, _packed_keys(keys[a:b]), _packed(counts[:, a:b]), *totals))
+                        out.append((chunk, bucket, kind, b - a, _packed_keys(keys[a:b]), _packed(counts[:, a:b]), *totals, known if bucket == kind == 0 else b""))
         give_back()
         return _table(out, _COUNTED)
 
@@ -149,23 +154,29 @@ def _answer(table: pa.Table) -> pa.Table:
     one_each = table.filter(pc.equal(table.column("kind"), 0))
     totals = [pc.sum(one_each.column(c)).as_py() for c in ("target_words", "all_words")]
     out = []
+    ids = table.column("target_ids").to_pylist()
     for kind, rows, lengths, at, sums in _summed(table):
-        end = 0
+        end, vocabulary = 0, int((sums[1] > 0).sum()) if kind == 0 else 0
         for row, length in zip(rows, lengths, strict=True):
-            out.append((chunks[row], bucket, kind, length, _packed(sums[:, at[end : end + length]]), *totals))
+            out.append((chunks[row], bucket, kind, length, _packed(sums[:, at[end : end + length]]), *totals, ids[row], vocabulary))
             end += length
     give_back()
     return _table(out, _ANSWERED)
 
 
-def _losses(word: np.ndarray, context: np.ndarray, pair: np.ndarray, places: list[np.ndarray], total: int) -> np.ndarray:
-    """One model's loss of each word in nats, from the counts of the distinct keys and each word's places in them."""
-    base = ((word + ALPHA) / (total + ALPHA * (1 << WORD_BITS)))[places[0]]
-    seen = context[places[1]]
-    follow = np.where(seen > 0, pair[places[2]] / np.maximum(seen, 1), base)
+def _losses(word: np.ndarray, context: np.ndarray, pair: np.ndarray, total: np.ndarray, vocabulary: int) -> np.ndarray:
+    """One model's loss of each word in nats, from the counts of the word, its context and the pair, and of all words."""
+    base = (1 - UNIFORM) * word / np.maximum(total, 1) + np.where(total > 0, UNIFORM, 1.0) / vocabulary
+    follow = np.where(context > 0, pair / np.maximum(context, 1), base)
     return -np.log(BLEND * follow + (1 - BLEND) * base)
 
 
+def _own(of: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """How often each word's key occurs in the word's own document."""
+    _, at, n = np.unique(of * (int(places.max()) + 1) + places, return_inverse=True, return_counts=True)
+    return n[at]
+
+
 def _judge(docs: pa.Table, answers: pa.Table) -> pa.Table:
     n, kinds, places = _read(docs.column("text").to_pylist())
     found = [[] for _ in TABLES]
@@ -175,11 +186,17 @@ def _judge(docs: pa.Table, answers: pa.Table) -> pa.Table:
     if n.sum():
         of = np.repeat(np.arange(len(n)), n)
         totals = [answers.column(c)[0].as_py() for c in ("target_words", "all_words")]
+        vocabulary = pc.sum(answers.column("vocabulary")).as_py()
+        ids = np.frombuffer(b"".join(answers.column("target_ids").to_pylist()), np.int64)
+        inside = [pc.is_in(docs.column("doc_id"), value_set=pa.array(ids)).to_numpy(zero_copy_only=False).astype(bool), np.ones(len(n), bool)]
         words, pairs = (np.concatenate(f, axis=1) for f in found)
         if [words.shape[1], pairs.shape[1]] != [len(keys) for keys in kinds]:
             raise RuntimeError("a chunk's answers don't fit its keys")
+        own = [_own(of, p) for p in places]
         for model in range(2):
-            losses = _losses(words[model], words[2 + model], pairs[model], places, totals[model])
+            less = inside[model][of]
+            word, context, pair = (t[p] - np.where(less, o, 0) for t, p, o in zip((words[model], words[2 + model], pairs[model]), places, own, strict=True))
+            losses = _losses(word, context, pair, totals[model] - np.where(less, n[of], 0), vocabulary)
             per[model] = np.bincount(of, weights=losses, minlength=len(n)) / np.maximum(n, 1)
     give_back()
     return pa.table({"doc_id": docs.column("doc_id"), "n_words": n, "target_loss": per[0], "background_loss": per[1], "score": per[0] - per[1]})
@@ -194,7 +211,7 @@ def _dealt(docs: DataFrame, target: DataFrame) -> tuple[DataFrame, DataFrame, in
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     # rows without an id are no target's and may lie anywhere
     rows = rows.select("doc_id", "text", chunk(F.coalesce("doc_id", F.xxhash64("text"))))
-    wanted = target.select(F.col("doc_id").cast("long").alias("_lm_id")).where("_lm_id IS NOT NULL").select("_lm_id", chunk(F.col("_lm_id")))
+    wanted = target.select(F.col("doc_id").cast("long").alias("_lm_id")).where("_lm_id IS NOT NULL").distinct().select("_lm_id", chunk(F.col("_lm_id")))
     return rows, wanted, (chunks // 2 - 1).bit_length()
 
 

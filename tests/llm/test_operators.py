@@ -6,6 +6,7 @@ import random
 import re
 import time
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -430,58 +431,57 @@ def test_encoding_of_tables(docs, odd, library):
 
 
 def brute_losses(texts: list, target: list) -> list:
-    hashes = common.WordHashes()
-    tables = [[dict(), dict(), dict()] for _ in range(2)]
-    for i, t in enumerate(texts):
-        for model in range(2):
-            if model or target[i]:
-                for k, at in enumerate(op10_lm.indices(t, hashes)):
-                    for v in at.tolist():
-                        tables[model][k][v] = tables[model][k].get(v, 0) + 1
-    out = []
-    for t in texts:
-        per = []
-        for words, contexts, pairs in tables:
-            total, losses = sum(words.values()), []
-            for w, c, p in zip(*(a.tolist() for a in op10_lm.indices(t, hashes)), strict=True):
-                base = (words.get(w, 0) + op10_lm.ALPHA) / (total + op10_lm.ALPHA * (1 << op10_lm.WORD_BITS))
-                follow = min(pairs.get(p, 0) / contexts[c], 1) if contexts.get(c) else base
-                losses.append(-math.log(op10_lm.BLEND * follow + (1 - op10_lm.BLEND) * base))
-            per.append(sum(losses) / len(losses) if losses else 0.0)
-        out.append(per)
+    """Losses by plain counts over the other documents' words."""
+    w = [[x.encode().lower() for x in WORD.findall(t or "")] for t in texts]
+    vocabulary = len({x for ws in w for x in ws})
+    counted = lambda ws: (Counter(ws), Counter([None, *ws[:-1]][: len(ws)]), Counter(zip([None, *ws[:-1]], ws, strict=False)))
+    each = [counted(ws) for ws in w]
+    out = [[] for _ in texts]
+    for inside in (target, [True] * len(texts)):
+        total = [sum((c[k] for c, i in zip(each, inside, strict=True) if i), Counter()) for k in range(3)]
+        size = sum(len(ws) for ws, i in zip(w, inside, strict=True) if i)
+        for ws, own, i, losses in zip(w, each, inside, out, strict=True):
+            left, n, loss = lambda k, x: total[k][x] - own[k][x] * i, size - len(ws) * i, 0.0  # noqa: B023, E731
+            for before, x in zip([None, *ws], ws, strict=False):
+                base = (1 - op10_lm.UNIFORM) * left(0, x) / max(n, 1) + (op10_lm.UNIFORM if n else 1.0) / vocabulary
+                follow = left(2, (before, x)) / left(1, before) if left(1, before) else base
+                loss -= math.log(op10_lm.BLEND * follow + (1 - op10_lm.BLEND) * base)
+            losses.append(loss / len(ws) if ws else 0.0)
     return out
 
 
 def test_language_models_against_brute_force(spark, docs, odd):
-    for df in (docs.where("doc_id % 4 = 0").select("doc_id", "text"), odd.where("doc_id IS NOT NULL").select("doc_id", "text").distinct()):
+    for df in (docs.select("doc_id", "text"), odd.where("doc_id IS NOT NULL").select("doc_id", "text").distinct()):
         data = [(r["doc_id"], r["text"]) for r in df.collect()]
         df = spark.createDataFrame(data, "doc_id long, text string")
         good = df.where("doc_id % 3 = 0")
         want = dict(zip([i for i, _ in data], brute_losses([t for _, t in data], [i % 3 == 0 for i, _ in data]), strict=True))
         for r in op10_lm.score(df, good).collect():
-            assert np.allclose([r["target_loss"], r["background_loss"]], want[r["doc_id"]], rtol=1e-5)
+            assert np.allclose([r["target_loss"], r["background_loss"]], want[r["doc_id"]], rtol=1e-9)
             assert math.isclose(r["score"], r["target_loss"] - r["background_loss"], abs_tol=1e-12)
     assert op10_lm.score(empty(odd), odd).count() == 0 and op10_lm.score(odd, empty(odd)).count() == odd.count()
 
 
 def test_language_models_keep_every_word_and_pair_apart(spark):
-    # 40,000 pairs of words of their own, each met once or twice: counts are as exact for the last as for the first
-    data = [(i, f"left{i} right{i} " + (f"left{i} right{i}" if i % 2 else f"left{i} other{i}")) for i in range(40_000)]
+    # 40,000 pairs of words of their own in two documents each: counts are as exact for the last as for the first
+    data = [(i + 40_000 * k, f"left{i} right{i} " + (f"left{i} right{i}" if i % 2 else f"left{i} other{i}")) for k in range(2) for i in range(40_000)]
     df = spark.createDataFrame(data, "doc_id long, text string")
     good = df.where("doc_id % 4 < 2")
-    n, v = {0: 4 * 20_000, 1: 4 * 40_000}, 1 << op10_lm.WORD_BITS
+    vocabulary, n = 100_000, {0: 4 * 40_000, 1: 4 * 80_000}
     want = {}
     for odd_one in (0, 1):
         for inside in (0, 1):
             per = []
             for model in (0, 1):
-                k = 1 if model or inside else 0
-                base = lambda c: (c * k + op10_lm.ALPHA) / (n[model] + op10_lm.ALPHA * v)  # noqa: B023, E731
-                # places: left after the start, right after left, left after right, right or other after left
-                starts = 1 / 40_000 if model else (1 / 20_000 if inside else 0.0)
-                follows = [starts, *((1.0, 1.0, 1.0) if odd_one else (0.5, 1.0, 0.5))] if k else [starts, *[base(0)] * 3]
-                bases = [base(2), base(2), base(2), base(2)] if odd_one else [base(2), base(1), base(2), base(1)]
-                per.append(sum(-math.log(op10_lm.BLEND * f + (1 - op10_lm.BLEND) * b) for f, b in zip(follows, bases, strict=True)) / 4)
+                member = 1 if model or inside else 0  # the copy is in the same models
+                total = n[model] - 4 * member
+                base = lambda c: (1 - op10_lm.UNIFORM) * c / total + op10_lm.UNIFORM / vocabulary  # noqa: B023, E731
+                starts = n[model] // 4 - member
+                counts, follows = ((2, 2, 2, 2), (1 / starts, 1, 1, 1)) if odd_one else ((2, 1, 2, 1), (1 / starts, 0.5, 1, 0.5))
+                if not member:
+                    counts, follows = (0,) * 4, (0.0, None, None, None)
+                losses = [-math.log(op10_lm.BLEND * (base(c) if f is None else f) + (1 - op10_lm.BLEND) * base(c)) for c, f in zip(counts, follows, strict=True)]
+                per.append(sum(losses) / 4)
             want[odd_one, inside] = per
     for r in op10_lm.score(df, good).collect():
         i = r["doc_id"]
