@@ -14,32 +14,37 @@ whole sets only if that many prefix n-grams are shared, and their parity bits
 
 Copies in great numbers are not expanded into pairs.  First every prefix
 token's documents are checked against one of them (a star), and what is linked
-becomes one component; the exact join then runs across components only.
+becomes one component; the exact join then runs across components only.  So
+the operator gives components, not all links inside of them.
 
 Cases: null, empty and blank texts have an empty set and link with nothing;
-shorter texts are one n-gram; repeated rows and equal texts are one class;
-rows of one doc_id are one node; a null doc_id has no id to report, and links
-of such rows still count; further columns are not read.
+shorter texts are one n-gram; repeated rows and equal texts are one class, and
+so are ties; different texts under one doc_id are rows of their own; doc_id may
+be any long or null (a component all of whose ids are null has a null id);
+texts of any length are read whole; an empty table gives an empty result;
+further columns are not read.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import WordHashes, connected_components, cut_lineage, give_back, lower_words, prepare, summed_tables, window_hashes
 
-#: Counters in the order-giving sketch (4 bytes each) and in the filter of documents to verify (1 bit each).
-SKETCH_BITS, FILTER_BITS = 20, 23
+#: Counters in the order-giving sketch (4 bytes each).
+SKETCH_BITS = 20
 MOST_MATCHES = 4
 #: Bits of the difference filter that goes along with candidates; sets of LONG or more n-grams have eight times as many.
 PARITY, LONG = 512, 2000
 #: Cost of verifying one candidate, in index entries.
 VERIFY_COST = 8.0
-#: Ids of rows without doc_id lie above this.
-NAMELESS = 1 << 62
+#: Up to so many classes to verify (about 50 bytes each) are broadcast to the texts; more are joined by key.
+MOST_BROADCAST = 400_000
+#: A set that more than this many pairs name is dealt to several tasks.
+PAIRS_A_SALT = 64
 
 
 def sorted_set(text: str | None, size: int, hashes: WordHashes) -> np.ndarray:
@@ -69,11 +74,12 @@ def may_reach(x_n, y_n, x_parity, y_parity, percent: int):
     return (F.least(x_n, y_n) * 100 >= F.greatest(x_n, y_n) * percent) & (apart * (100 + percent) <= (x_n + y_n) * (100 - percent))
 
 
+def text_key() -> Column:
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
 def _rows(docs: DataFrame) -> DataFrame:
-    """(node, text_key, text): node is doc_id, or a number above NAMELESS from the text where that is null."""
-    key = F.xxhash64(F.coalesce("text", F.lit("")))
-    node = F.coalesce(F.col("doc_id").cast("long"), F.lit(NAMELESS) + F.pmod(key, F.lit(1 << 61)))
-    return docs.select(node.alias("node"), key.alias("text_key"), "text")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("text_key"), "text")
 
 
 def count_sketch(rows: DataFrame, size: int) -> np.ndarray:
@@ -113,10 +119,10 @@ def prefix(grams: np.ndarray, counts: np.ndarray, noise: float, percent: int) ->
 
 
 def signatures(rows: DataFrame, counts: np.ndarray, size: int, percent: int) -> DataFrame:
-    """(node, text_key, n, f1, f2, l, prefix, parity): the set's size and 128-bit fingerprint, its prefix and parity bits."""
+    """(doc_id, text_key, n, f1, f2, l, prefix, parity): the set's size and 128-bit fingerprint, its prefix and parity bits."""
     shared = rows.sparkSession.sparkContext.broadcast((counts, float(np.median(counts))))
-    schema = "node long, text_key long, n long, f1 long, f2 long, l int, prefix array<long>, parity array<long>"
-    names = ["node", "text_key", "n", "f1", "f2", "l", "prefix", "parity"]
+    schema = "doc_id long, text_key long, n long, f1 long, f2 long, l int, prefix array<long>, parity array<long>"
+    names = ["doc_id", "text_key", "n", "f1", "f2", "l", "prefix", "parity"]
 
     def sign(batches):
         hashes = WordHashes()
@@ -143,46 +149,38 @@ def signatures(rows: DataFrame, counts: np.ndarray, size: int, percent: int) ->
     return rows.mapInArrow(sign, schema)
 
 
-def _bits(nodes: DataFrame) -> np.ndarray:
-    """A fixed-size bit set of hashed nodes: no false negatives."""
-    at = F.pmod(F.xxhash64("node"), F.lit(1 << FILTER_BITS))
-    parts = nodes.select(at.alias("at")).groupBy(F.expr("at div 32768").alias("part")).agg(F.bitmap_construct_agg(F.col("at") % 32768).alias("bits"))
-    out = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
-    for r in parts.collect():  # at most 256 parts of 4 KB
-        got = np.frombuffer(bytes(r["bits"]), np.uint8)
-        out[r["part"] * 4096 : r["part"] * 4096 + len(got)] = got
-    return out
-
-
-def verified(pairs: DataFrame, rows: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of nodes whose whole sets reach the threshold.
+def verified(pairs: DataFrame, classes: DataFrame, rows: DataFrame, size: int, percent: int) -> DataFrame:
+    """The pairs (a, b) of classes whose whole sets reach the threshold.
 
-    Sets are made only for documents that pass the filter of nodes to verify,
-    once per task, and meet the pairs in two joins.
+    Sets are made only for the rows that stand for a class of some pair.  A
+    set that many pairs name is laid out once for every PAIRS_A_SALT of them.
     """
     prepare(rows.sparkSession)
-    need = pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
-    wanted = rows.sparkSession.sparkContext.broadcast(_bits(need))
-    at = F.pmod(F.xxhash64("node"), F.lit(1 << FILTER_BITS)).cast("int")
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.ceil(F.count("*") / PAIRS_A_SALT).cast("int").alias("salts"))
+    need = cut_lineage(ends.join(classes.select("node", "text_key", F.col("doc_id").alias("rep_id")), "node"))
+    asked = F.broadcast(need) if need.count() <= MOST_BROADCAST else need
+    found = rows.join(asked, "text_key").where(F.col("doc_id").eqNullSafe(F.col("rep_id"))).select("node", "salts", "text")
 
     def sets(batches):
-        hashes, bits, seen = WordHashes(), wanted.value, set()
+        hashes, seen = WordHashes(), set()
         for batch in batches:
-            where = batch.column(2).to_numpy()
-            keep = np.flatnonzero(bits[where >> 3] >> (where & 7) & 1)
-            node, key = batch.column(0).to_numpy()[keep].tolist(), batch.column(1).to_numpy()[keep].tolist()
             fresh = []
-            for i, pair in zip(keep.tolist(), zip(node, key, strict=True), strict=True):
-                if pair not in seen:
-                    seen.add(pair)
+            for i, node in enumerate(batch.column(0).to_pylist()):
+                if node not in seen:  # a row that stands for its class may be repeated
+                    seen.add(node)
                     fresh.append(i)
             part = batch.take(pa.array(fresh, pa.int64()))
-            grams = [sorted_set(t, size, hashes).tobytes() for t in part.column(3).to_pylist()]
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(grams, pa.binary())], names=["node", "grams"])
+            grams = [sorted_set(t, size, hashes).tobytes() for t in part.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(grams, pa.binary())], names=["node", "salts", "grams"])
         give_back()
 
-    found = rows.select("node", "text_key", at.alias("at"), "text").mapInArrow(sets, "node long, grams binary")
-    both = pairs.join(found.select(F.col("node").alias("a"), F.col("grams").alias("ga")), "a").join(found.select(F.col("node").alias("b"), F.col("grams").alias("gb")), "b")
+    made = found.mapInArrow(sets, "node long, salts int, grams binary")
+    made = made.select("node", "salts", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), "grams")
+    salts = need.select("node", "salts")
+    both = pairs.join(salts.toDF("a", "_sa"), "a").join(salts.toDF("b", "_sb"), "b")
+    both = both.select("a", "b", F.pmod(F.xxhash64("b"), F.col("_sa")).cast("int").alias("sa"), F.pmod(F.xxhash64("a"), F.col("_sb")).cast("int").alias("sb"))
+    both = both.join(made.select(F.col("node").alias("a"), F.col("salt").alias("sa"), F.col("grams").alias("ga")), ["a", "sa"])
+    both = both.join(made.select(F.col("node").alias("b"), F.col("salt").alias("sb"), F.col("grams").alias("gb")), ["b", "sb"])
 
     def compare(batches):
         for batch in batches:
@@ -197,13 +195,21 @@ def verified(pairs: DataFrame, rows: DataFrame, size: int, percent: int) -> Data
     return both.select("a", "b", "ga", "gb").mapInArrow(compare, "a long, b long").distinct()
 
 
-def linked(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFrame:
-    """(node, text_key, n, component) of every row: component is the least doc_id reachable by links."""
+def linked(docs: DataFrame, size: int = 3, percent: int = 90) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(rows, classes, components) of the join.
+
+    rows: doc_id, text_key, n, f1 and f2 of every row; classes: f1, f2, n,
+    node (a number), and doc_id and text_key of the row that stands for it
+    (the least doc_id, null last); components: node and component of every
+    node with a link.
+    """
     prepare(docs.sparkSession)
     rows = _rows(docs)
     signed = cut_lineage(signatures(rows, count_sketch(rows, size), size, percent))
-    key = ["f1", "f2", "n"]
-    classes = signed.where("n > 0").groupBy(*key).agg(F.min("node").alias("node"), F.first("l").alias("l"), F.first("prefix").alias("prefix"))
+    rep = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_key")).alias("rep")
+    classes = signed.where("n > 0").groupBy("f1", "f2", "n").agg(rep, *[F.first(c).alias(c) for c in ("l", "prefix", "parity")])
+    # numbers are given once and read from the checkpoint
+    classes = cut_lineage(classes.select("f1", "f2", "n", "rep.doc_id", "rep.text_key", "l", "prefix", "parity", F.monotonically_increasing_id().alias("node")))
     lead = F.col("n") - F.expr(f"(n * {percent} + 99) div 100")
     # the first lead + 1 tokens of a prefix belong to l = 1, then one more to each further l
     tokens = classes.select("node", "n", "l", lead.alias("lead"), F.posexplode("prefix").alias("pos", "token"))
@@ -212,6 +218,7 @@ def linked(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFrame:
     shared = tokens.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token")
     tokens = tokens.join(shared, "token").select("token", "node", F.expr("packed div 64").alias("n"), F.expr("CAST(packed div 8 % 8 AS INT)").alias("l"), F.expr("CAST(packed % 8 AS INT)").alias("at"))
     tokens = cut_lineage(tokens)
+    bits = classes.select("node", "n", "parity")
     fits = lambda x, y: (F.least(x, y) * 100 >= F.greatest(x, y) * percent)
     # a token's hub: the document with most common n-grams in its prefix, which is nearest to what its copies share
     central = tokens.groupBy("node").agg(F.count("*").alias("shared"))
@@ -220,11 +227,10 @@ def linked(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFrame:
     star = star.groupBy(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"), "node").agg(F.count("*").alias("m")).where("m > 1")
     # one hub for each document: this round only has to join most copies, the next one is exact
     star = star.groupBy("node").agg(F.max_by(F.struct("a", "b"), F.struct("m", "a", "b")).alias("p")).select("p.a", "p.b").distinct()
-    bits = cut_lineage(signed.where("n > 0").groupBy(*key).agg(F.min("node").alias("node"), F.first("parity").alias("parity")).select("node", "n", "parity"))
     star = star.join(bits.toDF("a", "x_n", "x_parity"), "a").join(bits.toDF("b", "y_n", "y_parity"), "b")
     star = star.where(may_reach(F.col("x_n"), F.col("y_n"), F.col("x_parity"), F.col("y_parity"), percent))
     star = cut_lineage(star.select("a", "b").distinct())
-    links = cut_lineage(verified(star, rows, size, percent))
+    links = cut_lineage(verified(star, classes, rows, size, percent))
     comp = connected_components(links)
     tokens = tokens.join(comp, "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component")
     mixed = tokens.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("token")
@@ -236,31 +242,29 @@ def linked(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFrame:
     across = across.select("x_node", "y_node", "x_n", "y_n", matches.alias("l")).groupBy("x_node", "y_node", "x_n", "y_n", "l").agg(F.count("*").alias("m")).where("m >= l")
     across = across.select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
     across = cut_lineage(across.join(star, ["a", "b"], "left_anti"))
-    links = links.union(verified(across, rows, size, percent))
-    comp = connected_components(links)
-    # a doc_id with several texts is one node of the graph: its classes meet in it
-    named = signed.where("n > 0").groupBy(*key).agg(F.min("node").alias("node")).join(comp, "node", "left").select(*key, F.coalesce("component", "node").alias("component"))
-    out = signed.select("node", "text_key", "n", "f1", "f2").join(named, key, "left")
-    return out.select("node", "text_key", "n", F.coalesce("component", "node").alias("component"))
+    links = links.union(verified(across, classes, rows, size, percent))
+    return signed.select("doc_id", "text_key", "n", "f1", "f2"), classes.select("f1", "f2", "n", "node", "doc_id", "text_key"), connected_components(links)
 
 
 def components(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFrame:
-    """doc_id, n_shingles and component_id of every row (null where no id is known)."""
-    named = lambda c: F.when(F.col(c) < NAMELESS, F.col(c))
-    return linked(docs, size, percent).select(named("node").alias("doc_id"), F.col("n").alias("n_shingles"), named("component").alias("component_id"))
+    """doc_id, n_shingles and component_id of every row: the least doc_id reachable by links, or the row's own."""
+    rows, classes, comp = linked(docs, size, percent)
+    named = classes.select("f1", "f2", "n", "node", "doc_id").join(comp, "node", "left").withColumn("c", F.coalesce("component", "node"))
+    least = named.groupBy("c").agg(F.min("doc_id").alias("component_id"))
+    named = named.join(least, "c").select("f1", "f2", "n", "component_id")
+    out = rows.join(named, ["f1", "f2", "n"], "left")
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
 def one_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs``, one of each group of linked documents: the one with the least doc_id.
+    """The rows of ``docs``, one of each group of linked documents: the one with the least doc_id (null last).
 
     Rows that repeat that doc_id and text are one document; one of them stays.
     Documents without any words are linked with nothing and all stay.
     """
-    found = linked(docs, size, percent)
-    chosen = found.where("n > 0 AND node = component").select("node", "text_key").groupBy("node").agg(F.min("text_key").alias("text_key"))
-    rows = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text")
-    key = F.xxhash64(F.coalesce("text", F.lit("")))
-    node = F.coalesce(F.col("doc_id").cast("long"), F.lit(NAMELESS) + F.pmod(key, F.lit(1 << 61)))
-    rows = rows.select("row", node.alias("node"), key.alias("text_key"), F.coalesce(F.col("text").rlike("[^\\x20\\x09-\\x0D]"), F.lit(False)).alias("full"))
-    kept = rows.where("full").join(chosen, ["node", "text_key"]).dropDuplicates(["node", "text_key"])
+    _, classes, comp = linked(docs, size, percent)
+    named = classes.join(comp, "node", "left").withColumn("c", F.coalesce("component", "node"))
+    chosen = named.groupBy("c").agg(F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_key")).alias("r")).select("r.text_key", F.col("r.doc_id").alias("rep_id"))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("id"), text_key().alias("text_key"), F.coalesce(F.col("text").rlike("[^\\x20\\x09-\\x0D]"), F.lit(False)).alias("full"))
+    kept = rows.where("full").join(chosen, "text_key").where(F.col("id").eqNullSafe(F.col("rep_id"))).dropDuplicates(["id", "text_key"])
     return kept.select("row.*").unionByName(rows.where("NOT full").select("row.*"))

@@ -171,6 +171,27 @@ def test_join_keeps_one_of_each_group(spark, odd):
     assert op3_join.components(empty(odd)).count() == 0 and op3_join.one_each(empty(odd)).count() == 0
 
 
+def test_join_of_any_ids_and_of_one_id_on_different_texts(spark):
+    rng = random.Random(11)
+    text = lambda: " ".join(f"w{rng.randrange(10**6)}" for _ in range(40))
+    x, y, z = text(), text(), text()
+    top = 2**63 - 1
+    made = [(2**62 + 5, x), (2**62 + 6, x), (top, y + " end"), (-top, y), (7, z), (7, x + " and"), (None, z), (None, "alone " + z[::-1]), (8, y + " end")]
+    df = spark.createDataFrame(made, "doc_id long, text string")
+    got = sorted((str(r["doc_id"]), str(r["component_id"])) for r in op3_join.components(df, 3, 80).collect())
+    want = [(2**62 + 5, 7), (2**62 + 6, 7), (top, -top), (-top, -top), (7, 7), (7, 7), (None, 7), (None, None), (8, -top)]
+    assert got == sorted((str(a), str(b)) for a, b in want)
+    assert sorted(str(r["doc_id"]) for r in op3_join.one_each(df, 3, 80).collect()) == sorted(map(str, [-top, 7, 7, None]))
+
+
+def test_join_by_key_when_too_many_to_broadcast(docs, odd, monkeypatch):
+    monkeypatch.setattr(op3_join, "MOST_BROADCAST", 0)
+    monkeypatch.setattr(op3_join, "PAIRS_A_SALT", 2)
+    df = odd.where("doc_id IS NOT NULL").select("doc_id", "text").union(docs.where("doc_id > 100").select("doc_id", "text"))
+    want = brute_components([(r["doc_id"], r["text"]) for r in df.collect()], 3, 90)
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in op3_join.components(df).collect()} == want
+
+
 def test_parity_bits_bound_the_difference():
     rng = np.random.default_rng(5)
     for n, cut in ((50, 5), (3000, 900)):
