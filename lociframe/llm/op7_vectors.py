@@ -16,10 +16,15 @@ link counts and a spanning forest of its links, never all pairs.
 Codebooks are fitted on a bounded sample (``SAMPLE`` classes by hash); every
 class is coded and searched.
 
+Sufficient probes cost what the vectors demand: the more alike all distances
+are, the more lists lie within reach (see the README for figures).
+
 Cases: vectors that are null, of length zero or hold null or non-finite
 components, and rows without label, link with nothing; vectors of different
-length are not compared; a null vec_id has no id to report, but its links
-count; repeated rows are copies; further columns are not read.
+length are not compared; vec_id may be any long, repeated or null (a null one
+has no id to report, but its links count); repeated rows and ties are copies,
+linked with one another; an empty table gives an empty result; vectors of any
+length are compared whole; further columns are not read.
 """
 
 from __future__ import annotations
@@ -33,10 +38,11 @@ from .common import connected_components, cut_lineage, prepare
 
 LINK = 0.93
 SAMPLE, ROUNDS, SUBSPACES, CODES = 8192, 12, 8, 64
-#: Vectors per list aimed at, and the most lists.
-LIST_ROWS, MOST_LISTS = 8000, 4096
+#: Vectors per list aimed at, and the least and most lists.
+LIST_ROWS, LEAST_LISTS, MOST_LISTS = 8000, 4, 4096
 BLOCK = 2048
-NAMELESS = 1 << 62
+#: Rows whose distances to all lists are held at a time.
+ROWS_AT_ONCE = 512
 
 
 def k_means(x: np.ndarray, k: int, rounds: int = ROUNDS, seed: int = 7) -> np.ndarray:
@@ -59,6 +65,8 @@ class Codec:
         self.dim = x.shape[1]
         self.width = -(-self.dim // SUBSPACES)
         self.coarse = k_means(x, lists)
+        square = (self.coarse**2).sum(1)
+        self.gap = np.sqrt(np.maximum(square[:, None] + square - 2 * self.coarse @ self.coarse.T, 1e-30))
         rest = self._pad(x - self.coarse[self.nearest(x)])
         self.books = [k_means(rest[:, m * self.width : (m + 1) * self.width], CODES, seed=11 + m) for m in range(SUBSPACES)]
 
@@ -73,8 +81,7 @@ class Codec:
     def probes(self, x: np.ndarray, home: np.ndarray, reach: float) -> np.ndarray:
         """Boolean (row, list): lists that can hold a vector within ``reach`` of the row."""
         d = (x * x).sum(1)[:, None] - 2 * x @ self.coarse.T + (self.coarse**2).sum(1)
-        gap = np.sqrt(np.maximum(((self.coarse[:, None] - self.coarse[None]) ** 2).sum(2), 1e-30))
-        out = (d - d[np.arange(len(x)), home][:, None]) / (2 * gap[home]) <= reach + 1e-9
+        out = (d - d[np.arange(len(x)), home][:, None]) / (2 * self.gap[home]) <= reach + 1e-6
         out[np.arange(len(x)), home] = True
         return out
 
@@ -166,12 +173,11 @@ def near_duplicates(vectors: DataFrame, link: float = LINK) -> DataFrame:
     fine = e.isNotNull() & F.col("label").isNotNull() & F.forall(e, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))) & F.exists(e, lambda v: v != 0)
     key = [F.xxhash64("embedding").alias("h1"), F.xxhash64(F.lit(1), "embedding").alias("h2")]
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("string").alias("label"), F.when(fine, e).alias("embedding"), F.coalesce(fine, F.lit(False)).alias("fine")).select("*", *key)
-    node = F.coalesce("vec_id", F.lit(NAMELESS) + F.pmod("h1", F.lit(1 << 61)))
-    rows = rows.select("vec_id", node.alias("node"), "label", "embedding", "fine", "h1", "h2")
-    classes = rows.where("fine").groupBy("label", "h1", "h2").agg(F.min("node").alias("node"), F.count("*").alias("copies"), F.any_value("embedding").alias("embedding"))
-    classes = cut_lineage(classes.withColumn("size", F.size("embedding")))
+    classes = rows.where("fine").groupBy("label", "h1", "h2").agg(F.min("vec_id").alias("least"), F.count("*").alias("copies"), F.any_value("embedding").alias("embedding"))
+    # numbers are given once and read from the checkpoint
+    classes = cut_lineage(classes.withColumns({"size": F.size("embedding"), "node": F.monotonically_increasing_id()}))
     total, dim = classes.agg(F.count("*"), F.max("size")).first()
-    single = rows.select("vec_id", "node", F.when(F.col("fine"), F.col("label")).alias("label"), "h1", "h2")
+    single = rows.select("vec_id", F.when(F.col("fine"), F.col("label")).alias("label"), "h1", "h2")
     if not total:
         return single.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     share = min(1.0, SAMPLE / total)
@@ -181,7 +187,7 @@ def near_duplicates(vectors: DataFrame, link: float = LINK) -> DataFrame:
         sample[i, : len(r["embedding"])] = r["embedding"]
     norms = np.sqrt((sample**2).sum(1))
     sample = sample[norms > 0] / norms[norms > 0, None]
-    shared = spark.sparkContext.broadcast(Codec(sample, int(min(MOST_LISTS, max(1, total // LIST_ROWS), len(sample)))))
+    shared = spark.sparkContext.broadcast(Codec(sample, int(min(MOST_LISTS, max(LEAST_LISTS, total // LIST_ROWS), len(sample)))))
     reach = float(np.sqrt(2 - 2 * link))
 
     def deal(batches):
@@ -192,12 +198,14 @@ def near_duplicates(vectors: DataFrame, link: float = LINK) -> DataFrame:
             for i, v in enumerate(emb.to_pylist()):
                 x[i, : len(v)] = v
             x /= np.sqrt((x * x).sum(1))[:, None]
-            home = codec.nearest(x)
-            row, cell = np.nonzero(codec.probes(x, home, reach))
-            for at in range(0, len(row), 4096):
-                part = batch.take(pa.array(row[at : at + 4096]))
-                c = cell[at : at + 4096]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(c.astype(np.int32)), pa.array(c == home[row[at : at + 4096]])], names=[*batch.schema.names, "cell", "home"])
+            for low in range(0, len(x), ROWS_AT_ONCE):
+                piece = x[low : low + ROWS_AT_ONCE]
+                home = codec.nearest(piece)
+                row, cell = np.nonzero(codec.probes(piece, home, reach))
+                for at in range(0, len(row), 4096):
+                    r, c = row[at : at + 4096], cell[at : at + 4096]
+                    part = batch.take(pa.array(low + r))
+                    yield pa.RecordBatch.from_arrays([*part.columns, pa.array(c.astype(np.int32)), pa.array(c == home[r])], names=[*batch.schema.names, "cell", "home"])
 
     cols = classes.select("label", "size", "node", "copies", "embedding")
     kind = dict(vectors.dtypes)["embedding"]
@@ -216,8 +224,9 @@ def near_duplicates(vectors: DataFrame, link: float = LINK) -> DataFrame:
     found = cut_lineage(queries.union(stored).groupBy(*group, "i", "j").applyInArrow(lambda t: _block(t, shared.value, link), "a long, b long, links long, is_edge boolean"))
     comp = connected_components(found.where("is_edge").select("a", "b"))
     links = found.where("NOT is_edge").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
-    named = classes.select("label", "h1", "h2", "node", "copies").join(links, "node", "left").join(comp, "node", "left")
-    named = named.select("label", "h1", "h2", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "node").alias("component"))
-    out = single.join(named, ["label", "h1", "h2"], "left").select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "node").alias("c"))
-    component = F.when(F.col("c") < NAMELESS, F.col("c"))
-    return out.select("vec_id", "n_links", component.alias("component_id"), F.coalesce(F.col("vec_id") == component, component.isNull()).alias("kept"))
+    named = classes.select("label", "h1", "h2", "node", "least", "copies").join(links, "node", "left").join(comp, "node", "left").withColumn("c", F.coalesce("component", "node"))
+    named = named.join(named.groupBy("c").agg(F.min("least").alias("component_id")), "c")
+    named = named.select("label", "h1", "h2", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id", F.lit(True).alias("compared"))
+    out = single.join(named, ["label", "h1", "h2"], "left")
+    out = out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.when(F.col("compared"), F.col("component_id")).otherwise(F.col("vec_id")).alias("component_id"))
+    return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.col("component_id").isNull()))

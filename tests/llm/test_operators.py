@@ -382,6 +382,34 @@ def test_vectors_against_brute_force(spark, monkeypatch):
     assert op7_vectors.near_duplicates(empty(df)).count() == 0
 
 
+def test_vectors_of_any_ids_and_repeated_ids(spark):
+    a, b, c = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0], [0.0, 0.99, 0.01]
+    top = 2**63 - 1
+    data = [(top, a), (2**62 + 9, a), (None, a), (3, b), (3, a), (-top, c), (None, [0.0, 0.0, 1.0])]
+    df = spark.createDataFrame([(i, v, 1) for i, v in data], "vec_id long, embedding array<double>, label int")
+    got = sorted((str(r["vec_id"]), r["n_links"], str(r["component_id"]), r["kept"]) for r in op7_vectors.near_duplicates(df).collect())
+    want = [(top, 3, 3, False), (2**62 + 9, 3, 3, False), (None, 3, 3, False), (3, 3, 3, True), (3, 1, -top, False), (-top, 1, -top, True), (None, 0, None, True)]
+    assert got == sorted((str(i), n, str(k), f) for i, n, k, f in want)
+
+
+def test_vectors_of_several_lists_against_brute_force(spark):
+    """The module's own sizes: 20,000 vectors in clusters, the default lists and blocks, whole result."""
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(6000, 24))
+    x = (centres[rng.integers(0, 6000, 20_000)] + rng.normal(size=(20_000, 24)) * 0.22).astype(np.float32)
+    lab = rng.integers(0, 3, len(x))
+    df = spark.createDataFrame([(i, v.tolist(), int(k)) for i, (v, k) in enumerate(zip(x, lab, strict=True))], "vec_id long, embedding array<float>, label int").repartition(4)
+    y = x.astype(float)
+    y /= np.sqrt((y * y).sum(1))[:, None]
+    n = np.zeros(len(x), int)
+    for k in range(3):
+        of = np.flatnonzero(lab == k)
+        for at in range(0, len(of), 1000):
+            n[of[at : at + 1000]] = (y[of[at : at + 1000]] @ y[of].T >= 0.93).sum(1) - 1
+    got = {r["vec_id"]: r["n_links"] for r in op7_vectors.near_duplicates(df).collect()}
+    assert n.sum() > 5000 and [got[i] for i in range(len(x))] == n.tolist()
+
+
 # ---- 8 ----
 
 
