@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -106,40 +107,55 @@ def window_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
     return mix(acc)
 
 
-def summed_tables(src: DataFrame, fill, lengths: list[int], block: int = 1 << 14, salts: int = 256) -> list[np.ndarray]:
+#: Tables that are added together in one group on each level of summed_tables.
+FAN_IN = 128
+
+
+def _pack(counts: np.ndarray) -> bytes:
+    return zlib.compress((counts.astype(np.int32) if np.abs(counts).max() < 2**31 else counts.astype(np.int64)).tobytes(), 1)
+
+
+def _unpack(packed: bytes, width: int) -> np.ndarray:
+    raw = zlib.decompress(packed)
+    return np.frombuffer(raw, np.int32 if len(raw) == 4 * width else np.int64)
+
+
+def summed_tables(src: DataFrame, fill, lengths: list[int], block: int = 1 << 16) -> list[np.ndarray]:
     """Sums over all partitions of the count tables that ``fill(batches)`` returns, of the fixed ``lengths``.
 
-    Each partition sends one packed row per block; blocks are merged on two
-    levels, so a group never holds the parts of more than about 1/salts of the
-    partitions.  What reaches the driver is one row per block.
+    Each partition sends one compressed row per block that isn't zero; these
+    are added on three levels, FAN_IN of them in a group on the first two.
+    What reaches the driver is one row per block.
     """
-    schema = "salt int, table int, block int, counts binary"
-    names = ["salt", "table", "block", "counts"]
+    schema = "part int, table int, block int, counts binary"
+    names = ["part", "table", "block", "counts"]
+    width = lambda t, b: min(block, lengths[t] - block * b)
 
     def parts(batches):
         tables = fill(batches)
-        give_back()
-        salt = TaskContext.get().partitionId() % salts
         for t, counts in enumerate(tables):
-            cut = [counts[i : i + block].astype(np.int64) for i in range(0, len(counts), block)]
-            used = [i for i, c in enumerate(cut) if c.any()]
-            small = [cut[i].astype(np.int32) if cut[i].max() < 2**31 else cut[i] for i in used]
-            yield pa.RecordBatch.from_arrays([pa.array([salt] * len(used), pa.int32()), pa.array([t] * len(used), pa.int32()), pa.array(used, pa.int32()), pa.array([c.tobytes() for c in small], pa.binary())], names=names)
+            for b, at in enumerate(range(0, len(counts), block)):
+                piece = counts[at : at + block]
+                if piece.any():
+                    row = [pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([t], pa.int32()), pa.array([b], pa.int32()), pa.array([_pack(piece)], pa.binary())]
+                    yield pa.RecordBatch.from_arrays(row, names=names)
+        del tables
+        give_back()
 
     def merge(table):
-        key = table.slice(0, 1).drop_columns(["counts"])
-        width = min(block, lengths[key.column("table")[0].as_py()] - block * key.column("block")[0].as_py())
-        total = np.zeros(width, np.int64)
-        for b in table.column("counts").to_pylist():
-            total += np.frombuffer(b, np.int32 if len(b) == 4 * width else np.int64)
-        packed = total.astype(np.int32) if total.max() < 2**31 else total
-        return key.append_column("counts", pa.array([packed.tobytes()], pa.binary()))
-
+        t, b = table.column("table")[0].as_py(), table.column("block")[0].as_py()
+        total = np.zeros(width(t, b), np.int64)
+        for packed in table.column("counts"):
+            total += _unpack(packed.as_py(), len(total))
+        return table.slice(0, 1).drop_columns(["counts"]).append_column("counts", pa.array([_pack(total)], pa.binary()))
+
+    got = src.mapInArrow(parts, schema)
+    for share in (FAN_IN, FAN_IN * FAN_IN):
+        got = got.groupBy(F.floor(F.col("part") / share), "table", "block").applyInArrow(merge, schema)
     out = [np.zeros(n, np.int64) for n in lengths]
-    merged = src.mapInArrow(parts, schema).groupBy("salt", "table", "block").applyInArrow(merge, schema)
-    for r in merged.groupBy("table", "block").applyInArrow(merge, schema).toLocalIterator():
-        at, width = r["block"] * block, min(block, lengths[r["table"]] - block * r["block"])
-        out[r["table"]][at : at + width] = np.frombuffer(bytes(r["counts"]), np.int32 if len(r["counts"]) == 4 * width else np.int64)
+    for r in got.groupBy("table", "block").applyInArrow(merge, schema).toLocalIterator():
+        at, n = r["block"] * block, width(r["table"], r["block"])
+        out[r["table"]][at : at + n] = _unpack(bytes(r["counts"]), n)
     return out
 
 

@@ -1,13 +1,15 @@
 """Quality classifier: random-indexing word vectors, pooled, under a small calibrated network.
 
-Fitting uses a bounded sample of labelled texts (``SAMPLE`` distinct ones by
-hash; a documented bound).  Every token has a sparse random index vector drawn
-from its hash; a token's word vector is the sum of the index vectors around it
-in the sample.  A document is pooled as the mean of its tokens' normalised
-vectors, weighted by rarity, beside the mean of its tokens' own index vectors;
-tokens not met in fitting take part through the latter.  A two-layer
-network in numpy learns the label, and a temperature fitted on texts that the
-network has not seen calibrates its probabilities.
+Every token has a sparse random index vector drawn from its hash.  A word
+vector is the sum of the index vectors of the tokens around a token, over all
+documents: the sums and the tokens' counts stand in a table of TABLE_BITS
+places by hash, so each token has a place, tokens that share one share a
+vector, and the table has one size whatever the corpus.  A document is pooled
+as the mean of its tokens' normalised vectors, weighted by rarity, beside the
+mean of their own index vectors, their mean rarity and their variety.  A
+two-layer network in numpy learns the label from a bounded sample of labelled
+texts (``SAMPLE`` distinct ones by hash; a documented bound), and a
+temperature fitted on texts that the network has not seen calibrates it.
 
 Scoring is one pass over all documents, whole texts, with a model of bounded
 size.  Only the text enters a score.
@@ -15,7 +17,10 @@ size.  Only the text enters a score.
 Cases: null and blank texts pool to zero and get the network's score of that;
 labels that are null are ignored, texts with several labels take their mean;
 without labels of both kinds every score is the share of label 1 (one half
-without any); repeated rows score alike; an empty table gives an empty result.
+without any); with fewer than five labelled texts there is none to calibrate
+on and the temperature is 1; repeated rows and ties score alike; texts of any
+length are read whole; columns of ``docs`` whose names clash with results pass
+through ``accepted``; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -27,12 +32,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, cut_lineage, give_back, prepare, summed_tables
+from .common import WordHashes, cut_lineage, give_back, mix, prepare, summed_tables
 
-SAMPLE = 4000
+SAMPLE = 6000
 WIDTH, NONZERO, REACH = 96, 4, 2
-MOST_TOKENS = 20_000
-LEAST_COUNT = 3
+#: The table of word vectors has 2^TABLE_BITS places of WIDTH sums.
+TABLE_BITS = 16
 HIDDEN, EPOCHS, RATE = 32, 200, 0.01
 TOKEN = re.compile(rb"[A-Z]{2,}|[A-Za-z\x80-\xff]+|[0-9]+|[^\sA-Za-z0-9\x80-\xff]+|\n")
 
@@ -42,23 +47,34 @@ def tokens(text: str | None) -> list[bytes]:
     return TOKEN.findall(text.encode()) if text else []
 
 
-def index_vectors(hashes: np.ndarray) -> np.ndarray:
-    """Sparse ternary vectors from 64-bit hashes: NONZERO places of +-1."""
-    out = np.zeros((len(hashes), WIDTH), np.float32)
-    rows = np.arange(len(hashes))
+def index_places(hashes: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(place, sign) of each of the NONZERO entries of the tokens' index vectors."""
+    out = []
     for k in range(NONZERO):
         part = hashes >> np.uint64(16 * k)
-        np.add.at(out, (rows, (part & np.uint64(0x7FFF)).astype(np.int64) % WIDTH), np.where(part & np.uint64(0x8000), 1.0, -1.0).astype(np.float32))
+        out.append(((part & np.uint64(0x7FFF)).astype(np.int64) % WIDTH, np.where(part & np.uint64(0x8000), 1, -1).astype(np.int32)))
     return out
 
 
+def index_vectors(hashes: np.ndarray) -> np.ndarray:
+    """Sparse ternary vectors from 64-bit hashes."""
+    out = np.zeros((len(hashes), WIDTH), np.float32)
+    for place, sign in index_places(hashes):
+        np.add.at(out, (np.arange(len(hashes)), place), sign.astype(np.float32))
+    return out
+
+
+def table_places(hashes: np.ndarray, size: int) -> np.ndarray:
+    """Place of each token in a table of ``size`` (a power of two) word vectors."""
+    return (mix(hashes) & np.uint64(size - 1)).astype(np.int64)
+
+
 class WordVectors:
-    """Vectors and rarity of the tokens kept; others have their index vector alone."""
+    """The table's normalised vectors and shares of all tokens."""
 
-    def __init__(self, hashes: np.ndarray, vectors: np.ndarray, share: np.ndarray):
-        order = np.argsort(hashes)
-        norm = np.linalg.norm(vectors[order], axis=1, keepdims=True)
-        self.hashes, self.vectors, self.share = hashes[order], (vectors[order] / np.maximum(norm, 1e-9)).astype(np.float32), share[order]
+    def __init__(self, counts: np.ndarray, sums: np.ndarray):
+        self.vectors = (sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-9)).astype(np.float32)
+        self.share = counts / max(counts.sum(), 1)
 
     def pooled(self, hashed: list[np.ndarray]) -> np.ndarray:
         """One row of features per document."""
@@ -66,32 +82,24 @@ class WordVectors:
         full = [i for i, h in enumerate(hashed) if len(h)]
         if not full:
             return out
-        flat = np.concatenate([hashed[i] for i in full])
-        distinct, inverse = np.unique(flat, return_inverse=True)
+        distinct, inverse = np.unique(np.concatenate([hashed[i] for i in full]), return_inverse=True)
         of = np.repeat(np.arange(len(full)), [len(hashed[i]) for i in full])
-        own = index_vectors(distinct) / np.sqrt(NONZERO)
-        at = np.minimum(np.searchsorted(self.hashes, distinct), max(len(self.hashes) - 1, 0))
-        known = self.hashes[at] == distinct if len(self.hashes) else np.zeros(len(distinct), bool)
-        weight = np.where(known, 1e-3 / (1e-3 + self.share[at]), 0.0) if len(self.hashes) else np.zeros(len(distinct))
+        own = index_vectors(distinct) / np.sqrt(NONZERO).astype(np.float32)
+        at = table_places(distinct, len(self.share))
+        weight = (1e-3 / (1e-3 + self.share[at])).astype(np.float32)
+        rarity = -np.log(self.share[at] + 1e-7) / 10
         # (document, token) counts, so that each distinct token of a document is added once
         cell, n = np.unique(of * len(distinct) + inverse, return_counts=True)
         doc, tok = np.divmod(cell, len(distinct))
         total = np.bincount(doc, weights=n, minlength=len(full))
-        starts = np.searchsorted(doc, np.arange(len(full)))
-        got = np.zeros((len(full), out.shape[1]), np.float32)
-        step = 20_000
-        vectors = np.where(known[:, None], self.vectors[at] if len(self.hashes) else 0.0, 0.0).astype(np.float32)
-        for lo in range(0, len(full), 64):
-            hi = min(lo + 64, len(full))
-            a, b = starts[lo], starts[hi] if hi < len(full) else len(doc)
-            for c in range(a, b, step):
-                e = min(c + step, b)
-                d, t = doc[c:e], tok[c:e]
-                first = np.flatnonzero(np.r_[True, d[1:] != d[:-1]])
-                got[d[first], :WIDTH] += np.add.reduceat(vectors[t] * (n[c:e] * weight[t])[:, None].astype(np.float32), first)
-                got[d[first], WIDTH : 2 * WIDTH] += np.add.reduceat(own[t] * n[c:e, None].astype(np.float32), first)
-                got[d[first], 2 * WIDTH] += np.add.reduceat(n[c:e] * known[t], first)
-                got[d[first], 2 * WIDTH + 1] += np.add.reduceat(np.ones(len(t)), first)
+        got = np.zeros((len(full), out.shape[1]))
+        for lo in range(0, len(doc), 20_000):
+            d, t, k = doc[lo : lo + 20_000], tok[lo : lo + 20_000], n[lo : lo + 20_000]
+            first = np.flatnonzero(np.r_[True, d[1:] != d[:-1]])
+            got[d[first], :WIDTH] += np.add.reduceat(self.vectors[at[t]] * (k * weight[t])[:, None].astype(np.float32), first)
+            got[d[first], WIDTH : 2 * WIDTH] += np.add.reduceat(own[t] * k[:, None].astype(np.float32), first)
+            got[d[first], 2 * WIDTH] += np.add.reduceat(k * rarity[t], first)
+            got[d[first], 2 * WIDTH + 1] += np.add.reduceat(np.ones(len(t)), first)
         out[full] = got / total[:, None]
         return out
 
@@ -102,7 +110,7 @@ class Network:
     def __init__(self, x: np.ndarray, y: np.ndarray, seed: int = 5):
         rng = np.random.default_rng(seed)
         self.prior = float(y.mean()) if len(y) else 0.5
-        self.flat = len(y) < 20 or not (0.0 < self.prior < 1.0)
+        self.flat = len(np.unique(y)) < 2
         self.mean, self.scale, self.temperature = x.mean(0) if len(x) else 0.0, x.std(0) + 1e-3 if len(x) else 1.0, 1.0
         if self.flat:
             return
@@ -124,6 +132,8 @@ class Network:
                 s[1] = 0.999 * s[1] + 0.001 * grad * grad
                 new.append(part - RATE * (s[0] / (1 - 0.9**t)) / (np.sqrt(s[1] / (1 - 0.999**t)) + 1e-8))
             self.w1, self.b1, self.w2, self.b2 = new
+        if not len(held):
+            return
         logit, target = self.logits(x[held]), y[held]
         grid = np.exp(np.linspace(np.log(0.5), np.log(8), 61))
         nll = [np.mean(np.logaddexp(0, logit / t) - target * logit / t) for t in grid]
@@ -141,49 +151,38 @@ class Network:
         return 1 / (1 + np.exp(-np.clip(self.logits(x) / self.temperature, -30, 30)))
 
 
-def _vocabulary(sample: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """(token hashes ascending, occurrences) of the sample's commonest tokens, at most MOST_TOKENS."""
-
-    def count(batches):
-        hashes, seen = WordHashes(), [np.empty(0, np.uint64)]
-        for batch in batches:
-            seen += [hashes.of(tokens(t)) for t in batch.column(0).to_pylist()]
-        token, n = np.unique(np.concatenate(seen), return_counts=True)
-        for i in range(0, len(token), 50_000):
-            yield pa.RecordBatch.from_arrays([pa.array(token[i : i + 50_000].view(np.int64)), pa.array(n[i : i + 50_000].astype(np.int64))], names=["token", "n"])
-
-    counted = sample.select("text").mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_COUNT)
-    rows = counted.orderBy(F.desc("n"), "token").limit(MOST_TOKENS).collect()
-    token, n = np.array([r["token"] for r in rows], np.int64).view(np.uint64), np.array([r["n"] for r in rows], np.float64)
-    order = np.argsort(token)
-    return token[order], n[order]
-
-
-def _context_sums(sample: DataFrame, vocabulary: np.ndarray) -> np.ndarray:
-    """Summed index vectors of the neighbours of each token of the vocabulary."""
-    if not len(vocabulary):
-        return np.zeros((0, WIDTH), np.float32)
-    shared = sample.sparkSession.sparkContext.broadcast(vocabulary)
+def word_table(docs: DataFrame, bits: int = TABLE_BITS) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens at each place of the table, and the sum of the index vectors around them, over all documents."""
+    places = 1 << bits
 
     def fill(batches):
-        hashes, known = WordHashes(), shared.value
-        out = np.zeros((len(known), WIDTH), np.int32)
+        hashes = WordHashes()
+        counts, sums = np.zeros(places, np.int64), np.zeros(places * WIDTH, np.int32)
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 own = hashes.of(tokens(text))
-                at = np.minimum(np.searchsorted(known, own), len(known) - 1)
-                inside = known[at] == own
-                for lo in range(0, len(own), 20_000):
-                    piece = slice(max(0, lo - REACH), lo + 20_000 + REACH)
-                    base, a, ok = index_vectors(own[piece]).astype(np.int32), at[piece], inside[piece]
-                    mid = np.arange(len(a)) + piece.start
-                    ok = ok & (mid >= lo) & (mid < lo + 20_000)
-                    for k in range(1, REACH + 1):
-                        np.add.at(out, a[k:][ok[k:]], base[:-k][ok[k:]])
-                        np.add.at(out, a[:-k][ok[:-k]], base[k:][ok[:-k]])
-        return [out.ravel()]
-
-    return summed_tables(sample.select("text"), fill, [len(vocabulary) * WIDTH])[0].reshape(-1, WIDTH).astype(np.float32)
+                for lo in range(0, len(own), 50_000):
+                    a = max(0, lo - REACH)  # a piece's first tokens meet the last ones before it
+                    _add(own[a : lo + 50_000], lo - a, counts, sums)
+        return [counts, sums]
+
+    counts, sums = summed_tables(docs.select("text"), fill, [places, places * WIDTH])
+    return counts, sums.reshape(places, WIDTH).astype(np.float32)
+
+
+def _add(own: np.ndarray, fresh: int, counts: np.ndarray, sums: np.ndarray) -> None:
+    """Adds tokens from the ``fresh``-th on, and all pairs within reach whose later token is one of them."""
+    at = table_places(own, len(counts))
+    np.add.at(counts, at[fresh:], 1)
+    entries = index_places(own)
+    for k in range(1, REACH + 1):
+        low = max(fresh - k, 0)  # pairs (i, i + k) with i + k >= fresh
+        left, right = slice(low, len(own) - k), slice(low + k, len(own))
+        if low + k >= len(own):
+            continue
+        for place, sign in entries:
+            np.add.at(sums, at[right] * WIDTH + place[left], sign[left])
+            np.add.at(sums, at[left] * WIDTH + place[right], sign[right])
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> tuple[WordVectors, Network]:
@@ -197,8 +196,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[WordVectors, Network]:
     chosen = ids.where(F.pmod(F.xxhash64("h"), F.lit(1_000_003)) < int(share * 1_000_003) + 1)
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen.select("_q_id", "h", "y")), (F.col("doc_id") == F.col("_q_id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("h")))
     sample = cut_lineage(texts.select("text", "y", "h").dropDuplicates(["h"]))
-    vocabulary, n = _vocabulary(sample)
-    words = WordVectors(vocabulary, _context_sums(sample, vocabulary), n / max(n.sum(), 1))
+    words = WordVectors(*word_table(docs))
     shared = docs.sparkSession.sparkContext.broadcast(words)
 
     def features(batches):

@@ -71,6 +71,42 @@ def test_classifier_without_labels_and_on_odd_rows(spark, sf_dir, odd):
     assert op1_quality.classify(empty(odd), labels).count() == 0
 
 
+def test_word_table_and_pooling_against_plain_loops(spark, docs, odd):
+    texts = [r["text"] for r in odd.union(docs.select(*[F.col(c) if c in docs.columns else F.lit(None).alias(c) for c in odd.columns])).select("text").collect()]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(5)
+    hashes = common.WordHashes()
+    vector = {}
+    for t in texts:
+        for x in set(op1_quality.tokens(t)):
+            v = np.zeros(op1_quality.WIDTH)
+            for k in range(op1_quality.NONZERO):
+                part = (hashes[x] >> 16 * k) & 0xFFFF
+                v[(part & 0x7FFF) % op1_quality.WIDTH] += 1 if part & 0x8000 else -1
+            vector[x] = v
+    place = {x: int(op1_quality.table_places(np.array([hashes[x]], np.uint64), 256)[0]) for x in vector}
+    counts, sums = np.zeros(256, int), np.zeros((256, op1_quality.WIDTH))
+    for t in texts:
+        own = op1_quality.tokens(t)
+        for i, x in enumerate(own):
+            counts[place[x]] += 1
+            for j in range(max(0, i - op1_quality.REACH), min(len(own), i + op1_quality.REACH + 1)):
+                if i != j:
+                    sums[place[x]] += vector[own[j]]
+    got = op1_quality.word_table(df, 8)
+    assert (got[0] == counts).all() and (got[1] == sums).all()
+    words, some = op1_quality.WordVectors(*got), texts[:40]
+    pooled = words.pooled([hashes.of(op1_quality.tokens(t)) for t in some])
+    for t, row in zip(some, pooled, strict=True):
+        own, want = op1_quality.tokens(t), np.zeros(2 * op1_quality.WIDTH + 2)
+        for x in own:
+            share, v = counts[place[x]] / counts.sum(), sums[place[x]]
+            want[: op1_quality.WIDTH] += 1e-3 / (1e-3 + share) * v / max(np.sqrt(v @ v), 1e-9)
+            want[op1_quality.WIDTH : -2] += vector[x] / np.sqrt(op1_quality.NONZERO)
+            want[-2] -= np.log(share + 1e-7) / 10
+        want[-1] = len(set(own))
+        assert np.allclose(row, want / max(len(own), 1), atol=2e-4)
+
+
 def test_network_learns_and_is_calibrated():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(2000, 6))
