@@ -6,16 +6,26 @@ hash of (id, node), and descends into the child with the smallest draw, so a
 child gets rows in proportion to the weight below it.  A draw depends on the
 id, the node's name and its weight alone: growing the tree leaves every draw
 of an untouched subtree as it was, and rows move only into the subtree whose
-weight has changed.  One more shard joins as a rack and region of its own, so
-rows move into that shard only.
-
-Cases: a null id draws as the string ``null``; a null text has no bytes and
-the checksum of none; rows with equal ids share a shard and get distinct
-slots; an empty table gives an empty result; further columns are not read.
+weight has changed.  Weights are given by shard (1 where not given); a rack and
+a region weigh what is in them, and raising a shard's weight moves rows only
+into its region, inside of that only into its rack, and inside of that only
+into the shard.  One more shard joins as a rack and region of its own, so rows
+move into that shard only.
+
+Under law ``key`` the id alone decides, so equal texts under different ids lie
+in the shards of their ids, and rows of one id lie together.
+
+Cases: a null id draws as the string ``null``; a null or empty text has no
+bytes and the checksum of none; rows with equal ids share a shard and get
+distinct slots, in order of id, size and checksum inside a hash range; equal
+rows are interchangeable; texts of any length are read whole; an empty table
+gives an empty result; further columns are not read.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -23,26 +33,34 @@ from pyspark.sql import Window
 from .common import text_bytes
 
 SHARDS, REGIONS, RACKS = 24, 3, 2
-#: Slot ranges hold about so many rows each.
-ROWS_IN_RANGE = 4000
 #: A repeated row is laid out in runs of this many slots.
 RUN = 4096
 
 Tree = list[tuple[str, float, list]]
 
 
-def tree(shards: int = SHARDS, base: int = SHARDS, regions: int = REGIONS, racks: int = RACKS) -> Tree:
+def tree(shards: int = SHARDS, base: int = SHARDS, regions: int = REGIONS, racks: int = RACKS, weights: dict[int, float] | None = None) -> Tree:
     """Regions as (name, weight, racks); racks as (name, weight, shards); shards as (number, weight).
 
     The first ``base`` shards are dealt evenly; each further one is a region of its own.
+    ``weights``: by shard number, above 0; 1 where none is given.
     """
+    weight = lambda s: float((weights or {}).get(s, 1.0))
+    heavy = lambda children: sum(c[1] for c in children)
+    if any(weight(s) <= 0 for s in range(shards)):
+        raise ValueError("weights must be above 0")
     if shards < base or base % (regions * racks):
         raise ValueError("the base must fill its racks evenly and be no larger than the shard count")
     per, out = base // (regions * racks), []
     for r in range(regions):
-        below = [(f"r{r}/k{k}", float(per), [(s, 1.0) for s in range((r * racks + k) * per, (r * racks + k + 1) * per)]) for k in range(racks)]
-        out.append((f"r{r}", float(per * racks), below))
-    out += [(f"r{regions + i}", 1.0, [(f"r{regions + i}/k0", 1.0, [(base + i, 1.0)])]) for i in range(shards - base)]
+        below = []
+        for k in range(racks):
+            leaves = [(s, weight(s)) for s in range((r * racks + k) * per, (r * racks + k + 1) * per)]
+            below.append((f"r{r}/k{k}", heavy(leaves), leaves))
+        out.append((f"r{r}", heavy(below), below))
+    for s in range(base, shards):
+        name = f"r{regions + s - base}"
+        out.append((name, weight(s), [(f"{name}/k0", weight(s), [(s, weight(s))])]))
     return out
 
 
@@ -75,17 +93,17 @@ def shard_of(key: Column, top: Tree) -> Column:
     return descend(top).cast("int")
 
 
-def assign(docs: DataFrame, shards: int = SHARDS, id_column: str = "doc_id", name: str = "shard") -> DataFrame:
+def assign(docs: DataFrame, shards: int = SHARDS, id_column: str = "doc_id", name: str = "shard", weights: dict[int, float] | None = None) -> DataFrame:
     """``docs`` with the shard of each row; a projection, without a shuffle."""
-    return docs.withColumn(name, shard_of(F.coalesce(F.col(id_column).cast("string"), F.lit("null")), tree(shards)))
+    return docs.withColumn(name, shard_of(F.coalesce(F.col(id_column).cast("string"), F.lit("null")), tree(shards, weights=weights)))
 
 
 def slots(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot (gapless in a shard), grown_shard.
 
     Equal rows are counted first (with map-side combine); a shard is cut into
-    hash ranges, range totals give each range its first slot, and only the
-    rows of one range are ordered together.
+    hash ranges, about as many as a range has rows, range totals give each
+    range its first slot, and only the rows of one range are ordered together.
     """
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
     crc = F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
@@ -93,7 +111,7 @@ def slots(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     rows = rows.groupBy("doc_id", "size", "text_crc32").agg(F.count("*").alias("copies"))
     rows = rows.withColumn("shard", shard_of(key, tree(shards)))
     total = docs.count()
-    ranges = max(1, -(-total // (shards * ROWS_IN_RANGE)))
+    ranges = math.isqrt(total // shards) + 1
     rows = rows.withColumn("part", F.pmod(F.xxhash64("doc_id", "size", "text_crc32"), F.lit(ranges)).cast("int"))
     sums = rows.groupBy("shard", "part").agg(F.sum("copies").alias("n"))
     before = Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)

@@ -6,19 +6,26 @@ times its source's words with the excess reshared (water-filling, in closed
 form over the sources sorted by the level at which they fill up).  Each source
 queues its documents in a shuffled order, once per epoch; a document's virtual
 finish time is the source's cumulative words divided by its target.  All
-queues are cut where the words taken in order of finish time reach the budget.
+documents are range-sorted by finish time and taken as long as the words up to
+and with them (and all that finish at the same time) are within the budget.
 
-Running sums are two-level: hash ranges of each source (or ranges of finish
-time) are summed first, and only the rows of one range are ordered together,
-so a source with a third of all rows isn't gathered in one task.
+Running sums have two levels.  Inside a source, about the square root of the
+number of rows of hash ranges are summed first, and only the rows of one range
+are ordered together, so a source with a third of all rows isn't gathered in
+one task.  Over all rows or sources, the rows are range-partitioned and each
+partition starts at the sum of those before it.
 
 Cases: null or blank texts have size 0 and take no words; with no words at all
-nothing is taken; repeated rows queue one after the other (equal rows are
-interchangeable); further columns pass through ``mixed`` untouched.
+nothing is taken; documents that finish together are taken together or not at
+all; rows of one id and text queue one after the other (equal rows are
+interchangeable); texts of any length are counted whole; an empty table gives
+an empty result; further columns pass through ``mixed`` untouched.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -27,7 +34,6 @@ from .common import cut_lineage
 
 WEIGHTS = (1, 2, 3)
 MOST_EPOCHS = 3
-ROWS_IN_RANGE = 4000
 
 
 def size_of(text: Column) -> Column:
@@ -35,8 +41,8 @@ def size_of(text: Column) -> Column:
 
 
 def _queued(docs: DataFrame) -> DataFrame:
-    """Adds the queue columns: source key and null flag, size, shuffled place (63 bits)."""
-    place = F.shiftrightunsigned(F.xxhash64(F.lit("mix"), F.col("doc_id")), 1)
+    """Adds the queue columns: source key and null flag, size, shuffled place (63 bits) by id and text."""
+    place = F.shiftrightunsigned(F.xxhash64(F.lit("mix"), F.col("doc_id"), F.xxhash64("text")), 1)
     return docs.withColumns({"_mx_null": F.col("source").isNull(), "_mx_source": F.coalesce("source", F.lit("")), "_mx_size": size_of(F.col("text")), "_mx_place": place})
 
 
@@ -45,22 +51,34 @@ def _range(count: int) -> Column:
     return F.expr(f"CAST(_mx_place div {-(-(1 << 63) // count)}L AS INT)") if count > 1 else F.lit(0)
 
 
+def running_totals(rows: DataFrame, order: list[str], **values: Column) -> DataFrame:
+    """``rows`` with the totals of ``values`` over all rows up to and with each row (and its ties) in the order."""
+    parted = cut_lineage(rows.repartitionByRange(*order).withColumn("_mx_part", F.spark_partition_id()))
+    before = Window.orderBy("_mx_part").rowsBetween(Window.unboundedPreceding, -1)
+    # one row for each partition
+    per = parted.groupBy("_mx_part").agg(*[F.sum(v).alias(f"_mx_before_{k}") for k, v in values.items()])
+    per = per.select("_mx_part", *[F.coalesce(F.sum(f"_mx_before_{k}").over(before), F.lit(0)).alias(f"_mx_before_{k}") for k in values])
+    inside = Window.partitionBy("_mx_part").orderBy(*order)
+    out = parted.withColumns({k: F.sum(v).over(inside) for k, v in values.items()}).join(F.broadcast(per), "_mx_part")
+    return out.withColumns({k: F.col(k) + F.col(f"_mx_before_{k}") for k in values}).drop("_mx_part", *[f"_mx_before_{k}" for k in values])
+
+
 def targets(rows: DataFrame, weights: tuple = WEIGHTS, most_epochs: float = MOST_EPOCHS) -> DataFrame:
     """(_mx_null, _mx_source, source_size, target): one row per source."""
     per = rows.groupBy("_mx_null", "_mx_source").agg(F.sum("_mx_size").alias("source_size"))
-    rank = F.row_number().over(Window.orderBy("_mx_null", "_mx_source")) - 1
-    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (rank % len(weights) + 1).cast("int"))
+    per = running_totals(per, ["_mx_null", "_mx_source"], _mx_rank=F.lit(1))
+    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), ((F.col("_mx_rank") - 1) % len(weights) + 1).cast("int"))
     per = per.withColumn("weight", weight).withColumn("cap", F.col("source_size") * float(most_epochs))
-    order = Window.orderBy(F.col("cap") / F.col("weight"), "_mx_null", "_mx_source")
-    below = order.rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy()
-    left = F.sum("source_size").over(whole).cast("double") - F.coalesce(F.sum("cap").over(below), F.lit(0.0))
-    weight_left = F.sum("weight").over(whole) - F.coalesce(F.sum("weight").over(below), F.lit(0.0))
+    per = per.withColumn("fills", F.col("cap") / F.col("weight"))
+    per = running_totals(per, ["fills", "_mx_null", "_mx_source"], caps=F.col("cap"), weights=F.col("weight"))
+    whole = per.agg(F.sum("source_size").cast("double").alias("all_size"), F.sum("weight").alias("all_weight"))
+    per = per.crossJoin(F.broadcast(whole))
     # the level if all sources before this one are full; the first source that stays below its cap sets the common level
-    per = per.withColumn("level", left / weight_left).withColumn("open", F.col("level") * F.col("weight") <= F.col("cap"))
-    level = F.min(F.when(F.col("open"), F.struct((F.col("cap") / F.col("weight")).alias("fills"), "level"))).over(whole)["level"]
-    target = F.least(F.col("cap"), F.coalesce(level, F.lit(float("inf"))) * F.col("weight"))
-    return per.select("_mx_null", "_mx_source", "source_size", target.alias("target"))
+    level = (F.col("all_size") - (F.col("caps") - F.col("cap"))) / (F.col("all_weight") - (F.col("weights") - F.col("weight")))
+    per = per.withColumn("level", level)
+    common = per.where(F.col("level") * F.col("weight") <= F.col("cap")).agg(F.min(F.struct("fills", "level")).alias("first")).select(F.col("first.level").alias("common"))
+    target = F.least(F.col("cap"), F.coalesce("common", F.lit(float("inf"))) * F.col("weight"))
+    return per.crossJoin(F.broadcast(common)).select("_mx_null", "_mx_source", "source_size", target.alias("target"))
 
 
 class Plan:
@@ -68,15 +86,14 @@ class Plan:
 
     def __init__(self, docs: DataFrame):
         narrow = cut_lineage(_queued(docs.select("doc_id", "source", "text")).select("doc_id", "_mx_null", "_mx_source", "_mx_size", "_mx_place"))
-        count = narrow.count()
-        self.ranges = max(1, -(-count // ROWS_IN_RANGE))
+        self.ranges = math.isqrt(narrow.count()) + 1
         narrow = narrow.withColumn("_mx_range", _range(self.ranges))
         sums = narrow.groupBy("_mx_null", "_mx_source", "_mx_range").agg(F.sum("_mx_size").alias("n"))
         before = Window.partitionBy("_mx_null", "_mx_source").orderBy("_mx_range").rowsBetween(Window.unboundedPreceding, -1)
         sums = sums.withColumn("_mx_base", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
         self.starts = cut_lineage(sums.join(targets(narrow), ["_mx_null", "_mx_source"]))
         self.narrow = narrow.drop("_mx_range")
-        self.last = self._last_finish(self.timed(self.narrow), self.ranges * MOST_EPOCHS)
+        self.last = self._last_finish(self.timed(self.narrow))
 
     def timed(self, rows: DataFrame) -> DataFrame:
         """Adds source_size, target and the words of the source up to and with this document."""
@@ -90,42 +107,33 @@ class Plan:
         """Virtual finish time; null where the source has no target."""
         return F.when(F.col("target") > 0, (epoch * F.col("source_size") + F.col("_mx_sum")) / F.col("target"))
 
-    def _last_finish(self, timed: DataFrame, buckets: int) -> DataFrame:
-        """One row (last): documents that finish by then are taken."""
+    def _last_finish(self, timed: DataFrame) -> DataFrame:
+        """One row (_mx_last): documents that finish by then are taken."""
         rows = timed.select("_mx_size", "_mx_sum", "source_size", "target", F.explode(F.array(*map(F.lit, range(MOST_EPOCHS)))).alias("epoch"))
         rows = rows.select("_mx_size", self.finish(F.col("epoch")).alias("f")).where("f IS NOT NULL")
-        rows = rows.withColumn("bucket", F.floor(F.least(F.col("f"), F.lit(4.0)) * buckets).cast("int"))
-        sums = rows.groupBy("bucket").agg(F.sum("_mx_size").alias("n"), F.max("f").alias("end"))
-        upto = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
-        sums = sums.withColumn("upto", F.sum("n").over(upto))
         budget = self.starts.select("_mx_null", "_mx_source", "source_size").distinct().agg(F.coalesce(F.sum("source_size"), F.lit(0)).alias("budget"))
-        sums = sums.crossJoin(F.broadcast(budget))
-        whole = sums.where("upto <= budget").agg(F.max("end").alias("last"))
-        cut = sums.where("upto > budget").agg(F.min_by(F.struct("bucket", (F.col("upto") - F.col("n")).alias("base"), "budget"), "bucket").alias("c")).where("c IS NOT NULL").select("c.*")
-        run = Window.orderBy("f", "_mx_size").rowsBetween(Window.unboundedPreceding, 0)
-        part = rows.join(F.broadcast(cut), "bucket").withColumn("upto", F.sum("_mx_size").over(run) + F.col("base"))
-        part = part.where("upto <= budget").agg(F.max("f").alias("last"))
-        return cut_lineage(whole.union(part).agg(F.max("last").alias("_mx_last")))
+        upto = running_totals(rows, ["f"], upto=F.col("_mx_size")).crossJoin(F.broadcast(budget))
+        return cut_lineage(upto.where("upto <= budget").agg(F.max("f").alias("_mx_last")))
 
 
 def _taken(rows: DataFrame, plan: Plan) -> DataFrame:
-    """Adds copies: epochs in which the row is taken."""
+    """Adds the finish times at which the row is taken, one for each epoch."""
     timed = plan.timed(rows).crossJoin(F.broadcast(plan.last))
-    taken = [F.coalesce((plan.finish(F.lit(e)) <= F.col("_mx_last")).cast("int"), F.lit(0)) for e in range(MOST_EPOCHS)]
-    return timed.withColumn("_mx_copies", sum(taken[1:], taken[0]))
+    times = F.array(*[plan.finish(F.lit(e)) for e in range(MOST_EPOCHS)])
+    return timed.withColumn("_mx_times", F.filter(times, lambda f: f <= F.col("_mx_last")))
 
 
 def mix(docs: DataFrame) -> DataFrame:
     """doc_id, size, source_size, target and taken of every row."""
     plan = Plan(docs)
     rows = _taken(plan.narrow, plan)
-    return rows.select("doc_id", F.col("_mx_size").alias("size"), "source_size", "target", (F.col("_mx_size") * F.col("_mx_copies")).alias("taken"))
+    return rows.select("doc_id", F.col("_mx_size").alias("size"), "source_size", "target", (F.col("_mx_size") * F.size("_mx_times")).alias("taken"))
 
 
 def mixed(docs: DataFrame) -> DataFrame:
-    """The mixture itself: each row of ``docs`` as often as it is taken."""
+    """The mixture itself, in order of finish times: each row of ``docs`` as often as it is taken."""
     plan = Plan(docs)
     wrapped = docs.select("doc_id", "source", "text", F.struct(*docs.columns).alias("_mx_row"))
     rows = _queued(wrapped).select("doc_id", "_mx_null", "_mx_source", "_mx_size", "_mx_place", "_mx_row")
-    rows = _taken(rows, plan).where("_mx_copies > 0")
-    return rows.select("_mx_row", F.explode(F.sequence(F.lit(1), F.col("_mx_copies")))).select("_mx_row.*")
+    rows = _taken(rows, plan).select("_mx_row", F.explode("_mx_times").alias("_mx_time"))
+    return rows.repartitionByRange("_mx_time").sortWithinPartitions("_mx_time").select("_mx_row.*")

@@ -149,12 +149,29 @@ def test_shards(request, table):
 
 def test_shards_of_a_repeated_row_and_of_nothing(spark, odd, monkeypatch):
     monkeypatch.setattr(op2_shards, "RUN", 7)
-    monkeypatch.setattr(op2_shards, "ROWS_IN_RANGE", 1)
     many = spark.range(100).select(F.lit(5).cast("long").alias("doc_id"), F.lit("t").alias("text"))
     assert sorted(r["slot"] for r in op2_shards.slots(many).collect()) == list(range(100))
     assert op2_shards.slots(empty(odd)).count() == 0
 
 
+def test_a_heavier_shard_draws_rows_along_its_path_only(spark):
+    ids = spark.range(6000).select(F.col("id").alias("doc_id"))
+    both = op2_shards.assign(op2_shards.assign(ids, name="old"), name="new", weights={5: 3.0})
+    where = {s: (region[0], rack[0]) for region in op2_shards.tree() for rack in region[2] for s, _ in rack[2]}
+    moved = 0
+    for r in both.collect():
+        old, new = r["old"], r["new"]
+        moved += old != new
+        if old != new:
+            assert where[new][0] == where[5][0]
+            assert where[old][0] != where[5][0] or where[new][1] == where[5][1]
+            assert where[old] != where[5] or new == 5
+    share = both.where("new = 5").count() / 6000
+    assert moved and abs(share - 3 / 26) < 0.02
+    with pytest.raises(ValueError):
+        op2_shards.tree(weights={3: 0.0})
+
+
 # ---- 3 ----
 
 
@@ -476,6 +493,29 @@ def test_mix_of_odd_rows(odd):
     assert op8_mix.mix(empty(odd)).count() == 0 and op8_mix.mix(odd.where("text IS NULL")).agg(F.sum("taken")).first()[0] == 0
 
 
+def test_mix_takes_what_finishes_within_the_budget(spark, docs, odd):
+    """Plain queues in the operator's shuffled order: every document taken or not as a sort by finish time says."""
+    for df in (docs.select("doc_id", "source", "text"), odd.select("doc_id", "source", "text").where("doc_id IS NOT NULL").distinct()):
+        queued = op8_mix._queued(df).select("doc_id", "_mx_null", "_mx_source", "_mx_size", "_mx_place").collect()
+        got = {r["doc_id"]: r for r in op8_mix.mix(df).collect()}
+        done, sums = [], {}
+        for r in sorted(queued, key=lambda r: (r["_mx_place"], r["doc_id"], r["_mx_size"])):
+            key, g = (r["_mx_null"], r["_mx_source"]), got[r["doc_id"]]
+            sums[key] = sums.get(key, 0) + r["_mx_size"]
+            if g["target"] > 0:
+                done += [((e * g["source_size"] + sums[key]) / g["target"], r["_mx_size"], r["doc_id"]) for e in range(3)]
+        budget, total, taken = sum(r["_mx_size"] for r in queued), 0, Counter()
+        for f in sorted({x[0] for x in done}):
+            same = [x for x in done if x[0] == f]
+            total += sum(x[1] for x in same)
+            if total > budget:
+                break
+            taken.update({x[2]: x[1] for x in same})
+        assert {i: r["taken"] for i, r in got.items() if r["taken"]} == {i: n for i, n in taken.items() if n}
+        out = op8_mix.mixed(df).select(op8_mix.size_of(F.col("text")).alias("n"), "doc_id").collect()
+        assert Counter({i: n for i, n in Counter([r["doc_id"] for r in out if r["n"]]).items()}) == Counter({i: r["taken"] // r["size"] for i, r in got.items() if r["taken"]})
+
+
 # ---- 9 ----
 
 
