@@ -55,7 +55,7 @@ def _fill(rng: random.Random, markup: str, content: bool) -> str:
     return markup
 
 
-def labelled(count: int = 260, seed: int = 3) -> list[str]:
+def labelled(count: int = 260, seed: int = 3, frames: list[str] = FRAMES) -> list[str]:
     """Pages whose content text has MARK before it."""
     rng, out = random.Random(seed), []
     for _ in range(count):
@@ -63,7 +63,7 @@ def labelled(count: int = 260, seed: int = 3) -> list[str]:
         body = [_fill(rng, rng.choice(CONTENT), True) for _ in range(rng.choice([1, 2, 3, 6, 12, 20]))]
         if rng.random() < 0.35:  # boilerplate inside the article
             body.insert(rng.randint(0, len(body)), boiler())
-        frame = rng.choice(FRAMES).replace("{body}", "\n" * rng.randint(0, 1) + "".join(body))
+        frame = rng.choice(frames).replace("{body}", "\n" * rng.randint(0, 1) + "".join(body))
         main = _fill(rng, frame, True)
         if rng.random() < 0.3:
             main = f"<div class='page'>{main}{boiler()}</div>"

@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lociframe.llm import common, op1_quality, op2_shards, op3_join, op4_extract, op5_rules, op6_licenses, op7_vectors, op8_mix, op9_bpe, op10_lm, oracles, registry
-from lociframe.llm.op4_pages import MARK, labelled
+from lociframe.llm.op4_pages import FRAMES, MARK, labelled
 
 from ..compare import rows
 
@@ -257,17 +257,39 @@ def test_parity_bits_bound_the_difference():
 # ---- 4 ----
 
 
-def test_extraction_of_unseen_labelled_pages():
-    weights, pairs = op4_extract.model()
+def found_words(pages: list, weights, pairs) -> tuple:
+    """(precision, recall) over the distinct words of each page."""
     got = want = both = 0
-    for page in labelled(150, seed=77):
+    for page in pages:
         parsed = op4_extract.Page(page)
         truth = [" ".join(t.replace(MARK, "").split()) for _, t in parsed.runs if MARK in t]
         found = op4_extract.main_texts([page.replace(MARK, "")], weights, pairs)[0].split()
         truth = " ".join(truth).split()
         common_words = len(set(found) & set(truth))
         got, want, both = got + len(set(found)), want + len(set(truth)), both + common_words
-    assert both / got > 0.9 and both / want > 0.9
+    return both / got, both / want
+
+
+def test_extraction_of_unseen_labelled_pages():
+    assert min(found_words(labelled(150, seed=77), *op4_extract.model())) > 0.9
+
+
+@pytest.mark.parametrize("family", [("<div id='content'>", "<div class='container'>", "<div id='main'>"), ("<section", "<table"), ("<main><h1>", "<h1>")])
+def test_extraction_of_layouts_never_trained_on(family):
+    """Frames of a family are left out of training and make up the test."""
+    out = [f for f in FRAMES if f.startswith(family)]
+    model = op4_extract.train(labelled(200, frames=[f for f in FRAMES if f not in out]))
+    precision, recall = found_words(labelled(80, seed=78, frames=out), *model)
+    print(family, round(precision, 3), round(recall, 3))
+    assert precision > 0.85 and recall > 0.8
+
+
+def test_extraction_of_deep_and_broken_nesting_in_linear_time():
+    weights, pairs = op4_extract.model()
+    began = time.time()
+    for page in ("<ul>" * 20_000, "<p><div>" + "<ul>" * 20_000, "<div>" * 20_000 + "</b></i></x>" * 20_000, "<div>" * 10_000 + "<li>" * 10_000 + "<td>" * 5000, "<p><section>" * 10_000):
+        op4_extract.main_texts([page + "some words of a text that ends here"], weights, pairs)
+    assert time.time() - began < 60
 
 
 def test_extraction_of_the_pages_table(spark, sf_dir):
