@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -12,18 +10,7 @@ from pyspark.sql import Window
 
 from ..constants import EDGE_MIN_WEIGHT, H4_THRESHOLD, MIN_DEGREE_FRACTION
 from ..functions.scalar import edge_weight
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the folder of spark.checkpoint.dir, or in a temporary one where that is unset."""
-    sc = df.sparkSession.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        try:
-            folder = df.sparkSession.conf.get("spark.checkpoint.dir")
-        except Exception:  # the setting is absent
-            folder = None
-        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="lociframe-"))
-    return df.checkpoint(eager=True)
+from ..scratch import cut_lineage
 
 
 def weighted_edges(pairs: DataFrame, min_p: DataFrame) -> DataFrame:

@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import functions as F
 
+from .. import scratch
 from ..fixtures import Fixtures
 from ..functions import scalar as S
 from ..operators import filters as FL
@@ -170,8 +168,7 @@ def snk12_quarantine(x: Fixtures):
 def snk1_text_round_trip(x: Fixtures):
     from ..schemas import _schema
 
-    base = x.spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="lociframe-tsv-")
-    path = os.path.join(base, "nation-tsv")
+    path = scratch.fresh(x.spark, "nation-tsv")
     SK.write_tsv(x.table("nation").select(F.col("n_name").alias("name"), F.col("n_regionkey").alias("region")), path)
     return RD.delimited(x.spark, path, _schema("name:s region:i"))
 
