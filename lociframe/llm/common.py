@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import zlib
 
 import numpy as np
@@ -11,6 +10,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..scratch import cut_lineage  # noqa: F401
+
 #: Words are runs of anything but ASCII white space; bytes.split() cuts at just these.
 SPACE_CLASS = "[\\x20\\x09-\\x0D]+"
 MASK = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -23,18 +24,6 @@ def prepare(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """checkpoint() in the folder of spark.checkpoint.dir; a temporary one only where that is unset."""
-    sc = df.sparkSession.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        try:
-            folder = df.sparkSession.conf.get("spark.checkpoint.dir")
-        except Exception:  # the setting is absent
-            folder = None
-        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="lociframe-ckpt-"))
-    return df.checkpoint(eager=True)
-
-
 def let(value: Column, body) -> Column:
     """Evaluate ``value`` once per row and hand it to ``body`` as a lambda variable."""
     return F.element_at(F.transform(F.array(value), body), 1)
