@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,7 +27,7 @@ SQL = {
     "studies": "SELECT CAST(s_suppkey AS BIGINT) AS study, s_name AS study_name, n_name AS source, r_name AS category FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey",
     "members": "SELECT DISTINCT CAST(l_orderkey AS BIGINT) AS grp, CAST(l_suppkey AS BIGINT) AS study, CAST(l_partkey AS BIGINT) AS variant, p_brand AS gene, p_type AS data_type FROM lineitem JOIN part ON l_partkey = p_partkey",
     "lbf": "SELECT CAST(vec_id AS BIGINT) AS study, CAST(label AS BIGINT) AS blk, CAST(generate_subscripts(embedding, 1) - 1 AS BIGINT) AS snp, CAST(unnest(embedding) AS DOUBLE) * 30 AS lbf FROM embeddings",
-    "pairs": "SELECT a.study AS a, b.study AS b, count(*) AS n, round(least(0.999, count(*) / 4.0 + ((a.study * 31 + b.study * 17) % 100) / 200.0), 6) AS h4 FROM members a JOIN members b ON a.grp = b.grp AND a.study < b.study WHERE a.grp % 40 = 0 GROUP BY a.study, b.study",
+    "pairs": "SELECT a.study AS a, b.study AS b, count(*) AS n, round(((count(*) * 37 + a.study * 31 + b.study * 17) % 1000) / 1000.0, 6) AS h4 FROM members a JOIN members b ON a.grp = b.grp AND a.study < b.study GROUP BY a.study, b.study",
 }
 #: CTEs that each CTE reads.
 NEEDS = {"snps": ["sumstats"], "pairs": ["members"], "reach": ["edges"]}
@@ -93,11 +91,7 @@ class Fixtures:
     @property
     def pairs(self) -> DataFrame:
         """Study pairs with a made-up posterior: edges of a graph."""
-        m = self.members.where("grp % 40 = 0")
+        m = self.members
         a, b = m.select("grp", F.col("study").alias("a")), m.select("grp", F.col("study").alias("b"))
         n = a.join(b, "grp").where("a < b").groupBy("a", "b").agg(F.count("*").alias("n"))
-        return n.withColumn("h4", F.expr("round(least(CAST(0.999 AS DOUBLE), n / CAST(4.0 AS DOUBLE) + ((a * 31 + b * 17) % 100) / CAST(200.0 AS DOUBLE)), 6)"))
-
-
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+        return n.withColumn("h4", F.expr("round(((n * 37 + a * 31 + b * 17) % 1000) / CAST(1000.0 AS DOUBLE), 6)"))

@@ -62,12 +62,15 @@ def sweep(df: DataFrame, value: str, cuts: list[float], over: list[str] | None =
 def gene_pleiotropy(members: DataFrame, categories: DataFrame) -> DataFrame:
     """(gene, n_categories, n_other_genes): what a gene meets in its groups.
 
-    The pairs of a group are reduced to distinct (gene, other) before counting.
+    Groups with the same genes are one set before pairs are made of it, and
+    pairs are reduced to distinct (gene, other) before counting.
     """
     g = members.select("grp", "gene").distinct()
     cats = members.join(categories, "study").select("grp", "category").distinct()
     by_cat = g.join(cats, "grp").groupBy("gene").agg(F.countDistinct("category").alias("n_categories"))
-    other = g.join(g.select("grp", F.col("gene").alias("other")), "grp").where("gene <> other").groupBy("gene", "other").count().groupBy("gene").agg(F.count("*").alias("n_other_genes"))
+    sets = g.groupBy("grp").agg(F.sort_array(F.collect_set("gene")).alias("genes")).where(F.size("genes") > 1).select("genes").distinct()
+    pairs = sets.select("genes", F.explode("genes").alias("gene")).select("gene", F.explode("genes").alias("other")).where("gene <> other").distinct()
+    other = pairs.groupBy("gene").agg(F.count("*").alias("n_other_genes"))
     return g.select("gene").distinct().join(by_cat, "gene", "left").join(other, "gene", "left").fillna(0)
 
 

@@ -1,4 +1,4 @@
-"""Joins: intervals, distances, lookups, cascades.  All have an equality key; none is a Cartesian product."""
+"""Joins: intervals, distances, lookups, cascades.  All have an equality key, or one side of a checked small size."""
 
 from __future__ import annotations
 
@@ -6,15 +6,27 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
-#: Interval tables up to this many rows are broadcast; larger ones go through bins.
-BROADCAST_ROWS = 50_000
+from .windows import numbered
 
+#: A side is broadcast up to so many bytes; where Spark's own estimate says nothing, so many rows are read to find out.
+BROADCAST_BYTES, BROADCAST_ROWS = 32 << 20, 50_000
 
-def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """True if the table has at most ``rows`` rows; reads no more than that many plus one."""
-    return df.limit(rows + 1).count() <= rows
+
+def fits_broadcast(df: DataFrame) -> bool:
+    """True if the table is within the bounds: by the optimiser's estimate, else by reading at most one row more than the bound."""
+    if int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= BROADCAST_BYTES:
+        return True
+    size = F.sum(F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))))
+    rows, read = df.limit(BROADCAST_ROWS + 1).agg(F.count("*"), F.coalesce(size, F.lit(0))).first()
+    return rows <= BROADCAST_ROWS and read <= BROADCAST_BYTES
+
+
+def small(df: DataFrame, what: str) -> DataFrame:
+    """A broadcast side of a join that has no key; larger ones are refused."""
+    if not fits_broadcast(df):
+        raise ValueError(f"{what} is larger than {BROADCAST_BYTES} bytes")
+    return F.broadcast(df)
 
 
 def interval_join(points: DataFrame, intervals: DataFrame, key: str = "chr", pos: str = "bp", start: str = "start", stop: str = "stop", closed: bool = True, how: str = "inner", bin_width: int = 1_000_000) -> DataFrame:
@@ -58,21 +70,23 @@ def overlap_join(a: DataFrame, b: DataFrame, key: str, a_range: tuple[str, str],
 def close_pairs(df: DataFrame, group: str, ident: str, pos: str, distance: int, same: str | None = None) -> DataFrame:
     """Unordered pairs (a < b by ``ident``) in a group that are at most ``distance`` apart or share ``same``.
 
-    Distance pairs are found among neighbouring bins of that width, so the work
-    follows the number of near pairs and not the square of a group.
+    Distance pairs are found in a bin of that width and the next one, so the
+    work follows the number of near pairs and not the square of a group; what
+    shares ``same`` and is further apart comes from a join on it.
     """
     cols = [c for c in dict.fromkeys([group, ident, pos, same]) if c]
     base = df.select(*cols).withColumn("_bin", F.floor(F.col(pos) / distance))
-    a = base.select(*[F.col(c).alias(f"a_{c}") for c in cols], F.explode(F.array(F.col("_bin") - 1, F.col("_bin"), F.col("_bin") + 1)).alias("_bin"))
-    b = base.select(*[F.col(c).alias(f"b_{c}") for c in cols], "_bin")
-    order = F.col(f"a_{ident}") < F.col(f"b_{ident}")
-    near = a.join(b, "_bin").where((F.col(f"a_{group}") == F.col(f"b_{group}")) & order & (F.abs(F.col(f"a_{pos}") - F.col(f"b_{pos}")) <= distance)).drop("_bin")
+    named = lambda d, side, *more: d.select(*[F.col(c).alias(f"{side}_{c}") for c in cols], F.col(group), *more)
+    order, apart = F.col(f"x_{ident}") < F.col(f"y_{ident}"), F.abs(F.col(f"x_{pos}") - F.col(f"y_{pos}"))
+    x = named(base, "x", F.col("_bin").alias("_own"), F.explode(F.array("_bin", F.col("_bin") + 1)).alias("_bin"))
+    near = x.join(named(base, "y", "_bin"), [group, "_bin"]).where((apart <= distance) & ((F.col("_own") < F.col("_bin")) | order)).drop("_bin", "_own")
     if same:
-        x, y = a.drop("_bin").distinct(), b.drop("_bin")
-        also = x.join(y, (F.col(f"a_{group}") == F.col(f"b_{group}")) & (F.col(f"a_{same}") == F.col(f"b_{same}")) & order)
-        near = near.unionByName(also).distinct()
-    out = near.withColumn(group, F.col(f"a_{group}")).withColumn("distance", F.abs(F.col(f"a_{pos}") - F.col(f"b_{pos}")))
-    return out.drop(f"a_{group}", f"b_{group}")
+        far = named(base, "x", F.col(same)).join(named(base, "y", F.col(same)), [group, same]).where(order & (apart > distance)).drop(same)
+        near = near.unionByName(far)
+    first = lambda c: F.when(order, F.col(f"x_{c}")).otherwise(F.col(f"y_{c}")).alias(f"a_{c}")
+    second = lambda c: F.when(order, F.col(f"y_{c}")).otherwise(F.col(f"x_{c}")).alias(f"b_{c}")
+    rest = [c for c in cols if c != group]
+    return near.where(F.col(f"x_{ident}") != F.col(f"y_{ident}")).select(*map(first, rest), *map(second, rest), group, apart.alias("distance"))
 
 
 def first_match(left: DataFrame, right: DataFrame, on: str, order: list[str], keep: list[str]) -> DataFrame:
@@ -95,8 +109,8 @@ def both_ways(pairs: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
 
 def full_grid(df: DataFrame, rows: DataFrame, columns: DataFrame, fill: dict[str, object]) -> DataFrame:
-    """Every combination of ``rows`` and ``columns`` (both dimension tables), with defaults where ``df`` has none."""
-    grid = rows.crossJoin(F.broadcast(columns) if fits_broadcast(columns) else columns)
+    """Every combination of ``rows`` and ``columns`` (the latter a small dimension), with defaults where ``df`` has none."""
+    grid = rows.crossJoin(small(columns, "the column dimension"))
     out = grid.join(df, [*rows.columns, *columns.columns], "left")
     return out.fillna(fill)
 
@@ -123,7 +137,7 @@ def cascade(left: DataFrame, right: DataFrame, on: str, against: str, forms: lis
 
 def blocked(df: DataFrame, block_list: DataFrame, name: str, kind: str) -> DataFrame:
     """Rows not named by a block-list of (id_pattern, cis_trans); a null or blank cis_trans blocks any kind."""
-    b = F.broadcast(block_list.select(F.col("id_pattern").alias("_pattern"), F.col("cis_trans").alias("_kind"))) if fits_broadcast(block_list) else block_list.toDF("_pattern", "_kind")
+    b = small(block_list.select(F.col("id_pattern").alias("_pattern"), F.col("cis_trans").alias("_kind")), "the block-list")
     hit: Column = F.rlike(F.col(name), F.col("_pattern")) & ((F.coalesce("_kind", F.lit("")) == "") | (F.col("_kind") == F.col(kind)))
     return df.join(b, hit, "left_anti")
 
@@ -133,6 +147,6 @@ def surrogate_ids(df: DataFrame, old: DataFrame, key: str, ident: str = "id") ->
     have = df.join(old.select(key, F.col(ident)), key, "left")
     top = old.agg(F.coalesce(F.max(ident), F.lit(0)).alias("_top"))
     fresh = have.where(F.col(ident).isNull()).drop(ident)
-    ranged = fresh.withColumn("_rank", F.row_number().over(Window.orderBy(key))).crossJoin(F.broadcast(top))
-    numbered = ranged.withColumn(ident, (F.col("_top") + F.col("_rank")).cast("long")).drop("_top", "_rank")
-    return have.where(F.col(ident).isNotNull()).unionByName(numbered)
+    ranged = numbered(fresh, [key], "_rank").crossJoin(F.broadcast(top))
+    given = ranged.withColumn(ident, (F.col("_top") + F.col("_rank")).cast("long")).drop("_top", "_rank")
+    return have.where(F.col(ident).isNotNull()).unionByName(given)

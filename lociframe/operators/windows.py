@@ -2,31 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-
-def numbered(df: DataFrame, order: list, name: str = "id", over: list[str] | None = None) -> DataFrame:
-    w = (Window.partitionBy(*over) if over else Window).orderBy(*order)
-    return df.withColumn(name, F.row_number().over(w))
+from ..scratch import cut_lineage
 
 
-def dense_numbers(df: DataFrame, key: str, name: str) -> DataFrame:
-    """1-based dense number of each distinct key in order, by range sort: no global window over the facts.
+def numbered(df: DataFrame, order: list, name: str = "id", over: list[str] | None = None) -> DataFrame:
+    """1-based row numbers in an order, by group or (without ``over``) over all rows.
 
-    The distinct keys are range-partitioned, counted by partition, and numbered
-    inside each partition from its offset.
+    A global order is range-partitioned; each partition is numbered from the
+    rows before it, so no task holds more than one partition.
     """
-    keys = df.select(key).distinct().repartitionByRange(key).withColumn("_part", F.spark_partition_id())
-    keys = keys.withColumn("_rank", F.row_number().over(Window.partitionBy("_part").orderBy(key)))
-    sizes = keys.groupBy("_part").agg(F.count("*").alias("_n"))
+    if over:
+        return df.withColumn(name, F.row_number().over(Window.partitionBy(*over).orderBy(*order)))
+    parted = cut_lineage(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
+    # one row for each partition
+    sizes = parted.groupBy("_part").agg(F.count("*").alias("_n"))
     offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    return df.join(keys.join(offsets, "_part").select(key, (F.col("_rank") + F.col("_off")).alias(name)), key)
+    ranked = parted.withColumn("_in_part", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
+    return ranked.join(F.broadcast(offsets), "_part").withColumn(name, F.col("_in_part") + F.col("_off")).drop("_part", "_in_part", "_off")
 
 
-def group_numbers(groups: DataFrame, order: list[str], name: str = "group_id") -> DataFrame:
-    return groups.withColumn(name, F.dense_rank().over(Window.orderBy(*order)))
+def dense_numbers(df: DataFrame, key: str, name: str) -> DataFrame:
+    """1-based dense number of each distinct key in order."""
+    return df.join(numbered(df.select(key).distinct(), [key], name), key)
 
 
 def adjacent(df: DataFrame, over: list[str], order: list, value: str, step: int = 1) -> DataFrame:
@@ -59,5 +60,12 @@ def scaled(df: DataFrame, over: list[str], value: str, name: str = "z") -> DataF
 
 
 def tiles(df: DataFrame, n: int, order: list, name: str = "tile", over: list[str] | None = None) -> DataFrame:
-    w: Column = (Window.partitionBy(*over) if over else Window).orderBy(*order)
-    return df.withColumn(name, F.ntile(n).over(w))
+    """Tiles of near equal size in an order, the first ones larger; by group or (without ``over``) over all rows."""
+    if over:
+        return df.withColumn(name, F.ntile(n).over(Window.partitionBy(*over).orderBy(*order)))
+    ranked = numbered(df, order, "_k")
+    total = df.agg(F.count("*").alias("_all"))
+    size, more = F.expr(f"_all div {n}"), F.col("_all") % n
+    ahead = (size + 1) * more
+    tile = F.when(F.col("_k") <= ahead, F.ceil(F.col("_k") / (size + 1))).otherwise(more + F.ceil((F.col("_k") - ahead) / size))
+    return ranked.crossJoin(F.broadcast(total)).withColumn(name, tile.cast("int")).drop("_k", "_all")
