@@ -27,6 +27,7 @@ SQL = {
     "studies": "SELECT CAST(s_suppkey AS BIGINT) AS study, s_name AS study_name, n_name AS source, r_name AS category FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey",
     "members": "SELECT DISTINCT CAST(l_orderkey AS BIGINT) AS grp, CAST(l_suppkey AS BIGINT) AS study, CAST(l_partkey AS BIGINT) AS variant, p_brand AS gene, p_type AS data_type FROM lineitem JOIN part ON l_partkey = p_partkey",
     "lbf": "SELECT CAST(vec_id AS BIGINT) AS study, CAST(label AS BIGINT) AS blk, CAST(generate_subscripts(embedding, 1) - 1 AS BIGINT) AS snp, CAST(unnest(embedding) AS DOUBLE) * 30 AS lbf FROM embeddings",
+    "ld": "SELECT blk, i AS lead, j AS proxy, pow(0.5::DOUBLE + blk % 10 * 0.04::DOUBLE, abs(i - j)) AS r FROM (SELECT DISTINCT CAST(label AS BIGINT) AS blk, len(embedding) AS n FROM embeddings), range(64) a(i), range(64) b(j) WHERE i < n AND j < n",
     "pairs": "SELECT a.study AS a, b.study AS b, count(*) AS n, round(((count(*) * 37 + a.study * 31 + b.study * 17) % 1000) / 1000.0, 6) AS h4 FROM members a JOIN members b ON a.grp = b.grp AND a.study < b.study GROUP BY a.study, b.study",
 }
 #: CTEs that each CTE reads.
@@ -88,6 +89,14 @@ class Fixtures:
         e = self.table("embeddings").select(F.col("vec_id").cast("long").alias("study"), F.col("label").cast("long").alias("blk"), F.posexplode("embedding").alias("snp", "v"))
         return e.select("study", "blk", F.col("snp").cast("long").alias("snp"), (F.col("v").cast("double") * 30).alias("lbf"))
 
+    @property
+    def ld(self) -> DataFrame:
+        """LD rows (blk, lead, proxy, r): r falls with each step, at a pace of the block's own."""
+        n = self.table("embeddings").select(F.col("label").cast("long").alias("blk"), F.size("embedding").alias("n")).distinct()
+        steps = lambda name: F.explode(F.sequence(F.lit(0).cast("long"), F.col("n").cast("long") - 1)).alias(name)
+        pairs = n.select("blk", "n", steps("lead")).select("blk", "lead", steps("proxy"))
+        return pairs.withColumn("r", F.pow(0.5 + F.col("blk") % 10 * 0.04, F.abs(F.col("lead") - F.col("proxy")).cast("double")))
+
     @property
     def pairs(self) -> DataFrame:
         """Study pairs with a made-up posterior: edges of a graph."""

@@ -77,11 +77,6 @@ def without_inflated(df: DataFrame, ld: DataFrame, over: list[str], snp: str = "
     return out.where(~(F.col("imputed") & F.coalesce(bad, F.lit(False)))).drop("_best", "_floor")
 
 
-def log_sum(x: Column) -> Column:
-    """Aggregate: log of a sum of exponentials, shifted by the largest."""
-    return F.max(x) + F.log(F.sum(F.exp(x - F.max(x))))
-
-
 def coloc(pairs: DataFrame, lbf: DataFrame, study: str = "study", snp: str = "snp", priors: tuple = COLOC_PRIORS, least: int = MIN_SHARED_SNPS) -> DataFrame:
     """(a, b, nsnps, h0..h4, ignored): posteriors of no, one, other, two distinct and one shared signal for each pair.
 
@@ -161,24 +156,30 @@ def eigen_imputed(z: np.ndarray, seen: np.ndarray, ld: np.ndarray, share: float
     return basis @ np.linalg.lstsq(basis[seen], z[seen], rcond=None)[0]
 
 
-def elastic_net_path(x: np.ndarray, y: np.ndarray, penalties: np.ndarray, mix: float = 0.5, rounds: int = 40) -> np.ndarray:
-    """Coefficients (intercept first) for each penalty, by coordinate descent on the Gram matrix with warm starts."""
+def elastic_net_path(x: np.ndarray, y: np.ndarray, penalties: np.ndarray, mix: float = 0.5, rounds: int = 5000, tolerance: float = 1e-8) -> np.ndarray:
+    """Coefficients (intercept first) for each penalty, all penalties at once, by accelerated proximal steps on the Gram matrix.
+
+    Least is half the mean squared error plus the penalty times mix |b| + (1 - mix) / 2 b^2, on scaled columns.
+    """
     mean, sd = x.mean(0), x.std(0)
     sd = np.where(sd > 0, sd, 1.0)
     z = (x - mean) / sd
-    gram, cross = z.T @ z / len(y), z.T @ (y - y.mean()) / len(y)
-    b, out = np.zeros(x.shape[1]), []
-    for penalty in penalties:
-        for _ in range(rounds):
-            most = 0.0
-            for j in range(len(b)):
-                rho = cross[j] - gram[j] @ b + b[j]
-                new = np.sign(rho) * max(abs(rho) - penalty * mix, 0.0) / (1 + penalty * (1 - mix))
-                most, b[j] = max(most, abs(new - b[j])), new
-            if most < 1e-6:
-                break
-        out.append(np.concatenate([[y.mean() - mean @ (b / sd)], b / sd]))
-    return np.array(out)
+    gram, cross = z.T @ z / len(y), (z.T @ (y - y.mean()) / len(y))[:, None]
+    ridge, cut = penalties * (1 - mix), penalties * mix
+    step = 1 / (np.linalg.eigvalsh(gram)[-1] + ridge)
+    b = ahead = np.zeros((x.shape[1], len(penalties)))
+    t = 1.0
+    for _ in range(rounds):
+        new = ahead - step * (gram @ ahead - cross + ridge * ahead)
+        new = np.sign(new) * np.maximum(np.abs(new) - step * cut, 0.0)
+        if ((ahead - new) * (new - b)).sum() > 0:  # the momentum points uphill: start it anew
+            t = 1.0
+        t, last = (1 + (1 + 4 * t * t) ** 0.5) / 2, t
+        ahead, moved, b = new + (last - 1) / t * (new - b), np.abs(new - b).max(initial=0.0), new
+        if moved < tolerance:
+            break
+    b = (b / sd[:, None]).T
+    return np.column_stack([y.mean() - b @ mean, b])
 
 
 def elastic_net_cv(x: np.ndarray, y: np.ndarray, folds: int = 5, penalties: int = 8) -> np.ndarray:
@@ -187,9 +188,9 @@ def elastic_net_cv(x: np.ndarray, y: np.ndarray, folds: int = 5, penalties: int
     grid, fold = top * np.logspace(0, -3, penalties), np.arange(len(y)) % folds
     error = np.zeros(penalties)
     for f in range(folds):
-        b = elastic_net_path(x[fold != f], y[fold != f], grid)
+        b = elastic_net_path(x[fold != f], y[fold != f], grid, tolerance=1e-5)
         error += ((y[fold == f] - b[:, :1] - b[:, 1:] @ x[fold == f].T) ** 2).sum(1)
-    return elastic_net_path(x, y, grid[: int(np.argmin(error)) + 1])[-1]
+    return elastic_net_path(x, y, grid[[int(np.argmin(error))]])[0]
 
 
 def raiss(z: np.ndarray, seen: np.ndarray, ld: np.ndarray, ridge: float = 0.01, rtol: float = 0.01) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -215,31 +216,57 @@ def conditional_spread(index: np.ndarray, effect: np.ndarray, ld: np.ndarray, sd
     return (ld[:, index] * sd[index] / sd[:, None]) @ effect
 
 
-def susie(z: np.ndarray, ld: np.ndarray, n: float, effects: int = 10, prior: float = 50.0, rounds: int = 100, coverage: float = 0.95, purity: float = 0.5) -> tuple[list[np.ndarray], np.ndarray, bool]:
-    """(credible sets, log Bayes factors by effect, converged): iterative Bayesian stepwise selection on z-scores."""
+def prior_variance(bhat: np.ndarray, s2: np.ndarray) -> float:
+    """Prior variance of one effect that makes the data likeliest, by golden section on its logarithm; 0 if none is likelier."""
+
+    def loss(lv: float) -> float:
+        v = np.exp(lv)
+        lbf = 0.5 * np.log(s2 / (s2 + v)) + 0.5 * bhat**2 / s2 * v / (s2 + v)
+        return -(lbf.max() + np.log(np.mean(np.exp(lbf - lbf.max()))))
+
+    lo, hi, g = -30.0, 15.0, (5**0.5 - 1) / 2
+    a, b = hi - g * (hi - lo), lo + g * (hi - lo)
+    fa, fb = loss(a), loss(b)
+    for _ in range(45):
+        if fa <= fb:
+            hi, b, fb = b, a, fa
+            a = hi - g * (hi - lo)
+            fa = loss(a)
+        else:
+            lo, a, fa = a, b, fb
+            b = lo + g * (hi - lo)
+            fb = loss(b)
+    return float(np.exp((lo + hi) / 2)) if min(fa, fb) < -1e-9 else 0.0
+
+
+def susie(z: np.ndarray, ld: np.ndarray, n: float, effects: int = 10, prior: float = 0.2, rounds: int = 100, coverage: float = 0.95, purity: float = 0.5) -> tuple[list[np.ndarray], np.ndarray, bool]:
+    """(credible sets, log Bayes factors by effect, converged): iterative Bayesian stepwise selection on z-scores.
+
+    The residual variance is 1; each effect's prior variance starts at
+    ``prior`` and is estimated in each round, and effects of none give no set.
+    """
     p = len(z)
     shrink = np.sqrt((n - 1) / (z**2 + n - 2))
     xty, xtx = np.sqrt(n - 1) * z * shrink, (n - 1) * ld
-    alpha, mu, lbf = np.full((effects, p), 1 / p), np.zeros((effects, p)), np.zeros((effects, p))
-    total, residual, v, done = np.zeros(p), 1.0, prior / n, False
+    alpha, mu, lbf, v = np.full((effects, p), 1 / p), np.zeros((effects, p)), np.zeros((effects, p)), np.full(effects, prior)
     d = np.diag(xtx)
+    s2, total, done = 1 / d, np.zeros(p), False
     for _ in range(rounds):
         before = alpha.copy()
         for k in range(effects):
-            total -= alpha[k] * mu[k]
-            r = xty - xtx @ total
-            s2 = residual / d
-            bhat = r / d
-            lbf[k] = 0.5 * np.log(s2 / (s2 + v)) + 0.5 * bhat**2 / s2 * v / (s2 + v)
+            total = total - alpha[k] * mu[k]
+            bhat = (xty - xtx @ total) / d
+            v[k] = prior_variance(bhat, s2)
+            lbf[k] = 0.5 * np.log(s2 / (s2 + v[k])) + 0.5 * bhat**2 / s2 * v[k] / (s2 + v[k])
             w = np.exp(lbf[k] - lbf[k].max())
             alpha[k] = w / w.sum()
-            mu[k] = bhat * v / (s2 + v)
-            total += alpha[k] * mu[k]
+            mu[k] = bhat * v[k] / (s2 + v[k])
+            total = total + alpha[k] * mu[k]
         if np.abs(alpha - before).max() < 1e-4:
             done = True
             break
     sets = []
-    for k in range(effects):
+    for k in np.flatnonzero(v > 1e-9):
         order = np.argsort(-alpha[k], kind="stable")
         members = np.sort(order[: int(np.searchsorted(np.cumsum(alpha[k][order]), coverage)) + 1])
         # in blocks of rows: a set may hold most of a region
@@ -265,16 +292,33 @@ def clump(z: np.ndarray, ld: np.ndarray, r2: float = 0.1, least: float = 0.0, po
     return np.array(leads, int)
 
 
-def dentist(z: np.ndarray, ld: np.ndarray, cut: float = 5.45, keep_r2: float = 0.95) -> np.ndarray:
-    """Flag of SNPs whose z disagrees with its prediction from LD neighbours."""
-    bad = np.zeros(len(z), bool)
-    for i in range(len(z)):
-        near = (ld[i] ** 2 > 0.1) & (ld[i] ** 2 < keep_r2) & (np.arange(len(z)) != i)
-        if near.sum() >= 2:
-            inv = np.linalg.pinv(ld[np.ix_(near, near)] + 0.01 * np.eye(near.sum()), hermitian=True)
-            w = inv @ ld[i, near]
-            var = max(1 - ld[i, near] @ w, 0.05)
-            bad[i] = abs(z[i] - w @ z[near]) / np.sqrt(var) > cut
+def dentist(z: np.ndarray, ld: np.ndarray, cut: float = 5.45, share: float = 0.4, rounds: int = 10, worst: float = 0.005, seed: int = 5) -> np.ndarray:
+    """Flag of SNPs whose z disagrees with its prediction from LD.
+
+    In each round the SNPs left are dealt to two halves, each half is predicted
+    from the other (leading eigenvectors, ``share`` of the half's size, one
+    factorisation a half), and what lies beyond the cut is removed, the worst
+    first and at most a ``worst`` part (one at least) in a round but the last.
+    """
+    rng, bad = np.random.default_rng(seed), np.zeros(len(z), bool)
+    for k in range(rounds):
+        left = np.flatnonzero(~bad)
+        if len(left) < 4:
+            break
+        dealt = rng.permutation(left)
+        halves, stat = (np.sort(dealt[::2]), np.sort(dealt[1::2])), np.zeros(len(z))
+        for own, other in (halves, halves[::-1]):
+            values, vectors = np.linalg.eigh(ld[np.ix_(other, other)])
+            use = slice(max(len(other) - max(int(share * len(other)), 1), 0), None)
+            use = np.arange(len(other))[use][values[use] > 1e-4]
+            w = (ld[np.ix_(own, other)] @ vectors[:, use]) / values[use]
+            r2 = np.einsum("ij,ij->i", w, ld[np.ix_(own, other)] @ vectors[:, use])
+            stat[own] = np.abs(z[own] - w @ (vectors[:, use].T @ z[other])) / np.sqrt(np.maximum(1 - r2, 0.05))
+        beyond = left[stat[left] > cut]
+        if not len(beyond):
+            break
+        most = len(beyond) if k == rounds - 1 else max(int(worst * len(left)), 1)
+        bad[beyond[np.argsort(-stat[beyond], kind="stable")][:most]] = True
     return bad
 
 
@@ -290,27 +334,59 @@ def principal(x: np.ndarray, k: int = 2) -> tuple[np.ndarray, np.ndarray, np.nda
 
 
 def linkage_order(x: np.ndarray) -> list[int]:
-    """Leaf order of average-linkage clustering of rows."""
-    groups = {i: [i] for i in range(len(x))}
-    d = ((x[:, None] - x[None]) ** 2).sum(2) ** 0.5
-    while len(groups) > 1:
-        a, b = min(((i, j) for i in groups for j in groups if i < j), key=lambda ij: (d[np.ix_(groups[ij[0]], groups[ij[1]])].mean(), ij))
-        groups[a] += groups.pop(b)
-    return next(iter(groups.values()), [])
-
-
-def multivariable(bx: np.ndarray, by: np.ndarray, se: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(effects, standard errors, conditional F) of exposures on an outcome, weighted by the outcome's variance."""
+    """Leaf order of average-linkage clustering of rows: distances of joined groups are weighted means of their parts'."""
+    n = len(x)
+    groups, size = [[i] for i in range(n)], np.ones(n)
+    square = (x * x).sum(1)
+    d = np.sqrt(np.maximum(square[:, None] + square - 2 * x @ x.T, 0.0))
+    np.fill_diagonal(d, np.inf)
+    for _ in range(n - 1):
+        a, b = sorted(divmod(int(np.argmin(np.triu(d, 1) + np.where(np.tri(n, dtype=bool), np.inf, 0.0))), n))
+        d[a] = d[:, a] = (size[a] * d[a] + size[b] * d[b]) / (size[a] + size[b])
+        d[b] = d[:, b] = d[a, a] = np.inf
+        groups[a] += groups[b]
+        groups[b] = []
+        size[a] += size[b]
+    return groups[0] if n else []
+
+
+def multivariable(bx: np.ndarray, by: np.ndarray, se: np.ndarray, se_x: np.ndarray | None = None, correlation: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(effects, standard errors, conditional F) of exposures on an outcome, weighted by the outcome's variance.
+
+    Conditional F: each exposure's effects less what the other exposures
+    predict of them, squared over the variance of that difference (from the
+    exposures' standard errors ``se_x`` and their ``correlation``, none if not
+    given), summed and divided by SNPs - exposures + 1.
+    """
+    k = bx.shape[1]
     w = 1 / se**2
     inv = np.linalg.pinv((bx * w[:, None]).T @ bx)
-    f = np.empty(bx.shape[1])
-    for j in range(bx.shape[1]):
-        rest = np.delete(bx, j, 1)
-        left = bx[:, j] - rest @ np.linalg.lstsq(rest, bx[:, j], rcond=None)[0] if rest.shape[1] else bx[:, j]
-        f[j] = (left**2 * w).sum() / max(len(by) - bx.shape[1] + 1, 1)
+    se_x = np.ones_like(bx) if se_x is None else se_x
+    correlation = np.eye(k) if correlation is None else correlation
+    f = np.empty(k)
+    for j in range(k):
+        rest = [i for i in range(k) if i != j]
+        delta = np.zeros(k)
+        delta[j] = 1.0
+        if rest:
+            delta[rest] = -np.linalg.lstsq(bx[:, rest], bx[:, j], rcond=None)[0]
+        spread = se_x * delta
+        f[j] = ((bx @ delta) ** 2 / np.einsum("ij,jk,ik->i", spread, correlation, spread)).sum() / max(len(by) - k + 1, 1)
     return inv @ (bx * w[:, None]).T @ by, np.sqrt(np.diag(inv)), f
 
 
+def simulated(ld: np.ndarray, eaf: np.ndarray, causal: np.ndarray, n: float, h2: float, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(joint effects, marginal estimates, standard errors) of a trait whose causal SNPs explain ``h2`` of its variance."""
+    rng = np.random.default_rng(seed)
+    sd = np.sqrt(2 * eaf * (1 - eaf))
+    scaled = np.where(causal, rng.normal(size=len(eaf)), 0.0)
+    explained = scaled @ ld @ scaled
+    scaled = scaled * np.sqrt(h2 / explained) if explained > 0 else scaled
+    values, vectors = np.linalg.eigh(ld)
+    noise = vectors @ (np.sqrt(np.maximum(values, 0)) * rng.normal(size=len(eaf)))
+    return scaled / sd, (ld @ scaled + noise / np.sqrt(n)) / sd, 1 / (sd * np.sqrt(n))
+
+
 def poisson_fit(x: np.ndarray, y: np.ndarray, rounds: int = 50) -> np.ndarray:
     """Coefficients (intercept first) of a Poisson regression by reweighted least squares."""
     x = np.column_stack([np.ones(len(y)), x])

@@ -1,0 +1,61 @@
+"""Kernels that need LD: studies meet the LD rows of their block in one cogrouped call."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+#: Studies of a block that share one copy of its LD rows.
+STUDIES_A_COPY = 64
+
+
+class Matrix:
+    """LD of a block from its rows (lead, proxy, r): one on the diagonal, r where a row says so (either way), else 0."""
+
+    def __init__(self, rows: pd.DataFrame):
+        self.snps = np.unique(np.concatenate([rows["lead"].to_numpy(), rows["proxy"].to_numpy()]))
+        self.r = np.eye(len(self.snps))
+        i, j = np.searchsorted(self.snps, rows["lead"].to_numpy()), np.searchsorted(self.snps, rows["proxy"].to_numpy())
+        self.r[i, j] = self.r[j, i] = rows["r"].to_numpy(float)
+
+    def of(self, snps: np.ndarray) -> np.ndarray:
+        """The matrix of some of its SNPs, in their order."""
+        at = np.searchsorted(self.snps, snps)
+        return self.r[np.ix_(at, at)]
+
+    def has(self, snps: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(self.snps, snps), max(len(self.snps) - 1, 0))
+        return self.snps[at] == snps if len(self.snps) else np.zeros(len(snps), bool)
+
+
+def by_study(studies: DataFrame, ld: DataFrame, kernel: Callable[[pd.DataFrame, np.ndarray], pd.DataFrame | dict], columns: str, block: str = "blk", copies: int = STUDIES_A_COPY) -> DataFrame:
+    """``kernel(rows, matrix)`` for each study of each block; the result has the block, the study and ``columns``.
+
+    ``studies``: block, study, snp and what the kernel reads; ``ld``: block,
+    lead, proxy, r.  The rows a kernel gets are in order of snp and are those
+    that the block's LD knows, and the matrix is theirs.  A block's studies are
+    dealt to as many groups as hold about ``copies`` of them, and its LD rows
+    are laid out once for each group, so a block with most of the studies is
+    spread over many tasks.
+    """
+    groups = studies.groupBy(block).agg(F.ceil(F.count_distinct("study") / copies).cast("int").alias("_groups"))
+    s = studies.join(groups, block).withColumn("_group", F.pmod(F.xxhash64("study"), F.col("_groups")).cast("int")).drop("_groups")
+    m = ld.select(block, "lead", "proxy", "r").join(groups, block).withColumn("_group", F.explode(F.sequence(F.lit(0), F.col("_groups") - 1))).drop("_groups")
+    names = [c.split()[0] for c in columns.split(", ")]
+
+    def run(rows: pd.DataFrame, pairs: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(rows) and len(pairs):
+            matrix = Matrix(pairs)
+            for study, one in rows[matrix.has(rows["snp"].to_numpy())].groupby("study", sort=True):
+                one = one.sort_values("snp", ignore_index=True)
+                got = pd.DataFrame(kernel(one, matrix.of(one["snp"].to_numpy())))
+                out.append(got.assign(**{block: one[block].iloc[0], "study": study}))
+        return pd.concat(out)[[block, "study", *names]] if out else pd.DataFrame({c: [] for c in (block, "study", *names)})
+
+    kind = dict(studies.dtypes)
+    return s.groupBy(block, "_group").cogroup(m.groupBy(block, "_group")).applyInPandas(run, f"{block} {kind[block]}, study {kind['study']}, {columns}")

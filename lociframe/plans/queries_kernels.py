@@ -1,8 +1,9 @@
 """Queries of the statistical kernels.
 
-Kernels with linear algebra have no SQL form; their tests compare them with
-direct numpy solutions.  Here they run over made-up blocks: one group is one
-study, its SNPs are the positions of its vector, LD falls off with distance.
+Kernels with linear algebra have no SQL form; their tests compare the queries
+with direct numpy solutions.  Here they run over made-up blocks: a label is a
+block, a vector is a study in it, the vector's positions are its SNPs, and the
+LD rows of a block fall off with distance, at a pace of its own.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..fixtures import Fixtures
 from ..operators import kernels as K
+from ..operators import ld as LD
 from ..operators import windows as W
 from .registry import query
 
@@ -25,22 +27,16 @@ def _r(c, n: int = 6, name: str | None = None):
     return F.round(c, n).alias(name or c)
 
 
-def ladder(n: int, fall: float = 0.8) -> np.ndarray:
-    """LD that falls by a factor with each step."""
-    i = np.arange(n)
-    return fall ** np.abs(i[:, None] - i[None])
-
-
 def _vectors(x: Fixtures):
-    """(study, snp, z, eaf, se, beta, seen): signals from the embeddings."""
+    """(study, blk, snp, z, eaf, se, beta, seen): signals from the embeddings."""
     z = F.col("lbf") / 6
     t = x.lbf.select("study", "blk", "snp", z.alias("z"), (0.05 + F.col("snp") % 40 / 100.0).alias("eaf"))
     t = t.withColumn("se", 1 / F.sqrt(2 * F.col("eaf") * (1 - F.col("eaf")) * N)).withColumn("beta", F.col("z") * F.col("se"))
     return t.withColumn("seen", (F.col("study") + F.col("snp")) % 5 != 0)
 
 
-def _kernel(f, columns: str, cast: dict | None = None):
-    """A group kernel over one study, ordered by SNP; ``f`` maps the frame to a dict of columns."""
+def _kernel(f, columns: str):
+    """A group kernel over one study, ordered by SNP, that needs no LD; ``f`` maps the frame to a dict of columns."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("snp")
@@ -49,6 +45,11 @@ def _kernel(f, columns: str, cast: dict | None = None):
     return lambda df: K.by_group(df, ["study"], run, "study long, " + columns)
 
 
+def _with_ld(x: Fixtures, kernel, columns: str):
+    """``kernel(rows, matrix)`` of every study with the LD rows of its block."""
+    return LD.by_study(_vectors(x), x.ld, kernel, columns)
+
+
 @query("SELECT study, round(sqrt(sum(x * y) / sum(x * x)), 6) AS sd FROM (SELECT study, 2 * 10000.0 * eaf * (1 - eaf) AS y, 1 / (se * se) AS x FROM snps) GROUP BY study HAVING sum(x * y) / sum(x * x) >= 0", "snps")
 def k1_trait_sd(x: Fixtures):
     return K.trait_sd(x.snps, ["study"], F.lit(N)).where("sd IS NOT NULL").select("study", _r("sd"))
@@ -84,27 +85,25 @@ def k5_cooks_distance(x: Fixtures):
 
 @query()
 def k6_eigen_imputation(x: Fixtures):
-    f = lambda p: {"snp": p["snp"], "z": K.eigen_imputed(p["z"].to_numpy(), p["seen"].to_numpy(), ladder(len(p)))}
-    return _kernel(f, "snp long, z double")(_vectors(x))
+    return _with_ld(x, lambda p, ld: {"snp": p["snp"], "z": K.eigen_imputed(p["z"].to_numpy(), p["seen"].to_numpy(), ld)}, "snp long, z double")
 
 
 @query()
 def k7_elastic_net_imputation(x: Fixtures):
-    def f(p):
-        seen, ld = p["seen"].to_numpy(), ladder(len(p))
-        b = K.elastic_net_cv(ld[seen][:, ::16], p["z"].to_numpy()[seen])
-        return {"snp": p["snp"], "z": b[0] + ld[:, ::16] @ b[1:]}
+    def f(p, ld):
+        seen = p["seen"].to_numpy()
+        b = K.elastic_net_cv(ld[seen], p["z"].to_numpy()[seen])
+        return {"snp": p["snp"], "z": b[0] + ld @ b[1:]}
 
-    return _kernel(f, "snp long, z double")(_vectors(x))
+    return _with_ld(x, f, "snp long, z double")
 
 
 @query()
 def k8_dense_imputation(x: Fixtures):
-    def f(p):
-        out = K.imputed_study(p.assign(p=[erfc(abs(v) / sqrt(2)) for v in p["z"]]), ladder(len(p)))
-        return {c: out[c] for c in ("snp", "z", "se", "beta", "p")}
+    def f(p, ld):
+        return K.imputed_study(p.assign(p=[erfc(abs(v) / sqrt(2)) for v in p["z"]]), ld)[["snp", "z", "se", "beta", "p"]]
 
-    return _kernel(f, "snp long, z double, se double, beta double, p double")(_vectors(x))
+    return _with_ld(x, f, "snp long, z double, se double, beta double, p double")
 
 
 @query("SELECT study, chr, bp, chr % 3 = 0 AS imputed, CASE WHEN chr % 3 = 0 THEN 0 ELSE beta END AS beta, CASE WHEN chr % 3 = 0 THEN 1 ELSE se END AS se FROM snps", "snps")
@@ -126,21 +125,24 @@ def k10_inflated_imputations(x: Fixtures):
 
 @query()
 def k11_conditional_imputation(x: Fixtures):
-    def f(p):
+    def f(p, ld):
         seen = p["seen"].to_numpy()
-        z, r2, score = K.raiss(p["z"].to_numpy(), seen, ladder(len(p)))
+        z, r2, score = K.raiss(p["z"].to_numpy(), seen, ld)
         return {"snp": p["snp"].to_numpy()[~seen], "z": z, "r2": r2, "ld_score": score}
 
-    return _kernel(f, "snp long, z double, r2 double, ld_score double")(_vectors(x))
+    return _with_ld(x, f, "snp long, z double, r2 double, ld_score double")
 
 
 @query()
 def k12_fine_mapping(x: Fixtures):
-    def f(p):
-        sets, _, done = K.susie(p["z"].to_numpy() * 3, ladder(len(p)), N, effects=5, rounds=30)
-        return {"n_sets": [len(sets)], "converged": [done], "first": [int(sets[0][0]) if sets else -1]}
+    """Credible sets of each study: their number, the members of each as a list, and whether the fit settled."""
+
+    def f(p, ld):
+        sets, _, done = K.susie(p["z"].to_numpy() * 3, ld, N)
+        snps = p["snp"].to_numpy()
+        return {"n_sets": [len(sets)], "converged": [done], "sets": [sorted(snps[s].tolist() for s in sets)]}
 
-    return _kernel(f, "n_sets int, converged boolean, first int")(_vectors(x))
+    return _with_ld(x, f, "n_sets int, converged boolean, sets array<array<long>>")
 
 
 @query("SELECT study, arg_max(snp, {'a': lbf, 'b': -snp}) AS lead, round(max(lbf), 5) AS lbf, CASE WHEN abs(arg_max(snp, {'a': lbf, 'b': -snp}) - 32) <= 10 THEN 'cis' ELSE 'trans' END AS cis_trans FROM lbf WHERE NOT (lbf > 8 AND snp % 4 = 0) GROUP BY study", "lbf")
@@ -162,20 +164,18 @@ def k14_unmapped_record(x: Fixtures):
 
 @query()
 def k15_quality_control(x: Fixtures):
-    f = lambda p: {"snp": p["snp"], "bad": K.dentist(p["z"].to_numpy(), ladder(len(p)))}
-    return _kernel(f, "snp long, bad boolean")(_vectors(x))
+    return _with_ld(x, lambda p, ld: {"snp": p["snp"], "bad": K.dentist(p["z"].to_numpy(), ld)}, "snp long, bad boolean")
 
 
 @query()
 def k16_clumping(x: Fixtures):
-    f = lambda p: {"lead": p["snp"].to_numpy()[K.clump(p["z"].to_numpy(), ladder(len(p)), 0.1, 0.5, p["snp"].to_numpy() * 100_000.0)]}
-    return _kernel(f, "lead long")(_vectors(x))
+    f = lambda p, ld: {"lead": p["snp"].to_numpy()[K.clump(p["z"].to_numpy(), ld, 0.1, 0.5, p["snp"].to_numpy() * 100_000.0)]}
+    return _with_ld(x, f, "lead long")
 
 
 @query()
 def k17_greedy_clumping(x: Fixtures):
-    f = lambda p: {"lead": p["snp"].to_numpy()[K.clump(p["z"].to_numpy(), ladder(len(p)), 0.3, 0.5)]}
-    return _kernel(f, "lead long")(_vectors(x))
+    return _with_ld(x, lambda p, ld: {"lead": p["snp"].to_numpy()[K.clump(p["z"].to_numpy(), ld, 0.3, 0.5)]}, "lead long")
 
 
 _COLOC = "SELECT a, b, nsnps, {cols}, nsnps < {least} AS ignored FROM (SELECT *, greatest(0.0, l1 + ln(1e-4), l2 + ln(1e-4), l3 + ln(1e-8), l12 + ln(1e-5)) AS m FROM (SELECT a, b, nsnps, l1, l2, l12, CASE WHEN l12 < l1 + l2 THEN l1 + l2 + ln(1 - exp(l12 - l1 - l2)) ELSE CAST('-inf' AS DOUBLE) END AS l3 FROM (SELECT a, b, CAST(count(*) AS BIGINT) AS nsnps, max(ma) + ln(sum(exp(la - ma))) AS l1, max(mb) + ln(sum(exp(lb - mb))) AS l2, max(mab) + ln(sum(exp(la + lb - mab))) AS l12 FROM (SELECT p.a, p.b, x.lbf AS la, y.lbf AS lb, max(x.lbf) OVER w AS ma, max(y.lbf) OVER w AS mb, max(x.lbf + y.lbf) OVER w AS mab FROM ({pairs}) p JOIN lbf x ON x.study = p.a JOIN lbf y ON y.study = p.b AND x.snp = y.snp {where} WINDOW w AS (PARTITION BY p.a, p.b)) GROUP BY a, b)))"
@@ -255,11 +255,17 @@ def k22_row_order(x: Fixtures):
     return K.by_group(n, ["k"], f, "k long, data_type string, place long")
 
 
-@query()
+_EXPOSURES = "SELECT study, z AS y, z * s AS a, e AS b, s AS sa, 0.05::DOUBLE AS sb FROM (SELECT study, lbf / 6 AS z, e, 1 / sqrt(2 * e * (1 - e) * 10000.0::DOUBLE) AS s FROM (SELECT study, lbf, 0.05::DOUBLE + snp % 40 / 100.0::DOUBLE AS e FROM lbf))"
+_NORMAL = f"SELECT study, sum(a * a) AS aa, sum(b * b) AS bb, sum(a * b) AS ab, sum(a * y) AS ay, sum(b * y) AS by_, count(*) AS n FROM ({_EXPOSURES}) GROUP BY study"
+_STRENGTH = f"SELECT study, sum(pow(a - ab / bb * b, 2) / (sa * sa + pow(ab / bb * sb, 2))) / (max(n) - 1) AS fa, sum(pow(b - ab / aa * a, 2) / (sb * sb + pow(ab / aa * sa, 2))) / (max(n) - 1) AS fb FROM ({_EXPOSURES}) JOIN ({_NORMAL}) USING (study) GROUP BY study"
+
+
+@query(f"SELECT study, CAST(0 AS INTEGER) AS exposure, round((bb * ay - ab * by_) / (aa * bb - ab * ab), 6) AS effect, round(0.1 * sqrt(bb / (aa * bb - ab * ab)), 6) AS se, round(fa, 6) AS f FROM ({_NORMAL}) JOIN ({_STRENGTH}) USING (study) UNION ALL SELECT study, CAST(1 AS INTEGER), round((aa * by_ - ab * ay) / (aa * bb - ab * ab), 6), round(0.1 * sqrt(aa / (aa * bb - ab * ab)), 6), round(fb, 6) FROM ({_NORMAL}) JOIN ({_STRENGTH}) USING (study)", "lbf")
 def k23_multivariable(x: Fixtures):
     def f(p):
-        e, s, cf = K.multivariable(p[["beta", "eaf"]].to_numpy(), p["z"].to_numpy(), np.full(len(p), 0.1))
-        return {"exposure": [0, 1], "effect": e, "se": s, "f": cf}
+        se_x = np.column_stack([p["se"], np.full(len(p), 0.05)])
+        e, s, cf = K.multivariable(p[["beta", "eaf"]].to_numpy(), p["z"].to_numpy(), np.full(len(p), 0.1), se_x)
+        return {"exposure": [0, 1], "effect": np.round(e, 6), "se": np.round(s, 6), "f": np.round(cf, 6)}
 
     return _kernel(f, "exposure int, effect double, se double, f double")(_vectors(x))
 
@@ -301,12 +307,24 @@ def k27_ld_signs(x: Fixtures):
 
 @query()
 def k28_conditional_spread(x: Fixtures):
-    def f(p):
-        index = K.clump(p["z"].to_numpy(), ladder(len(p)), 0.1, 1.0)
+    def f(p, ld):
+        index = K.clump(p["z"].to_numpy(), ld, 0.1, 1.0)
         sd = np.sqrt(2 * p["eaf"].to_numpy() * (1 - p["eaf"].to_numpy()))
-        return {"snp": p["snp"], "beta": K.conditional_spread(index, p["beta"].to_numpy()[index], ladder(len(p)), sd)}
+        return {"snp": p["snp"], "beta": K.conditional_spread(index, p["beta"].to_numpy()[index], ld, sd)}
+
+    return _with_ld(x, f, "snp long, beta double")
 
-    return _kernel(f, "snp long, beta double")(_vectors(x))
+
+@query()
+def k29_simulation(x: Fixtures):
+    """Marginal effects of a made-up trait for each study's block: every eighth SNP from the study's number on is causal."""
+
+    def f(p, ld):
+        snps, study = p["snp"].to_numpy(), int(p["study"].iloc[0])
+        joint, marginal, se = K.simulated(ld, p["eaf"].to_numpy(), (snps + study) % 8 == 0, N, 0.3, study)
+        return {"snp": snps, "joint": joint, "beta": marginal, "se": se}
+
+    return _with_ld(x, f, "snp long, joint double, beta double, se double")
 
 
 @query("SELECT a.snp AS i, b.snp AS j, round(corr(a.lbf, b.lbf), 6) AS r FROM lbf a JOIN lbf b ON a.study = b.study AND a.snp < b.snp AND b.snp - a.snp < 4 GROUP BY 1, 2", "lbf")
@@ -325,11 +343,11 @@ def k30_block_padding(x: Fixtures):
 
 @query()
 def k31_projected_imputation(x: Fixtures):
-    def f(p):
-        _, vectors = np.linalg.eigh(ladder(len(p)))
+    def f(p, ld):
+        _, vectors = np.linalg.eigh(ld)
         return {"snp": p["snp"], "z": K.projected(p["z"].to_numpy(), ~p["seen"].to_numpy(), vectors[:, -20:])}
 
-    return _kernel(f, "snp long, z double")(_vectors(x))
+    return _with_ld(x, f, "snp long, z double")
 
 
 @query("SELECT blk, snp, round((v - avg(v) OVER w) / stddev_samp(v) OVER w, 5) AS z FROM (SELECT blk, snp, sum(abs(lbf)) AS v FROM lbf GROUP BY 1, 2) WINDOW w AS (PARTITION BY snp)", "lbf")

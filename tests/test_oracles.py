@@ -7,11 +7,9 @@ from lociframe.plans import registry
 from .compare import rows
 
 registry.load()
-#: Group kernels without SQL whose loops are long; test_kernels.py covers their functions.
-LONG = {"k7_elastic_net_imputation", "k8_dense_imputation", "k11_conditional_imputation", "k12_fine_mapping", "k15_quality_control"}
 
 
-@pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - LONG))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_query(spark, duck, sf_dir, name):
     got = registry.QUERIES[name](spark, sf_dir).toPandas()
     if name in registry.ORACLES:
