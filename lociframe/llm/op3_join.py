@@ -149,17 +149,36 @@ def signatures(rows: DataFrame, counts: np.ndarray, size: int, percent: int) ->
     return rows.mapInArrow(sign, schema)
 
 
+def _small(table: DataFrame) -> DataFrame:
+    """A checkpointed table, broadcast where it has few rows."""
+    return F.broadcast(table) if table.count() <= MOST_BROADCAST else table
+
+
+def with_ends(pairs: DataFrame, table: DataFrame) -> DataFrame:
+    """The pairs (a, b) with the columns of ``table`` (by node) for both ends, as x_... and y_....
+
+    A node that many pairs name is laid out once for every PAIRS_A_SALT of them.
+    """
+    n = pairs.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n"))
+    salts = _small(cut_lineage(n.where(F.col("n") > PAIRS_A_SALT).select("node", F.ceil(F.col("n") / PAIRS_A_SALT).cast("int").alias("salts"))))
+    columns = [c for c in table.columns if c != "node"]
+    laid = table.join(salts, "node", "left").withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)))
+    for end, other, mark in (("a", "b", "x"), ("b", "a", "y")):
+        dealt = pairs.join(salts.toDF(end, "salts"), end, "left").withColumn("salt", F.pmod(F.xxhash64(other), F.coalesce("salts", F.lit(1))).cast("int")).drop("salts")
+        side = laid.select(F.col("node").alias(end), "salt", *[F.col(c).alias(f"{mark}_{c}") for c in columns])
+        pairs = dealt.join(side, [end, "salt"]).drop("salt")
+    return pairs
+
+
 def verified(pairs: DataFrame, classes: DataFrame, rows: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs (a, b) of classes whose whole sets reach the threshold.
 
-    Sets are made only for the rows that stand for a class of some pair.  A
-    set that many pairs name is laid out once for every PAIRS_A_SALT of them.
+    Sets are made only for the rows that stand for a class of some pair.
     """
     prepare(rows.sparkSession)
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.ceil(F.count("*") / PAIRS_A_SALT).cast("int").alias("salts"))
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     need = cut_lineage(ends.join(classes.select("node", "text_key", F.col("doc_id").alias("rep_id")), "node"))
-    asked = F.broadcast(need) if need.count() <= MOST_BROADCAST else need
-    found = rows.join(asked, "text_key").where(F.col("doc_id").eqNullSafe(F.col("rep_id"))).select("node", "salts", "text")
+    found = rows.join(_small(need), "text_key").where(F.col("doc_id").eqNullSafe(F.col("rep_id"))).select("node", "text")
 
     def sets(batches):
         hashes, seen = WordHashes(), set()
@@ -170,17 +189,11 @@ def verified(pairs: DataFrame, classes: DataFrame, rows: DataFrame, size: int, p
                     seen.add(node)
                     fresh.append(i)
             part = batch.take(pa.array(fresh, pa.int64()))
-            grams = [sorted_set(t, size, hashes).tobytes() for t in part.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(grams, pa.binary())], names=["node", "salts", "grams"])
+            grams = [sorted_set(t, size, hashes).tobytes() for t in part.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(grams, pa.binary())], names=["node", "grams"])
         give_back()
 
-    made = found.mapInArrow(sets, "node long, salts int, grams binary")
-    made = made.select("node", "salts", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), "grams")
-    salts = need.select("node", "salts")
-    both = pairs.join(salts.toDF("a", "_sa"), "a").join(salts.toDF("b", "_sb"), "b")
-    both = both.select("a", "b", F.pmod(F.xxhash64("b"), F.col("_sa")).cast("int").alias("sa"), F.pmod(F.xxhash64("a"), F.col("_sb")).cast("int").alias("sb"))
-    both = both.join(made.select(F.col("node").alias("a"), F.col("salt").alias("sa"), F.col("grams").alias("ga")), ["a", "sa"])
-    both = both.join(made.select(F.col("node").alias("b"), F.col("salt").alias("sb"), F.col("grams").alias("gb")), ["b", "sb"])
+    both = with_ends(pairs, found.mapInArrow(sets, "node long, grams binary"))
 
     def compare(batches):
         for batch in batches:
@@ -192,7 +205,7 @@ def verified(pairs: DataFrame, classes: DataFrame, rows: DataFrame, size: int, p
             kept = batch.filter(pa.array(good, pa.bool_()))
             yield pa.RecordBatch.from_arrays([kept.column(0), kept.column(1)], names=["a", "b"])
 
-    return both.select("a", "b", "ga", "gb").mapInArrow(compare, "a long, b long").distinct()
+    return both.select("a", "b", "x_grams", "y_grams").mapInArrow(compare, "a long, b long").distinct()
 
 
 def linked(docs: DataFrame, size: int = 3, percent: int = 90) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -227,7 +240,7 @@ def linked(docs: DataFrame, size: int = 3, percent: int = 90) -> tuple[DataFrame
     star = star.groupBy(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"), "node").agg(F.count("*").alias("m")).where("m > 1")
     # one hub for each document: this round only has to join most copies, the next one is exact
     star = star.groupBy("node").agg(F.max_by(F.struct("a", "b"), F.struct("m", "a", "b")).alias("p")).select("p.a", "p.b").distinct()
-    star = star.join(bits.toDF("a", "x_n", "x_parity"), "a").join(bits.toDF("b", "y_n", "y_parity"), "b")
+    star = with_ends(cut_lineage(star), bits)
     star = star.where(may_reach(F.col("x_n"), F.col("y_n"), F.col("x_parity"), F.col("y_parity"), percent))
     star = cut_lineage(star.select("a", "b").distinct())
     links = cut_lineage(verified(star, classes, rows, size, percent))
