@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import scratch
 from ..fixtures import Fixtures
@@ -30,11 +32,20 @@ WITH_P = f"(SELECT study, chr, bp, beta, se, eaf, round({P}, 8) AS p FROM snps)"
 # ---- sources and sinks ----------------------------------------------------------------------------------------
 
 
+def _lines(x: Fixtures, lines: DataFrame, name: str, **options) -> str:
+    """Path of a fresh folder of text files with the one string column of ``lines``."""
+    path = scratch.fresh(x.spark, name)
+    lines.write.options(**options).text(path)
+    return path
+
+
 @query("SELECT c_custkey AS id, concat('chr', c_nationkey % 22 + 1) AS chr FROM customer")
 def src1_text_rows(x: Fixtures):
-    """Delimited lines split and cast as a text scan does."""
-    lines = x.table("customer").select(F.concat_ws("\t", "c_custkey", F.concat(F.lit("chr"), F.col("c_nationkey") % 22 + 1)).alias("value"))
-    return lines.select(F.from_csv("value", F.lit("id long, chr string"), {"sep": "\t"}).alias("r")).select("r.*")
+    """Compressed delimited files with other columns in between; only two of them reach the parser."""
+    t = x.table("customer").select(F.col("c_custkey").alias("id"), "c_name", F.concat(F.lit("chr"), F.col("c_nationkey") % 22 + 1).alias("chr"))
+    path = scratch.fresh(x.spark, "customers")
+    SK.write_tsv(t, path)
+    return RD.delimited(x.spark, path, T.StructType.fromDDL("id long, name string, chr string"), columns=["id", "chr"])
 
 
 @query("SELECT l_orderkey, l_tax FROM lineitem")
@@ -44,31 +55,42 @@ def src2_projected_scan(x: Fixtures):
 
 @query("SELECT n_nationkey AS k, n_name AS name, NULL AS extra FROM nation UNION ALL SELECT r_regionkey, r_name, r_name FROM region")
 def src3_union_scan(x: Fixtures):
-    n = x.table("nation").select(F.col("n_nationkey").alias("k"), F.col("n_name").alias("name"))
-    return n.unionByName(x.table("region").select(F.col("r_regionkey").alias("k"), F.col("r_name").alias("name"), F.col("r_name").alias("extra")), allowMissingColumns=True)
+    """One scan over files of which one lacks the last column and one isn't there."""
+    paths = [scratch.fresh(x.spark, n) for n in ("nations", "regions", "absent")]
+    SK.write_tsv(x.table("nation").select(F.col("n_nationkey").alias("k"), F.col("n_name").alias("name")), paths[0])
+    SK.write_tsv(x.table("region").select(F.col("r_regionkey").alias("k"), F.col("r_name").alias("name"), F.col("r_name").alias("extra")), paths[1])
+    return RD.union_of(x.spark, paths, T.StructType.fromDDL("k long, name string, extra string"))
 
 
-@query("SELECT n_nationkey AS k FROM nation UNION ALL SELECT n_nationkey FROM nation")
+@query("SELECT o_orderkey AS k, o_orderstatus AS status FROM orders")
 def src4_many_files(x: Fixtures):
-    path = f"{x.dir}/nation.parquet"
-    return x.spark.read.parquet(path, path).select(F.col("n_nationkey").alias("k"))
+    """Text files of one table, sixteen of them, read as one."""
+    t = x.table("orders").select(F.concat_ws("\t", "o_orderkey", "o_orderstatus"))
+    return RD.delimited(x.spark, _lines(x, t.repartition(16), "orders"), T.StructType.fromDDL("k long, status string"), header=False)
 
 
-@query()
+@query("SELECT concat('n_name=', n_name) AS folder, CAST(1 AS BIGINT) AS files FROM nation")
 def src5_discovery(x: Fixtures):
-    return RD.discover(x.spark, x.dir, "nation.parquet").select("name")
+    path = scratch.fresh(x.spark, "nations")
+    x.table("nation").select("n_name", F.col("n_regionkey").cast("string").alias("v")).coalesce(1).write.partitionBy("n_name").text(path)
+    found = RD.discover(x.spark, path, "*.txt")
+    return found.select(F.url_decode(F.regexp_extract("path", "/(n_name=[^/]*)/", 1)).alias("folder")).groupBy("folder").agg(F.count("*").alias("files"))
 
 
-@query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, 'EUR' AS ancestry FROM events WHERE json_extract_string(props, '$.k') IS NOT NULL")
+@query("SELECT n_name AS trait, CAST(n_regionkey AS BIGINT) AS n, 'EUR' AS ancestry FROM nation WHERE n_regionkey <> 2")
 def src6_json_metadata(x: Fixtures):
-    m = x.table("events").select("event_id", F.from_json("props", "k long, ancestry string").alias("m")).select("event_id", "m.*")
-    return m.dropna(subset=["k"]).fillna({"ancestry": "EUR"})
+    """One JSON file for each study, over several lines; those without the required field are left out, a default fills another."""
+    n = F.when(F.col("n_regionkey") != 2, F.format_string('{\n "trait": "%s",\n "n": %d\n}', "n_name", "n_regionkey")).otherwise(F.format_string('{\n "trait": "%s"\n}', "n_name"))
+    path = scratch.fresh(x.spark, "metadata")
+    x.table("nation").select(F.col("n_nationkey").alias("f"), n.alias("value")).coalesce(1).write.partitionBy("f").text(path)
+    schema = T.StructType.fromDDL("trait string, n long, ancestry string")
+    return RD.sidecars(x.spark, f"{path}/*/", schema, ["n"], {"ancestry": "EUR"}).select("trait", "n", "ancestry")
 
 
-@query("SELECT CAST(s_suppkey AS VARCHAR) AS X1, s_name AS X2 FROM supplier")
+@query("SELECT CAST(s_suppkey AS BIGINT) AS \"X1\", s_name AS \"X2\" FROM supplier")
 def src7_headerless(x: Fixtures):
-    lines = x.table("supplier").select(F.concat_ws("\t", "s_suppkey", "s_name").alias("v"))
-    return lines.select(F.from_csv("v", F.lit("X1 string, X2 string"), {"sep": "\t"}).alias("r")).select("r.*")
+    path = _lines(x, x.table("supplier").select(F.concat_ws("\t", "s_suppkey", "s_name")), "suppliers")
+    return RD.numbered_columns(x.spark, path, "long string")
 
 
 @query("SELECT s_suppkey, round(s_suppkey / 1000, 4) AS heritability, 0.01 AS heritability_se FROM supplier WHERE s_suppkey % 2 = 0")
@@ -78,14 +100,15 @@ def src8_log_scrape(x: Fixtures):
     return RD.heritability(lines, over=["s_suppkey"])
 
 
-_VCF = "SELECT study, chr, bp, round(beta, 6) AS beta, round(-log10(greatest(eaf, 0.0001)), 4) AS lp FROM snps WHERE study % 10 = 0"
+_VCF = "SELECT study, chr, bp, round(beta, 6) AS beta, round(-log10(greatest(eaf, 0.0001)), 4) AS lp FROM snps"
 
 
 def _vcf(x: Fixtures):
-    s = x.snps.where("study % 10 = 0")
     lp = F.format_string("%.4f", -F.log10(F.greatest("eaf", F.lit(0.0001))))
     line = F.concat_ws("\t", F.concat(F.lit("chr"), "chr"), "bp", F.concat(F.lit("rs"), "study"), F.lit("A"), F.lit("G"), F.lit("."), F.lit("PASS"), F.lit("."), F.lit("ES:SE:LP"), F.concat_ws(":", F.format_string("%.6f", "beta"), F.format_string("%.6f", "se"), lp))
-    return RD.vcf_rows(s.select(line.alias("value"))).withColumn("study", F.regexp_replace("id", "rs", "").cast("long")).withColumn("chr", F.col("chr").cast("long"))
+    head = x.spark.createDataFrame([("##fileformat=VCFv4.2",), ("#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\tS",)], "value string")
+    path = _lines(x, head.union(x.snps.select(line)), "vcf")
+    return RD.vcf(x.spark, path).withColumn("study", F.regexp_replace("id", "rs", "").cast("long")).withColumn("chr", F.col("chr").cast("long"))
 
 
 @query(f"SELECT study, s.chr, bp, beta FROM ({_VCF}) s JOIN blocks b ON s.chr = b.chr AND bp >= start AND bp <= stop WHERE start = 2000000", "snps blocks")
@@ -164,13 +187,59 @@ def snk12_quarantine(x: Fixtures):
     return clean.select(F.lit("clean").alias("reason")).union(bad.select("reason")).groupBy("reason").agg(F.count("*").alias("n"))
 
 
+@query("SELECT n_nationkey AS k FROM nation UNION ALL SELECT r_regionkey FROM region")
+def snk2_append(x: Fixtures):
+    path = scratch.fresh(x.spark, "appended")
+    for name, key in (("nation", "n_nationkey"), ("region", "r_regionkey")):
+        SK.write_tsv(x.table(name).select(F.col(key).alias("k")), path, "append")
+    return RD.delimited(x.spark, path, T.StructType.fromDDL("k long"))
+
+
+def _table(x: Fixtures, name: str) -> dict:
+    """Name and folder of a table that nothing else uses."""
+    path = scratch.fresh(x.spark, name)
+    return {"name": path.rsplit("/", 1)[-1].replace("-", "_"), "path": path}
+
+
+@query("SELECT o_orderkey, o_custkey, c_name FROM orders JOIN customer ON o_custkey = c_custkey")
+def snk3_bulk_tables(x: Fixtures):
+    """Two tables bucketed alike, one of them filled in two appends; their join needs no exchange of either."""
+    o, t = x.table("orders").select("o_orderkey", "o_custkey"), _table(x, "orders")
+    orders = SK.write_table(o.where("o_orderkey % 2 = 0"), **t, bucket="o_custkey")
+    orders = SK.write_table(o.where("o_orderkey % 2 = 1"), **t, bucket="o_custkey", mode="append")
+    c = SK.write_table(x.table("customer").select("c_custkey", "c_name"), **_table(x, "customer"), bucket="c_custkey")
+    return orders.join(c.hint("merge"), orders["o_custkey"] == c["c_custkey"]).select("o_orderkey", "o_custkey", "c_name")
+
+
+@query("SELECT p.a, p.b, p.h4, s.study_name AS name_a, t.study_name AS name_b, s.category AS category_a FROM pairs p JOIN studies s ON p.a = s.study JOIN studies t ON p.b = t.study", "pairs studies")
+def snk4_wide_table(x: Fixtures):
+    """A wide table made from a query, kept, and read back."""
+    s = x.studies.select("study", "study_name", "category")
+    wide = x.pairs.select("a", "b", "h4").join(s.toDF("a", "name_a", "category_a"), "a").join(s.select("study", "study_name").toDF("b", "name_b"), "b")
+    return SK.write_table(wide, **_table(x, "wide")).select("a", "b", "h4", "name_a", "name_b", "category_a")
+
+
+@query("SELECT n_nationkey AS k, n_name AS name FROM nation")
+def snk6_reload(x: Fixtures):
+    """A table with other columns is dropped and loaded anew."""
+    t = _table(x, "reloaded")
+    SK.write_table(x.table("region"), **t)
+    return SK.reload_table(x.table("nation").select(F.col("n_nationkey").alias("k"), F.col("n_name").alias("name")), **t)
+
+
+@query("SELECT 'latest' AS part, study FROM studies WHERE study IN (SELECT study FROM snps WHERE beta > 0.2) UNION ALL SELECT 'cleaned', study FROM studies WHERE study NOT IN (SELECT study FROM snps WHERE beta > 0.2)", "snps studies")
+def d18_publish(x: Fixtures):
+    """After a run: results of studies with extractions are published, studies without any are cleaned up."""
+    s = x.studies.select("study")
+    latest, cleaned = SK.published(s, s, x.snps.where("beta > 0.2"))
+    return latest.select(F.lit("latest").alias("part"), "study").union(cleaned.select(F.lit("cleaned"), "study"))
+
+
 @query("SELECT n_name AS name, n_regionkey AS region FROM nation")
 def snk1_text_round_trip(x: Fixtures):
-    from ..schemas import _schema
-
-    path = scratch.fresh(x.spark, "nation-tsv")
+    path = scratch.fresh(x.spark, "nation")
     SK.write_tsv(x.table("nation").select(F.col("n_name").alias("name"), F.col("n_regionkey").alias("region")), path)
-    return RD.delimited(x.spark, path, _schema("name:s region:i"))
+    return RD.delimited(x.spark, path, T.StructType.fromDDL("name string, region int"))
 
 
 # ---- composites -----------------------------------------------------------------------------------------------
@@ -320,9 +389,48 @@ def _messages(x: Fixtures):
     return x.table("events").select("event_id", kind.alias("kind"), F.when(e % 11 != 0, body).otherwise("{broken").alias("value"))
 
 
-@query("SELECT CAST(CASE WHEN event_id % 7 = 0 THEN 0 WHEN event_id % 5 = 0 THEN 1 ELSE 2 END AS INTEGER) AS priority, CAST(count(*) AS BIGINT) AS n FROM events WHERE event_id % 11 <> 0 GROUP BY 1")
+def _served(x: Fixtures, fails: int = 0):
+    """(out folder, order of kinds, waits): a worker's run over the events as messages in files; the first ``fails`` calls of its handler fail."""
+    base, calls, waits = scratch.fresh(x.spark, "queue"), [], []
+    _messages(x).select("kind", "value").repartition(4).write.json(f"{base}/in")
+
+    def handle(m, kind):
+        calls.append(kind)
+        if len(calls) <= fails:
+            raise OSError("not there yet")
+        return m.select("guid", "p_value_threshold", F.lit(len(calls)).alias("call"))
+
+    retry = lambda action: Q.with_retry(action, sleep=waits.append)
+    for _ in range(2):  # the second start finds everything served
+        Q.start(x.spark, f"{base}/in", "kind string, value string", f"{base}/out", f"{base}/checkpoint", handle, retry).awaitTermination()
+    return f"{base}/out", calls, waits
+
+
+@query("SELECT concat('g', event_id) AS guid, CASE WHEN event_id % 5 = 0 THEN 'in_progress' ELSE 'process' END AS served, CASE WHEN event_id % 5 = 0 THEN 1 ELSE 2 END AS call FROM events WHERE event_id % 11 <> 0 AND event_id % 7 <> 0")
 def st1_priorities(x: Fixtures):
-    return Q.in_order(Q.parsed(_messages(x)).where("valid")).groupBy("priority").agg(F.count("*").alias("n"))
+    """What the worker served, and in which call: deletions first (no call), what was in progress, then the rest."""
+    out, *_ = _served(x)
+    return x.spark.read.parquet(f"{out}/results").select("guid", "served", "call")
+
+
+@query("SELECT concat('g', event_id) AS guid, CAST(1 AS BIGINT) AS n FROM events WHERE event_id % 11 <> 0 AND event_id % 7 <> 0")
+def st2_at_least_once(x: Fixtures):
+    """Results by message after two failed calls and a second start: each once."""
+    out, *_ = _served(x, fails=2)
+    return x.spark.read.parquet(f"{out}/results").groupBy("guid").agg(F.count("*").alias("n"))
+
+
+@query("SELECT * FROM (VALUES (1, 2.0::DOUBLE), (2, 4.0::DOUBLE), (3, 8.0::DOUBLE)) AS t(k, wait)")
+def st4_backoff(x: Fixtures):
+    """Waits of the worker whose handler fails three times."""
+    _, _, waits = _served(x, fails=3)
+    return x.spark.createDataFrame(list(enumerate(waits, 1)), "k int, wait double")
+
+
+@query("SELECT concat('g', event_id) AS guid FROM events WHERE event_id % 7 = 0 AND event_id % 11 <> 0")
+def st5_tombstones(x: Fixtures):
+    out, *_ = _served(x)
+    return x.spark.read.parquet(f"{out}/tombstones").select("guid")
 
 
 @query("SELECT event_id % 11 <> 0 AS valid, CAST(count(*) AS BIGINT) AS n FROM events GROUP BY 1")
@@ -344,10 +452,12 @@ def st6_reprocessing(x: Fixtures):
 
 @query("SELECT heavy, CAST(count(*) AS BIGINT) AS n FROM (SELECT count(*) OVER (PARTITION BY gene) > (SELECT count(*) / count(DISTINCT gene) FROM members) AS heavy FROM members) GROUP BY heavy", "members")
 def st7_heavy_groups(x: Fixtures):
+    """Heavy groups run apart and salted, the light ones as they are."""
     m = x.members
-    n, g = m.agg(F.count("*"), F.countDistinct("gene")).first()
+    n, g = m.agg(F.count("*"), F.count_distinct("gene")).first()
     heavy, light = Q.heavy_split(m, "gene", n // g)
-    return heavy.select(F.lit(True).alias("heavy")).union(light.select(F.lit(False))).groupBy("heavy").agg(F.count("*").alias("n"))
+    parts = Q.salted(heavy, "gene", 100).groupBy("gene", "_salt").agg(F.count("*").alias("n")).select(F.lit(True).alias("heavy"), "n")
+    return parts.union(light.groupBy("gene").agg(F.count("*")).select(F.lit(False), "count(1)")).groupBy("heavy").agg(F.sum("n").alias("n"))
 
 
 @query(f"SELECT u.guid, r.study AS other, u.first_bp FROM (SELECT study AS guid, ld_block, min(bp) AS first_bp FROM {_REGIONS} WHERE study % 10 = 0 GROUP BY 1, 2) u JOIN {_REGIONS} r ON u.ld_block = r.ld_block AND abs(u.first_bp - r.bp) <= 50000 AND r.p <= 0.01", "snps blocks")

@@ -7,14 +7,30 @@ from pyspark.sql import functions as F
 
 
 def write_tsv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Compressed text with a header, even without rows (then one file holds the header)."""
-    (df if df.take(1) else df.coalesce(1)).write.mode(mode).option("sep", "\t").option("header", True).option("compression", "gzip").option("nullValue", "NA").csv(path)
+    """Compressed text with a header; a table without rows leaves one file with the header."""
+    out = df.write.mode(mode).option("sep", "\t").option("header", True).option("compression", "gzip").option("nullValue", "NA")
+    out.csv(path)
+    if not df.sparkSession.read.text(path).take(1):
+        df.limit(0).coalesce(1).write.mode("append").option("sep", "\t").option("header", True).option("compression", "gzip").csv(path)
 
 
-def write_table(df: DataFrame, name: str, bucket: str | None = None, buckets: int = 16, mode: str = "overwrite") -> None:
-    """A warehouse table; bucketing and sorting by the join key stand for an index."""
-    w = df.write.mode(mode).format("parquet")
+def write_table(df: DataFrame, name: str, path: str, bucket: str | None = None, buckets: int = 16, mode: str = "overwrite") -> DataFrame:
+    """A warehouse table in a folder; bucketing and sorting by the join key stand for an index.  Returns what is now in it."""
+    w = df.write.mode(mode).format("parquet").option("path", path)
     (w.bucketBy(buckets, bucket).sortBy(bucket) if bucket else w).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
+def reload_table(df: DataFrame, name: str, path: str, **layout) -> DataFrame:
+    """Drop a table and write it anew (not from its own rows: those are read as they are written over)."""
+    df.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
+    return write_table(df, name, path, **layout)
+
+
+def published(results: DataFrame, processed: DataFrame, extracted: DataFrame, key: str = "study") -> tuple[DataFrame, DataFrame]:
+    """(latest, cleaned): what is published after a run, and the studies to clean up because nothing was extracted from them."""
+    empty = processed.join(extracted.select(key).distinct(), key, "left_anti").select(key).distinct()
+    return results.join(empty, key, "left_anti"), empty
 
 
 def update_where(df: DataFrame, condition, **values) -> DataFrame:

@@ -6,6 +6,7 @@ import pytest
 
 ROOT = Path(__file__).resolve().parents[1]
 sys.path.insert(0, str(ROOT))
+os.environ.setdefault("OMP_NUM_THREADS", "1")  # small matrices in many tasks
 os.environ["PYTHONPATH"] = f"{ROOT}:{os.environ.get('PYTHONPATH', '')}"
 DATA = Path(os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001"))
 

@@ -37,6 +37,8 @@ def test_text_sink_keeps_a_header_without_rows(spark, tmp_path):
     SK.write_tsv(spark.createDataFrame([], "a long, b string"), str(tmp_path / "out"))
     part = next((tmp_path / "out").glob("part-*"))
     assert gzip.decompress(part.read_bytes()) == b"a\tb\n"
+    SK.write_tsv(spark.range(3), str(tmp_path / "full"))
+    assert R.delimited(spark, str(tmp_path / "full"), _schema("id:l")).count() == 3
 
 
 def test_validation(spark):
@@ -46,14 +48,48 @@ def test_validation(spark):
         validate(df, key=["k"])
 
 
-def test_queue_serves_good_messages_and_sets_broken_ones_aside(spark, tmp_path):
-    (tmp_path / "in").mkdir()
-    body = json.dumps({"metadata": {"guid": "g1", "p_value_threshold": 0.5}})
-    (tmp_path / "in/1.json").write_text("\n".join(json.dumps({"kind": k, "value": v}) for k, v in (("process", body), ("process", "{bad"), ("process", "Caught error {"))))
-    q = Q.start(spark, str(tmp_path / "in"), "kind string, value string", str(tmp_path / "good"), str(tmp_path / "dead"), str(tmp_path / "cp"), lambda m: m.select("guid", "priority"))
-    q.awaitTermination(120)
-    assert [r["guid"] for r in spark.read.parquet(str(tmp_path / "good")).collect()] == ["g1"]
-    assert [r["value"] for r in spark.read.parquet(str(tmp_path / "dead")).collect()] == ["{bad"]
+def messages(path, rows):
+    path.mkdir(exist_ok=True)
+    body = lambda g: json.dumps({"metadata": {"guid": g, "p_value_threshold": 0.5}})
+    (path / f"{len(list(path.iterdir()))}.json").write_text("\n".join(json.dumps({"kind": k, "value": body(g) if len(g) < 4 else g}) for k, g in rows))
+
+
+def test_queue_serves_by_priority_and_sets_broken_messages_aside(spark, tmp_path):
+    messages(tmp_path / "in", [("process", "g1"), ("in_progress", "g2"), ("delete", "g3"), ("process", "g3"), ("process", "{bad"), ("process", "Caught error {")])
+    order = []
+
+    def handle(m, kind):
+        order.append((kind, sorted(r["guid"] for r in m.collect())))
+        return m.select("guid")
+
+    run = lambda: Q.start(spark, str(tmp_path / "in"), "kind string, value string", str(tmp_path / "out"), str(tmp_path / "cp"), handle).awaitTermination()
+    run()
+    assert order == [("in_progress", ["g2"]), ("process", ["g1"])]  # g3 was deleted before
+    read = lambda p: spark.read.parquet(str(tmp_path / "out" / p)).collect()
+    assert sorted(r["guid"] for r in read("results")) == ["g1", "g2"]
+    assert [r["guid"] for r in read("tombstones")] == ["g3"] and [r["value"] for r in read("dead")] == ["{bad"]
+    run()
+    assert len(order) == 2
+
+
+def test_queue_serves_a_failed_batch_again(spark, tmp_path):
+    messages(tmp_path / "in", [("process", "g1"), ("in_progress", "g2")])
+    calls = []
+
+    def handle(m, kind):
+        calls.append(kind)
+        if calls == ["in_progress", "process"]:
+            raise OSError("down")
+        return m.select("guid")
+
+    def run():
+        Q.start(spark, str(tmp_path / "in"), "kind string, value string", str(tmp_path / "out"), str(tmp_path / "cp"), handle, retry=lambda action: action()).awaitTermination()
+
+    with pytest.raises(Exception, match="down"):
+        run()
+    run()
+    assert calls == ["in_progress", "process"] * 2
+    assert sorted(r["guid"] for r in spark.read.parquet(str(tmp_path / "out/results")).collect()) == ["g1", "g2"]
 
 
 def test_retry_backs_off(spark):
