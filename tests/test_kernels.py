@@ -99,6 +99,44 @@ def test_communities_split_two_cliques():
     assert len({got[i] for i in range(5)}) == 1 and len(set(got.values())) == 2
 
 
+def length_of(a, b, w, own):
+    nodes = sorted(set(a) | set(b))
+    total, modules = 2 * sum(w), sorted(set(own.values()))
+    flow = np.array([sum(v for x, y, v in zip(a, b, w, strict=True) for e in (x, y) if e == n) for n in nodes]) / total
+    leave = np.array([sum(v for x, y, v in zip(a, b, w, strict=True) if own[x] != own[y] and m in (own[x], own[y])) for m in modules]) / total
+    inside = np.array([sum(f for f, n in zip(flow, nodes, strict=True) if own[n] == m) for m in modules])
+    return G.code_length(flow, leave, inside)
+
+
+def test_communities_have_the_shortest_code_of_all_partitions():
+    def partitions(items):
+        if not items:
+            yield []
+            return
+        for rest in partitions(items[1:]):
+            yield [[items[0]], *rest]
+            for i in range(len(rest)):
+                yield [*rest[:i], [items[0], *rest[i]], *rest[i + 1 :]]
+
+    rng = np.random.default_rng(9)
+    for _ in range(6):
+        pairs = [(i, j) for i in range(7) for j in range(i + 1, 7) if rng.random() < 0.5] or [(0, 1)]
+        a, b = np.array(pairs).T
+        w = rng.integers(1, 9, len(a)) / 4.0
+        got = length_of(a.tolist(), b.tolist(), w.tolist(), G.communities_kernel(a, b, w))
+        nodes = sorted({*a.tolist(), *b.tolist()})
+        least = min(length_of(a.tolist(), b.tolist(), w.tolist(), {n: k for k, part in enumerate(p) for n in part}) for p in partitions(nodes))
+        assert abs(got - least) < 1e-9
+
+
+def test_communities_of_planted_groups():
+    rng = np.random.default_rng(1)
+    pairs = [(i, j) for i in range(60) for j in range(i + 1, 60) if rng.random() < (0.6 if i // 12 == j // 12 else 0.02)]
+    a, b = np.array(pairs).T
+    got = G.communities_kernel(a, b, np.ones(len(a)))
+    assert all(got[i] == (i // 12) * 12 for i in range(60))
+
+
 def test_centralities_of_a_path(spark):
     e = spark.createDataFrame(pd.DataFrame({"component": [0, 0], "a": [0, 1], "b": [1, 2]}))
     rows = {r["node"]: r for r in G.centralities(e).collect()}
