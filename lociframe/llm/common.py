@@ -20,8 +20,8 @@ MASK = np.uint64(0xFFFFFFFFFFFFFFFF)
 def prepare(spark: SparkSession) -> None:
     """Bound Arrow batches by bytes as well as rows: one text may be very long."""
     if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4000")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
 
 
 def let(value: Column, body) -> Column:
@@ -54,7 +54,7 @@ def give_back() -> None:
 class WordHashes(dict):
     """word -> 64-bit hash, kept for reuse and emptied when it gets too large."""
 
-    def __init__(self, most: int = 120_000):
+    def __init__(self, most: int = 60_000):
         super().__init__()
         self.most = most
 

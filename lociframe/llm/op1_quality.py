@@ -38,6 +38,8 @@ SAMPLE = 6000
 WIDTH, NONZERO, REACH = 96, 4, 2
 #: The table of word vectors has 2^TABLE_BITS places of WIDTH sums.
 TABLE_BITS = 16
+#: Characters of text that are pooled at a time.
+PIECE = 1 << 17
 HIDDEN, EPOCHS, RATE = 32, 200, 0.01
 TOKEN = re.compile(rb"[A-Z]{2,}|[A-Za-z\x80-\xff]+|[0-9]+|[^\sA-Za-z0-9\x80-\xff]+|\n")
 
@@ -73,7 +75,7 @@ class WordVectors:
     """The table's normalised vectors and shares of all tokens."""
 
     def __init__(self, counts: np.ndarray, sums: np.ndarray):
-        self.vectors = (sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-9)).astype(np.float32)
+        self.vectors = (sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-9)).astype(np.float16)
         self.share = counts / max(counts.sum(), 1)
 
     def pooled(self, hashed: list[np.ndarray]) -> np.ndarray:
@@ -96,7 +98,7 @@ class WordVectors:
         for lo in range(0, len(doc), 20_000):
             d, t, k = doc[lo : lo + 20_000], tok[lo : lo + 20_000], n[lo : lo + 20_000]
             first = np.flatnonzero(np.r_[True, d[1:] != d[:-1]])
-            got[d[first], :WIDTH] += np.add.reduceat(self.vectors[at[t]] * (k * weight[t])[:, None].astype(np.float32), first)
+            got[d[first], :WIDTH] += np.add.reduceat(self.vectors[at[t]].astype(np.float32) * (k * weight[t])[:, None].astype(np.float32), first)
             got[d[first], WIDTH : 2 * WIDTH] += np.add.reduceat(own[t] * k[:, None].astype(np.float32), first)
             got[d[first], 2 * WIDTH] += np.add.reduceat(k * rarity[t], first)
             got[d[first], 2 * WIDTH + 1] += np.add.reduceat(np.ones(len(t)), first)
@@ -104,6 +106,17 @@ class WordVectors:
         return out
 
 
+def features(words: WordVectors, texts: list, hashes: WordHashes) -> np.ndarray:
+    """One row of features per text; texts are pooled together up to PIECE characters, a longer one by itself."""
+    ends = np.cumsum([len(t or "") for t in texts])
+    rows, lo = [], 0
+    while lo < len(texts):
+        hi = max(int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + PIECE)), lo + 1)
+        rows.append(words.pooled([hashes.of(tokens(t)) for t in texts[lo:hi]]))
+        lo = hi
+    return np.concatenate(rows) if rows else np.zeros((0, 2 * WIDTH + 2), np.float32)
+
+
 class Network:
     """Two layers over standardised features, and a temperature."""
 
@@ -199,14 +212,14 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[WordVectors, Network]:
     words = WordVectors(*word_table(docs))
     shared = docs.sparkSession.sparkContext.broadcast(words)
 
-    def features(batches):
+    def run(batches):
         hashes = WordHashes()
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            x = [v for lo in range(0, len(texts), 50) for v in shared.value.pooled([hashes.of(tokens(t)) for t in texts[lo : lo + 50]])]
-            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(x, pa.list_(pa.float32()))], names=["y", "h", "x"])
+            x = features(shared.value, batch.column(0).to_pylist(), hashes)
+            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(list(x), pa.list_(pa.float32()))], names=["y", "h", "x"])
+        give_back()
 
-    rows = sample.mapInArrow(features, "y double, h long, x array<float>").orderBy("h").collect()
+    rows = sample.mapInArrow(run, "y double, h long, x array<float>").orderBy("h").collect()
     x = np.array([r["x"] for r in rows], np.float64).reshape(len(rows), 2 * WIDTH + 2)
     return words, Network(x, np.array([float(r["y"] >= 0.5) for r in rows]))
 
@@ -223,11 +236,7 @@ def scored(docs: DataFrame, model: tuple[WordVectors, Network], keep: list[str],
         hashes = WordHashes()
         words, network = shared.value
         for batch in batches:
-            got = []
-            texts = batch.column(at).to_pylist()
-            for lo in range(0, len(texts), 50):
-                got.append(network.probability(words.pooled([hashes.of(tokens(t)) for t in texts[lo : lo + 50]])))
-            score = np.concatenate(got) if got else np.empty(0)
+            score = network.probability(features(words, batch.column(at).to_pylist(), hashes))
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keep))), pa.array(score, pa.float64())], names=[*keep, name])
         give_back()
 

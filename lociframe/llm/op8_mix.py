@@ -41,14 +41,15 @@ def size_of(text: Column) -> Column:
 
 
 def _queued(docs: DataFrame) -> DataFrame:
-    """Adds the queue columns: source key and null flag, size, shuffled place (63 bits) by id and text."""
-    place = F.shiftrightunsigned(F.xxhash64(F.lit("mix"), F.col("doc_id"), F.xxhash64("text")), 1)
+    """Adds the queue columns: source key and null flag, size, shuffled place (60 bits of an MD5 of id and text)."""
+    key = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit("@"), F.md5(F.coalesce("text", F.lit(""))))
+    place = F.conv(F.substring(F.md5(key), 1, 15), 16, 10).cast("long")
     return docs.withColumns({"_mx_null": F.col("source").isNull(), "_mx_source": F.coalesce("source", F.lit("")), "_mx_size": size_of(F.col("text")), "_mx_place": place})
 
 
 def _range(count: int) -> Column:
     """Hash range of a row; ranges are in the order of the places."""
-    return F.expr(f"CAST(_mx_place div {-(-(1 << 63) // count)}L AS INT)") if count > 1 else F.lit(0)
+    return F.expr(f"CAST(_mx_place div {-(-(1 << 60) // count)}L AS INT)") if count > 1 else F.lit(0)
 
 
 def running_totals(rows: DataFrame, order: list[str], **values: Column) -> DataFrame:

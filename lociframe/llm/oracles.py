@@ -7,7 +7,7 @@ brute force.
 
 from __future__ import annotations
 
-from . import op5_rules, op7_vectors
+from . import op5_rules, op7_vectors, op8_mix
 
 _SPACE = "[\\x20\\x09-\\x0D]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -80,8 +80,30 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   round(cd, 6) AS char_distance, round(wd, 6) AS word_distance FROM f"""
 
 
+def fair_queue() -> str:
+    weights = " ".join(f"WHEN {i} THEN {float(w)}::DOUBLE" for i, w in enumerate(op8_mix.WEIGHTS))
+    return f"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, source IS NULL AS gone, coalesce(source, '') AS s, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size,
+    CAST(concat('0x', substr(md5(concat(coalesce(CAST(doc_id AS VARCHAR), 'null'), '@', md5(coalesce(text, '')))), 1, 15)) AS BIGINT) AS place FROM documents
+), p AS (SELECT gone, s, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY gone, s
+), w AS (SELECT *, CASE (row_number() OVER (ORDER BY gone, s) - 1) % {len(op8_mix.WEIGHTS)} {weights} END AS weight, source_size * {op8_mix.MOST_EPOCHS}.0::DOUBLE AS cap FROM p
+), l AS (
+  SELECT *, cap / weight AS fills, ((SELECT CAST(sum(source_size) AS DOUBLE) FROM p) - (sum(cap) OVER o - cap)) / ((SELECT sum(weight) FROM w) - (sum(weight) OVER o - weight)) AS level
+  FROM w WINDOW o AS (ORDER BY cap / weight, gone, s)
+), c AS (SELECT level AS common FROM l WHERE level * weight <= cap ORDER BY fills, level LIMIT 1
+), t AS (SELECT gone, s, source_size, least(cap, coalesce((SELECT common FROM c), CAST('inf' AS DOUBLE)) * weight) AS target FROM l
+), q AS (
+  SELECT rid, doc_id, size, source_size, target, CAST(sum(size) OVER (PARTITION BY gone, s ORDER BY place, doc_id NULLS FIRST, size, rid ROWS UNBOUNDED PRECEDING) AS BIGINT) AS upto FROM d JOIN t USING (gone, s)
+), f AS (SELECT rid, size, (e * source_size + upto) / target AS f FROM q, range({op8_mix.MOST_EPOCHS}) r(e) WHERE target > 0
+), a AS (SELECT max(f) AS last FROM (SELECT f, sum(size) OVER (ORDER BY f) AS total FROM f) WHERE total <= (SELECT sum(size) FROM d)
+), n AS (SELECT rid, count(*) AS n FROM f WHERE f <= (SELECT last FROM a) GROUP BY rid)
+SELECT doc_id, size, source_size, target, CAST(size * coalesce(n.n, 0) AS BIGINT) AS taken FROM q LEFT JOIN n USING (rid)"""
+
+
 SQL: dict[str, str] = {
     "op3_adaptive_prefix_join": jaccard(),
     "op5_divergence_rules": divergence(),
     "op7_product_quantised_dedup": cosine(),
+    "op8_fair_queue_mix": fair_queue(),
 }
