@@ -7,7 +7,7 @@ brute force.
 
 from __future__ import annotations
 
-from . import op5_rules, op7_vectors, op8_mix
+from . import op5_rules, op7_vectors, op8_mix, op10_lm
 
 _SPACE = "[\\x20\\x09-\\x0D]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -101,9 +101,37 @@ WITH d AS (
 SELECT doc_id, size, source_size, target, CAST(size * coalesce(n.n, 0) AS BIGINT) AS taken FROM q LEFT JOIN n USING (rid)"""
 
 
+def cross_entropy() -> str:
+    own = lambda count, mine: f"({count} - {mine} * CAST(inside AS INTEGER))"
+    return f"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(doc_id IN (SELECT doc_id FROM labels WHERE quality = 1 AND doc_id IS NOT NULL), FALSE) AS good,
+    list_filter(string_split_regex(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_SPACE}'), lambda x: x <> '') AS w FROM documents
+), e AS (
+  SELECT rid, good, v, x, count(*) AS op FROM (SELECT rid, good, unnest(list_concat([''], w[1:len(w) - 1])) AS v, unnest(w) AS x FROM d WHERE len(w) > 0) GROUP BY ALL
+), ow AS (SELECT rid, x, sum(op) AS ow FROM e GROUP BY ALL
+), oc AS (SELECT rid, v, sum(op) AS oc FROM e GROUP BY ALL
+), m AS (SELECT unnest([TRUE, FALSE]) AS whole
+), gw AS (SELECT whole, x, coalesce(sum(op) FILTER (whole OR good), 0) AS gw FROM e, m GROUP BY ALL
+), gc AS (SELECT whole, v, coalesce(sum(op) FILTER (whole OR good), 0) AS gc FROM e, m GROUP BY ALL
+), gp AS (SELECT whole, v, x, coalesce(sum(op) FILTER (whole OR good), 0) AS gp FROM e, m GROUP BY ALL
+), n AS (SELECT whole, coalesce(sum(len(w)) FILTER (whole OR good), 0) AS n FROM d, m GROUP BY ALL
+), k AS (
+  SELECT rid, whole, whole OR e.good AS inside, e.op, ow, oc, gw, gc, gp, n.n, len(d.w) AS nd, (SELECT count(DISTINCT x) FROM e) AS vocabulary
+  FROM e JOIN d USING (rid) JOIN ow USING (rid, x) JOIN oc USING (rid, v) CROSS JOIN m JOIN gw USING (whole, x) JOIN gc USING (whole, v) JOIN gp USING (whole, v, x) JOIN n USING (whole)
+), b AS (
+  SELECT *, {1 - op10_lm.UNIFORM!r}::DOUBLE * {own("gw", "ow")} / greatest({own("n", "nd")}, 1) + CASE WHEN {own("n", "nd")} > 0 THEN {op10_lm.UNIFORM!r}::DOUBLE ELSE 1 END / vocabulary AS base FROM k
+), f AS (
+  SELECT rid, whole, op, {op10_lm.BLEND!r}::DOUBLE * CASE WHEN {own("gc", "oc")} > 0 THEN {own("gp", "op")}::DOUBLE / {own("gc", "oc")} ELSE base END + {1 - op10_lm.BLEND!r}::DOUBLE * base AS p FROM b
+), s AS (SELECT rid, sum(-ln(p) * op) FILTER (NOT whole) AS t, sum(-ln(p) * op) FILTER (whole) AS a FROM f GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, round(coalesce(t / len(w), 0), 6) AS target_loss, round(coalesce(a / len(w), 0), 6) AS background_loss, round(coalesce((t - a) / len(w), 0), 6) AS score
+FROM d LEFT JOIN s USING (rid)"""
+
+
 SQL: dict[str, str] = {
     "op3_adaptive_prefix_join": jaccard(),
     "op5_divergence_rules": divergence(),
     "op7_product_quantised_dedup": cosine(),
     "op8_fair_queue_mix": fair_queue(),
+    "op10_cross_entropy_difference": cross_entropy(),
 }

@@ -53,7 +53,8 @@ def op9_tree_bpe(spark, sf_dir):
 
 def op10_cross_entropy_difference(spark, sf_dir):
     good = _table(spark, sf_dir, "labels").where("quality = 1")
-    return op10_lm.score(_table(spark, sf_dir, "documents"), good)
+    scored = op10_lm.score(_table(spark, sf_dir, "documents"), good)
+    return scored.withColumns({c: F.round(c, 6) for c in ("target_loss", "background_loss", "score")})
 
 
 QUERIES = (
