@@ -1,7 +1,6 @@
 """Fixed values that define the semantics of the analysis."""
 
-GENOME_WIDE_P, LOWEST_P, WORKER_MIN_P = 5e-8, 1.5e-4, 1e-6
-MIN_ROWS_DENSE, MIN_ROWS_SPARSE = 150, 4
+LOWEST_P, WORKER_MIN_P = 1.5e-4, 1e-6
 H4_THRESHOLD, MIN_POSTERIOR = 0.8, 0.5
 PAIR_DISTANCE, MIN_SHARED_SNPS = 50_000, 50
 MIN_DEGREE_FRACTION = 0.05
@@ -10,13 +9,9 @@ EAF_RARE = (0.000012, 0.01)
 LD_KEEP_R2, SAME_CAUSAL_R2 = 0.8, 0.99
 CHUNK_ROWS = 5_000_000
 COLOC_PRIORS = (1e-4, 1e-4, 1e-5)
-IMPUTATION_LD_R, BAD_SNP_LBF_P, BAD_SNP_P = 0.6, 1.5e-4, 1e-3
+IMPUTATION_LD_R = 0.6
 SMALLEST_P = 2.2250738585072014e-308
 Z_975 = 1.959963984540054
-CIS_WINDOW = 1_000_000
 HEAVY_BLOCK_STUDIES = 10_000
 EDGE_MIN_WEIGHT = 0.8
 EDGE_LOGP = (4.0, 7.301)
-DATA_TYPES = ("phenotype", "gene_expression", "protein", "methylation", "splice_variant", "metabolome", "cell_trait")
-ANCESTRIES = ("EUR", "EAS", "AFR", "SAS", "AMR")
-CHROMOSOMES = range(1, 23)

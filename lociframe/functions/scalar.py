@@ -25,10 +25,6 @@ def compress_allele(allele, longest: int = 10) -> Column:
     return F.when(F.length(a) > longest, F.lower(F.hex(F.hash(a)))).otherwise(a)
 
 
-def block_name(ancestry, chrom, start, stop) -> Column:
-    return F.concat(_c(ancestry), F.lit("/"), _c(chrom), F.lit("/"), _c(start), F.lit("-"), _c(stop))
-
-
 def block_parts(name) -> Column:
     """struct(ancestry, chr, start, stop) of a block name."""
     p = F.split(_c(name), "[/-]")

@@ -64,12 +64,6 @@ def upload_verdict(df: DataFrame) -> DataFrame:
     return out.select((F.col("error") == "").alias("valid"), "error")
 
 
-def quarantine(df: DataFrame, good: Column) -> tuple[DataFrame, DataFrame]:
-    """(kept, set aside); null counts as not good."""
-    ok = F.coalesce(good, F.lit(False))
-    return df.where(ok), df.where(~ok)
-
-
 def panel_eaf(df: DataFrame, panel: DataFrame, study: str, snp: str) -> DataFrame:
     """EAF from a panel for studies that have none at all."""
     none = F.count("eaf").over(Window.partitionBy(study)) == 0

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from ..constants import COLOC_PRIORS, MIN_SHARED_SNPS
+from ..constants import COLOC_PRIORS, IMPUTATION_LD_R, MIN_SHARED_SNPS
 
 # ---- closed forms ---------------------------------------------------------------------------------------------
 
@@ -66,7 +66,7 @@ def padded(df: DataFrame) -> DataFrame:
     return df.withColumn("imputed", F.col("beta").isNull()).withColumns({c: F.coalesce(c, F.lit(v)) for c, v in {"beta": 0.0, "se": 1.0, "p": 1.0, "z": 0.0}.items()})
 
 
-def without_inflated(df: DataFrame, ld: DataFrame, over: list[str], snp: str = "snp", r: float = 0.6, factor: float = 10.0) -> DataFrame:
+def without_inflated(df: DataFrame, ld: DataFrame, over: list[str], snp: str = "snp", r: float = IMPUTATION_LD_R, factor: float = 10.0) -> DataFrame:
     """Rows without the imputed ones that are ``factor`` times more significant than the best observed LD neighbour, or than all observed without one."""
     seen = df.where("NOT imputed")
     floor = seen.groupBy(*over).agg(F.min("p").alias("_floor"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..constants import CHUNK_ROWS
+
 
 def rename_by(df: DataFrame, mapping: dict[str, str | None], only: bool = False) -> DataFrame:
     """User mapping target -> source: empty sources are skipped, a clashing target is dropped, ``only`` keeps what is mapped."""
@@ -72,6 +74,6 @@ def multi_hot(df: DataFrame, key: str, column: str, mark: str, values: list[str]
     return df.select(key, *[F.array_contains(items, v).alias(v) for v in values])
 
 
-def chunks(df: DataFrame, ident: str, rows: int) -> DataFrame:
+def chunks(df: DataFrame, ident: str, rows: int = CHUNK_ROWS) -> DataFrame:
     """``df`` with a chunk number: rows in order of a dense 1-based id, ``rows`` to a chunk."""
     return df.withColumn("chunk", F.floor((F.col(ident) - 1) / rows).cast("long"))
