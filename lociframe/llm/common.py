@@ -109,12 +109,12 @@ def _unpack(packed: bytes, width: int) -> np.ndarray:
     return np.frombuffer(raw, np.int32 if len(raw) == 4 * width else np.int64)
 
 
-def summed_tables(src: DataFrame, fill, lengths: list[int], block: int = 1 << 16) -> list[np.ndarray]:
+def summed_tables(src: DataFrame, fill, lengths: list[int], block: int = 1 << 16, kind: type = np.int64) -> list[np.ndarray]:
     """Sums over all partitions of the count tables that ``fill(batches)`` returns, of the fixed ``lengths``.
 
     Each partition sends one compressed row per block that isn't zero; these
     are added on three levels, FAN_IN of them in a group on the first two.
-    What reaches the driver is one row per block.
+    What reaches the driver is one row per block; the result is of the number type ``kind``.
     """
     schema = "part int, table int, block int, counts binary"
     names = ["part", "table", "block", "counts"]
@@ -141,7 +141,7 @@ def summed_tables(src: DataFrame, fill, lengths: list[int], block: int = 1 << 16
     got = src.mapInArrow(parts, schema)
     for share in (FAN_IN, FAN_IN * FAN_IN):
         got = got.groupBy(F.floor(F.col("part") / share), "table", "block").applyInArrow(merge, schema)
-    out = [np.zeros(n, np.int64) for n in lengths]
+    out = [np.zeros(n, kind) for n in lengths]
     for r in got.groupBy("table", "block").applyInArrow(merge, schema).toLocalIterator():
         at, n = r["block"] * block, width(r["table"], r["block"])
         out[r["table"]][at : at + n] = _unpack(bytes(r["counts"]), n)

@@ -75,7 +75,10 @@ class WordVectors:
     """The table's normalised vectors and shares of all tokens."""
 
     def __init__(self, counts: np.ndarray, sums: np.ndarray):
-        self.vectors = (sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-9)).astype(np.float16)
+        self.vectors = np.empty(sums.shape, np.float16)
+        for lo in range(0, len(sums), 4096):  # in pieces: the driver has little memory
+            piece = sums[lo : lo + 4096]
+            self.vectors[lo : lo + 4096] = piece / np.maximum(np.linalg.norm(piece, axis=1, keepdims=True), 1e-9)
         self.share = counts / max(counts.sum(), 1)
 
     def pooled(self, hashed: list[np.ndarray]) -> np.ndarray:
@@ -179,8 +182,9 @@ def word_table(docs: DataFrame, bits: int = TABLE_BITS) -> tuple[np.ndarray, np.
                     _add(own[a : lo + 50_000], lo - a, counts, sums)
         return [counts, sums]
 
-    counts, sums = summed_tables(docs.select("text"), fill, [places, places * WIDTH])
-    return counts, sums.reshape(places, WIDTH).astype(np.float32)
+    # sums beyond 2^24 are rounded to 24 bits
+    counts, sums = summed_tables(docs.select("text"), fill, [places, places * WIDTH], kind=np.float32)
+    return counts.astype(np.float64), sums.reshape(places, WIDTH)
 
 
 def _add(own: np.ndarray, fresh: int, counts: np.ndarray, sums: np.ndarray) -> None:
@@ -216,12 +220,16 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[WordVectors, Network]:
         hashes = WordHashes()
         for batch in batches:
             x = features(shared.value, batch.column(0).to_pylist(), hashes)
-            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(list(x), pa.list_(pa.float32()))], names=["y", "h", "x"])
+            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array([v.tobytes() for v in x], pa.binary())], names=["y", "h", "x"])
         give_back()
 
-    rows = sample.mapInArrow(run, "y double, h long, x array<float>").orderBy("h").collect()
-    x = np.array([r["x"] for r in rows], np.float64).reshape(len(rows), 2 * WIDTH + 2)
-    return words, Network(x, np.array([float(r["y"] >= 0.5) for r in rows]))
+    rows = sample.mapInArrow(run, "y double, h long, x binary").orderBy("h").collect()
+    shared.unpersist()
+    x = np.frombuffer(b"".join(bytes(r["x"]) for r in rows), np.float32).reshape(len(rows), 2 * WIDTH + 2).astype(np.float64)
+    network = Network(x, np.array([float(r["y"] >= 0.5) for r in rows]))
+    del rows, x
+    give_back()
+    return words, network
 
 
 def scored(docs: DataFrame, model: tuple[WordVectors, Network], keep: list[str], name: str = "score") -> DataFrame:
