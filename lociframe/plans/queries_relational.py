@@ -114,7 +114,7 @@ def flt9_upload_verdict(x: Fixtures):
     return FL.upload_verdict(s)
 
 
-@query()
+@query("SELECT o_orderkey FROM orders ORDER BY md5(CAST(o_orderkey AS VARCHAR)), o_orderkey LIMIT 100")
 def flt10_hashed_sample(x: Fixtures):
     return FL.hashed_sample(x.table("orders").select("o_orderkey"), 100, "o_orderkey")
 
