@@ -259,7 +259,7 @@ def susie(z: np.ndarray, ld: np.ndarray, n: float, effects: int = 10, prior: flo
             alpha[k] = w / w.sum()
             mu[k] = bhat * v[k] / (s2 + v[k])
             total = total + alpha[k] * mu[k]
-        if np.abs(alpha - before).max() < 1e-4:
+        if np.abs(alpha - before).max() < 1e-3:
             done = True
             break
     sets = []
