@@ -7,7 +7,7 @@ brute force.
 
 from __future__ import annotations
 
-from . import op5_rules, op7_vectors, op8_mix, op10_lm
+from . import op5_rules, op7_vectors, op8_mix, op10_lm, op12_variants, op13_search
 
 _SPACE = "[\\x20\\x09-\\x0D]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -128,10 +128,60 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, round(coalesce(t / len(w), 0),
 FROM d LEFT JOIN s USING (rid)"""
 
 
+def variants() -> str:
+    o = op12_variants
+    return rf"""
+WITH RECURSIVE bits AS (SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS tbl),
+runs AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, unnest(regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '[A-Za-z\x{{00C0}}-\x{{00FF}}]+')) AS run FROM documents),
+keyed AS (SELECT id, run, count(*) AS times, hex(encode(id || ':' || run)) AS hx FROM runs WHERE length(run) >= {o.LEAST_LENGTH} GROUP BY id, run),
+hashed AS (
+  SELECT run, times, xor(4294967295, list_reduce(list_concat([4294967295], list_transform(range(length(hx) // 2), lambda i:
+    16 * (instr('0123456789ABCDEF', hx[2 * i + 1]) - 1) + instr('0123456789ABCDEF', hx[2 * i + 2]) - 1)), lambda c, b: xor(tbl[(xor(c, b) & 255) + 1], c >> 8))) AS h
+  FROM keyed CROSS JOIN bits),
+said AS (SELECT CASE WHEN h % {o.MARKED} = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, times FROM hashed),
+words AS (SELECT word, CAST(sum(times) AS BIGINT) AS n FROM said WHERE length(word) >= {o.LEAST_LENGTH} GROUP BY word HAVING sum(times) >= {o.LEAST_COUNT}),
+gaps AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words),
+less AS (SELECT DISTINCT left(word, i - 1) || substr(word, i + 1) AS short, word, n FROM gaps),
+near AS (
+  SELECT a.word, b.word AS other, b.n AS other_n FROM gaps a JOIN gaps b ON a.i = b.i AND left(a.word, a.i - 1) = left(b.word, b.i - 1) AND substr(a.word, a.i + 1) = substr(b.word, b.i + 1) AND a.word <> b.word
+  UNION ALL SELECT w.word, l.word, l.n FROM words w JOIN less l ON w.word = l.short
+  UNION ALL SELECT l.word, w.word, w.n FROM words w JOIN less l ON w.word = l.short),
+best AS (SELECT word, count(*) AS n_near, max(other_n) AS top FROM near GROUP BY word),
+named AS (SELECT b.word, b.n_near, b.top, min(x.other) AS other FROM best b JOIN near x ON x.word = b.word AND x.other_n = b.top GROUP BY ALL),
+judged AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN top >= {o.RATIO} * w.n THEN other END AS form, CASE WHEN top >= {o.RATIO} * w.n THEN top END AS form_n
+  FROM words w LEFT JOIN named ON named.word = w.word),
+way AS (
+  SELECT word, form AS root, 1 AS step FROM judged WHERE form IS NOT NULL
+  UNION ALL SELECT way.word, j.form, step + 1 FROM way JOIN judged j ON way.root = j.word WHERE j.form IS NOT NULL)
+SELECT j.word, form, coalesce(r.root, j.word) AS root, n, n_near, form_n
+FROM judged j LEFT JOIN (SELECT word, arg_max(root, step) AS root FROM way GROUP BY word) r ON r.word = j.word"""
+
+
+def ranked_search() -> str:
+    term = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+    return f"""
+WITH t AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '{term}')) AS term FROM documents),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM t GROUP BY ALL),
+dl AS (SELECT doc_id, count(*) AS n FROM t GROUP BY ALL),
+totals AS (SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(n) AS BIGINT) AS words FROM dl),
+q AS (SELECT item_id, unnest(regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '{term}')) AS term FROM benchmark),
+qf AS (SELECT item_id, term, count(*) AS times FROM q GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf CROSS JOIN totals WHERE term IN (SELECT term FROM qf) GROUP BY term, docs),
+parts AS (
+  SELECT tf.doc_id, tf.term, w.w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // words))) AS part
+  FROM tf JOIN w ON w.term = tf.term JOIN dl ON dl.doc_id = tf.doc_id CROSS JOIN totals),
+scores AS (SELECT item_id, doc_id, CAST(sum(times * part) AS BIGINT) AS score FROM qf JOIN parts ON parts.term = qf.term GROUP BY ALL HAVING sum(times * part) > 0),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM scores)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= {op13_search.BEST}"""
+
+
 SQL: dict[str, str] = {
     "op3_adaptive_prefix_join": jaccard(),
     "op5_divergence_rules": divergence(),
     "op7_product_quantised_dedup": cosine(),
     "op8_fair_queue_mix": fair_queue(),
     "op10_cross_entropy_difference": cross_entropy(),
+    "op12_chunked_variants": variants(),
+    "op13_reversed_search": ranked_search(),
 }

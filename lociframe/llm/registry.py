@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import op1_quality, op2_shards, op3_join, op4_extract, op5_rules, op6_licenses, op7_vectors, op8_mix, op9_bpe, op10_lm, oracles
+from . import op1_quality, op2_shards, op3_join, op4_extract, op5_rules, op6_licenses, op7_vectors, op8_mix, op9_bpe, op10_lm, op11_toxicity, op12_variants, op13_search, oracles
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,6 +57,18 @@ def op10_cross_entropy_difference(spark, sf_dir):
     return scored.withColumns({c: F.round(c, 6) for c in ("target_loss", "background_loss", "score")})
 
 
+def op11_ratio_scaled_toxicity(spark, sf_dir):
+    return op11_toxicity.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op12_chunked_variants(spark, sf_dir):
+    return op12_variants.grouped(_table(spark, sf_dir, "documents"))
+
+
+def op13_reversed_search(spark, sf_dir):
+    return op13_search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = (
     op1_random_indexing_quality,
     op2_hash_tree_shards,
@@ -68,6 +80,9 @@ QUERIES = (
     op8_fair_queue_mix,
     op9_tree_bpe,
     op10_cross_entropy_difference,
+    op11_ratio_scaled_toxicity,
+    op12_chunked_variants,
+    op13_reversed_search,
 )
 
 
