@@ -38,8 +38,10 @@ SIZES = (3, 4, 5, 6)
 TABLE_BITS = 20
 SAMPLE = 4000
 LEAST_ERRORS, FEATURES = (3.0, 4.0), 10_000
-RIDGES = (0.01, 0.1, 1.0)
-ROUNDS = 400
+RIDGES = (1.0, 0.1, 0.01)
+ROUNDS = 100
+#: Up to so many examples (about 40 bytes each) are broadcast to the texts; more are joined by key.
+MOST_BROADCAST = 400_000
 #: Code points of a text that are read at a time.
 PIECE = 1 << 17
 #: ASCII letters and digits as they are (texts are lower-cased before), other ASCII characters a blank, the word mark.
@@ -82,30 +84,56 @@ def ratios(toxic: np.ndarray, other: np.ndarray, n_toxic: int, n_other: int) ->
     return ratio, np.abs(ratio) / np.sqrt(1 / (toxic + 1) + 1 / (other + 1))
 
 
+def minimised(value_and_slope, x: np.ndarray, rounds: int = ROUNDS, kept: int = 8) -> np.ndarray:
+    """Where a smooth convex function is least: limited-memory quasi-Newton steps with a line search, from ``x`` on."""
+    value, slope = value_and_slope(x)
+    moves: list[tuple[np.ndarray, np.ndarray]] = []
+    for _ in range(rounds):
+        if np.abs(slope).max() < 1e-6:
+            break
+        way, shares = -slope, []
+        for s, y in reversed(moves):
+            shares.append((s @ way) / (s @ y))
+            way = way - shares[-1] * y
+        if moves:
+            s, y = moves[-1]
+            way = way * (s @ y) / (y @ y)
+        for (s, y), share in zip(moves, reversed(shares), strict=True):
+            way = way + (share - (y @ way) / (s @ y)) * s
+        step = 1.0 if moves else min(1.0, 1 / np.abs(slope).sum())
+        while True:
+            after, after_slope = value_and_slope(x + step * way)
+            if after <= value + 1e-4 * step * (slope @ way):
+                break
+            step /= 2
+            if step < 1e-12:
+                return x
+        s, y = step * way, after_slope - slope
+        if s @ y > 1e-14:
+            moves = [*moves[1 - kept :], (s, y)]
+        x, value, slope = x + s, after, after_slope
+    return x
+
+
 class Linear:
     """Logistic regression with a ridge over sparse binary rows, columns scaled by ``scale``."""
 
-    def __init__(self, rows: list[np.ndarray], y: np.ndarray, share: np.ndarray, scale: np.ndarray, ridge: float):
-        """``share``: weight of each row."""
+    def __init__(self, rows: list[np.ndarray], y: np.ndarray, share: np.ndarray, scale: np.ndarray, ridge: float, start: "Linear | None" = None):
+        """``share``: weight of each row; ``start``: a solution to begin from."""
         at = np.concatenate(rows) if rows else np.empty(0, np.int64)
         of = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-        value, share = scale[at], share / share.sum()
-        self.bias, w = float(np.log((share @ y + 1e-9) / (share @ (1 - y) + 1e-9))), np.zeros(len(scale))
-        ridge = ridge / len(rows)
-        # step: one over a bound of the curvature along each coordinate's own scale
-        size = np.bincount(of, weights=value * value, minlength=len(rows)) + 1
-        step = 1 / (0.25 * (share @ size) + ridge)
-        ahead, ahead_bias = w.copy(), self.bias
-        momentum = 1.0
-        for _ in range(ROUNDS):
-            p = 1 / (1 + np.exp(-np.clip(np.bincount(of, weights=value * ahead[at], minlength=len(rows)) + ahead_bias, -30, 30)))
-            g = share * (p - y)
-            grad = np.bincount(at, weights=value * g[of], minlength=len(scale)) + ridge * ahead
-            new, new_bias = ahead - step * grad, ahead_bias - step * g.sum()
-            after = (1 + np.sqrt(1 + 4 * momentum * momentum)) / 2
-            ahead, ahead_bias = new + (momentum - 1) / after * (new - w), new_bias + (momentum - 1) / after * (new_bias - self.bias)
-            w, self.bias, momentum = new, float(new_bias), after
-        self.weights = w * scale
+        value, share, ridge = scale[at], share / share.sum(), ridge / len(rows)
+
+        def value_and_slope(x: np.ndarray) -> tuple[float, np.ndarray]:
+            w, bias = x[:-1], x[-1]
+            logit = np.bincount(of, weights=value * w[at], minlength=len(rows)) + bias
+            g = share * (1 / (1 + np.exp(-np.clip(logit, -500, 500))) - y)
+            loss = share @ (np.logaddexp(0, logit) - y * logit) + ridge / 2 * (w @ w)
+            return loss, np.append(np.bincount(at, weights=value * g[of], minlength=len(scale)) + ridge * w, g.sum())
+
+        first = np.append(np.zeros(len(scale)), np.log((share @ y + 1e-9) / (share @ (1 - y) + 1e-9)))
+        self.solution = minimised(value_and_slope, first if start is None else start.solution)
+        self.weights, self.bias = self.solution[:-1] * scale, float(self.solution[-1])
 
     def logits(self, rows: list[np.ndarray]) -> np.ndarray:
         return np.array([self.bias + self.weights[r].sum() for r in rows])
@@ -164,11 +192,13 @@ def _solved(rows: list[np.ndarray], y: np.ndarray, share: np.ndarray, ratio: np.
         number = np.full(len(errors), -1)
         number[kept] = np.arange(len(kept))
         x = [(lambda r: r[r >= 0])(number[r]) for r in rows]
+        part = lambda which: [r for r, w in zip(x, which, strict=True) if w]  # noqa: B023, E731
+        linear = None
         for ridge in RIDGES:
             loss = 0.0
             if both:
-                part = lambda which: [r for r, w in zip(x, which, strict=True) if w]
-                logit = Linear(part(~held), y[~held], share[~held], ratio[kept], ridge).logits(part(held))
+                linear = Linear(part(~held), y[~held], share[~held], ratio[kept], ridge, linear)
+                logit = linear.logits(part(held))
                 loss = share[held] @ (np.logaddexp(0, logit) - y[held] * logit)
             tried.append((loss, len(tried), kept, x, ridge))
     _, _, kept, x, ridge = min(tried, key=lambda t: t[:2])
@@ -182,7 +212,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     n = {bool(r["y"]): r["count"] for r in ids.groupBy("y").count().collect()}
     if len(n) < 2:
         return Model(np.empty(0, np.int64), np.empty(0), {(): 0.0, (True,): 30.0, (False,): -30.0}[tuple(n)])
-    texts = docs.select("doc_id", "text", text_key().alias("_t_h")).join(ids, (F.col("doc_id") == F.col("id")) & (F.col("_t_h") == F.col("h"))).select("text", "y", "h")
+    # a small table of examples goes to the texts, a large one is joined by key
+    few = F.broadcast(ids) if sum(n.values()) <= MOST_BROADCAST else ids
+    texts = docs.select("doc_id", "text", text_key().alias("_t_h")).join(few, (F.col("doc_id") == F.col("id")) & (F.col("_t_h") == F.col("h"))).select("text", "y", "h")
     other, toxic = counts(texts)
     ratio, errors = ratios(toxic, other, n[True], n[False])
     clear = np.flatnonzero(errors >= LEAST_ERRORS[0])
