@@ -36,8 +36,8 @@ from .common import cut_lineage, give_back, prepare, summed_tables
 #: Lengths of n-grams, word marks included.
 SIZES = (3, 4, 5, 6)
 TABLE_BITS = 20
-SAMPLE = 4000
-LEAST_ERRORS, FEATURES = (3.0, 4.0), 10_000
+SAMPLE = 3000
+LEAST_ERRORS, FEATURES = (3.0, 4.0), 5_000
 RIDGES = (1.0, 0.1, 0.01)
 ROUNDS = 100
 #: Up to so many examples (about 40 bytes each) are broadcast to the texts; more are joined by key.
@@ -219,6 +219,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     ratio, errors = ratios(toxic, other, n[True], n[False])
     clear = np.flatnonzero(errors >= LEAST_ERRORS[0])
     kept = np.sort(clear[np.argsort(-errors[clear], kind="stable")][:FEATURES])
+    ratio, errors = ratio[kept], errors[kept]
+    del other, toxic, clear
+    give_back()  # the driver has little memory
     known = docs.sparkSession.sparkContext.broadcast(kept)
     # the texts that come first by hash; their number is bounded by a share of each label's
     place = F.pmod(F.xxhash64("h"), F.lit(1_000_003))
@@ -235,7 +238,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     known.unpersist()
     y = np.array([float(r["y"]) for r in rows])
     share = np.where(y == 1, n[True] / max(y.sum(), 1), n[False] / max((1 - y).sum(), 1))
-    best, linear = _solved([np.frombuffer(r["x"], np.int32) for r in rows], y, share, ratio[kept], errors[kept])
+    best, linear = _solved([np.frombuffer(r["x"], np.int32) for r in rows], y, share, ratio, errors)
     del rows
     give_back()
     return Model(kept[best], linear.weights, linear.bias)
