@@ -31,7 +31,7 @@ SQL = {
     "pairs": "SELECT a.study AS a, b.study AS b, count(*) AS n, round(((count(*) * 37 + a.study * 31 + b.study * 17) % 1000) / 1000.0, 6) AS h4 FROM members a JOIN members b ON a.grp = b.grp AND a.study < b.study GROUP BY a.study, b.study",
 }
 #: CTEs that each CTE reads.
-NEEDS = {"snps": ["sumstats"], "pairs": ["members"], "reach": ["edges"]}
+NEEDS = {"snps": ["sumstats"], "pairs": ["members"], "reach": ["edges"], "strong": ["edges"], "spread": ["strong"]}
 
 
 def with_sql(*names: str) -> str:

@@ -97,19 +97,64 @@ def in_all(df: DataFrame, item: str, group: str, k: int) -> DataFrame:
     return df.groupBy(item).agg(F.countDistinct(group).alias("n")).where(F.col("n") == k).select(item)
 
 
-def index_rows(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
-    """Rows at the largest value of their key, with the names of the others."""
-    w = Window.partitionBy(key)
-    marked = df.withColumn("_top", F.max(value).over(w))
-    rest = marked.where(F.col(value) < F.col("_top")).groupBy(key).agg(F.array_join(F.array_sort(F.collect_list(name)), ", ").alias("others"))
-    return marked.where(F.col(value) == F.col("_top")).drop("_top").join(rest, key, "left")
+def index_rows(df: DataFrame, key: str, value: str, name: str, hits: str | None = None) -> DataFrame:
+    """Rows at the largest value of their key, with the names of the others, sorted.
 
+    With ``hits`` also top_hits: whether the index row (of ties in ``value``
+    the least name) has the most hits of its key as well.
+    """
+    best = F.struct(F.col(value), F.col(name))
+    # one aggregation with map-side combine; only the names of a key are gathered
+    more = [F.max(hits).alias("_hits"), F.min_by(hits, F.struct(-F.col(value), F.col(name))).alias("_own")] if hits else []
+    per = df.groupBy(key).agg(F.max(value).alias("_top"), F.collect_list(best).alias("_all"), *more)
+    others = F.array_join(F.array_sort(F.transform(F.filter("_all", lambda s: s[value] < F.col("_top")), lambda s: s[name])), ", ")
+    per = per.select(key, "_top", F.when(others != "", others).alias("others"), *([F.col("_own").eqNullSafe(F.col("_hits")).alias("top_hits")] if hits else []))
+    return df.join(per, key).where(F.col(value) == F.col("_top")).drop("_top")
+
+
+def connectedness(pairs: DataFrame, members: DataFrame, threshold: float = 0.8, posteriors: tuple[str, ...] = ("h4",)) -> DataFrame:
+    """(component, n_pairs, and for each posterior its connectedness): share of pairs inside a component at or above the threshold.
 
-def connectedness(pairs: DataFrame, members: DataFrame, threshold: float = 0.8) -> DataFrame:
-    """(component, n_pairs, connectedness): share of pairs inside a component at or above the threshold."""
+    The first posterior's share is ``connectedness``; if there are several,
+    each one's is ``<name>_connectedness``.
+    """
     a, b = members.toDF("a", "component"), members.toDF("b", "component_b")
     inside = pairs.join(a, "a").join(b, "b").where("component = component_b")
-    return inside.groupBy("component").agg(F.count("*").alias("n_pairs"), (F.sum((F.col("h4") >= threshold).cast("int")) / F.count("*")).alias("connectedness"))
+    share = lambda h: F.sum((F.col(h) >= threshold).cast("int")) / F.count("*")
+    names = ["connectedness"] if len(posteriors) == 1 else [f"{h}_connectedness" for h in posteriors]
+    return inside.groupBy("component").agg(F.count("*").alias("n_pairs"), *[share(h).alias(n) for h, n in zip(posteriors, names, strict=True)])
+
+
+def error_rates(pairs: DataFrame, members: DataFrame, group: str, most_p: float = 5e-8, threshold: float = 0.8) -> DataFrame:
+    """One row: significant pairs, false positives among them, pairs expected inside groups, false negatives among those.
+
+    ``pairs``: h4, min_p_a, min_p_b, false_positive, false_negative; both ends
+    must be below ``most_p``.  ``members``: one row per member of a group, of
+    which n (n - 1) / 2 pairs are expected.
+    """
+    expected = members.groupBy(group).agg(F.count("*").alias("_n")).agg(F.sum(F.expr("_n * (_n - 1) / 2")).alias("expected_pairs"))
+    strong = pairs.where((F.col("min_p_a") < most_p) & (F.col("min_p_b") < most_p))
+    high = F.col("h4") > threshold
+    n = strong.agg(F.count("*").alias("n_pairs"), F.count_if(high).alias("n_significant"), F.count_if(high & F.col("false_positive")).alias("n_false_positive"), F.count_if("false_negative").alias("n_false_negative"))
+    out = n.crossJoin(F.broadcast(expected))  # one row each
+    return out.withColumns({"false_positive_rate": F.try_divide("n_false_positive", "n_significant"), "false_negative_rate": F.try_divide("n_false_negative", "expected_pairs")})
+
+
+def masked_summary(results: DataFrame, cut: str, threshold: float = 0.8) -> DataFrame:
+    """Per cut-off (null: the baseline, first; then falling): pairs, mean, median, greatest and share of high h4, and the same of the stored h4.
+
+    ``results``: the cut, h4 of the masked run and file_h4 of the stored one
+    (null where there is none).  Pairs without a masked h4 are left out.
+    """
+    h, f = F.col("h4"), F.col("file_h4")
+    passes, stored = h >= threshold, f >= threshold
+    there = F.count("file_h4")
+    out = results.where("h4 IS NOT NULL").groupBy(cut).agg(
+        F.count("*").alias("n_controls"), F.avg(h).alias("mean_h4"), F.median(h).alias("median_h4"), F.max(h).alias("max_h4"),
+        F.count_if(passes).alias("n_passing"), (F.count_if(passes) / F.count("*")).alias("fraction_passing"),
+        F.avg(f).alias("mean_file_h4"), there.alias("n_file"), F.try_divide(F.count_if(stored), there).alias("fraction_file_passing"), F.try_divide(F.count_if(passes & stored), there).alias("fraction_both_passing"),
+    )
+    return out.orderBy(F.col(cut).desc_nulls_first())
 
 
 def fdr(df: DataFrame, p: str, over: list[str]) -> DataFrame:

@@ -26,7 +26,7 @@ def degrees(edges: DataFrame) -> DataFrame:
     return edges.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("degree"))
 
 
-def components(edges: DataFrame, most: int = 50) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(node, component): least reachable node.
 
     Alternates large-star and small-star steps (each a min-aggregation with
@@ -36,19 +36,18 @@ def components(edges: DataFrame, most: int = 50) -> DataFrame:
     e = cut_lineage(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     nodes = e.select(F.explode(F.array("u", "v")).alias("node")).distinct()
     e, before = e.where("u <> v"), None
-    for _ in range(most):
+    while True:
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         hooked = large.join(low, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
         e = cut_lineage(hooked.select("e.*").where("u <> v").distinct())
-        now = e.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
+        now = e.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             root = e.groupBy("u").agg(F.min("v").alias("c"))
             return nodes.join(root, nodes["node"] == root["u"], "left").select("node", F.coalesce("c", "node").alias("component"))
         before = now
-    raise RuntimeError("components did not settle")
 
 
 def _plogp(x):
@@ -215,6 +214,21 @@ def measures(edges: DataFrame, comp: DataFrame) -> DataFrame:
     return out.withColumn("density", density).withColumn("transitivity", transitivity).drop("_paths", "_tri")
 
 
+def summary(edges: DataFrame, comp: DataFrame, unpruned: DataFrame) -> DataFrame:
+    """One row over the components: their number, mean weight, transitivity and conductance, and median size.
+
+    A component's conductance is the share of the weight of all edges of
+    ``unpruned`` that touch its nodes which is not inside the component.
+    """
+    c = comp.select("node", "component")
+    inside = edges.join(c.toDF("a", "component"), "a").groupBy("component").agg(F.sum("w").alias("_inside"))
+    sides = unpruned.join(c.toDF("a", "_ca"), "a", "left").join(c.toDF("b", "_cb"), "b", "left")
+    touched = sides.select("w", F.explode(F.array_distinct(F.array_compact(F.array("_ca", "_cb")))).alias("component")).groupBy("component").agg(F.sum("w").alias("_touched"))
+    m = measures(edges, comp).join(inside, "component").join(touched, "component", "left")
+    cond = F.when(F.col("_touched") > 0, (F.col("_touched") - F.col("_inside")) / F.col("_touched")).otherwise(F.lit(0.0))
+    return m.agg(F.count("*").alias("n_components"), F.avg("mean_weight").alias("mean_weight"), F.avg("transitivity").alias("mean_transitivity"), F.avg(cond).alias("mean_conductance"), F.median("n_nodes").alias("median_size"))
+
+
 def conductance(edges: DataFrame, labels: DataFrame) -> DataFrame:
     """(community, conductance): weight that leaves a community over its whole weight."""
     n = labels.select("node", "community")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from ..constants import COLOC_PRIORS, IMPUTATION_LD_R, MIN_SHARED_SNPS
+from ..scratch import cut_lineage
 
 # ---- closed forms ---------------------------------------------------------------------------------------------
 
@@ -107,13 +108,28 @@ def ivw(df: DataFrame, over: list[str]) -> DataFrame:
     return df.groupBy(*over).agg((F.sum(F.col("bx") * F.col("by") * w) / F.sum(F.col("bx") * F.col("bx") * w)).alias("slope"), (1 / F.sqrt(F.sum(F.col("bx") * F.col("bx") * w))).alias("se"), F.count("*").alias("n"))
 
 
+def ivw_by_set(df: DataFrame, over: list[str], instrument: str) -> DataFrame:
+    """Slopes by instrument set (cis, trans, indirect cis): inverse-variance weighted, the Wald ratio where a set has one instrument."""
+    return ivw(df, [*over, instrument]).withColumn("method", F.when(F.col("n") == 1, "wald").otherwise("ivw"))
+
+
 def ks_distance(df: DataFrame, side: str, value: str) -> DataFrame:
-    """Largest gap of the two empirical distributions (side is a boolean): ties are aggregated before the running sums."""
+    """Largest gap of the two empirical distributions (side is a boolean).
+
+    Ties are summed first; the distinct values are range-partitioned, and each
+    partition starts at the sums of those before it, so no task holds them all.
+    """
     at = df.groupBy(value).agg(F.sum(F.col(side).cast("long")).alias("n1"), F.sum((~F.col(side)).cast("long")).alias("n0"))
-    w = Window.orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    all_ = Window.partitionBy()
-    gap = F.abs(F.sum("n1").over(w) / F.sum("n1").over(all_) - F.sum("n0").over(w) / F.sum("n0").over(all_))
-    return at.select(gap.alias("gap")).agg(F.max("gap").alias("d"))
+    at = cut_lineage(at.repartitionByRange(value).withColumn("_part", F.spark_partition_id()))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    # one row for each partition
+    per = at.groupBy("_part").agg(F.sum("n1").alias("s1"), F.sum("n0").alias("s0"))
+    per = per.select("_part", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"b{c[1]}") for c in ("s1", "s0")])
+    whole = at.agg(F.sum("n1").alias("t1"), F.sum("n0").alias("t0"))
+    w = Window.partitionBy("_part").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    run = at.withColumns({"u1": F.sum("n1").over(w), "u0": F.sum("n0").over(w)}).join(F.broadcast(per), "_part").crossJoin(F.broadcast(whole))
+    gap = F.abs((F.col("u1") + F.col("b1")) / F.col("t1") - (F.col("u0") + F.col("b0")) / F.col("t0"))
+    return run.agg(F.max(gap).alias("d"))
 
 
 def ld_long(matrix: DataFrame, leads: DataFrame, keep_r2: float = 0.8) -> DataFrame:
@@ -146,14 +162,19 @@ def polynomial(x: np.ndarray, y: np.ndarray, clean: np.ndarray, degree: int = 3)
     return basis @ np.linalg.lstsq(basis[clean], y[clean], rcond=None)[0]
 
 
-def eigen_imputed(z: np.ndarray, seen: np.ndarray, ld: np.ndarray, share: float = 0.9) -> np.ndarray:
-    """z for all SNPs: regression of the seen ones on the leading eigenvectors that hold ``share`` of the variance."""
-    values, vectors = np.linalg.eigh(ld)
-    order = np.argsort(values)[::-1]
-    values, vectors = np.maximum(values[order], 0), vectors[:, order]
-    k = int(np.searchsorted(np.cumsum(values) / values.sum(), share)) + 1
-    basis = np.column_stack([np.ones(len(z)), vectors[:, : min(k, max(1, int(seen.sum()) - 2))]])
-    return basis @ np.linalg.lstsq(basis[seen], z[seen], rcond=None)[0]
+def eigen_imputed(z: np.ndarray, seen: np.ndarray, upto: np.ndarray, vectors: np.ndarray, share: float = 0.9) -> np.ndarray:
+    """z for all SNPs of all studies (rows): regression of the seen ones on the leading eigenvectors that hold ``share`` of the variance.
+
+    ``upto``: share of the variance up to each eigenvector.  Studies that have
+    seen the same SNPs are solved for together.
+    """
+    out, k = np.empty(z.shape), int(np.searchsorted(upto, share)) + 1
+    patterns, which = np.unique(seen, axis=0, return_inverse=True)
+    for i, pattern in enumerate(patterns):
+        rows = np.flatnonzero(which.reshape(-1) == i)
+        basis = np.column_stack([np.ones(z.shape[1]), vectors[:, : min(k, max(1, int(pattern.sum()) - 2))]])
+        out[rows] = (basis @ np.linalg.lstsq(basis[pattern], z[rows][:, pattern].T, rcond=None)[0]).T
+    return out
 
 
 def elastic_net_path(x: np.ndarray, y: np.ndarray, penalties: np.ndarray, mix: float = 0.5, rounds: int = 2000, tolerance: float = 1e-9, exact: bool = True) -> np.ndarray:
@@ -210,10 +231,11 @@ def raiss(z: np.ndarray, seen: np.ndarray, ld: np.ndarray, ridge: float = 0.01,
 
 
 def projected(x: np.ndarray, missing: np.ndarray, basis: np.ndarray, rounds: int = 30) -> np.ndarray:
-    """Missing entries by repeated projection on a basis, from the mean on."""
-    out = np.where(missing, x[~missing].mean() if (~missing).any() else 0.0, x)
+    """Missing entries of all rows by repeated projection on a basis, from the row's mean on."""
+    seen = (~missing).sum(1, keepdims=True)
+    out = np.where(missing, np.where(missing, 0.0, x).sum(1, keepdims=True) / np.maximum(seen, 1), x)
     for _ in range(rounds):
-        out = np.where(missing, basis @ (basis.T @ out), out)
+        out = np.where(missing, out @ basis @ basis.T, out)
     return out
 
 
@@ -222,57 +244,6 @@ def conditional_spread(index: np.ndarray, effect: np.ndarray, ld: np.ndarray, sd
     return (ld[:, index] * sd[index] / sd[:, None]) @ effect
 
 
-def prior_variance(bhat: np.ndarray, s2: np.ndarray) -> float:
-    """Prior variance of one effect that makes the data likeliest, by ever finer grids on its logarithm; 0 if none is likelier."""
-    lo, hi = -30.0, 15.0
-    for _ in range(4):
-        grid = np.linspace(lo, hi, 31)
-        v = np.exp(grid)[:, None]
-        lbf = 0.5 * np.log(s2 / (s2 + v)) + 0.5 * bhat**2 / s2 * v / (s2 + v)
-        top = lbf.max(1)
-        likely = top + np.log(np.exp(lbf - top[:, None]).mean(1))
-        k = int(np.argmax(likely))
-        lo, hi = grid[max(k - 1, 0)], grid[min(k + 1, 30)]
-    return float(np.exp(grid[k])) if likely[k] > 1e-9 else 0.0
-
-
-def susie(z: np.ndarray, ld: np.ndarray, n: float, effects: int = 10, prior: float = 0.2, rounds: int = 100, coverage: float = 0.95, purity: float = 0.5) -> tuple[list[np.ndarray], np.ndarray, bool]:
-    """(credible sets, log Bayes factors by effect, converged): iterative Bayesian stepwise selection on z-scores.
-
-    The residual variance is 1; each effect's prior variance starts at
-    ``prior`` and is estimated in each round, and effects of none give no set.
-    """
-    p = len(z)
-    shrink = np.sqrt((n - 1) / (z**2 + n - 2))
-    xty, xtx = np.sqrt(n - 1) * z * shrink, (n - 1) * ld
-    alpha, mu, lbf, v = np.full((effects, p), 1 / p), np.zeros((effects, p)), np.zeros((effects, p)), np.full(effects, prior)
-    d = np.diag(xtx)
-    s2, total, done = 1 / d, np.zeros(p), False
-    for _ in range(rounds):
-        before = alpha.copy()
-        for k in range(effects):
-            total = total - alpha[k] * mu[k]
-            bhat = (xty - xtx @ total) / d
-            v[k] = prior_variance(bhat, s2)
-            lbf[k] = 0.5 * np.log(s2 / (s2 + v[k])) + 0.5 * bhat**2 / s2 * v[k] / (s2 + v[k])
-            w = np.exp(lbf[k] - lbf[k].max())
-            alpha[k] = w / w.sum()
-            mu[k] = bhat * v[k] / (s2 + v[k])
-            total = total + alpha[k] * mu[k]
-        if np.abs(alpha - before).max() < 1e-3:
-            done = True
-            break
-    sets = []
-    for k in np.flatnonzero(v > 1e-9):
-        order = np.argsort(-alpha[k], kind="stable")
-        members = np.sort(order[: int(np.searchsorted(np.cumsum(alpha[k][order]), coverage)) + 1])
-        # in blocks of rows: a set may hold most of a region
-        pure = all(np.abs(ld[np.ix_(members[i : i + 256], members)]).min() >= purity for i in range(0, len(members), 256))
-        if pure and not any(np.array_equal(members, s) for s in sets):
-            sets.append(members)
-    return sets, lbf, done
-
-
 def clump(z: np.ndarray, ld: np.ndarray, r2: float = 0.1, least: float = 0.0, pos: np.ndarray | None = None, width: float = 1_000_000) -> np.ndarray:
     """Indices of lead SNPs: the strongest, then the strongest not yet covered by LD (and distance), until below ``least``."""
     left, leads = np.abs(z).astype(float), []
@@ -372,18 +343,6 @@ def multivariable(bx: np.ndarray, by: np.ndarray, se: np.ndarray, se_x: np.ndarr
     return inv @ (bx * w[:, None]).T @ by, np.sqrt(np.diag(inv)), f
 
 
-def simulated(ld: np.ndarray, eaf: np.ndarray, causal: np.ndarray, n: float, h2: float, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(joint effects, marginal estimates, standard errors) of a trait whose causal SNPs explain ``h2`` of its variance."""
-    rng = np.random.default_rng(seed)
-    sd = np.sqrt(2 * eaf * (1 - eaf))
-    scaled = np.where(causal, rng.normal(size=len(eaf)), 0.0)
-    explained = scaled @ ld @ scaled
-    scaled = scaled * np.sqrt(h2 / explained) if explained > 0 else scaled
-    values, vectors = np.linalg.eigh(ld)
-    noise = vectors @ (np.sqrt(np.maximum(values, 0)) * rng.normal(size=len(eaf)))
-    return scaled / sd, (ld @ scaled + noise / np.sqrt(n)) / sd, 1 / (sd * np.sqrt(n))
-
-
 def poisson_fit(x: np.ndarray, y: np.ndarray, rounds: int = 50) -> np.ndarray:
     """Coefficients (intercept first) of a Poisson regression by reweighted least squares."""
     x = np.column_stack([np.ones(len(y)), x])
@@ -397,25 +356,19 @@ def poisson_fit(x: np.ndarray, y: np.ndarray, rounds: int = 50) -> np.ndarray:
     return b
 
 
-def imputed_study(rows: pd.DataFrame, ld: np.ndarray, least: int = 10) -> pd.DataFrame:
-    """Dense imputation of one study in one block: z from LD eigenvectors, errors from allele frequency, then effects and p.
+def imputed_studies(z: np.ndarray, se: np.ndarray, eaf: np.ndarray, seen: np.ndarray, upto: np.ndarray, vectors: np.ndarray, least: int = 10) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(z, se, imputed) of the studies (rows) of one block: z from LD eigenvectors, errors from allele frequency.
 
-    Rows: z, se, eaf, seen.  Returned unchanged where too little is seen.
+    Studies with too little seen, or with nothing to impute, stay as they are.
     """
-    from math import erfc, sqrt
-
-    seen = rows["seen"].to_numpy(bool)
-    out = rows.copy()
-    if seen.sum() < least or seen.all():
-        return out
-    z = np.where(seen, rows["z"], 0.0).astype(float)
-    fitted = eigen_imputed(z, seen, ld)
-    scale = np.std(z[seen]) / max(np.std(fitted[seen]), 1e-9)
-    eaf = rows["eaf"].to_numpy(float)
-    basis = 1 / np.sqrt(2 * eaf * (1 - eaf))
-    slope = (basis[seen] @ rows["se"].to_numpy(float)[seen]) / (basis[seen] @ basis[seen])
-    out["z"] = np.where(seen, z, fitted * scale)
-    out["se"] = np.where(seen, rows["se"], slope * basis)
-    out["beta"] = out["z"] * out["se"]
-    out["p"] = [erfc(abs(v) / sqrt(2)) for v in out["z"]]
-    return out
+    z, se, take = z.copy(), se.copy(), (seen.sum(1) >= least) & ~seen.all(1)
+    if take.any():
+        own, there = np.where(seen, z, 0.0)[take], seen[take]
+        fitted = eigen_imputed(own, there, upto, vectors)
+        spread = lambda v: np.array([np.std(r[s]) for r, s in zip(v, there, strict=True)])
+        scale = spread(own) / np.maximum(spread(fitted), 1e-9)
+        basis = 1 / np.sqrt(2 * eaf[take] * (1 - eaf[take]))
+        slope = np.where(there, basis * se[take], 0.0).sum(1) / np.where(there, basis * basis, 0.0).sum(1)
+        z[take] = np.where(there, own, fitted * scale[:, None])
+        se[take] = np.where(there, se[take], slope[:, None] * basis)
+    return z, se, ~seen & take[:, None]

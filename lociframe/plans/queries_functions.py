@@ -133,7 +133,7 @@ def f20_bayes_factor(x: Fixtures):
     return x.sumstats.select(*KEY, _r(S.bayes_factor(F.col("beta") / F.col("se"), "se", F.lit(0.2)), 6, "lbf"))
 
 
-@query("SELECT study, snp, round(sqrt(greatest((2 * lbf - ln(1 - r)) / r, 0)), 5) AS z FROM (SELECT *, 50.0 / (50.0 + (0.1 + snp / 100.0) * (0.1 + snp / 100.0)) AS r FROM lbf)", "lbf")
+@query("SELECT study, snp, round(sqrt(greatest((2 * lbf - ln(sqrt(1 - r))) / r, 0)), 5) AS z FROM (SELECT *, 50.0 / (50.0 + (0.1 + snp / 100.0) * (0.1 + snp / 100.0)) AS r FROM lbf)", "lbf")
 def f21_z_from_lbf(x: Fixtures):
     return x.lbf.select("study", "snp", _r(S.abs_z_from_lbf("lbf", F.lit(0.1) + F.col("snp") / 100.0), 5, "z"))
 

@@ -12,6 +12,10 @@ from .registry import query
 SQL["edges"] = "SELECT DISTINCT least(c_custkey, t) AS a, greatest(c_custkey, t) AS b, 0.5 + (c_custkey % 50) / 100.0 AS w FROM (SELECT CAST(c_custkey AS BIGINT) AS c_custkey, CAST((c_custkey * 13) % 997 + c_custkey - c_custkey % 997 AS BIGINT) AS t FROM customer WHERE c_custkey % 3 <> 0) WHERE c_custkey <> t AND t % 5 <> 0"
 SQL["reach"] = "SELECT node, min(m) AS component FROM (WITH RECURSIVE r(node, m) AS (SELECT a, a FROM edges UNION SELECT b, b FROM edges UNION SELECT CASE WHEN e.a = r.node THEN e.b ELSE e.a END, r.m FROM r JOIN edges e ON e.a = r.node OR e.b = r.node) SELECT * FROM r) GROUP BY node"
 
+#: The same without its weaker edges.
+SQL["strong"] = "SELECT * FROM edges WHERE w >= 0.7"
+SQL["spread"] = SQL["reach"].replace("edges", "strong")
+
 
 def _edges(x: Fixtures):
     c = F.col("c_custkey").cast("long")
@@ -126,6 +130,18 @@ def g14_conductance(x: Fixtures):
     return G.conductance(e, _labels(x, e)).select("community", F.round("conductance", 6).alias("conductance"))
 
 
+_PER_COMPONENT = "SELECT c.component, c.n, e.w AS mean_weight, CASE WHEN p.k > 0 THEN 3 * coalesce(t.k, 0) / p.k ELSE 0 END AS transitivity, (o.w - e.s) / o.w AS conductance FROM (SELECT component, count(*) AS n FROM spread GROUP BY 1) c JOIN (SELECT component, avg(w) AS w, sum(w) AS s FROM strong JOIN spread ON a = node GROUP BY 1) e USING (component) JOIN (SELECT component, sum(w) AS w FROM (SELECT DISTINCT component, a, b, w FROM edges JOIN spread ON node = a OR node = b) GROUP BY 1) o USING (component) LEFT JOIN (SELECT component, sum(d * (d - 1) / 2) AS k FROM (SELECT node, count(*) AS d FROM (SELECT unnest([a, b]) AS node FROM strong) GROUP BY 1) JOIN spread USING (node) GROUP BY 1) p USING (component) LEFT JOIN (SELECT component, count(*) AS k FROM strong x JOIN strong y ON x.b = y.a JOIN strong z ON z.a = x.a AND z.b = y.b JOIN spread ON x.a = node GROUP BY 1) t USING (component)"
+
+
+@query(f"SELECT CAST(count(*) AS BIGINT) AS n_components, round(avg(mean_weight), 6) AS mean_weight, round(avg(transitivity), 6) AS mean_transitivity, round(avg(conductance), 6) AS mean_conductance, median(n) AS median_size FROM ({_PER_COMPONENT})", "edges strong spread")
+def g14_summary(x: Fixtures):
+    """Means and median over the components of a pruned graph, their conductance against the graph before."""
+    e = G.cut_lineage(_edges(x))
+    kept = e.where("w >= 0.7")
+    out = G.summary(kept, G.components(kept), e)
+    return out.select("n_components", *[F.round(c, 6).alias(c) for c in ("mean_weight", "mean_transitivity", "mean_conductance")], "median_size")
+
+
 @query()
 def g15_centralities(x: Fixtures):
     e = _edges(x)

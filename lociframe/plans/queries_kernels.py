@@ -14,10 +14,13 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
+from .. import scratch
 from ..fixtures import Fixtures
+from ..functions import scalar as S
+from ..operators import finemap as FM
 from ..operators import kernels as K
-from ..operators import ld as LD
 from ..operators import windows as W
+from ..sources import ld_store
 from .registry import query
 
 N = 10_000.0
@@ -45,9 +48,49 @@ def _kernel(f, columns: str):
     return lambda df: K.by_group(df, ["study"], run, "study long, " + columns)
 
 
+#: Stores of this session, by application and tables.
+_stores: dict[tuple[str, str], str] = {}
+
+
+def _store(x: Fixtures) -> str:
+    """The stored LD of the tables: packed and factored once a session, read by all kernels."""
+    key = (x.spark.sparkContext.applicationId, x.dir)
+    if key not in _stores:
+        path = scratch.fresh(x.spark, "ld")
+        ld_store.write(x.ld, path)
+        _stores[key] = path
+    return _stores[key]
+
+
 def _with_ld(x: Fixtures, kernel, columns: str):
-    """``kernel(rows, matrix)`` of every study with the LD rows of its block."""
-    return LD.by_study(_vectors(x), x.ld, kernel, columns)
+    """``kernel(rows, matrix)`` of every study with the stored matrix of its block."""
+
+    def run(frames: list[pd.DataFrame], held: ld_store.Block) -> list:
+        at = [held.places(one["snp"].to_numpy()) for one in frames]
+        return [kernel(one, held.r[np.ix_(a, a)]) for one, a in zip(frames, at, strict=True)]
+
+    return ld_store.by_block(_vectors(x), _store(x), run, columns).drop("ld_known")
+
+
+def _with_factors(x: Fixtures, kernel, columns: str, share: float, unknown=None):
+    """``kernel(arrays, block)`` of all studies of a group at once, with the leading eigenvectors of their block.
+
+    ``arrays``: z, se, eaf and seen of each study (rows) at each SNP of the
+    block; SNPs that a study doesn't have are not seen.  The kernel gives
+    arrays of the same shape by name.
+    """
+    names = [c.split()[0] for c in columns.split(", ")]
+
+    def run(frames: list[pd.DataFrame], held: ld_store.Block) -> list:
+        at = [held.places(one["snp"].to_numpy()) for one in frames]
+        arrays = {c: np.full((len(frames), len(held.snps)), fill) for c, fill in (("z", 0.0), ("se", 1.0), ("eaf", 0.5), ("seen", False))}
+        for i, (one, a) in enumerate(zip(frames, at, strict=True)):
+            for c in arrays:
+                arrays[c][i, a] = one[c]
+        got = kernel(arrays, held)
+        return [{"snp": one["snp"], **{c: got[c][i, a] for c in names[1:]}} for i, (one, a) in enumerate(zip(frames, at, strict=True))]
+
+    return ld_store.by_block(_vectors(x), _store(x), run, columns, matrix=False, share=share, unknown=unknown)
 
 
 @query("SELECT study, round(sqrt(sum(x * y) / sum(x * x)), 6) AS sd FROM (SELECT study, 2 * 10000.0 * eaf * (1 - eaf) AS y, 1 / (se * se) AS x FROM snps) GROUP BY study HAVING sum(x * y) / sum(x * x) >= 0", "snps")
@@ -85,7 +128,8 @@ def k5_cooks_distance(x: Fixtures):
 
 @query()
 def k6_eigen_imputation(x: Fixtures):
-    return _with_ld(x, lambda p, ld: {"snp": p["snp"], "z": K.eigen_imputed(p["z"].to_numpy(), p["seen"].to_numpy(), ld)}, "snp long, z double")
+    f = lambda v, held: {"z": K.eigen_imputed(v["z"], v["seen"], held.upto, held.vectors)}
+    return _with_factors(x, f, "snp long, z double", 0.9, unknown=lambda p: {"snp": p["snp"], "z": p["z"].where(p["seen"])})
 
 
 @query()
@@ -100,10 +144,16 @@ def k7_elastic_net_imputation(x: Fixtures):
 
 @query()
 def k8_dense_imputation(x: Fixtures):
-    def f(p, ld):
-        return K.imputed_study(p.assign(p=[erfc(abs(v) / sqrt(2)) for v in p["z"]]), ld)[["snp", "z", "se", "beta", "p"]]
+    """Effects of all SNPs; studies whose block has no LD come back as they are (ld_known false)."""
 
-    return _with_ld(x, f, "snp long, z double, se double, beta double, p double")
+    def f(v, held):
+        z, se, imputed = K.imputed_studies(v["z"], v["se"], v["eaf"], v["seen"], held.upto, held.vectors)
+        return {"z": z, "se": se, "beta": z * se, "p": np.vectorize(erfc)(np.abs(z) / sqrt(2)), "imputed": imputed}
+
+    def unknown(p):
+        return p[["snp", "z", "se", "beta"]].assign(p=[erfc(abs(v) / sqrt(2)) for v in p["z"]], imputed=False)
+
+    return _with_factors(x, f, "snp long, z double, se double, beta double, p double, imputed boolean", 0.9, unknown)
 
 
 @query("SELECT study, chr, bp, chr % 3 = 0 AS imputed, CASE WHEN chr % 3 = 0 THEN 0 ELSE beta END AS beta, CASE WHEN chr % 3 = 0 THEN 1 ELSE se END AS se FROM snps", "snps")
@@ -133,16 +183,72 @@ def k11_conditional_imputation(x: Fixtures):
     return _with_ld(x, f, "snp long, z double, r2 double, ld_score double")
 
 
+def _to_map(x: Fixtures):
+    """Studies to fine-map: signals three times as strong; every seventh is sparse, every eleventh has few SNPs."""
+    t = _vectors(x).withColumn("z", F.col("z") * 3).withColumn("p", F.round(S.two_sided_p("z"), 12))
+    t = t.withColumns({"bp": F.col("snp") * 50_000, "n": F.lit(N), "sparse": F.col("study") % 7 == 0})
+    return t.where((F.col("study") % 11 != 0) | (F.col("snp") < 40))
+
+
+def _fine_mapped(x: Fixtures) -> tuple:
+    """(rows, start): the stored fine-mapped rows of all studies, and where each study started."""
+    path = scratch.fresh(x.spark, "finemapped")
+    FM.fine_mapped(_to_map(x), _store(x), discard=30, smallest=50).write.parquet(path)
+    start = x.table("embeddings").select(F.col("label").cast("long").alias("blk"), F.col("vec_id").cast("long").alias("study"), F.lit(1_600_000).alias("start_bp"), F.lit("cis").alias("cis_trans"))
+    return x.spark.read.parquet(path), start
+
+
 @query()
 def k12_fine_mapping(x: Fixtures):
-    """Credible sets of each study: their number, the members of each as a list, and whether the fit settled."""
+    """Fine-mapped rows: one for each SNP of each credible set, with the branches for studies without two sets."""
+    return _fine_mapped(x)[0]
+
+
+@query()
+def k13_fine_mapped_leads(x: Fixtures):
+    """The catalog: a lead for each credible set of the fine-mapped studies, quarantined SNPs left out."""
+    return FM.split(*_fine_mapped(x))[1]
+
+
+@query()
+def k13_sets_colocalised(x: Fixtures):
+    """Fine-mapping, split and colocalisation in one plan: all pairs of credible sets of different studies of a block."""
+    rows, leads, _ = FM.split(*_fine_mapped(x))
+    rows = rows.withColumn("name", F.col("ident"))
+    s = leads.select("blk", F.col("ident").alias("s"), "study")
+    pairs = s.toDF("blk", "a", "study_a").join(s.toDF("blk", "b", "study_b"), "blk").where("a < b AND study_a <> study_b").select("a", "b")
+    return K.coloc(pairs, rows.select("name", "snp", "lbf"), study="name").select("a", "b", "nsnps", *[_r(f"h{i}") for i in range(5)], "ignored")
+
+
+#: Rows as a fine-mapping leaves them: every vector is a set of a study, whose number is the vector's modulo 40.
+_SETS = f"SELECT *, CASE WHEN success THEN {S.erfc_sql('sqrt(greatest((2 * lbf0 - ln(sqrt(1 - 50 / (50 + se * se)))) / (50 / (50 + se * se)), 0)) / sqrt(2.0::DOUBLE)')} END AS lbf_p, CASE WHEN success THEN lbf0 ELSE (ln(1 - 0.04::DOUBLE / (0.04::DOUBLE + se * se)) + 0.04::DOUBLE / (0.04::DOUBLE + se * se) * z * z) / 2 END AS lbf FROM (SELECT *, concat(study, '_', blk, '_', set) AS ident FROM (SELECT blk, study % 40 AS study, CAST(study // 40 + 1 AS INTEGER) AS set, snp, snp * 50000 AS bp, lbf / 6 AS z, 0.01::DOUBLE + snp % 5 / 50.0::DOUBLE AS se, exp(-abs(lbf) / 3) AS p, lbf AS lbf0, lbf > 4 AS in_set, study % 40 % 3 <> 0 AS success FROM lbf))"
+_BAD = "coalesce(success AND lbf_p < 0.00015 AND p > 0.001, FALSE)"
+
+
+def _sets(x: Fixtures) -> tuple:
+    """(rows, start) for split, as _SETS has them."""
+    study = F.col("study") % 40
+    message = F.when(study % 3 != 0, "success").when(study % 2 == 0, "less_than_2_cs").otherwise("sparse_population")
+    rows = x.lbf.select("blk", study.alias("study"), (F.floor(F.col("study") / 40) + 1).cast("int").alias("set"), "snp", (F.col("snp") * 50_000).alias("bp"), (F.col("lbf") / 6).alias("z"), (0.01 + F.col("snp") % 5 / 50.0).alias("se"), F.lit(0.3).alias("eaf"), F.exp(-F.abs("lbf") / 3).alias("p"), "lbf", (F.col("lbf") > 4).alias("in_set"), message.alias("message"), F.when(message == "less_than_2_cs", F.lit(7)).cast("long").alias("lead"))
+    return rows, rows.select("blk", "study").distinct().select("blk", "study", (F.col("study") * 80_000).alias("start_bp"), F.lit("cis").alias("cis_trans"))
 
-    def f(p, ld):
-        sets, _, done = K.susie(p["z"].to_numpy() * 3, ld, N)
-        snps = p["snp"].to_numpy()
-        return {"n_sets": [len(sets)], "converged": [done], "sets": [sorted(snps[s].tolist() for s in sets)]}
 
-    return _with_ld(x, f, "n_sets int, converged boolean, sets array<array<long>>")
+_FIRST = "{'a': CASE WHEN NOT success AND study % 2 = 0 AND snp = 7 THEN 0 ELSE 1 END, 'b': CASE WHEN success THEN lbf_p ELSE p END, 'c': snp}"
+
+
+@query(f"SELECT ident, study, set, snp, round(min_p, 9) AS min_p, round(lbf, 6) AS lbf, n_in_set, CASE WHEN bool_or(far) OVER (PARTITION BY blk, study) THEN 'trans' ELSE 'cis' END AS cis_trans FROM (SELECT ident, blk, study, set, arg_min(snp, {_FIRST}) AS snp, min(CASE WHEN success THEN lbf_p ELSE p END) AS min_p, arg_min(lbf, {_FIRST}) AS lbf, CAST(count(*) FILTER (in_set) AS BIGINT) AS n_in_set, bool_and(success) AND abs(arg_min(bp, {_FIRST}) - study * 80000) >= 1000000 AS far FROM ({_SETS}) WHERE NOT {_BAD} GROUP BY ident, blk, study, set)", "lbf")
+def k13_split_leads(x: Fixtures):
+    """Leads of credible sets: least p by Bayes factor, the set's size, cis or trans by where the leads of all sets lie."""
+    leads = FM.split(*_sets(x))[1]
+    return leads.select("ident", "study", "set", "snp", _r("min_p", 9), _r("lbf"), "n_in_set", "cis_trans")
+
+
+@query(f"SELECT {_BAD} AS bad, ident, snp, round(lbf, 6) AS lbf, round(lbf_p, 9) AS lbf_p FROM ({_SETS})", "lbf")
+def k13_split_rows(x: Fixtures):
+    """Rows of the sets, and those quarantined because their Bayes factor is inflated against their own p."""
+    rows, _, bad = FM.split(*_sets(x))
+    part = lambda t, flag: t.select(F.lit(flag).alias("bad"), "ident", "snp", _r("lbf"), _r("lbf_p", 9))
+    return part(rows, False).union(part(bad, True))
 
 
 @query("SELECT study, arg_max(snp, {'a': lbf, 'b': -snp}) AS lead, round(max(lbf), 5) AS lbf, CASE WHEN abs(arg_max(snp, {'a': lbf, 'b': -snp}) - 32) <= 10 THEN 'cis' ELSE 'trans' END AS cis_trans FROM lbf WHERE NOT (lbf > 8 AND snp % 4 = 0) GROUP BY study", "lbf")
@@ -201,20 +307,29 @@ def k18_colocalisation(x: Fixtures):
     return out.select("a", "b", "nsnps", *[_r(f"h{i}") for i in range(5)], "ignored")
 
 
-@query()
+def _masked_sql(cut: float) -> str:
+    masked = f"(SELECT study, snp, CASE WHEN abs(lbf) >= {cut} THEN lbf ELSE 0 END AS lbf FROM lbf)"
+    runs = _COLOC.format(cols=_posteriors(), least=50, pairs=_PAIRS, where="").replace("JOIN lbf x", f"JOIN {masked} x").replace("JOIN lbf y", f"JOIN {masked} y")
+    return f"SELECT {cut}::DOUBLE AS cut, CAST(count(*) AS BIGINT) AS n, round(avg(h4), 5) AS mean_h4, CAST(count(*) FILTER (h4 >= 0.8) AS BIGINT) AS high FROM ({runs})"
+
+
+@query(" UNION ALL ".join(map(_masked_sql, (0.0, 2.0, 5.0))), "lbf")
 def k19_masked_colocalisation(x: Fixtures):
     grid = x.spark.createDataFrame([(0.0,), (2.0,), (5.0,)], "cut double")
     pairs = _pairs(x)
     out = None
     masked = x.lbf.crossJoin(F.broadcast(grid)).select((F.col("study") * 10 + F.col("cut").cast("long")).alias("study"), "snp", F.when(F.abs("lbf") >= F.col("cut"), F.col("lbf")).otherwise(0.0).alias("lbf"))
     keyed = pairs.crossJoin(F.broadcast(grid)).select((F.col("a") * 10 + F.col("cut").cast("long")).alias("a"), (F.col("b") * 10 + F.col("cut").cast("long")).alias("b"))
-    out = K.coloc(keyed, masked).withColumn("cut", F.col("a") % 10)
-    return out.groupBy("cut").agg(F.count("*").alias("n"), _r(F.avg("h4"), 6, "mean_h4"), F.count_if(F.col("h4") >= 0.8).alias("high"))
+    out = K.coloc(keyed, masked).withColumn("cut", (F.col("a") % 10).cast("double"))
+    return out.groupBy("cut").agg(F.count("*").alias("n"), _r(F.avg("h4"), 5, "mean_h4"), F.count_if(F.col("h4") >= 0.8).alias("high"))
 
 
-@query("SELECT study, round(regr_slope(beta, eaf), 6) AS slope, round(regr_r2(beta, eaf), 6) AS r2, CAST(count(*) AS BIGINT) AS n FROM snps GROUP BY study", "snps")
+@query(f"SELECT study, round(slope, 6) AS slope, round(r2, 6) AS r2, n, round({S.f_test_p_sql('(r2 / (1 - r2) * (n - 2))', '1', '(n - 2)')}, 9) AS p FROM (SELECT study, regr_slope(beta, eaf) AS slope, regr_r2(beta, eaf) AS r2, CAST(count(*) AS BIGINT) AS n FROM snps GROUP BY study)", "snps")
 def k20_regression(x: Fixtures):
-    return x.snps.groupBy("study").agg(_r(F.regr_slope("beta", "eaf"), 6, "slope"), _r(F.regr_r2("beta", "eaf"), 6, "r2"), F.count("*").alias("n"))
+    """Slope, share of variance and the p-value of the overall F-test."""
+    t = x.snps.groupBy("study").agg(F.regr_slope("beta", "eaf").alias("slope"), F.regr_r2("beta", "eaf").alias("r2"), F.count("*").alias("n"))
+    f = F.col("r2") / (1 - F.col("r2")) * (F.col("n") - 2)
+    return t.select("study", _r("slope"), _r("r2"), "n", F.round(S.f_test_p(f, F.lit(1), F.col("n") - 2), 9).alias("p"))
 
 
 @query("SELECT round(max(abs(n1 / t1 - n0 / t0)), 6) AS d FROM (SELECT sum(c1) OVER w AS n1, sum(c0) OVER w AS n0, sum(c1) OVER () AS t1, sum(c0) OVER () AS t0 FROM (SELECT eaf, count(*) FILTER (ea = 'R') AS c1, count(*) FILTER (ea <> 'R') AS c0 FROM sumstats GROUP BY eaf) WINDOW w AS (ORDER BY eaf))", "sumstats")
@@ -270,18 +385,42 @@ def k23_multivariable(x: Fixtures):
     return _kernel(f, "exposure int, effect double, se double, f double")(_vectors(x))
 
 
-@query("SELECT study, round(sum(eaf * beta / (se * se)) / sum(eaf * eaf / (se * se)), 6) AS slope, round(1 / sqrt(sum(eaf * eaf / (se * se))), 6) AS se, CAST(count(*) AS BIGINT) AS n FROM snps GROUP BY study", "snps")
+_INSTRUMENT = "CASE WHEN chr % 3 = 0 THEN 'cis' WHEN chr % 3 = 1 THEN 'discovery trans' WHEN chr = 2 THEN 'indirect cis' END"
+
+
+@query(f"SELECT study, instrument, CASE WHEN n = 1 THEN 'wald' ELSE 'ivw' END AS method, round(slope, 6) AS slope, round(se, 6) AS se, n FROM (SELECT study, {_INSTRUMENT} AS instrument, sum(eaf * beta / (se * se)) / sum(eaf * eaf / (se * se)) AS slope, 1 / sqrt(sum(eaf * eaf / (se * se))) AS se, CAST(count(*) AS BIGINT) AS n FROM snps GROUP BY 1, 2) WHERE instrument IS NOT NULL", "snps")
 def k24_weighted_slope(x: Fixtures):
-    t = x.snps.select("study", F.col("eaf").alias("bx"), F.col("beta").alias("by"), F.col("se").alias("se_y"))
-    return K.ivw(t, ["study"]).select("study", _r("slope"), _r("se"), "n")
+    """Effects by instrument set: cis, trans and indirect cis."""
+    t = x.snps.select("study", F.expr(_INSTRUMENT).alias("instrument"), F.col("eaf").alias("bx"), F.col("beta").alias("by"), F.col("se").alias("se_y")).where("instrument IS NOT NULL")
+    return K.ivw_by_set(t, ["study"], "instrument").select("study", "instrument", "method", _r("slope"), _r("se"), "n")
+
+
+def _chain(x: Fixtures) -> str:
+    """A chain file made from the tables: each block of a chromosome is a chain of two pieces with gaps between and after.
+
+    Every third block lies on the reverse strand, every fourth on the next chromosome.
+    """
+    b = x.blocks.withColumn("k", F.floor(F.col("start") / 1_000_000).cast("long"))
+    to = F.when(F.col("k") % 4 == 3, F.col("chr") % 22 + 1).otherwise(F.col("chr"))
+    strand = F.when(F.col("k") % 3 == 2, "-").otherwise("+")
+    header = F.concat_ws(" ", F.lit("chain"), F.lit(1000) + F.col("k"), F.concat(F.lit("chr"), "chr"), F.lit(10_000_000), F.lit("+"), "start", F.col("start") + 900_000, F.concat(F.lit("chr"), to), F.lit(12_000_000), strand, F.col("start") + 70_000, F.col("start") + 960_000, F.col("chr") * 100 + F.col("k"))
+    lines = b.select(F.concat(header, F.lit("\n400000\t100000\t90000\n400000\n")).alias("value"))
+    path = scratch.fresh(x.spark, "chain")
+    x.spark.createDataFrame([("# made from the tables\n",)], "value string").union(lines).write.text(path)
+    return path
 
 
-@query("SELECT study, s.chr, bp, CASE WHEN k.start % 3000000 = 0 THEN bp - k.start + k.start / 2 ELSE bp + 500 END AS lifted FROM snps s JOIN blocks k ON s.chr = k.chr AND bp >= k.start AND bp < k.stop", "snps blocks")
+#: Piece, place along the chain's target strand, chromosome and position of each point; from 0.
+_LIFTED = "SELECT *, CASE WHEN k % 3 = 2 THEN 12000000 - 1 - along ELSE along END AS to_bp, CASE WHEN k % 4 = 3 THEN chr % 22 + 1 ELSE chr END AS to_chr FROM (SELECT study, chr, bp, bp // 1000000 AS k, CASE WHEN bp % 1000000 < 400000 THEN bp + 70000 WHEN bp % 1000000 >= 500000 AND bp % 1000000 < 900000 THEN bp + 60000 END AS along FROM snps WHERE bp < 10000000)"
+
+
+@query(f"SELECT study, chr, bp, CASE WHEN along IS NOT NULL AND to_chr = chr THEN CAST(to_bp AS BIGINT) END AS lifted FROM ({_LIFTED})", "snps")
 def k25_liftover(x: Fixtures):
-    from ..operators.joins import interval_join
+    """Positions carried over by a chain file with gaps, reverse strands and other chromosomes; unmapped rows have none."""
+    from ..sources import chain
 
-    seg = x.blocks.select("chr", "start", "stop", F.when(F.col("start") % 3_000_000 == 0, -F.col("start") + F.col("start") / 2).otherwise(F.lit(500.0)).alias("shift"))
-    return interval_join(x.snps, seg, closed=False).select("study", "chr", "bp", (F.col("bp") + F.col("shift")).alias("lifted"))
+    there, gone = chain.lifted(x.snps.select("study", "chr", "bp"), chain.segments(x.spark, _chain(x)))
+    return there.select("study", "chr", "bp", F.col("to_bp").alias("lifted")).union(gone.select("study", "chr", "bp", F.lit(None).cast("long")))
 
 
 _LD = "SELECT a.n AS i, b.n AS j, pow(0.95, abs(a.n - b.n)) AS r FROM (SELECT CAST(n_nationkey AS BIGINT) AS n FROM nation) a CROSS JOIN (SELECT CAST(n_nationkey AS BIGINT) AS n FROM nation) b"
@@ -315,23 +454,51 @@ def k28_conditional_spread(x: Fixtures):
     return _with_ld(x, f, "snp long, beta double")
 
 
-@query()
-def k29_simulation(x: Fixtures):
-    """Marginal effects of a made-up trait for each study's block: every eighth SNP from the study's number on is causal."""
+def _panel(x: Fixtures):
+    """Genotype files (blk, samples, content) made from the embeddings, and their variants: a label is a block, a vector a sample."""
+    import pyarrow as pa
+
+    from ..sources.genotypes import MAGIC
+
+    def packed(t: pa.Table) -> pa.Table:
+        t = t.sort_by("study")
+        rows = np.array(t.column("codes").to_pylist(), np.uint8).T  # a row per variant
+        rows = np.pad(rows, ((0, 0), (0, -rows.shape[1] % 4))).reshape(rows.shape[0], -1, 4)
+        body = MAGIC + (rows << np.array([0, 2, 4, 6], np.uint8)).sum(2, dtype=np.uint8).tobytes()
+        return pa.table({"blk": t.column("blk").slice(0, 1), "samples": pa.array([t.num_rows], pa.int32()), "content": pa.array([body], pa.binary())})
+
+    e = x.table("embeddings").select(F.col("label").cast("long").alias("blk"), F.col("vec_id").cast("long").alias("study"), F.transform("embedding", lambda v: F.when(v > 0.08, 0).when(v > -0.02, 2).when(v > -0.03, 1).otherwise(3)).alias("codes"))
+    content = e.groupBy("blk").applyInArrow(packed, "blk long, samples int, content binary")
+    v = x.lbf.select("blk", F.col("snp").cast("int").alias("place")).distinct()
+    allele = lambda k: F.element_at(F.array(*map(F.lit, "ACGT")), F.col("place") % k + 1)
+    return content, v.select("blk", "place", F.lit(1).alias("chr"), (F.col("place") * 1000).alias("bp"), allele(4).alias("a1"), F.when(F.col("place") % 2 == 0, "T").otherwise("A").alias("a2")).where("a1 <> a2 OR place % 4 < 4")
+
+
+def _ordered_panel(x: Fixtures):
+    from ..sources import genotypes as GT
+
+    content, variants = _panel(x)
+    return GT.in_order(GT.decoded(content, "blk"), variants, "blk")
 
-    def f(p, ld):
-        snps, study = p["snp"].to_numpy(), int(p["study"].iloc[0])
-        joint, marginal, se = K.simulated(ld, p["eaf"].to_numpy(), (snps + study) % 8 == 0, N, 0.3, study)
-        return {"snp": snps, "joint": joint, "beta": marginal, "se": se}
 
-    return _with_ld(x, f, "snp long, joint double, beta double, se double")
+_DOSES = "SELECT blk, study, snp, a1 > a2 AS turned, CASE WHEN a1 > a2 THEN 2 - d ELSE d END AS d FROM (SELECT blk, study, snp, substr('ACGT', CAST(snp % 4 + 1 AS INTEGER), 1) AS a1, CASE WHEN snp % 2 = 0 THEN 'T' ELSE 'A' END AS a2, CASE WHEN v > 0.08 THEN 2 WHEN v > -0.02 THEN 1 WHEN v > -0.03 THEN NULL ELSE 0 END AS d FROM (SELECT CAST(vec_id AS BIGINT) AS study, CAST(label AS BIGINT) AS blk, CAST(generate_subscripts(embedding, 1) - 1 AS BIGINT) AS snp, unnest(embedding) AS v FROM embeddings))"
 
 
-@query("SELECT a.snp AS i, b.snp AS j, round(corr(a.lbf, b.lbf), 6) AS r FROM lbf a JOIN lbf b ON a.study = b.study AND a.snp < b.snp AND b.snp - a.snp < 4 GROUP BY 1, 2", "lbf")
+@query(f"SELECT blk, CAST(snp * 1000 AS INTEGER) AS bp, turned, round(avg(d) / 2, 6) AS eaf, count(d) AS n FROM ({_DOSES}) GROUP BY ALL")
+def k30_panel_frequencies(x: Fixtures):
+    """Allele frequencies of a panel read from two-bit genotype files, alleles in order."""
+    from ..sources import genotypes as GT
+
+    return GT.frequencies(_ordered_panel(x)).select("blk", "bp", "turned", _r("eaf"), "n")
+
+
+@query(f"SELECT a.blk, CAST(a.snp * 1000 AS INTEGER) AS i, CAST(b.snp * 1000 AS INTEGER) AS j, round(corr(a.d, b.d), 6) AS r FROM ({_DOSES}) a JOIN ({_DOSES}) b ON a.blk = b.blk AND a.study = b.study AND a.snp < b.snp WHERE a.d IS NOT NULL AND b.d IS NOT NULL GROUP BY ALL HAVING stddev_pop(a.d) > 0 AND stddev_pop(b.d) > 0")
 def k30_panel_correlation(x: Fixtures):
-    a = x.lbf.select("study", F.col("snp").alias("i"), F.col("lbf").alias("u")).withColumn("j", F.explode(F.array(F.col("i") + 1, F.col("i") + 2, F.col("i") + 3)))
-    b = x.lbf.select("study", F.col("snp").alias("j"), F.col("lbf").alias("v"))
-    return a.join(b, ["study", "j"]).groupBy("i", "j").agg(_r(F.corr("u", "v"), 6, "r"))
+    """Full LD matrices of the panel's blocks from genotypes, over each pair's own samples."""
+    from ..sources import genotypes as GT
+
+    bp = lambda c: F.regexp_extract(c, ":([0-9]+)_", 1).cast("int")
+    return GT.correlations(_ordered_panel(x), "blk").select("blk", bp("lead").alias("i"), bp("proxy").alias("j"), _r("r"))
 
 
 @query("SELECT chr, min(start) AS first, max(stop) AS last, CAST(sum(CASE WHEN start = m THEN 0 ELSE start END) AS BIGINT) AS padded FROM (SELECT *, min(start) OVER (PARTITION BY chr) AS m FROM blocks) GROUP BY chr", "blocks")
@@ -343,11 +510,8 @@ def k30_block_padding(x: Fixtures):
 
 @query()
 def k31_projected_imputation(x: Fixtures):
-    def f(p, ld):
-        _, vectors = np.linalg.eigh(ld)
-        return {"snp": p["snp"], "z": K.projected(p["z"].to_numpy(), ~p["seen"].to_numpy(), vectors[:, -20:])}
-
-    return _with_ld(x, f, "snp long, z double")
+    f = lambda v, held: {"z": K.projected(v["z"], ~v["seen"], held.vectors[:, :20])}
+    return _with_factors(x, f, "snp long, z double", 1.0, unknown=lambda p: {"snp": p["snp"], "z": p["z"].where(p["seen"])})
 
 
 @query("SELECT blk, snp, round((v - avg(v) OVER w) / stddev_samp(v) OVER w, 5) AS z FROM (SELECT blk, snp, sum(abs(lbf)) AS v FROM lbf GROUP BY 1, 2) WINDOW w AS (PARTITION BY snp)", "lbf")

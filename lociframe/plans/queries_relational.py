@@ -393,10 +393,14 @@ def a17_strongest_sum(x: Fixtures):
     return A.best_row(s, ["blk"], [F.col("s"), -F.col("snp")], ["snp"], largest=True)
 
 
-@query("SELECT a.c AS component, CAST(count(*) AS BIGINT) AS n_pairs, round(avg(CASE WHEN h4 >= 0.8 THEN 1.0 ELSE 0.0 END), 6) AS connectedness FROM pairs p JOIN (SELECT study, study % 7 AS c FROM studies) a ON p.a = a.study JOIN (SELECT study, study % 7 AS c FROM studies) b ON p.b = b.study AND a.c = b.c GROUP BY a.c", "pairs studies")
+#: A made-up posterior of two signals beside the shared one.
+H3 = "round((1 - h4) * ((a * 13 + b * 7) % 10) / 9, 6)"
+
+
+@query(f"SELECT a.c AS component, CAST(count(*) AS BIGINT) AS n_pairs, round(avg(CASE WHEN h4 >= 0.8 THEN 1.0 ELSE 0.0 END), 6) AS h4_connectedness, round(avg(CASE WHEN {H3} >= 0.8 THEN 1.0 ELSE 0.0 END), 6) AS h3_connectedness FROM pairs p JOIN (SELECT study, study % 7 AS c FROM studies) a ON p.a = a.study JOIN (SELECT study, study % 7 AS c FROM studies) b ON p.b = b.study AND a.c = b.c GROUP BY a.c".replace("(a * 13 + b * 7)", "(p.a * 13 + p.b * 7)"), "pairs studies")
 def a18_connectedness(x: Fixtures):
-    out = A.connectedness(x.pairs, x.studies.select("study", (F.col("study") % 7).alias("component")))
-    return out.withColumn("connectedness", F.round("connectedness", 6))
+    out = A.connectedness(x.pairs.withColumn("h3", F.expr(H3)), x.studies.select("study", (F.col("study") % 7).alias("component")), posteriors=("h4", "h3"))
+    return out.select("component", "n_pairs", *[F.round(c, 6).alias(c) for c in ("h4_connectedness", "h3_connectedness")])
 
 
 @query("SELECT a, b, max(h4) AS h4 FROM (SELECT a % 10 AS a, b % 10 AS b, h4 FROM pairs UNION ALL SELECT b % 10, a % 10, h4 FROM pairs) WHERE a <> b AND h4 >= 0.5 GROUP BY a, b", "pairs")
@@ -410,10 +414,15 @@ def a20_expected_pairs(x: Fixtures):
     return x.members.groupBy("grp").agg(F.count("*").alias("n")).agg(F.sum(F.expr("n * (n - 1) / 2")).cast(LONG).alias("expected"))
 
 
-@query("SELECT round(count(*) FILTER (h4 > 0.8 AND n = 1) / count(*) FILTER (h4 > 0.8), 6) AS fp_rate, round(count(*) FILTER (h4 < 0.5) / count(*), 6) AS fn_rate FROM pairs", "pairs")
+_MARKED = "SELECT h4, n = 1 AS false_positive, h4 < 0.3 AND n > 1 AS false_negative, (a % 10) * 1e-8 AS pa, (b % 10) * 1e-8 AS pb FROM pairs"
+
+
+@query(f"SELECT n_pairs, n_significant, n_false_positive, n_false_negative, expected_pairs, round(n_false_positive / n_significant, 6) AS false_positive_rate, round(n_false_negative / expected_pairs, 9) AS false_negative_rate FROM (SELECT CAST(count(*) AS BIGINT) AS n_pairs, CAST(count(*) FILTER (h4 > 0.8) AS BIGINT) AS n_significant, CAST(count(*) FILTER (h4 > 0.8 AND false_positive) AS BIGINT) AS n_false_positive, CAST(count(*) FILTER (false_negative) AS BIGINT) AS n_false_negative FROM ({_MARKED}) WHERE pa < 5e-8 AND pb < 5e-8) CROSS JOIN (SELECT sum(n * (n - 1) / 2) AS expected_pairs FROM (SELECT count(*) AS n FROM members GROUP BY grp))", "pairs members")
 def a21_rates(x: Fixtures):
-    h = F.col("h4")
-    return x.pairs.agg(F.round(F.count_if((h > 0.8) & (F.col("n") == 1)) / F.count_if(h > 0.8), 6).alias("fp_rate"), F.round(F.count_if(h < 0.5) / F.count("*"), 6).alias("fn_rate"))
+    """False positives among significant pairs, false negatives among the pairs expected inside groups."""
+    p = x.pairs.selectExpr("h4", "n = 1 AS false_positive", "h4 < 0.3 AND n > 1 AS false_negative", "a % 10 * CAST(1e-8 AS DOUBLE) AS min_p_a", "b % 10 * CAST(1e-8 AS DOUBLE) AS min_p_b")
+    out = A.error_rates(p, x.members, "grp")
+    return out.withColumns({"false_positive_rate": F.round("false_positive_rate", 6), "false_negative_rate": F.round("false_negative_rate", 9)})
 
 
 @query("SELECT c AS cut, CAST((SELECT count(*) FROM pairs WHERE h4 > c) AS BIGINT) AS n FROM (SELECT CAST(unnest([0.6, 0.7, 0.8, 0.9, 0.95, 0.99]) AS DOUBLE) AS c)", "pairs")
@@ -421,10 +430,17 @@ def a22_threshold_sweep(x: Fixtures):
     return A.sweep(x.pairs, "h4", [0.6, 0.7, 0.8, 0.9, 0.95, 0.99])
 
 
-@query("SELECT a % 5 AS g, CAST(count(*) AS BIGINT) AS n, round(avg(h4), 6) AS mean, round(median(h4), 6) AS med, max(h4) AS top, round(avg(CASE WHEN h4 >= 0.8 THEN 1.0 ELSE 0.0 END), 6) AS high FROM pairs GROUP BY 1", "pairs")
+_RUNS = "SELECT cut, h4 * (1 - coalesce(cut, 0) * (n % 4) * 3) AS h4, CASE WHEN a % 3 <> 0 THEN h4 END AS file_h4 FROM pairs CROSS JOIN (SELECT CAST(NULL AS DOUBLE) AS cut UNION ALL SELECT 0.001::DOUBLE UNION ALL SELECT 0.01::DOUBLE UNION ALL SELECT 0.1::DOUBLE)"
+
+
+@query(f"SELECT cut, CAST(count(*) AS BIGINT) AS n_controls, round(avg(h4), 6) AS mean_h4, round(median(h4), 6) AS median_h4, round(max(h4), 6) AS max_h4, CAST(count(*) FILTER (h4 >= 0.8) AS BIGINT) AS n_passing, round(count(*) FILTER (h4 >= 0.8) / count(*), 6) AS fraction_passing, round(avg(file_h4), 6) AS mean_file_h4, CAST(count(file_h4) AS BIGINT) AS n_file, round(count(*) FILTER (file_h4 >= 0.8) / count(file_h4), 6) AS fraction_file_passing, round(count(*) FILTER (h4 >= 0.8 AND file_h4 >= 0.8) / count(file_h4), 6) AS fraction_both_passing FROM ({_RUNS}) GROUP BY cut", "pairs")
 def a23_summary_by_threshold(x: Fixtures):
-    h = F.col("h4")
-    return x.pairs.groupBy((F.col("a") % 5).alias("g")).agg(F.count("*").alias("n"), F.round(F.avg(h), 6).alias("mean"), F.round(F.median(h), 6).alias("med"), F.max(h).alias("top"), F.round(F.avg((h >= 0.8).cast("double")), 6).alias("high"))
+    """Per cut-off, the baseline (null) first: the masked runs' posteriors, with and without the stored ones."""
+    cuts = x.spark.createDataFrame([(None,), (0.001,), (0.01,), (0.1,)], "cut double")
+    h = F.col("h4") * (1 - F.coalesce("cut", F.lit(0.0)) * (F.col("n") % 4) * 3)
+    runs = x.pairs.crossJoin(F.broadcast(cuts)).select("cut", h.alias("h4"), F.when(F.col("a") % 3 != 0, F.col("h4")).alias("file_h4"))
+    out = A.masked_summary(runs, "cut")
+    return out.select(*[F.round(c, 6).alias(c) if t == "double" and c != "cut" else c for c, t in out.dtypes])
 
 
 @query("SELECT l_returnflag, round(quantile_cont(l_extendedprice, 0.9), 4) AS q90, round(quantile_cont(l_extendedprice, 0.25), 4) AS q25 FROM lineitem GROUP BY l_returnflag")
@@ -448,9 +464,11 @@ def a26_risk_ratio(x: Fixtures):
     return A.risk_ratio(t, "s", "y", ["status"]).select("status", "a", "m", "b", "k", *[F.round(c, 6).alias(c) for c in ("rs", "low", "high")])
 
 
-@query("SELECT category, study_name, string_agg(o, ', ' ORDER BY o) AS others FROM (SELECT s.category, s.study_name, t.study_name AS o FROM studies s JOIN (SELECT category, max(study) AS top FROM studies GROUP BY category) m ON s.category = m.category AND s.study = m.top LEFT JOIN studies t ON t.category = s.category AND t.study < m.top) GROUP BY 1, 2", "studies")
+@query("SELECT s.category, s.study_name, (SELECT string_agg(t.study_name, ', ' ORDER BY t.study_name) FROM studies t WHERE t.category = s.category AND t.study % 50 < m.top) AS others, top_hits FROM studies s JOIN (SELECT category, max(study % 50) AS top, arg_max(study * 7 % 11, {'a': study % 50, 'b': -study}) = max(study * 7 % 11) AS top_hits FROM studies GROUP BY category) m ON s.category = m.category AND s.study % 50 = m.top", "studies")
 def a27_index_study(x: Fixtures):
-    return A.index_rows(x.studies, "category", "study", "study_name").select("category", "study_name", "others")
+    """The studies of largest sample of each trait, the others collapsed, and whether the index has the most hits too."""
+    t = x.studies.select("category", "study_name", (F.col("study") % 50).alias("size"), (F.col("study") * 7 % 11).alias("hits"))
+    return A.index_rows(t, "category", "size", "study_name", hits="hits").select("category", "study_name", "others", "top_hits")
 
 
 @query("SELECT status, round(p, 6) AS share, round((p + z * z / (2 * n) - z * sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n), 6) AS low, round((p + z * z / (2 * n) + z * sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n), 6) AS high FROM (SELECT o_orderstatus AS status, count(*) AS n, count(*) FILTER (o_totalprice > 200000) / count(*) AS p, CAST(1.959963984540054 AS DOUBLE) AS z FROM orders GROUP BY 1)")

@@ -13,9 +13,12 @@ from ..operators import filters as FL
 from ..operators import joins as J
 from ..operators import reshape as R
 from ..operators import windows as W
+from ..sources import positions as POS
 from ..sources import readers as RD
+from ..sources import releases as REL
 from ..sources import sinks as SK
 from ..streaming import queue as Q
+from ..streaming import uploads as U
 from . import warehouse as D
 from .registry import query
 
@@ -113,8 +116,11 @@ def _vcf(x: Fixtures):
 
 @query(f"SELECT study, s.chr, bp, beta FROM ({_VCF}) s JOIN blocks b ON s.chr = b.chr AND bp >= start AND bp <= stop WHERE start = 2000000", "snps blocks")
 def src9_vcf_regions(x: Fixtures):
+    """Rows of regions, from a VCF body stored by position: only the files of the regions' bins are read."""
+    path = scratch.fresh(x.spark, "vcf-index")
+    POS.write(_vcf(x).select("study", "chr", "bp", "beta"), path)
     b = x.blocks.where("start = 2000000").select("chr", "start", "stop")
-    return J.interval_join(_vcf(x).select("study", "chr", "bp", "beta"), b).select("study", "chr", "bp", "beta")
+    return POS.within(x.spark, path, b).select("study", "chr", "bp", "beta")
 
 
 @query(f"SELECT study, chr, bp, lp FROM ({_VCF}) WHERE lp >= 1", "snps")
@@ -124,8 +130,10 @@ def src10_vcf_significant(x: Fixtures):
 
 @query(f"SELECT study, chr, bp FROM {WITH_P} WHERE study = 3 AND abs(bp - 4000000) <= 2000000 AND p <= 0.05", "snps")
 def src11_window_query(x: Fixtures):
-    t = _with_p(x).withColumn("probe", F.col("study").cast("string"))
-    return RD.besd_query(t, "3", 4_000_000, 2000, 0.05).select("study", "chr", "bp")
+    """Rows of a probe in a window, from a table stored by position: the probe's bins within the window are read."""
+    path = scratch.fresh(x.spark, "probes")
+    POS.write(_with_p(x).withColumn("probe", F.col("study").cast("string")), path, probe="probe")
+    return POS.of_probe(x.spark, path, "3", center=4_000_000, window_kb=2000, p=0.05).select("study", "chr", "bp")
 
 
 @query("SELECT l_orderkey, l_partkey, l_quantity FROM lineitem WHERE l_returnflag = 'R' AND l_linestatus = 'F' AND l_quantity > 40")
@@ -170,8 +178,12 @@ def snk9_sitemap(x: Fixtures):
 
 @query("SELECT s_suppkey, CASE WHEN s_nationkey = 3 THEN 'https://example.org/3' ELSE s_name END AS url FROM supplier")
 def snk5_update_where(x: Fixtures):
-    t = x.table("supplier").select("s_suppkey", F.col("s_name").alias("url"), "s_nationkey")
-    return SK.update_where(t, F.col("s_nationkey") == 3, url=F.lit("https://example.org/3")).select("s_suppkey", "url")
+    """A stored table after an update in place; partitions without a row that meets the condition keep their files."""
+    path = scratch.fresh(x.spark, "updated")
+    t = x.table("supplier").select("s_suppkey", F.col("s_name").alias("url"), "s_nationkey", (F.col("s_suppkey") % 8).cast("int").alias("part"))
+    REL.write_partitioned(t, path, "part")
+    REL.update_where(x.spark, path, "part", F.col("s_nationkey") == 3, url=F.lit("https://example.org/3"))
+    return x.spark.read.parquet(path).select("s_suppkey", "url")
 
 
 @query("SELECT variant, CAST(floor(variant / 100) AS BIGINT) AS bin, n FROM (SELECT variant, CAST(count(*) AS BIGINT) AS n FROM members GROUP BY variant)", "members")
@@ -329,11 +341,15 @@ def d12_subset(x: Fixtures):
     return frames[0].union(frames[1]).union(frames[2])
 
 
-@query("SELECT 'members' AS t, CAST(count(*) AS BIGINT) AS n FROM members WHERE study >= 10 UNION ALL SELECT 'studies', CAST(count(*) AS BIGINT) FROM studies WHERE study >= 10", "members studies")
+@query("SELECT 'members' AS t, CAST(count(*) AS BIGINT) AS n, CAST(sum(study) AS BIGINT) AS total FROM members WHERE study >= 10 UNION ALL SELECT 'studies', CAST(count(*) AS BIGINT), CAST(sum(study) AS BIGINT) FROM studies WHERE study >= 10 UNION ALL SELECT 'pairs', CAST(count(*) AS BIGINT), CAST(sum(a) AS BIGINT) FROM pairs WHERE a >= 10 AND b >= 10", "members studies pairs")
 def d13_study_removal(x: Fixtures):
-    out = D.without_studies({"members": x.members, "studies": x.studies}, x.studies.where("study < 10"))
-    frames = [t.agg(F.lit(n).alias("t"), F.count("*").alias("n")) for n, t in out.items()]
-    return frames[0].union(frames[1])
+    """Stored tables after studies were removed from all of them at once."""
+    root = scratch.fresh(x.spark, "release")
+    REL.publish(x.spark, root, {"members": x.members, "studies": x.studies, "pairs": x.pairs})
+    keys = {"members": ["study"], "studies": ["study"], "pairs": ["a", "b"]}
+    REL.without_studies(x.spark, root, keys, x.studies.where("study < 10"))
+    counted = [REL.read(x.spark, root, n).agg(F.lit(n).alias("t"), F.count("*").alias("n"), F.sum(k[0]).alias("total")) for n, k in keys.items()]
+    return counted[0].union(counted[1]).union(counted[2])
 
 
 @query("SELECT m.grp, m.study, m.variant, a.beta FROM members m LEFT JOIN (SELECT study, variant, min(beta) AS beta FROM (SELECT study, pk AS variant, CASE WHEN beta > 0 THEN beta END AS beta FROM sumstats) GROUP BY 1, 2) a USING (study, variant) WHERE m.grp IN (SELECT grp FROM members WHERE study = 7)", "members sumstats")
@@ -446,8 +462,59 @@ def st5_deletions(x: Fixtures):
 
 @query("SELECT event_id, event_id % 3 = 0 AS new FROM events")
 def st6_reprocessing(x: Fixtures):
-    t = x.table("events").select(F.col("event_id").alias("guid"), F.lit(False).alias("new"))
-    return Q.reprocessed(t, t.where("guid % 3 = 0").withColumn("new", F.lit(True))).select(F.col("guid").alias("event_id"), "new")
+    """Stored results after a third of the keys was processed again: what they had before is gone."""
+    path = scratch.fresh(x.spark, "reprocessed")
+    t = x.table("events").select("event_id", F.lit(False).alias("new"), F.pmod(F.xxhash64("event_id"), F.lit(16)).cast("int").alias("part"))
+    REL.write_partitioned(t, path, "part")
+    REL.replace_keys(x.spark, path, "part", t.where("event_id % 3 = 0").withColumn("new", F.lit(True)), "event_id")
+    return x.spark.read.parquet(path).select("event_id", "new")
+
+
+def _uploads(x: Fixtures, crash: bool = False) -> str:
+    """Folder of a worker with state that has served three deliveries of messages from the events, one after the other.
+
+    The first holds uploads, the second deletes every seventh, the third sends
+    every third again and reports every 21st as left in progress.  With
+    ``crash`` the first run of the second delivery ends after its marker.
+    """
+    base = scratch.fresh(x.spark, "uploads")
+    e = F.col("event_id")
+    body = F.to_json(F.struct(F.struct(F.concat(F.lit("g"), e).alias("guid"), (e % 10 / 100.0).alias("p_value_threshold")).alias("metadata")))
+    t = x.table("events").select("event_id", body.alias("value"))
+    deliveries = [t.withColumn("kind", F.lit("process")), t.where(e % 7 == 0).withColumn("kind", F.lit("delete")), t.where((e % 3 == 0) | (e % 21 == 0)).withColumn("kind", F.when(e % 21 == 0, "in_progress").otherwise("process"))]
+    handle = lambda m: m.select("guid", "again")
+    marked = []
+
+    def on_step(step: str, number: int) -> None:
+        if crash and step == "marked" and number == 1 and not marked:
+            marked.append(number)
+            raise OSError("the worker ends here")
+
+    for d in deliveries:
+        d.select("kind", "value").coalesce(4).write.mode("append").json(f"{base}/in")
+        for _ in range(2):
+            try:
+                U.serve(x.spark, f"{base}/in", f"{base}/out", f"{base}/checkpoint", handle, "again boolean", on_step).awaitTermination()
+                break
+            except Exception:
+                if not crash:
+                    raise
+    return f"{base}/out"
+
+
+_SERVED = "SELECT concat('g', event_id) AS guid, event_id % 3 = 0 AS again FROM events WHERE event_id % 7 <> 0"
+
+
+@query(_SERVED)
+def st1_stateful_worker(x: Fixtures):
+    """Results of a worker with state: what was deleted in a later delivery is gone, what was left in progress but deleted since is not served."""
+    return U.results(x.spark, _uploads(x), "again boolean").select("guid", "again")
+
+
+@query(_SERVED)
+def st2_recovered_worker(x: Fixtures):
+    """The same after a run that ended between its marker and its results: each upload has its results once."""
+    return U.results(x.spark, _uploads(x, crash=True), "again boolean").select("guid", "again")
 
 
 @query("SELECT heavy, CAST(count(*) AS BIGINT) AS n FROM (SELECT count(*) OVER (PARTITION BY gene) > (SELECT count(*) / count(DISTINCT gene) FROM members) AS heavy FROM members) GROUP BY heavy", "members")
@@ -466,3 +533,26 @@ def st8_compare_with_warehouse(x: Fixtures):
     up = r.where("study % 10 = 0").select(F.col("study").alias("guid"), F.col("ld_block").alias("block"), "bp")
     wh = r.select("study", F.col("ld_block").alias("block"), "bp", F.col("p").alias("min_p"))
     return Q.near_warehouse(up, wh, 50_000, 0.01).select("guid", "other", "first_bp")
+
+
+_UPLOADED = f"(SELECT concat('u', study) AS guid, study, ld_block, concat(study, '_', ld_block) AS ident, bp, p AS min_p FROM {_REGIONS} WHERE study % 10 = 0)"
+_STORED = f"(SELECT ld_block, concat(study, '_', ld_block) AS ident, bp, p AS min_p FROM {_REGIONS} WHERE study % 10 <> 0)"
+
+
+@query(
+    f", u AS {_UPLOADED}, w AS {_STORED} SELECT guid, ld_block AS block, ident, arg_min(origin, rank) AS origin FROM (SELECT guid, ld_block, ident, 'upload' AS origin, 0 AS rank FROM u WHERE min_p <= 0.05 UNION ALL SELECT f.guid, f.ld_block, w.ident, 'warehouse', 1 FROM (SELECT guid, ld_block, min(bp) AS first_bp FROM u WHERE min_p <= 0.05 GROUP BY 1, 2) f JOIN w ON w.ld_block = f.ld_block AND w.min_p <= 0.01 AND abs(f.first_bp - w.bp) <= 50000 UNION ALL SELECT DISTINCT a.guid, a.ld_block, b.ident, 'other', 2 FROM u a JOIN u b ON a.ld_block = b.ld_block AND (b.study = a.study + 10 OR b.study = a.study + 20) AND b.min_p <= 0.05) GROUP BY ALL",
+    "snps blocks",
+)
+def st8_compare_uploads(x: Fixtures):
+    """A stream of uploads against the warehouse and against the stored uploads that each names."""
+    r = scratch.cut_lineage(D.regions(_with_p(x), x.blocks, 1.0).select("study", F.col("ld_block").alias("block"), F.concat_ws("_", "study", "ld_block").alias("ident"), "bp", F.col("p").alias("min_p")))
+    up = r.where("study % 10 = 0").select(F.concat(F.lit("u"), "study").alias("guid"), "block", "ident", "bp", "min_p", F.lit(0.05).alias("p_value_threshold"), F.transform(F.array(F.col("study"), F.col("study") + 10, F.col("study") + 20), lambda s: F.concat(F.lit("u"), s)).alias("compare"))
+    base, warehouse = scratch.fresh(x.spark, "compared"), r.where("study % 10 <> 0")
+    up.write.parquet(f"{base}/in")
+
+    def serve(batch: DataFrame, number: int) -> None:
+        U.compared(batch, warehouse, up, 50_000, 0.01).write.mode("overwrite").parquet(f"{base}/out/batch={number}")
+
+    stream = x.spark.readStream.schema(up.schema).parquet(f"{base}/in")
+    stream.writeStream.foreachBatch(serve).option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return x.spark.read.parquet(f"{base}/out").select("guid", "block", "ident", "origin")

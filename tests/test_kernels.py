@@ -23,7 +23,9 @@ def test_imputation_recovers_a_correlated_signal():
     seen = rng.random(60) > 0.2
     got, r2, score = K.raiss(z, seen, ld)
     assert np.corrcoef(got, z[~seen])[0, 1] > 0.8 and (r2 < 1).all() and (score > 0).all()
-    assert np.corrcoef(K.eigen_imputed(z, seen, ld)[~seen], z[~seen])[0, 1] > 0.6
+    values, vectors = np.linalg.eigh(ld)
+    got = K.eigen_imputed(z[None], seen[None], np.cumsum(values[::-1]) / values.sum(), vectors[:, ::-1])[0]
+    assert np.corrcoef(got[~seen], z[~seen])[0, 1] > 0.6
 
 
 def test_elastic_net_is_least_squares_without_penalty():
@@ -34,24 +36,6 @@ def test_elastic_net_is_least_squares_without_penalty():
     assert np.allclose(K.elastic_net_cv(x, 3 + x @ b)[1:], b, atol=0.1)
 
 
-def test_fine_mapping_finds_one_causal_variant():
-    n, ld = 5000, ladder(40, 0.5)
-    z = 9 * ld[17] + 0.1 * np.random.default_rng(3).normal(size=40)
-    sets, lbf, done = K.susie(z, ld, n, effects=4)
-    assert done and any(17 in s for s in sets) and lbf.shape == (4, 40)
-
-
-def test_susie_judges_credible_sets_of_any_size():
-    ld = np.eye(320)
-    ld[:300, :300] = 0.999
-    np.fill_diagonal(ld, 1.0)
-    z = np.where(np.arange(320) < 300, 9.0, 0.0)
-    sets, _, _ = K.susie(z, ld, 5000, effects=1)
-    assert len(sets) == 1 and len(sets[0]) > 256 and sets[0].max() < 300
-    ld[:150, 150:300] = ld[150:300, :150] = 0.3  # alike within halves only: impure as one set
-    assert not K.susie(z, ld, 5000, effects=1)[0]
-
-
 def test_clumping_takes_the_strongest_of_each_clump():
     z = np.array([1.0, 5.0, 4.9, 0.2, 3.0])
     ld = np.eye(5)

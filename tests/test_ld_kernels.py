@@ -1,13 +1,12 @@
 """Kernels with LD: whole queries against plain loops over the tables, functions against direct solutions."""
 
-from math import erfc, sqrt
+from math import erfc
 
 import numpy as np
 import pandas as pd
 import pytest
 
 from lociframe.operators import kernels as K
-from lociframe.operators import ld as LD
 from lociframe.plans import registry
 
 registry.load()
@@ -81,7 +80,9 @@ def test_elastic_net_meets_its_optimality_conditions():
 def test_dense_imputation(spark, sf_dir, studies):
     def want(p, ld):
         seen = p["seen"].to_numpy()
-        fitted = K.eigen_imputed(np.where(seen, p["z"], 0.0), seen, ld)
+        values, vectors = np.linalg.eigh(ld)
+        basis = np.column_stack([np.ones(len(p)), vectors[:, ::-1][:, : np.searchsorted(np.cumsum(values[::-1]) / values.sum(), 0.9) + 1]])
+        fitted = basis @ np.linalg.lstsq(basis[seen], p["z"].to_numpy()[seen], rcond=None)[0]
         z = np.where(seen, p["z"], fitted * np.std(p["z"][seen]) / np.std(fitted[seen]))
         basis = 1 / np.sqrt(2 * p["eaf"] * (1 - p["eaf"]))
         se = np.where(seen, p["se"], basis * (basis[seen] * p["se"][seen]).sum() / (basis[seen] ** 2).sum())
@@ -102,39 +103,6 @@ def test_conditional_imputation(spark, sf_dir, studies):
     compared(spark, sf_dir, studies, "k11_conditional_imputation", want, ["snp", "z", "r2", "ld_score"], 1e-6)
 
 
-def test_fine_mapping(spark, sf_dir, studies):
-    got = registry.QUERIES["k12_fine_mapping"](spark, sf_dir).toPandas()
-    assert len(got) == len(studies[0]) and got.converged.mean() > 0.8 and got.n_sets.max() > 0
-    for r in got.itertuples():
-        ld, z = studies[1][r.blk], studies[0][r.blk, r.study]["z"].to_numpy() * 3
-        sets, _, done = K.susie(z, ld, N)
-        assert [list(s) for s in r.sets] == sorted(s.tolist() for s in sets) and r.converged == done and r.n_sets == len(sets)
-        for s in r.sets:
-            assert np.abs(ld[np.ix_(s, s)]).min() >= 0.5
-
-
-def test_prior_variance_is_the_likeliest_and_one_effect_is_closed_form():
-    rng = np.random.default_rng(2)
-    s2 = np.full(50, 1e-4)
-    for scale in (0.0, 0.03, 0.3):
-        b = rng.normal(size=50) * 0.01
-        b[7] += scale
-        v = K.prior_variance(b, s2)
-        loss = lambda x: -np.log(np.mean(np.sqrt(s2 / (s2 + x)) * np.exp(0.5 * b**2 / s2 * x / (s2 + x))))  # noqa: B023, E731
-        assert loss(v) <= min(loss(x) for x in np.concatenate([[0.0], np.exp(np.linspace(-30, 2, 400))])) + 1e-6
-    n, z = 5000, np.array([0.5, 6.0, 5.8, -1.0])
-    ld = np.eye(4)
-    ld[1, 2] = ld[2, 1] = 0.9
-    _, lbf, done = K.susie(z, ld, n, effects=1)
-    bhat = z * np.sqrt((n - 1) / (z**2 + n - 2)) / np.sqrt(n - 1)
-    v, s = K.prior_variance(bhat, np.full(4, 1 / (n - 1))), 1 / (n - 1)
-    assert done and np.allclose(lbf[0], 0.5 * np.log(s / (s + v)) + 0.5 * bhat**2 / s * v / (s + v))
-
-
-def test_no_effect_gives_no_set():
-    assert K.susie(np.full(30, 0.1), np.eye(30), 5000)[0] == []
-
-
 def test_quality_control(spark, sf_dir, studies):
     compared(spark, sf_dir, studies, "k15_quality_control", lambda p, ld: {"snp": p["snp"], "bad": K.dentist(p["z"].to_numpy(), ld)}, ["snp", "bad"])
     rng = np.random.default_rng(3)
@@ -177,20 +145,6 @@ def test_conditional_spread_and_projection(spark, sf_dir, studies):
     compared(spark, sf_dir, studies, "k31_projected_imputation", projected, ["z"], 1e-6)
 
 
-def test_simulation(spark, sf_dir, studies):
-    got = registry.QUERIES["k29_simulation"](spark, sf_dir).toPandas()
-    gap = []
-    for (blk, study), one in got.groupby(["blk", "study"]):
-        p, ld = studies[0][blk, study], studies[1][blk]
-        sd = np.sqrt(2 * p["eaf"] * (1 - p["eaf"])).to_numpy()
-        scaled = one["joint"].to_numpy() * sd
-        assert ((scaled != 0) == ((p["snp"] + study) % 8 == 0)).all() and np.isclose(scaled @ ld @ scaled, 0.3)
-        assert np.allclose(one["se"], 1 / (sd * sqrt(N)))
-        gap.append((one["beta"].to_numpy() * sd - ld @ scaled) * sqrt(N))
-    gap = np.concatenate(gap)
-    assert abs(gap.mean()) < 0.1 and abs(gap.std() - 1) < 0.1
-
-
 def test_masked_colocalisation_without_a_mask_is_colocalisation(spark, sf_dir):
     plain = registry.QUERIES["k18_colocalisation"](spark, sf_dir).toPandas()
     got = registry.QUERIES["k19_masked_colocalisation"](spark, sf_dir).toPandas().set_index("cut")
@@ -217,14 +171,3 @@ def test_row_order_is_that_of_plain_average_linkage():
         a, b = min(((i, j) for i in groups for j in groups if i < j), key=lambda ij: (d[np.ix_(groups[ij[0]], groups[ij[1]])].mean(), ij))
         groups[a] += groups.pop(b)
     assert K.linkage_order(x) == next(iter(groups.values()))
-
-
-def test_ld_meets_studies_in_dealt_groups(spark):
-    rows = spark.createDataFrame([(b, s, k, float(k)) for b in (1, 2) for s in range(10) for k in (3, 5, 9, 11)], "blk long, study long, snp long, z double")
-    ld = spark.createDataFrame([(1, 3, 5, 0.5), (1, 5, 9, 0.25), (2, 9, 3, 0.1)], "blk long, lead long, proxy long, r double")
-    f = lambda p, r: {"snp": p["snp"], "sum": r @ p["z"].to_numpy()}
-    got = {(r["blk"], r["study"], r["snp"]): r["sum"] for r in LD.by_study(rows, ld, f, "snp long, sum double", copies=3).collect()}
-    want = {1: {3: 3 + 2.5, 5: 1.5 + 5 + 2.25, 9: 1.25 + 9}, 2: {3: 3 + 0.9, 9: 0.3 + 9}}  # SNPs without LD rows are left out
-    assert got == {(b, s, k): v for b in (1, 2) for s in range(10) for k, v in want[b].items()}
-    assert LD.by_study(rows.limit(0), ld, f, "snp long, sum double").count() == 0
-    assert LD.by_study(rows, ld.limit(0), f, "snp long, sum double").count() == 0
