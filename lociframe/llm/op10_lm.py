@@ -11,10 +11,16 @@ background's (in nats): below zero means closer to the target.
 
 Counts cover every word of every document and keep every key (64-bit hashes),
 so the tables grow with the corpus.  Documents are dealt to chunks of about
-CHUNK_BYTES of text; a chunk sends its distinct keys with their counts to
-buckets by key, a bucket sums them over all chunks and answers each chunk in
-the chunk's own order, and the chunk scores its documents.  Numbers of chunks
-and buckets grow with the text; nothing is collected or broadcast.
+CHUNK_BYTES of text by hash of id and text; a chunk sends its distinct keys
+with their counts to buckets by key, a bucket sums them over all chunks and
+answers each chunk in the chunk's own order, and the chunk scores its
+documents.  Numbers of chunks and buckets grow with the text.  A chunk writes a
+row only for a bucket that holds some of its keys, so it writes no more rows
+than it has distinct keys, however many buckets there are.  The totals (words
+of either model, distinct words) are one row, broadcast.
+
+Rows of one id and text that occur MANY_COPIES times or more are counted first
+and are one row with a weight; what they score is laid out again at the end.
 
 Cases: null and blank texts have no words and score 0; a target or background
 without other documents leaves uniform models; repeated rows are documents of
@@ -33,7 +39,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, give_back, lower_words, mix, prepare
+from .common import WordHashes, cut_lineage, give_back, lower_words, mix, prepare
 
 #: Shares of the pair probability, and of the uniform one in what remains.
 BLEND, UNIFORM = 0.7, 0.02
@@ -43,11 +49,14 @@ CHUNK_BYTES = 8 << 20
 LEAST_CHUNKS = 8
 #: Counts kept for each key of kind 0 (words and contexts) and 1 (pairs): of which keys of a word, in all documents or the target's.
 TABLES = (((0, False), (0, True), (1, False), (1, True)), ((2, False), (2, True)))
-COUNTED = "chunk long, bucket int, kind int, n int, keys binary, counts binary, target_words long, all_words long, target_ids binary"
-#: vocabulary: distinct words of the bucket.
-ANSWERED = COUNTED.replace("keys binary, ", "") + ", vocabulary long"
-_COUNTED = [("chunk", pa.int64()), ("bucket", pa.int32()), ("kind", pa.int32()), ("n", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary()), ("target_words", pa.int64()), ("all_words", pa.int64()), ("target_ids", pa.binary())]
-_ANSWERED = [*(c for c in _COUNTED if c[0] != "keys"), ("vocabulary", pa.int64())]
+COUNTED = "chunk long, bucket int, kind int, n int, keys binary, counts binary, target_words long, all_words long"
+ANSWERED = "chunk long, bucket int, kind int, n int, counts binary"
+_COUNTED = [("chunk", pa.int64()), ("bucket", pa.int32()), ("kind", pa.int32()), ("n", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary()), ("target_words", pa.int64()), ("all_words", pa.int64())]
+_ANSWERED = [(name, kind) for name, kind in _COUNTED if name in ANSWERED]
+TOTALS = ("target_words", "all_words", "vocabulary")
+#: Rows of one id and text from so many on are counted before they are dealt; up to MOST_BROADCAST such texts are broadcast to the rows, more are joined by key.
+MANY_COPIES, MOST_BROADCAST = 64, 100_000
+RUN = 10_000
 
 
 def indices(text: str | None, hashes: WordHashes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -110,35 +119,36 @@ def _table(rows: list[tuple], schema: list[tuple]) -> pa.Table:
     return pa.Table.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, schema, strict=True)], names=[name for name, _ in schema])
 
 
-def _counted(rows: DataFrame, wanted: DataFrame, bits: int) -> DataFrame:
-    """Each chunk's distinct keys and their counts by bucket (2^bits of them); the row of kind 0 is there for every bucket."""
-    first = np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)
+def _counted(rows: DataFrame, bits: int) -> DataFrame:
+    """Each chunk's distinct keys and their counts by bucket (2^bits of them); its first row holds its numbers of words."""
+    first = np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits) if bits else np.zeros(1, np.uint64)
 
-    def count(docs: pa.Table, ids: pa.Table) -> pa.Table:
+    def count(docs: pa.Table) -> pa.Table:
         out = []
-        if docs.num_rows:
-            chunk = docs.column("chunk")[0].as_py()
-            is_target = pc.is_in(docs.column("doc_id"), value_set=ids.column("_lm_id").combine_chunks()).to_numpy(zero_copy_only=False)
-            n, kinds, places = _read(docs.column("text").to_pylist())
-            of_target = np.repeat(is_target.astype(bool), n)
-            totals = int(of_target.sum()), int(n.sum())
-            known = ids.column("_lm_id").to_numpy().tobytes()
-            for kind, keys in enumerate(kinds):
-                counts = np.stack([np.bincount(places[of] if every else places[of][of_target], minlength=len(keys)) for of, every in TABLES[kind]])
-                cut = [*np.searchsorted(keys, first).tolist(), len(keys)]
-                for bucket, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)):
-                    if b > a or kind == 0:
-                        out.append((chunk, bucket, kind, b - a, _packed_keys(keys[a:b]), _packed(counts[:, a:b]), *totals, known if bucket == kind == 0 else b""))
+        n, kinds, places = _read(docs.column("text").to_pylist())
+        chunk, copies = docs.column("chunk")[0].as_py(), docs.column("copies").to_numpy()
+        every = np.repeat(copies, n)
+        target = np.repeat(np.where(docs.column("is_target").to_numpy(zero_copy_only=False).astype(bool), copies, 0), n)
+        totals = int(target.sum()), int(every.sum())
+        for kind, keys in enumerate(kinds):
+            # sums in float64 are exact to 2^53
+            if not len(keys):
+                continue
+            counts = np.stack([np.bincount(places[of], weights=every if whole else target, minlength=len(keys)).astype(np.int64) for of, whole in TABLES[kind]])
+            at = np.searchsorted(first, keys, side="right") - 1
+            buckets, starts = np.unique(at, return_index=True)
+            for bucket, a, b in zip(buckets.tolist(), starts.tolist(), [*starts[1:].tolist(), len(keys)], strict=True):
+                out.append((chunk, bucket, kind, b - a, _packed_keys(keys[a:b]), _packed(counts[:, a:b]), *(totals if not out else (0, 0))))
         give_back()
         return _table(out, _COUNTED)
 
-    return rows.groupBy("chunk").cogroup(wanted.groupBy("chunk")).applyInArrow(count, COUNTED)
+    return rows.groupBy("chunk").applyInArrow(count, COUNTED)
 
 
-def _summed(table: pa.Table):
+def _summed(table: pa.Table, wanted: tuple[int, ...] = (0, 1)):
     """Of a bucket's rows, for each kind: the rows' places, the number of keys of each, the place of each key among the distinct ones, and their sums."""
     kinds, lengths, keys, counts = (table.column(c).to_pylist() for c in ("kind", "n", "keys", "counts"))
-    for kind in range(len(TABLES)):
+    for kind in wanted:
         rows = [r for r, k in enumerate(kinds) if k == kind]
         if not rows:
             continue
@@ -151,19 +161,24 @@ def _summed(table: pa.Table):
 def _answer(table: pa.Table) -> pa.Table:
     """A bucket's rows with the counts over all chunks in place of their own."""
     chunks, bucket = table.column("chunk").to_pylist(), table.column("bucket")[0].as_py()
-    one_each = table.filter(pc.equal(table.column("kind"), 0))
-    totals = [pc.sum(one_each.column(c)).as_py() for c in ("target_words", "all_words")]
     out = []
-    ids = table.column("target_ids").to_pylist()
     for kind, rows, lengths, at, sums in _summed(table):
-        end, vocabulary = 0, int((sums[1] > 0).sum()) if kind == 0 else 0
+        end = 0
         for row, length in zip(rows, lengths, strict=True):
-            out.append((chunks[row], bucket, kind, length, _packed(sums[:, at[end : end + length]]), *totals, ids[row], vocabulary))
+            out.append((chunks[row], bucket, kind, length, _packed(sums[:, at[end : end + length]])))
             end += length
     give_back()
     return _table(out, _ANSWERED)
 
 
+def _total(table: pa.Table) -> pa.Table:
+    """A bucket's distinct words, and the words of the chunks whose first row is here."""
+    words = [pc.sum(table.column(c)).as_py() for c in TOTALS[:2]]
+    vocabulary = sum(int((sums[1] > 0).sum()) for *_, sums in _summed(table, (0,)))
+    give_back()
+    return _table([(*words, vocabulary)], [(c, pa.int64()) for c in TOTALS])
+
+
 def _losses(word: np.ndarray, context: np.ndarray, pair: np.ndarray, total: np.ndarray, vocabulary: int) -> np.ndarray:
     """One model's loss of each word in nats, from the counts of the word, its context and the pair, and of all words."""
     base = (1 - UNIFORM) * word / np.maximum(total, 1) + np.where(total > 0, UNIFORM, 1.0) / vocabulary
@@ -185,10 +200,8 @@ def _judge(docs: pa.Table, answers: pa.Table) -> pa.Table:
     per = np.zeros((2, len(n)))
     if n.sum():
         of = np.repeat(np.arange(len(n)), n)
-        totals = [answers.column(c)[0].as_py() for c in ("target_words", "all_words")]
-        vocabulary = pc.sum(answers.column("vocabulary")).as_py()
-        ids = np.frombuffer(b"".join(answers.column("target_ids").to_pylist()), np.int64)
-        inside = [pc.is_in(docs.column("doc_id"), value_set=pa.array(ids)).to_numpy(zero_copy_only=False).astype(bool), np.ones(len(n), bool)]
+        *totals, vocabulary = (docs.column(c)[0].as_py() for c in TOTALS)
+        inside = [docs.column("is_target").to_numpy(zero_copy_only=False).astype(bool), np.ones(len(n), bool)]
         words, pairs = (np.concatenate(f, axis=1) for f in found)
         if [words.shape[1], pairs.shape[1]] != [len(keys) for keys in kinds]:
             raise RuntimeError("a chunk's answers don't fit its keys")
@@ -199,20 +212,32 @@ def _judge(docs: pa.Table, answers: pa.Table) -> pa.Table:
             losses = _losses(word, context, pair, totals[model] - np.where(less, n[of], 0), vocabulary)
             per[model] = np.bincount(of, weights=losses, minlength=len(n)) / np.maximum(n, 1)
     give_back()
-    return pa.table({"doc_id": docs.column("doc_id"), "n_words": n, "target_loss": per[0], "background_loss": per[1], "score": per[0] - per[1]})
+    return pa.table({"doc_id": docs.column("doc_id"), "n_words": n, "target_loss": per[0], "background_loss": per[1], "score": per[0] - per[1], "copies": docs.column("copies")})
+
+
+def _counted_copies(rows: DataFrame, many: int) -> DataFrame:
+    """Adds copies: 1, or the number of equal rows (doc_id, text_key) that one row now stands for, where there are ``many`` or more."""
+    hot = cut_lineage(rows.groupBy("doc_id", "text_key").agg(F.count("*").alias("copies")).where(F.col("copies") >= many))
+    n = hot.count()
+    if not n:
+        return rows.withColumn("copies", F.lit(1).cast("long"))
+    near = hot.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "copies")
+    marked = rows.join(F.broadcast(near) if n <= MOST_BROADCAST else near, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key")), "left").drop("_id", "_key")
+    one = marked.where("copies IS NOT NULL").groupBy("doc_id", "text_key", "copies").agg(F.first("text").alias("text"))
+    return marked.where("copies IS NULL").withColumn("copies", F.lit(1).cast("long")).unionByName(one)
 
 
-def _dealt(docs: DataFrame, target: DataFrame) -> tuple[DataFrame, DataFrame, int]:
-    """Rows and wanted ids by chunk, and the bits that number the buckets."""
+def _dealt(docs: DataFrame, target: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> tuple[DataFrame, int]:
+    """Rows by chunk, with weights and the target's marked, and the bits that number the buckets."""
     prepare(docs.sparkSession)
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    chunks = max(LEAST_CHUNKS, -(-size // CHUNK_BYTES))
-    chunk = lambda key: F.pmod(F.xxhash64(key), F.lit(chunks)).alias("chunk")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    # rows without an id are no target's and may lie anywhere
-    rows = rows.select("doc_id", "text", chunk(F.coalesce("doc_id", F.xxhash64("text"))))
-    wanted = target.select(F.col("doc_id").cast("long").alias("_lm_id")).where("_lm_id IS NOT NULL").distinct().select("_lm_id", chunk(F.col("_lm_id")))
-    return rows, wanted, (chunks // 2 - 1).bit_length()
+    chunks = max(LEAST_CHUNKS, -(-size // chunk_bytes))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"), "text")
+    wanted = target.select(F.col("doc_id").cast("long").alias("_lm_id")).where("_lm_id IS NOT NULL").distinct().withColumn("is_target", F.lit(True))
+    rows = _counted_copies(rows, MANY_COPIES).join(wanted, F.col("doc_id") == F.col("_lm_id"), "left")
+    # of several texts under one id each has a chunk of its own
+    chunk = F.pmod(F.xxhash64("doc_id", "text_key"), F.lit(chunks)).alias("chunk")
+    return rows.select("doc_id", "text", "copies", F.coalesce("is_target", F.lit(False)).alias("is_target"), chunk), (chunks // 2 - 1).bit_length()
 
 
 def score(docs: DataFrame, target: DataFrame) -> DataFrame:
@@ -221,9 +246,14 @@ def score(docs: DataFrame, target: DataFrame) -> DataFrame:
     ``target``: doc_id of the rows whose texts make the target model; the
     background is all of ``docs``.
     """
-    rows, wanted, bits = _dealt(docs, target)
-    answers = _counted(rows, wanted, bits).groupBy("bucket").applyInArrow(_answer, ANSWERED)
-    return rows.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_judge, "doc_id long, n_words long, target_loss double, background_loss double, score double")
+    rows, bits = _dealt(docs, target)
+    counted = _counted(rows, bits)
+    answers = counted.groupBy("bucket").applyInArrow(_answer, ANSWERED)
+    totals = counted.groupBy("bucket").applyInArrow(_total, ", ".join(f"{c} long" for c in TOTALS)).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in TOTALS])
+    read = rows.crossJoin(F.broadcast(totals))  # one row
+    judged = read.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_judge, "doc_id long, n_words long, target_loss double, background_loss double, score double, copies long")
+    runs = judged.withColumn("_run", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(copies - 1) div {RUN}L"))))
+    return runs.withColumn("_run", F.explode(F.sequence(F.col("_run") * RUN + 1, F.least(F.col("_run") * RUN + RUN, F.col("copies"))))).drop("_run", "copies")
 
 
 def table_sizes(docs: DataFrame, target: DataFrame) -> DataFrame:

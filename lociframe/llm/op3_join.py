@@ -45,6 +45,8 @@ VERIFY_COST = 8.0
 MOST_BROADCAST = 400_000
 #: A set that more than this many pairs name is dealt to several tasks.
 PAIRS_A_SALT = 64
+#: Documents of a prefix token that are paired in one group; a token with more of them is dealt to blocks of pairs.
+TOKEN_BLOCK = 2_000
 
 
 def sorted_set(text: str | None, size: int, hashes: WordHashes) -> np.ndarray:
@@ -246,12 +248,22 @@ def linked(docs: DataFrame, size: int = 3, percent: int = 90) -> tuple[DataFrame
     links = cut_lineage(verified(star, classes, rows, size, percent))
     comp = connected_components(links)
     tokens = tokens.join(comp, "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component")
-    mixed = tokens.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("token")
+    blocks = F.ceil(F.count("*") / TOKEN_BLOCK).cast("int")
+    mixed = tokens.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), blocks.alias("blocks")).where("lo <> hi").select("token", "blocks")
     tokens = cut_lineage(tokens.join(mixed, "token").join(bits, ["node", "n"]))
-    x = tokens.select("token", *[F.col(c).alias(f"x_{c}") for c in ("node", "n", "l", "at", "c", "parity")])
-    y = tokens.select("token", *[F.col(c).alias(f"y_{c}") for c in ("node", "n", "l", "at", "c", "parity")])
+    side = lambda t, mark, *more: t.select("token", *more, *[F.col(c).alias(f"{mark}_{c}") for c in ("node", "n", "l", "at", "c", "parity")])
     matches = F.least("x_l", "y_l")
-    across = x.join(y, (x["token"] == y["token"]) & (F.col("x_c") < F.col("y_c")) & may_reach(F.col("x_n"), F.col("y_n"), F.col("x_parity"), F.col("y_parity"), percent) & (F.col("x_at") <= matches) & (F.col("y_at") <= matches))
+
+    def met(x: DataFrame, y: DataFrame, keys: list[str]) -> DataFrame:
+        both = x.join(y, [x[k] == y[k] for k in keys] + [(F.col("x_c") < F.col("y_c")) & may_reach(F.col("x_n"), F.col("y_n"), F.col("x_parity"), F.col("y_parity"), percent) & (F.col("x_at") <= matches) & (F.col("y_at") <= matches)])
+        return both.select("x_node", "y_node", "x_n", "y_n", "x_l", "y_l")
+
+    usual, crowded = tokens.where("blocks = 1"), tokens.where("blocks > 1")
+    across = met(side(usual, "x"), side(usual, "y"), ["token"])
+    if crowded.limit(1).count():
+        # every pair of a token's blocks is a group of its own
+        own, every = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+        across = across.union(met(side(crowded, "x", own.alias("i"), every.alias("j")), side(crowded, "y", own.alias("j"), every.alias("i")), ["token", "i", "j"]))
     across = across.select("x_node", "y_node", "x_n", "y_n", matches.alias("l")).groupBy("x_node", "y_node", "x_n", "y_n", "l").agg(F.count("*").alias("m")).where("m >= l")
     across = across.select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
     across = cut_lineage(across.join(star, ["a", "b"], "left_anti"))

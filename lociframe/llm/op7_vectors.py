@@ -105,6 +105,11 @@ class Codec:
         return out
 
 
+def in_range(x: np.ndarray) -> np.ndarray:
+    """Rows (none of zeros) divided by powers of two so that their greatest component is near one: squares neither over- nor underflow, and nothing is rounded."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(1, initial=0.0))[1][:, None])
+
+
 def labels_of(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
     """Least node of each node's component over links a-b among n nodes."""
     label = np.arange(n)
@@ -127,6 +132,7 @@ def _block(table: pa.Table, codec: Codec, link: float) -> pa.Table:
     size = table.column("size")[0].as_py()
     x = np.zeros((len(node), codec.dim))
     x[:, :size] = flat.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(node), size)
+    x = in_range(x)
     norm = np.sqrt((x * x).sum(1))
     unit = x / norm[:, None]
     s, q = np.flatnonzero(role), np.flatnonzero(~role)
@@ -185,8 +191,8 @@ def near_duplicates(vectors: DataFrame, link: float = LINK) -> DataFrame:
     sample = np.zeros((len(picked), dim))
     for i, r in enumerate(picked):
         sample[i, : len(r["embedding"])] = r["embedding"]
-    norms = np.sqrt((sample**2).sum(1))
-    sample = sample[norms > 0] / norms[norms > 0, None]
+    sample = in_range(sample)
+    sample /= np.sqrt((sample**2).sum(1))[:, None]
     shared = spark.sparkContext.broadcast(Codec(sample, int(min(MOST_LISTS, max(LEAST_LISTS, total // LIST_ROWS), len(sample)))))
     reach = float(np.sqrt(2 - 2 * link))
 
@@ -197,6 +203,7 @@ def near_duplicates(vectors: DataFrame, link: float = LINK) -> DataFrame:
             x = np.zeros((batch.num_rows, codec.dim))
             for i, v in enumerate(emb.to_pylist()):
                 x[i, : len(v)] = v
+            x = in_range(x)
             x /= np.sqrt((x * x).sum(1))[:, None]
             for low in range(0, len(x), ROWS_AT_ONCE):
                 piece = x[low : low + ROWS_AT_ONCE]

@@ -12,7 +12,8 @@ and with them (and all that finish at the same time) are within the budget.
 Running sums have two levels.  Inside a source, about the square root of the
 number of rows of hash ranges are summed first, and only the rows of one range
 are ordered together, so a source with a third of all rows isn't gathered in
-one task.  Over all rows or sources, the rows are range-partitioned and each
+one task; rows that are equal in id, source and text are counted first and are
+one row there.  Over all rows or sources, the rows are range-partitioned and each
 partition starts at the sum of those before it.
 
 Cases: null or blank texts have size 0 and take no words; with no words at all
@@ -34,6 +35,8 @@ from .common import cut_lineage
 
 WEIGHTS = (1, 2, 3)
 MOST_EPOCHS = 3
+#: Equal rows that are laid out from one row of their group at a time; groups of more than MANY_COPIES are numbered in parts.
+RUN, MANY_COPIES = 10_000, 1_000
 
 
 def size_of(text: Column) -> Column:
@@ -42,9 +45,10 @@ def size_of(text: Column) -> Column:
 
 def _queued(docs: DataFrame) -> DataFrame:
     """Adds the queue columns: source key and null flag, size, shuffled place (60 bits of an MD5 of id and text)."""
-    key = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit("@"), F.md5(F.coalesce("text", F.lit(""))))
+    ident = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
+    key = F.concat(ident, F.lit("@"), F.md5(F.coalesce("text", F.lit(""))))
     place = F.conv(F.substring(F.md5(key), 1, 15), 16, 10).cast("long")
-    return docs.withColumns({"_mx_null": F.col("source").isNull(), "_mx_source": F.coalesce("source", F.lit("")), "_mx_size": size_of(F.col("text")), "_mx_place": place})
+    return docs.withColumns({"_mx_null": F.col("source").isNull(), "_mx_source": F.coalesce("source", F.lit("")), "_mx_size": size_of(F.col("text")), "_mx_place": place, "_mx_id": ident})
 
 
 def _range(count: int) -> Column:
@@ -82,59 +86,98 @@ def targets(rows: DataFrame, weights: tuple = WEIGHTS, most_epochs: float = MOST
     return per.crossJoin(F.broadcast(common)).select("_mx_null", "_mx_source", "source_size", target.alias("target"))
 
 
+#: What makes rows equal for the queue.
+KEYS = ["_mx_null", "_mx_source", "_mx_place", "_mx_size", "_mx_id"]
+
+
 class Plan:
-    """What the final pass needs: first word of each hash range, targets, and the finish time of the last document taken."""
+    """Groups of equal rows with the words of their source up to and with each group, and the finish time of the last document taken.
+
+    ``groups``: KEYS, doc_id, copies, _mx_end, source_size and target.  Equal rows are
+    counted before they are ordered, so they are one row here however many
+    there are, and are laid out one after the other afterwards.
+    """
 
     def __init__(self, docs: DataFrame):
-        narrow = cut_lineage(_queued(docs.select("doc_id", "source", "text")).select("doc_id", "_mx_null", "_mx_source", "_mx_size", "_mx_place"))
-        self.ranges = math.isqrt(narrow.count()) + 1
-        narrow = narrow.withColumn("_mx_range", _range(self.ranges))
-        sums = narrow.groupBy("_mx_null", "_mx_source", "_mx_range").agg(F.sum("_mx_size").alias("n"))
+        narrow = _queued(docs.select("doc_id", "source", "text")).groupBy(*KEYS).agg(F.first("doc_id").alias("doc_id"), F.count("*").alias("copies"))
+        narrow = cut_lineage(narrow)
+        narrow = narrow.withColumn("_mx_range", _range(math.isqrt(narrow.count()) + 1))
+        words = F.col("_mx_size") * F.col("copies")
+        sums = narrow.groupBy("_mx_null", "_mx_source", "_mx_range").agg(F.sum(words).alias("n"))
         before = Window.partitionBy("_mx_null", "_mx_source").orderBy("_mx_range").rowsBetween(Window.unboundedPreceding, -1)
         sums = sums.withColumn("_mx_base", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
-        self.starts = cut_lineage(sums.join(targets(narrow), ["_mx_null", "_mx_source"]))
-        self.narrow = narrow.drop("_mx_range")
-        self.last = self._last_finish(self.timed(self.narrow))
-
-    def timed(self, rows: DataFrame) -> DataFrame:
-        """Adds source_size, target and the words of the source up to and with this document."""
-        rows = rows.withColumn("_mx_range", _range(self.ranges))
+        starts = cut_lineage(sums.join(targets(narrow.withColumn("_mx_size", words)), ["_mx_null", "_mx_source"]))
         within = Window.partitionBy("_mx_null", "_mx_source", "_mx_range").orderBy("_mx_place", "doc_id", "_mx_size").rowsBetween(Window.unboundedPreceding, 0)
-        rows = rows.withColumn("_mx_sum", F.sum("_mx_size").over(within))
-        return rows.join(self.starts, ["_mx_null", "_mx_source", "_mx_range"]).withColumn("_mx_sum", F.col("_mx_sum") + F.col("_mx_base"))
+        timed = narrow.withColumn("_mx_sum", F.sum(words).over(within)).join(starts, ["_mx_null", "_mx_source", "_mx_range"])
+        self.groups = cut_lineage(timed.select(*KEYS, "doc_id", "copies", (F.col("_mx_sum") + F.col("_mx_base")).alias("_mx_end"), "source_size", "target"))
+        self.last = self._last_finish(starts)
+
+    def rows(self) -> DataFrame:
+        """One row for each row of the input: KEYS, doc_id, source_size, target and the words of the source up to and with it (_mx_sum)."""
+        runs = self.groups.withColumn("_mx_run", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(copies - 1) div {RUN}L"))))
+        first = F.col("_mx_run") * RUN
+        k = F.explode(F.sequence(first + 1, F.least(first + RUN, F.col("copies"))))
+        return runs.withColumn("_mx_k", k).select(*KEYS, "doc_id", "source_size", "target", self.upto(F.col("_mx_k")).alias("_mx_sum"))
+
+    @staticmethod
+    def upto(k: Column) -> Column:
+        """Words of the source up to and with the k-th of equal rows."""
+        return F.col("_mx_end") - F.col("_mx_size") * (F.col("copies") - k)
 
     @staticmethod
     def finish(epoch: Column) -> Column:
         """Virtual finish time; null where the source has no target."""
         return F.when(F.col("target") > 0, (epoch * F.col("source_size") + F.col("_mx_sum")) / F.col("target"))
 
-    def _last_finish(self, timed: DataFrame) -> DataFrame:
+    def _last_finish(self, starts: DataFrame) -> DataFrame:
         """One row (_mx_last): documents that finish by then are taken."""
-        rows = timed.select("_mx_size", "_mx_sum", "source_size", "target", F.explode(F.array(*map(F.lit, range(MOST_EPOCHS)))).alias("epoch"))
+        rows = self.rows().select("_mx_size", "_mx_sum", "source_size", "target", F.explode(F.array(*map(F.lit, range(MOST_EPOCHS)))).alias("epoch"))
         rows = rows.select("_mx_size", self.finish(F.col("epoch")).alias("f")).where("f IS NOT NULL")
-        budget = self.starts.select("_mx_null", "_mx_source", "source_size").distinct().agg(F.coalesce(F.sum("source_size"), F.lit(0)).alias("budget"))
+        budget = starts.select("_mx_null", "_mx_source", "source_size").distinct().agg(F.coalesce(F.sum("source_size"), F.lit(0)).alias("budget"))
         upto = running_totals(rows, ["f"], upto=F.col("_mx_size")).crossJoin(F.broadcast(budget))
         return cut_lineage(upto.where("upto <= budget").agg(F.max("f").alias("_mx_last")))
 
-
-def _taken(rows: DataFrame, plan: Plan) -> DataFrame:
-    """Adds the finish times at which the row is taken, one for each epoch."""
-    timed = plan.timed(rows).crossJoin(F.broadcast(plan.last))
-    times = F.array(*[plan.finish(F.lit(e)) for e in range(MOST_EPOCHS)])
-    return timed.withColumn("_mx_times", F.filter(times, lambda f: f <= F.col("_mx_last")))
+    def taken(self, rows: DataFrame) -> DataFrame:
+        """Adds the finish times at which the row is taken, one for each epoch."""
+        times = F.array(*[self.finish(F.lit(e)) for e in range(MOST_EPOCHS)])
+        return rows.crossJoin(F.broadcast(self.last)).withColumn("_mx_times", F.filter(times, lambda f: f <= F.col("_mx_last")))
 
 
 def mix(docs: DataFrame) -> DataFrame:
     """doc_id, size, source_size, target and taken of every row."""
     plan = Plan(docs)
-    rows = _taken(plan.narrow, plan)
+    rows = plan.taken(plan.rows())
     return rows.select("doc_id", F.col("_mx_size").alias("size"), "source_size", "target", (F.col("_mx_size") * F.size("_mx_times")).alias("taken"))
 
 
+def _placed(rows: DataFrame, plan: Plan) -> DataFrame:
+    """``rows`` (KEYS and others) with source_size, target and _mx_sum: each takes a place of its own among equal ones.
+
+    Groups of more than MANY_COPIES rows are numbered by partition and within
+    it, so none of them meets in one task; the others are numbered as they meet
+    their group's row.
+    """
+    groups = plan.groups.drop("doc_id")
+    many = groups.where(F.col("copies") > MANY_COPIES)
+    # the window needs no exchange of its own
+    placed = rows.join(groups.where(F.col("copies") <= MANY_COPIES), KEYS).withColumn("_mx_k", F.row_number().over(Window.partitionBy(*KEYS).orderBy(F.lit(1))))
+    if many.limit(1).count():
+        # dealt by chance and read from a checkpoint, then numbered in each part
+        part = F.floor(F.rand(7) * F.least(F.ceil(F.col("copies") / MANY_COPIES), F.lit(10_000))).cast("int")
+        hot = cut_lineage(rows.join(many, KEYS).withColumn("_mx_part", part))
+        before = Window.partitionBy(*KEYS).orderBy("_mx_part").rowsBetween(Window.unboundedPreceding, -1)
+        # at most 10 000 rows for each group
+        per = hot.groupBy(*KEYS, "_mx_part").agg(F.count("*").alias("n")).withColumn("_mx_before", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
+        inside = F.row_number().over(Window.partitionBy(*KEYS, "_mx_part").orderBy(F.lit(1)))
+        hot = hot.withColumn("_mx_in", inside).join(per, [*KEYS, "_mx_part"]).withColumn("_mx_k", F.col("_mx_before") + F.col("_mx_in"))
+        placed = placed.unionByName(hot.select(*placed.columns))
+    return placed.withColumn("_mx_sum", plan.upto(F.col("_mx_k")))
+
+
 def mixed(docs: DataFrame) -> DataFrame:
     """The mixture itself, in order of finish times: each row of ``docs`` as often as it is taken."""
     plan = Plan(docs)
     wrapped = docs.select("doc_id", "source", "text", F.struct(*docs.columns).alias("_mx_row"))
-    rows = _queued(wrapped).select("doc_id", "_mx_null", "_mx_source", "_mx_size", "_mx_place", "_mx_row")
-    rows = _taken(rows, plan).select("_mx_row", F.explode("_mx_times").alias("_mx_time"))
+    rows = _placed(_queued(wrapped).select(*KEYS, "_mx_row"), plan)
+    rows = plan.taken(rows).select("_mx_row", F.explode("_mx_times").alias("_mx_time"))
     return rows.repartitionByRange("_mx_time").sortWithinPartitions("_mx_time").select("_mx_row.*")
