@@ -21,6 +21,7 @@ text with n detections takes work in proportion to n log n.
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -34,7 +35,9 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 RAW_WORD = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
 GAP = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 #: Parts of single words, so it makes no difference what stands between words; every rule needs one of them.
-CUES = ("licen", "under", "copyright", "permission", "permitted", "redistribut", "reserved", "domain", "warrant", "altered", "acknowledg", "misrepresent", "evil", "openssl", "jpeg", "proprietary", "prohibited", "whatever", "reproduced", "internal")
+CUES = ("licen", "under", "copyright", "permission", "permitted", "redistribut", "reserved", "domain", "warrant", "altered", "acknowledg", "misrepresent", "evil", "openssl", "jpeg", "proprietary", "prohibited", "whatever", "reproduced", "internal", "apache", "gpl", "clause")
+#: Cues that are whole words (digits may follow), for identifiers whose letters stand in many other words.
+SHORT_CUES = ("mpl", "mplv", "epl", "cddl", "eupl", "bsl", "cc")
 
 # Base phrases and their labels.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -45,7 +48,8 @@ SPAN = "struct<s:int,e:int,p:int,label:string,confidence:double>"
 def _table() -> Column:
     out = []
     for r in rules():
-        if not any(c in x for x in literals(r["pattern"].removesuffix("(?= )")) for c in CUES):
+        fixed = literals(r["pattern"].removesuffix("(?= )"))
+        if not any(c in x for x in fixed for c in CUES) and not any(re.search(f" {c}(?![a-z])", x) for x in fixed for c in SHORT_CUES):
             raise ValueError(f"no cue in {r['pattern']}")
         out.append(F.struct(*[F.lit(r[c]).alias(c) for c in ("keyword", "priority", "confidence", "label", "pattern")]))
     return F.array(*out)
@@ -112,7 +116,8 @@ def _phrase(norm: Column, total: Column, phrase: str, label: str) -> Column:
 
 def cued(text: Column) -> Column:
     """True if a cue word stands anywhere; nothing but ASCII letters matters, and these lower-case alike everywhere."""
-    return let(F.lower(text), lambda t: reduce(Column.__or__, [F.contains(t, F.lit(c)) for c in CUES]))
+    short = f"(?<![a-z0-9])(?:{'|'.join(SHORT_CUES)})(?![a-z])"
+    return let(F.lower(text), lambda t: reduce(Column.__or__, [F.contains(t, F.lit(c)) for c in CUES]) | t.rlike(short))
 
 
 def scan(docs: DataFrame, keep: list[str]) -> DataFrame:

@@ -3,8 +3,9 @@
 Expressions are matched on the normal form: words in lower case with one space
 between, signs gone (``GPL-2.0+`` reads ``gpl 2 0``).  Priorities: 90 whole
 sentences of a license text, 80 identifiers, 70 notices that name a license in
-full, 60 grants under a short name, 50 names with a version, 40 full names,
-30 short names, 20 links, 10 hints.
+full, 60 grants under a short name, 55 "X licensed", 50 names with a version,
+45 identifiers that stand alone (as in source headers and package files), 40
+full names, 30 short names, 20 links, 10 hints.
 """
 
 from __future__ import annotations
@@ -280,6 +281,41 @@ generic 30 0.4 open source licen[sc]e
 generic 30 0.4 free software licen[sc]e
 copyright 20 0.3 copyright (?:c )?(?:19|20)[0-9][0-9]
 copyright 10 0.3 copyrighted material
+mit 55 0.9 mit licen[sc]ed
+apache 55 0.9 apache(?: 2 0)? licen[sc]ed
+apache 45 0.85 apache 2 0(?: with llvm exception)?
+apache 45 0.8 apache2(?: 0)?
+apache 45 0.8 apache v2(?: 0)?
+bsd 55 0.9 (?:new |modified |simplified |revised )?bsd licen[sc]ed
+bsd 45 0.85 bsd [1234] clause
+bsd 45 0.85 [234] clause bsd
+gpl 55 0.9 gpl(?: ?v?[123])?(?: 0)? licen[sc]ed
+gpl 45 0.85 gpl [123](?: 0)?(?: only| or later| or any later version)?
+gpl 45 0.85 gpl v[123](?: 0)?(?: only| or later| or any later version)?
+gpl 45 0.85 gplv[123](?: 0)?(?: only| or later| or any later version)?
+lgpl 55 0.9 lgpl(?: ?v?[23])?(?: [01])? licen[sc]ed
+lgpl 45 0.85 lgpl [23](?: [01])?(?: only| or later| or any later version)?
+lgpl 45 0.85 lgpl v[23](?: [01])?(?: only| or later| or any later version)?
+lgpl 45 0.85 lgplv[23](?: [01])?(?: only| or later| or any later version)?
+agpl 55 0.9 agpl(?: ?v?3)?(?: 0)? licen[sc]ed
+agpl 45 0.85 agpl 3(?: 0)?(?: only| or later)?
+agpl 45 0.85 agpl v3(?: 0)?(?: only| or later)?
+agpl 45 0.85 agplv3(?: only| or later)?
+mpl 55 0.9 mpl(?: 2 0)? licen[sc]ed
+mpl 45 0.85 mpl [12] [01]
+mpl 45 0.8 mplv2(?: 0)?
+epl 45 0.85 epl [12] 0
+cddl 45 0.85 cddl 1 [01]
+eupl 45 0.85 eupl 1 [012]
+isc 55 0.9 isc licen[sc]ed
+zlib 55 0.9 zlib licen[sc]ed
+boost 45 0.85 bsl 1 0
+unlicense 45 0.8 the unlicense
+cc0 45 0.85 cc0 1 0
+cc-by 45 0.85 cc by [1234] 0
+cc-by-sa 45 0.85 cc by sa [1234] 0
+cc-by-nc 45 0.85 cc by nc(?: sa| nd)? [1234] 0
+cc-by-nd 45 0.85 cc by nd [1234] 0
 """
 
 

@@ -389,6 +389,18 @@ def test_licenses_against_brute_force(spark, docs, odd):
     assert op6_licenses.scan(empty(odd), ["doc_id"]).count() == 0
 
 
+def test_identifiers_licensed_forms_and_dual_grants(spark):
+    want = {
+        "MIT Licensed": "mit", "Apache-2.0": "apache", "BSD-3-Clause": "bsd", "GPL-3.0-or-later": "gpl", "LGPL v2.1 or later": "lgpl", "This code is GPLv3": "gpl",
+        "dual licensed under MIT and Apache 2.0": "apache,mit", 'license = "MIT OR Apache-2.0"': "apache,mit", "MPL-2.0": "mpl", "see (CC-BY-SA-4.0)": "cc-by-sa", "CC0-1.0": "cc0", "AGPLv3": "agpl", "EPL-2.0 or BSD 2-clause": "bsd,epl",
+        "a simple example of a temple mit dem Apache-Hubschrauber": "", "bsl and cc to all": "", "under the gplv2+ only, GPL 2.0 licensed": "gpl",
+    }
+    got = {r["text"]: r for r in op6_licenses.scan(spark.createDataFrame([(t,) for t in want], "text string"), ["text"]).collect()}
+    assert {t: r["labels"] for t, r in got.items()} == want
+    for t, r in got.items():
+        assert tuple(r[c] for c in ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")) == brute_licenses(t) and (r["score"] > 0) == bool(want[t])
+
+
 def test_licenses_without_the_word_license_and_across_lines(spark):
     texts = ["This library is released under the MIT terms", "available under the Apache 2.0 terms", "distributed under BSD", "Altered source versions must be plainly marked as such, and", "All rights\nreserved", "went into the public\ndomain then", "released under the GNU General Public v2", "Distributed under the Mozilla Public 2.0", "no statement at all"]
     want = [brute_licenses(t) for t in texts]
