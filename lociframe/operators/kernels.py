@@ -301,21 +301,42 @@ def principal(x: np.ndarray, k: int = 2) -> tuple[np.ndarray, np.ndarray, np.nda
     return (u * s * sign)[:, :k], loadings, (s**2 / (s**2).sum())[:k]
 
 
-def linkage_order(x: np.ndarray) -> list[int]:
-    """Leaf order of average-linkage clustering of rows: distances of joined groups are weighted means of their parts'."""
+def linkage(x: np.ndarray) -> list[tuple[int, int, float, int]]:
+    """Average-linkage merges of rows by rising height: (a, b, height, size), groups named by their least row, a < b.
+
+    Chains of nearest neighbours, in quadratic time: a chain is followed until
+    two groups are each other's nearest, which may be joined at once, since
+    joining them brings no other group nearer to any.
+    """
     n = len(x)
-    groups, size = [[i] for i in range(n)], np.ones(n)
+    size, there, chain, merges = np.ones(n, int), np.ones(n, bool), [], []
     square = (x * x).sum(1)
     d = np.sqrt(np.maximum(square[:, None] + square - 2 * x @ x.T, 0.0))
     np.fill_diagonal(d, np.inf)
-    for _ in range(n - 1):
-        a, b = sorted(divmod(int(np.argmin(np.triu(d, 1) + np.where(np.tri(n, dtype=bool), np.inf, 0.0))), n))
+    while len(merges) < n - 1:
+        if not chain:
+            chain.append(int(np.argmax(there)))
+        while True:
+            row = d[chain[-1]]
+            near = int(np.argmin(row))
+            if len(chain) > 1 and row[chain[-2]] <= row[near]:
+                break
+            chain.append(near)
+        a, b = sorted((chain.pop(), chain.pop()))
+        merges.append((a, b, float(d[a, b]), int(size[a] + size[b])))
         d[a] = d[:, a] = (size[a] * d[a] + size[b] * d[b]) / (size[a] + size[b])
         d[b] = d[:, b] = d[a, a] = np.inf
-        groups[a] += groups[b]
-        groups[b] = []
         size[a] += size[b]
-    return groups[0] if n else []
+        there[b] = False
+    return sorted(merges, key=lambda m: m[2])
+
+
+def leaf_order(merges: list[tuple[int, int, float, int]], n: int) -> list[int]:
+    """Rows in the order of the tree's leaves: of two groups the one with the least row first."""
+    groups = {i: [i] for i in range(n)}
+    for a, b, _, _ in merges:
+        groups[a] += groups.pop(b)
+    return [i for a in sorted(groups) for i in groups[a]]
 
 
 def multivariable(bx: np.ndarray, by: np.ndarray, se: np.ndarray, se_x: np.ndarray | None = None, correlation: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

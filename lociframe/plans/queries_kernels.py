@@ -358,16 +358,34 @@ def k21_principal_components(x: Fixtures):
     return K.by_group(x.lbf, ["blk"], f, "blk long, study long, pc1 double, pc2 double, share1 double")
 
 
-@query()
-def k22_row_order(x: Fixtures):
+def _heatmap(x: Fixtures, side: str):
+    """(blk, side, step, a, b, height, size, and the order of the leaves) of a block's shares: rows are studies, columns SNPs."""
+
     def f(pdf: pd.DataFrame) -> pd.DataFrame:
-        wide = pdf.pivot_table(index="data_type", columns="r", values="n", fill_value=0).sort_index()
+        wide = pdf.pivot_table(index="study", columns="snp", values="share", fill_value=0).sort_index(axis=0).sort_index(axis=1)
         v = wide.to_numpy(float)
-        order = K.linkage_order((v - v.mean(0)) / np.where(v.std(0) > 0, v.std(0), 1))
-        return pd.DataFrame({"k": 0, "data_type": wide.index[order], "place": range(len(order))})
+        v = (v - v.mean(0)) / np.where(v.std(0, ddof=1) > 0, v.std(0, ddof=1), 1) if len(v) > 1 else v * 0
+        v, names = (v, wide.index.to_numpy()) if side == "row" else (v.T, wide.columns.to_numpy())
+        merges = K.linkage(v)
+        place = {i: k for k, i in enumerate(K.leaf_order(merges, len(names)))}
+        out = [(-1, names[i], names[i], 0.0, 1, place[i]) for i in range(len(names))] + [(k, names[a], names[b], h, n, place[a]) for k, (a, b, h, n) in enumerate(merges)]
+        return pd.DataFrame(out, columns=["step", "a", "b", "height", "size", "place"]).assign(blk=pdf["blk"].iloc[0], side=side)[["blk", "side", "step", "a", "b", "height", "size", "place"]]
+
+    total = x.lbf.groupBy("blk", "study").agg(F.sum(F.abs("lbf")).alias("t"))
+    shares = x.lbf.join(total, ["blk", "study"]).select("blk", "study", "snp", (F.abs("lbf") / F.col("t")).alias("share"))
+    return K.by_group(shares, ["blk"], f, "blk long, side string, step long, a long, b long, height double, size long, place long")
+
 
-    n = x.members.groupBy(F.lit(0).alias("k"), "data_type", (F.col("study") % 5).alias("r")).agg(F.count("*").alias("n"))
-    return K.by_group(n, ["k"], f, "k long, data_type string, place long")
+@query()
+def k22_row_order(x: Fixtures):
+    """Average linkage of each block's studies: leaves (step -1) with their places, then the merges by rising height."""
+    return _heatmap(x, "row")
+
+
+@query()
+def k22_column_order(x: Fixtures):
+    """The same of the block's SNPs."""
+    return _heatmap(x, "column")
 
 
 _EXPOSURES = "SELECT study, z AS y, z * s AS a, e AS b, s AS sa, 0.05::DOUBLE AS sb FROM (SELECT study, lbf / 6 AS z, e, 1 / sqrt(2 * e * (1 - e) * 10000.0::DOUBLE) AS s FROM (SELECT study, lbf, 0.05::DOUBLE + snp % 40 / 100.0::DOUBLE AS e FROM lbf))"

@@ -1,6 +1,6 @@
 """Kernels with LD: whole queries against plain loops over the tables, functions against direct solutions."""
 
-from math import erfc
+from math import erfc, sqrt
 
 import numpy as np
 import pandas as pd
@@ -162,12 +162,119 @@ def test_principal_components(spark, sf_dir, studies):
         assert np.isclose(abs(one.pc1 @ pc), values[-1], rtol=1e-6) and np.allclose(one.share1, values[-1] / values.sum())
 
 
-def test_row_order_is_that_of_plain_average_linkage():
-    rng = np.random.default_rng(5)
-    x = rng.normal(size=(30, 4))
+def plain_linkage(x):
+    """Merges one after the other, each the nearest of all pairs by the mean of the distances between their rows."""
     d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(2))
-    groups = {i: [i] for i in range(30)}
+    groups, merges = {i: [i] for i in range(len(x))}, []
     while len(groups) > 1:
         a, b = min(((i, j) for i in groups for j in groups if i < j), key=lambda ij: (d[np.ix_(groups[ij[0]], groups[ij[1]])].mean(), ij))
+        merges.append((a, b, d[np.ix_(groups[a], groups[b])].mean(), len(groups[a]) + len(groups[b])))
         groups[a] += groups.pop(b)
-    assert K.linkage_order(x) == next(iter(groups.values()))
+    return merges, groups[0]
+
+
+def test_linkage_is_plain_average_linkage():
+    x = np.random.default_rng(5).normal(size=(30, 4))
+    merges, order = plain_linkage(x)
+    got = K.linkage(x)
+    assert [m[:2] + m[3:] for m in got] == [m[:2] + m[3:] for m in merges] and np.allclose([m[2] for m in got], [m[2] for m in merges])
+    assert K.leaf_order(got, 30) == order
+    assert K.linkage(x[:1]) == [] and K.leaf_order([], 1) == [0]
+
+
+@pytest.mark.parametrize("side", ["row", "column"])
+def test_clustering_of_a_heatmap(spark, sf_dir, studies, side):
+    got = registry.QUERIES[f"k22_{side}_order"](spark, sf_dir).toPandas()
+    assert set(got.blk) == {b for b, _ in studies[0]}
+    for blk, one in got.groupby("blk"):
+        names = sorted(s for b, s in studies[0] if b == blk)
+        x = np.array([np.abs(studies[0][blk, s]["z"].to_numpy()) for s in names])
+        x = x / x.sum(1, keepdims=True)
+        x = (x - x.mean(0)) / x.std(0, ddof=1)
+        if side == "column":
+            x, names = x.T, list(range(x.shape[1]))
+        merges, order = plain_linkage(x)
+        leaves, steps = one[one.step < 0].sort_values("place"), one[one.step >= 0].sort_values("step")
+        assert leaves.a.tolist() == [names[i] for i in order]
+        assert list(zip(steps.a, steps.b, steps["size"], strict=True)) == [(names[a], names[b], n) for a, b, _, n in merges] and np.allclose(steps.height, [m[2] for m in merges])
+
+
+def test_polynomial_adjustment_and_poisson_regression(spark, duck, sf_dir, studies):
+    got = registry.QUERIES["k4_polynomial_adjustment"](spark, sf_dir).toPandas()
+    for (_, study), p in list(studies[0].items())[:40]:
+        one, seen = got[got.study == study].sort_values("snp"), p["seen"].to_numpy()
+        e = p["eaf"].to_numpy()
+        basis = np.column_stack([e, e**2, e**3])
+        want = basis @ np.linalg.solve(basis[seen].T @ basis[seen], basis[seen].T @ p["se"].to_numpy()[seen])
+        assert np.allclose(one.adjusted, want, atol=1e-8)
+    rows = duck.execute("SELECT o_custkey % 8 AS g, count(*) AS n, avg(o_totalprice) / 1e5 AS v FROM orders GROUP BY o_custkey").df()
+    fits = registry.QUERIES["k20_poisson"](spark, sf_dir).toPandas().set_index("study")
+    for g, one in rows.groupby("g"):
+        a, b = fits.loc[g, "intercept"], fits.loc[g, "slope"]
+        gap = one.n - np.exp(a + b * one.v)  # the likelihood's slope is zero at the fit
+        assert abs(gap.sum()) < 1e-5 * one.n.sum() and abs((gap * one.v).sum()) < 1e-5 * one.n.sum()
+
+
+def plain_dentist(z, ld, cut, share, rounds, worst, seed):
+    rng, bad = np.random.default_rng(seed), set()
+    for k in range(rounds):
+        left = [i for i in range(len(z)) if i not in bad]
+        if len(left) < 4:
+            return bad
+        dealt, stat = rng.permutation(left), {}
+        halves = sorted(dealt[::2]), sorted(dealt[1::2])
+        for own, other in (halves, halves[::-1]):
+            values, vectors = np.linalg.eigh(ld[other][:, other])
+            top = [i for i in range(len(other) - max(int(share * len(other)), 1), len(other)) if values[i] > 1e-4]
+            inverse = sum(np.outer(vectors[:, i], vectors[:, i]) / values[i] for i in top)
+            for i in own:
+                cross = ld[i][other]
+                stat[i] = abs(z[i] - cross @ inverse @ z[other]) / np.sqrt(max(1 - cross @ inverse @ cross, 0.05))
+        beyond = sorted((i for i in left if stat[i] > cut), key=lambda i: (-stat[i], i))
+        if not beyond:
+            return bad
+        bad |= set(beyond if k == rounds - 1 else beyond[: max(int(worst * len(left)), 1)])
+    return bad
+
+
+def test_quality_control_against_plain_loops():
+    rng = np.random.default_rng(7)
+    for trial in range(6):
+        ld = (0.5 + 0.08 * trial) ** np.abs(np.subtract.outer(range(60), range(60)))
+        z = np.linalg.cholesky(ld) @ rng.normal(size=60)
+        z[rng.integers(0, 60, 3)] += 9
+        for worst, rounds in ((0.005, 10), (0.2, 3)):
+            assert set(np.flatnonzero(K.dentist(z, ld, 5.0, 0.4, rounds, worst, 5)).tolist()) == {int(i) for i in plain_dentist(z, ld, 5.0, 0.4, rounds, worst, 5)}
+
+
+def test_centralities_against_all_shortest_paths(spark):
+    from itertools import combinations
+
+    from lociframe.operators import graph as G
+
+    rng = np.random.default_rng(3)
+    edges = [(i, j) for i in range(14) for j in range(i + 1, 14) if rng.random() < 0.22] + [(i, i + 1) for i in range(13)]
+    edges = sorted(set(edges))
+    nbr = {i: {b if a == i else a for a, b in edges if i in (a, b)} for i in range(14)}
+
+    def paths(s, t):
+        level = [[s]]
+        while level:
+            found = [p for p in level if p[-1] == t]
+            if found:
+                return found
+            level = [[*p, u] for p in level for u in nbr[p[-1]] if u not in p]
+
+    between, far = dict.fromkeys(range(14), 0.0), dict.fromkeys(range(14), 0)
+    for s, t in combinations(range(14), 2):
+        found = paths(s, t)
+        far[s] += len(found[0]) - 1
+        far[t] += len(found[0]) - 1
+        for v in range(14):
+            if v not in (s, t):
+                between[v] += sum(v in p for p in found) / len(found)
+    got = G.centralities(spark.createDataFrame([(0, a, b) for a, b in edges], "component long, a long, b long")).collect()
+    for r in got:
+        v = r["node"]
+        assert r["degree"] == len(nbr[v]) and np.isclose(r["betweenness"], between[v]) and np.isclose(r["closeness"], 13 / far[v])
+    assert len(got) == 14
