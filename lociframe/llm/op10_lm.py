@@ -56,6 +56,8 @@ _ANSWERED = [(name, kind) for name, kind in _COUNTED if name in ANSWERED]
 TOTALS = ("target_words", "all_words", "vocabulary")
 #: Rows of one id and text from so many on are counted before they are dealt; up to MOST_BROADCAST such texts are broadcast to the rows, more are joined by key.
 MANY_COPIES, MOST_BROADCAST = 64, 100_000
+#: Up to so many ids of the target (about 20 bytes each) are broadcast to the rows; more are joined by key.
+MOST_IDS = 1_000_000
 RUN = 10_000
 
 
@@ -200,7 +202,7 @@ def _judge(docs: pa.Table, answers: pa.Table) -> pa.Table:
     per = np.zeros((2, len(n)))
     if n.sum():
         of = np.repeat(np.arange(len(n)), n)
-        *totals, vocabulary = (docs.column(c)[0].as_py() for c in TOTALS)
+        *totals, vocabulary = (answers.column(c)[0].as_py() for c in TOTALS)
         inside = [docs.column("is_target").to_numpy(zero_copy_only=False).astype(bool), np.ones(len(n), bool)]
         words, pairs = (np.concatenate(f, axis=1) for f in found)
         if [words.shape[1], pairs.shape[1]] != [len(keys) for keys in kinds]:
@@ -234,6 +236,8 @@ def _dealt(docs: DataFrame, target: DataFrame, chunk_bytes: int = CHUNK_BYTES) -
     chunks = max(LEAST_CHUNKS, -(-size // chunk_bytes))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"), "text")
     wanted = target.select(F.col("doc_id").cast("long").alias("_lm_id")).where("_lm_id IS NOT NULL").distinct().withColumn("is_target", F.lit(True))
+    wanted = cut_lineage(wanted)
+    wanted = F.broadcast(wanted) if wanted.count() <= MOST_IDS else wanted
     rows = _counted_copies(rows, MANY_COPIES).join(wanted, F.col("doc_id") == F.col("_lm_id"), "left")
     # of several texts under one id each has a chunk of its own
     chunk = F.pmod(F.xxhash64("doc_id", "text_key"), F.lit(chunks)).alias("chunk")
@@ -250,8 +254,9 @@ def score(docs: DataFrame, target: DataFrame) -> DataFrame:
     counted = _counted(rows, bits)
     answers = counted.groupBy("bucket").applyInArrow(_answer, ANSWERED)
     totals = counted.groupBy("bucket").applyInArrow(_total, ", ".join(f"{c} long" for c in TOTALS)).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in TOTALS])
-    read = rows.crossJoin(F.broadcast(totals))  # one row
-    judged = read.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_judge, "doc_id long, n_words long, target_loss double, background_loss double, score double, copies long")
+    # one row, put beside the answers: the texts are dealt out once for both of their readers
+    answers = answers.crossJoin(F.broadcast(totals))
+    judged = rows.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_judge, "doc_id long, n_words long, target_loss double, background_loss double, score double, copies long")
     runs = judged.withColumn("_run", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(copies - 1) div {RUN}L"))))
     return runs.withColumn("_run", F.explode(F.sequence(F.col("_run") * RUN + 1, F.least(F.col("_run") * RUN + RUN, F.col("copies"))))).drop("_run", "copies")
 
