@@ -257,11 +257,40 @@ def snk1_text_round_trip(x: Fixtures):
 # ---- composites -----------------------------------------------------------------------------------------------
 
 
-@query("SELECT study, study_name, category, lower(replace(study_name, '#', '_')) AS trait, 'EUR' AS ancestry FROM studies WHERE category IN ('ASIA', 'EUROPE', 'AFRICA') AND study % 10 <> 0", "studies")
+_FOUND = """
+WITH g AS (SELECT concat('/gwas/', replace(s_name, '#', '_')) AS directory, s_suppkey AS k FROM supplier),
+  b AS (SELECT concat('/besd/eqtl/set_', p_size) AS path, count(*) AS n, p_size AS k FROM part GROUP BY p_size),
+  q AS (SELECT concat('/besd/eqtl/set_', p_size) AS path, p_partkey AS k, p_brand AS gene, p_size FROM part),
+  t AS (SELECT c_custkey AS k, concat('/tables/', c_custkey, '.tsv') AS location FROM customer),
+  a AS (
+    SELECT replace(substr(directory, 7), '_', '-') AS study_name, 'opengwas' AS data_format, concat('trait ', k) AS trait_name, CAST(1000 + k AS BIGINT) AS sample_size, lower(CASE WHEN k % 3 = 0 THEN 'Categorical' ELSE 'continuous' END) AS category, CAST(NULL AS VARCHAR) AS ensg,
+      CASE WHEN k % 2 = 0 THEN 0.01::DOUBLE * (k % 7) END AS h FROM g WHERE k % 5 <> 0 AND k % 4 <> 1 AND k % 6 <> 2
+    UNION ALL SELECT concat('eqtl-set-', p_size, '-ENSG000', k), 'besd', concat(gene, ' blood eQTL'), CAST(100 + p_size AS BIGINT), 'continuous', concat('ENSG000', k), NULL FROM q WHERE k % 23 + 1 <= 22 AND p_size % 4 <> 0 AND p_size % 5 <> 0 AND p_size % 7 <> 0
+    UNION ALL SELECT concat('table-', k), 'tsv', concat('table trait ', k), CAST(k AS BIGINT), 'continuous', NULL, NULL FROM t WHERE location SIMILAR TO '.*[02468]\\.tsv')
+SELECT study_name, data_format, trait_name, sample_size, category, ensg, round(h, 6) AS heritability FROM a WHERE study_name NOT LIKE '%7'
+"""
+
+
+@query(_FOUND)
 def d1_study_discovery(x: Fixtures):
-    known = x.studies.where("study % 10 = 0").select("study")
-    t = D.not_done(x.studies, known, ["study"]).where(F.col("category").isin("ASIA", "EUROPE", "AFRICA"))
-    return t.select("study", "study_name", "category", F.lower(F.replace("study_name", F.lit("#"), F.lit("_"))).alias("trait"), F.lit("EUR").alias("ancestry"))
+    """Studies to process from a study list with an entry of each format, less those that were processed before."""
+    from . import discovery as DI
+
+    entry = lambda kind, where, pattern, data_type: (data_type, "s", kind, "EUR", "GRCh38", 1.5e-4, "common", "dense", "none", where, pattern)
+    names = ", ".join(f"{c} {'double' if c == 'p_value_threshold' else 'string'}" for c in (*DI.TAKEN, "bespoke_parsing", "data_location", "id_pattern"))
+    entries = x.spark.createDataFrame([entry("opengwas", "/gwas", "Supplier_*", "phenotype"), entry("besd", "/besd/eqtl", "set_*", "gene_expression"), entry("tsv", "/tables", "[02468]\\.tsv$", "phenotype")], names)
+    entries = DI.checked(entries, x.spark.createDataFrame([("s",)], "source string"))
+    k = F.col("s_suppkey")
+    log = F.when(k % 2 == 0, F.concat(F.lit("Total Observed scale h2: "), F.format_string("%.2f", 0.01 * (k % 7)), F.lit(" (0.01)"))).otherwise("nothing to report")
+    folders = x.table("supplier").select(F.concat(F.lit("/gwas/"), F.replace("s_name", F.lit("#"), F.lit("_"))).alias("directory"), F.concat(F.lit("trait "), k).alias("trait"), F.when(k % 5 != 0, "European").otherwise("African").alias("population"), F.when(k % 3 == 0, "Categorical").alias("category"), F.when(k % 4 != 1, 2_000_000).otherwise(999_999).alias("nsnp"), F.when(k % 6 != 2, 1000 + k).alias("sample_size"), log.alias("log"))
+    size, path = F.col("p_size"), F.concat(F.lit("/besd/eqtl/set_"), "p_size").alias("path")
+    sets = x.table("part").groupBy("p_size").agg(F.count("*")).select(path, F.when(size % 4 == 0, 3).otherwise(4).alias("files"), F.when(size % 5 != 0, "blood").alias("tissue"), F.when(size % 7 == 0, "no such cell").otherwise("NK").alias("cell_type"), F.lit(None).cast("string").alias("category"), F.lit("cis").alias("cis_trans"), (100 + size).alias("sample_size"))
+    probes = x.table("part").select(path, (F.col("p_partkey") % 23 + 1).cast("string").alias("chr"), F.concat(F.lit("ENSG000"), "p_partkey").alias("probe"), F.col("p_brand").alias("gene"))
+    files = x.table("customer").select(F.lit("/tables").alias("data_location"), F.concat(F.lit("/tables/"), "c_custkey", F.lit(".tsv")).alias("study_location"), F.concat(F.lit("table_"), "c_custkey").alias("study_name"), F.concat(F.lit("table trait "), "c_custkey").alias("trait"), F.col("c_custkey").alias("sample_size"), F.lit("continuous").alias("category"), F.lit("gene").alias("gene"), F.lit("blood").alias("tissue"))
+    found = [DI.opengwas(entries, folders), DI.besd(entries, sets, probes)[0], DI.tsv(entries, files)]
+    before = [f.where("study_name LIKE '%7'").select("study_name") for f in found]
+    out = DI.to_process(found, before)
+    return out.select("study_name", "data_format", "trait_name", "sample_size", "category", "ensg", F.round("heritability", 6).alias("heritability"))
 
 
 _REGIONS = f"(SELECT study, ld_block, arg_min(bp, {{'a': p, 'b': bp}}) AS bp, min(p) AS p, CAST(count(*) AS BIGINT) AS n FROM {WITH_P} s JOIN blocks b ON s.chr = b.chr AND s.bp >= b.start AND s.bp < b.stop GROUP BY 1, 2)"
