@@ -55,7 +55,7 @@ _stores: dict[tuple[str, str], str] = {}
 def _store(x: Fixtures) -> str:
     """The stored LD of the tables: packed and factored once a session, read by all kernels."""
     key = (x.spark.sparkContext.applicationId, x.dir)
-    if key not in _stores:
+    if key not in _stores or not scratch.exists(x.spark, _stores[key]):
         path = scratch.fresh(x.spark, "ld")
         ld_store.write(x.ld, path)
         _stores[key] = path

@@ -410,6 +410,37 @@ def d19_trait_collapse(x: Fixtures):
     return x.studies.groupBy(F.lower("category").alias("trait")).agg(F.max("study").alias("study"), (F.count("*") - 1).alias("others"))
 
 
+#: Traits of common and rare studies by the last digit of a part's key, one digit for each step of the pairing.
+_TRAITS = {
+    0: ("protein", "'Levels of g'||k", "'p q OID'||k||' r'"),
+    1: ("icd10", "'Diagnoses - main ICD10: A'||k||'.1 Something'", "'ICD10 A'||k||'.1: Something'"),
+    2: ("medication", "'Treatment/medication code: drug'||k", "'Treatment/medication code (drug'||k||')'"),
+    3: ("procedure", "'Operative procedures - main OPCS: X'||k", "'Operative procedures - main OPCS4 (X'||k||')'"),
+    4: ("operation", "'Operation code: op'||k", "'Operation code (op'||k||')'"),
+    5: ("union", "'disease '||k", "'Chapter IX disease '||k||' (union)'"),
+    6: ("trait", "'height '||k", "'height '||k"),
+    7: ("form", "'blood/cell '||k", "'blood cell '||k||' (30 '||k||')'"),
+    8: ("field", "'noted '||k", "'other words '||k"),
+    9: ("block", "'kidney '||k", "'N10-N20 kidney '||k||' (union)'"),
+}
+_CASES = [" ".join(["CASE k % 10", *[f"WHEN {d} THEN {t[side]}" for d, t in _TRAITS.items()], "END"]) for side in (1, 2)]
+_STEP = " ".join(["CASE k % 10", *[f"WHEN {d} THEN '{t[0]}'" for d, t in _TRAITS.items()], "END"])
+
+
+@query(f"SELECT CASE k % 10 WHEN 0 THEN 'protein' ELSE 'phenotype' END AS data_type, concat('common:x:OID', k) AS study_name_common, concat('rare', k) AS study_name_rare, {_CASES[0]} AS trait_common, {_CASES[1]} AS trait_rare, CASE WHEN twice THEN 'form' ELSE {_STEP} END AS step FROM (SELECT p_partkey AS k FROM part) CROSS JOIN (SELECT unnest([FALSE, TRUE]) AS twice) WHERE k % 7 <> 0 AND k % 20 <> 18 AND (NOT twice OR k % 10 = 6) UNION ALL SELECT 'phenotype', 'by hand', 'its pair', 'a', 'b', 'manual'")
+def d19_trait_pairs(x: Fixtures):
+    """Common and rare studies paired step by step; every seventh is of another data type (or gene), fields of the keys that end on 18 are shared; equal traits are paired by their form as well."""
+    from . import traits as TR
+
+    k = x.table("part").select(F.col("p_partkey").alias("k"))
+    other = "k % 7 = 0"
+    common = k.selectExpr("k", "CASE k % 10 WHEN 0 THEN 'protein' ELSE 'phenotype' END AS data_type", "concat('common:x:OID', k) AS study_name", f"{_CASES[0]} AS trait", "concat('g', k) AS gene")
+    rare = k.selectExpr(f"CASE WHEN k % 10 = 0 THEN 'protein' WHEN {other} AND k % 10 <> 8 THEN 'other' ELSE 'phenotype' END AS data_type", "concat('rare', k) AS study_name", f"{_CASES[1]} AS trait", f"concat(CASE WHEN {other} THEN 'h' ELSE 'g' END, k) AS gene", f"CASE WHEN k % 20 = 18 THEN 'f' WHEN k % 10 = 8 AND {other} THEN 'none' WHEN k % 10 = 8 THEN concat('f', k) END AS field")
+    fields = k.where("k % 10 = 8").selectExpr("concat('common:x:OID', k) AS study_name", "CASE WHEN k % 20 = 18 THEN 'f' ELSE concat('f', k) END AS field")
+    manual = x.spark.createDataFrame([("by hand", "its pair", "a", "b")] * 2, ", ".join(f"{c} string" for c in TR.COLUMNS[1:]))
+    return TR.paired(common.drop("k"), rare, fields, manual)
+
+
 @query("SELECT gene, CAST(count(*) AS BIGINT) AS n FROM (SELECT CAST(p_partkey AS BIGINT) AS gene, CAST(p_partkey % 22 + 1 AS BIGINT) AS chr, CAST(p_partkey * 7919 % 9000 * 1000 AS BIGINT) AS mid FROM part) g JOIN (SELECT DISTINCT chr, bp FROM snps) s ON s.chr = g.chr AND s.bp BETWEEN g.mid - 500000 AND g.mid + 500000 GROUP BY gene", "snps")
 def d20_gene_windows(x: Fixtures):
     k = F.col("p_partkey").cast("long")

@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _own: dict[str, str] = {}
+#: Paths given out, by application.
+_given: dict[str, list[str]] = {}
 
 
 def base(spark: SparkSession) -> str:
@@ -25,7 +27,14 @@ def base(spark: SparkSession) -> str:
 
 def fresh(spark: SparkSession, name: str) -> str:
     """A path under the base folder that nothing else uses."""
-    return f"{base(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{base(spark)}/{name}-{uuid.uuid4().hex}"
+    _given.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
 
 
 def remove(spark: SparkSession, path: str) -> None:
@@ -40,3 +49,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         sc.setCheckpointDir(base(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+def clear(spark: SparkSession) -> None:
+    """Remove all intermediate tables and checkpoints of this application; results that are read from them are gone then."""
+    for path in _given.pop(spark.sparkContext.applicationId, []):
+        remove(spark, path)
+    folder = spark.sparkContext._jsc.sc().getCheckpointDir()
+    if folder.isDefined():  # a folder of this application's own below the one that was set
+        remove(spark, folder.get())
+        spark.sparkContext.setCheckpointDir(base(spark))

@@ -62,3 +62,17 @@ def test_listed_files_and_what_is_left_to_process(spark):
     assert [r["study_name"] for r in DI.to_process([t, t.limit(0)], [gone, gone.limit(0)]).collect()] == ["a-1"]
     with pytest.raises(ValueError, match="not unique"):
         DI.to_process([t, t], [])
+
+
+def test_rare_studies_that_repeat_others_are_left_out(spark):
+    from lociframe.plans import traits as TR
+
+    rows = [
+        ("bm", "b1", "t", "Non cancer illness code self reported: x", "binary", "phenotype", None), ("bm", "b2", "t", "Medication for pain", "binary", "phenotype", None), ("bm", "b3", "t", "Height", "continuous", "phenotype", "50"), ("bm", "b4", "t", "Self Report", None, "phenotype", None),
+        ("gb", "g1", "t", "Date first reported", "binary", "phenotype", None), ("gb", "g2", "t", "Operative procedures", "categorical", "phenotype", None), ("gb", "g3", "t", "Colour", "categorical", "phenotype", None), ("gb", "g4", "t", "Height", "continuous", "phenotype", "50"), ("gb", "g5", "t", "Weight", "continuous", "phenotype", "51"),
+        ("az", "a1", "t", "Union#x", "binary", "phenotype", None), ("az", "a2", "t", "41202#Block A", "binary", "phenotype", None), ("az", "a3", "t", "P", "continuous", "protein", None), ("az", "a4", "NMR x", "m", "continuous", "phenotype", None), ("az", "a5", "t", "Height", "continuous", "phenotype", "50"),
+        ("zz", "z1", None, None, None, None, None),
+    ]
+    kept, gone = TR.without_repeats(spark.createDataFrame(rows, "release string, study_name string, trait string, trait_original string, category string, data_type string, field string"))
+    assert sorted(r["study_name"] for r in kept.collect()) == ["a1", "a2", "a3", "a4", "b3", "g2", "g5", "z1"]
+    assert sorted(r["study_name"] for r in gone.collect()) == ["a5", "b1", "b2", "b4", "g1", "g3", "g4"]

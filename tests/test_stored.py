@@ -68,6 +68,17 @@ def test_readers_see_all_tables_before_or_after_a_release(spark, tmp_path):
     assert releases.current(spark, root) == second
 
 
+def test_an_application_can_remove_what_it_wrote(spark):
+    from lociframe import scratch
+
+    path = scratch.fresh(spark, "some")
+    spark.range(3).write.parquet(path)
+    checked = scratch.cut_lineage(spark.range(5))
+    assert checked.count() == 5 and Path(path).exists()
+    scratch.clear(spark)
+    assert not Path(path).exists() and scratch.cut_lineage(spark.range(4)).count() == 4
+
+
 # ---- positions ------------------------------------------------------------------------------------------------
 
 
