@@ -240,10 +240,54 @@ def projected(x: np.ndarray, missing: np.ndarray, basis: np.ndarray, rounds: int
 
 
 def conditional_spread(index: np.ndarray, effect: np.ndarray, ld: np.ndarray, sd: np.ndarray) -> np.ndarray:
-    """Marginal effects at all SNPs from conditional effects at the index SNPs, through LD and allele deviations."""
+    """Marginal effects at all SNPs from effects at the index SNPs, through LD and allele deviations."""
     return (ld[:, index] * sd[index] / sd[:, None]) @ effect
 
 
+def conditional_effects(index: np.ndarray, beta: np.ndarray, ld: np.ndarray, sd: np.ndarray) -> np.ndarray:
+    """Effects of the index SNPs given each other, from their marginal ones; one alone keeps its own."""
+    own = beta[index]
+    return own if len(index) == 1 else sd[index] * (np.linalg.pinv(ld[np.ix_(index, index)], hermitian=True) @ (own / sd[index]))
+
+
+def clean(ratio: np.ndarray, width: float = 3.0) -> np.ndarray:
+    """What lies within ``width`` standard deviations of the median, twice: the second deviation is that of what passed the first; nan doesn't."""
+    fine = np.isfinite(ratio)
+    middle = np.median(ratio[fine]) if fine.any() else np.nan
+    for _ in range(2):
+        spread = ratio[fine].std(ddof=1) if fine.sum() > 1 else np.nan
+        fine = fine & (np.abs(ratio - middle) <= width * spread)
+    return fine
+
+
+def rescaled(truth: np.ndarray, predicted: np.ndarray) -> tuple[np.ndarray, float]:
+    """(predictions on the scale of the truth, their correlation with it): a straight line through the clean ratios; nan where there are fewer than three."""
+    with np.errstate(divide="ignore", invalid="ignore"):
+        fine = clean(truth / predicted)
+    if fine.sum() < 3 or np.ptp(predicted[fine]) == 0:
+        return np.full(len(truth), np.nan), np.nan
+    slope, intercept = np.polyfit(predicted[fine], truth[fine], 1)
+    out = predicted * slope + intercept
+    return out, float(np.corrcoef(out[fine], truth[fine])[0, 1])
+
+
+def filled_by_index(beta: np.ndarray, se: np.ndarray, eaf: np.ndarray, ld: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, float, float]:
+    """(beta, se, imputed, correlation of effects, of errors): missing ones (nan) from the index SNPs' conditional effects.
+
+    Effects are spread over LD and rescaled to the known ones, errors follow
+    from allele frequency and are rescaled alike.  A study with nothing missing,
+    without index SNPs or with too few clean values comes back as it is.
+    """
+    missing, sd = np.isnan(beta), np.sqrt(2 * eaf * (1 - eaf))
+    if not missing.any() or not len(index):
+        return beta, se, np.zeros(len(beta), bool), np.nan, np.nan
+    effects, fit = rescaled(beta, conditional_spread(index, conditional_effects(index, beta, ld, sd), ld, sd))
+    errors, fit_se = rescaled(se, 1 / sd)
+    if np.isnan(effects).any() or np.isnan(errors).any():
+        return beta, se, np.zeros(len(beta), bool), fit, fit_se
+    return np.where(missing, effects, beta), np.where(missing, errors, se), missing, fit, fit_se
+
+
 def clump(z: np.ndarray, ld: np.ndarray, r2: float = 0.1, least: float = 0.0, pos: np.ndarray | None = None, width: float = 1_000_000) -> np.ndarray:
     """Indices of lead SNPs: the strongest, then the strongest not yet covered by LD (and distance), until below ``least``."""
     left, leads = np.abs(z).astype(float), []

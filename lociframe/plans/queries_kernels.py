@@ -464,12 +464,16 @@ def k27_ld_signs(x: Fixtures):
 
 @query()
 def k28_conditional_spread(x: Fixtures):
+    """Studies with their missing effects filled from the index SNPs' conditional ones, and how well these agree with what is known."""
+
     def f(p, ld):
-        index = K.clump(p["z"].to_numpy(), ld, 0.1, 1.0)
-        sd = np.sqrt(2 * p["eaf"].to_numpy() * (1 - p["eaf"].to_numpy()))
-        return {"snp": p["snp"], "beta": K.conditional_spread(index, p["beta"].to_numpy()[index], ld, sd)}
+        seen = p["seen"].to_numpy()
+        index = K.clump(np.where(seen, p["z"], 0.0), ld, 0.01, 1.0)
+        hide = lambda c: np.where(seen, p[c], np.nan)
+        beta, se, imputed, fit, fit_se = K.filled_by_index(hide("beta"), hide("se"), p["eaf"].to_numpy(), ld, index)
+        return {"snp": p["snp"], "beta": beta, "se": se, "imputed": imputed, "fit": fit, "fit_se": fit_se}
 
-    return _with_ld(x, f, "snp long, beta double")
+    return _with_ld(x, f, "snp long, beta double, se double, imputed boolean, fit double, fit_se double")
 
 
 def _panel(x: Fixtures):

@@ -128,11 +128,45 @@ def test_clumping(spark, sf_dir, studies, name, r2, width):
     compared(spark, sf_dir, studies, name, want, ["lead"])
 
 
-def test_conditional_spread_and_projection(spark, sf_dir, studies):
-    def spread(p, ld):
-        sd = np.sqrt(2 * p["eaf"] * (1 - p["eaf"])).to_numpy()
-        return {"beta": [sum(ld[i, j] * sd[j] / sd[i] * p["beta"][j] for j in K.clump(p["z"].to_numpy(), ld, 0.1, 1.0)) for i in range(len(p))]}
+def test_effects_filled_from_index_snps(spark, sf_dir, studies):
+    def line(truth, predicted):
+        ratio = {i: truth[i] / predicted[i] for i in range(len(truth)) if not np.isnan(truth[i])}
+        middle = np.median(list(ratio.values()))
+        for _ in range(2):
+            spread = np.std(list(ratio.values()), ddof=1)
+            ratio = {i: r for i, r in ratio.items() if abs(r - middle) <= 3 * spread}
+        x, y = np.array([predicted[i] for i in ratio]), np.array([truth[i] for i in ratio])
+        slope = ((x - x.mean()) * (y - y.mean())).sum() / ((x - x.mean()) ** 2).sum()
+        return y.mean() + slope * (predicted - x.mean()), abs(np.corrcoef(x, y)[0, 1]) * np.sign(1.0)
 
+    def want(p, ld):
+        seen, sd = p["seen"].to_numpy(), np.sqrt(2 * p["eaf"] * (1 - p["eaf"])).to_numpy()
+        left, index = {i: abs(p["z"][i]) for i in range(len(p)) if seen[i] and abs(p["z"][i]) > 1}, []
+        while left:
+            top = min(left, key=lambda i: (-left[i], i))
+            index.append(top)
+            left = {i: v for i, v in left.items() if i != top and ld[top, i] ** 2 <= 0.01}
+        beta, se = np.where(seen, p["beta"], np.nan), np.where(seen, p["se"], np.nan)
+        if not index:
+            return {"beta": beta, "se": se, "fit": np.full(len(p), np.nan)}
+        own = beta[index] if len(index) == 1 else np.diag(sd[index]) @ np.linalg.pinv(ld[index][:, index]) @ np.diag(1 / sd[index]) @ beta[index]
+        spread = np.array([sum(ld[i, j] * sd[j] / sd[i] * b for j, b in zip(index, own, strict=True)) for i in range(len(p))])
+        effects, fit = line(beta, spread)
+        errors, _ = line(se, 1 / sd)
+        return {"beta": np.where(seen, beta, effects), "se": np.where(seen, se, errors), "fit": np.full(len(p), fit)}
+
+    got = registry.QUERIES["k28_conditional_spread"](spark, sf_dir).toPandas()
+    filled = 0
+    for (blk, study), one in got.groupby(["blk", "study"]):
+        exact = want(studies[0][blk, study], studies[1][blk])
+        one = one.sort_values("snp")
+        for c in ("beta", "se", "fit"):
+            assert np.allclose(one[c].astype(float), exact[c], atol=1e-7, equal_nan=True), (study, c)
+        filled += one.imputed.sum()
+    assert filled > len(got) / 10 and got.fit.mean() > 0.2
+
+
+def test_projection(spark, sf_dir, studies):
     def projected(p, ld):
         basis, gone = np.linalg.eigh(ld)[1][:, -20:], ~p["seen"].to_numpy()
         z = p["z"].to_numpy().copy()
@@ -141,7 +175,6 @@ def test_conditional_spread_and_projection(spark, sf_dir, studies):
             z[gone] = (basis @ (basis.T @ z))[gone]
         return {"z": z}
 
-    compared(spark, sf_dir, studies, "k28_conditional_spread", spread, ["beta"])
     compared(spark, sf_dir, studies, "k31_projected_imputation", projected, ["z"], 1e-6)
 
 
