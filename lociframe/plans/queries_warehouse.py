@@ -449,6 +449,66 @@ def d20_gene_windows(x: Fixtures):
     return J.interval_join(x.snps.select("chr", "bp").distinct(), g).groupBy("gene").agg(F.count("*").alias("n"))
 
 
+@query("SELECT CAST(chr AS VARCHAR) AS chr, concat(chr, ':', bp) AS snp, bp, ea, oa, round(eaf, 6) AS eaf, round(beta, 6) AS beta, round(pow(10, -round(study / 10.0::DOUBLE, 1)), 8) AS p FROM snps JOIN (SELECT 'A' AS ea, 'G' AS oa) ON TRUE", "snps")
+def d20_protein_rows(x: Fixtures):
+    """Blank-separated lines of a protein study."""
+    from ..sources import raw_layouts as RAW
+
+    six = lambda c: F.format_string("%.6f", c)
+    line = F.concat_ws(" ", "chr", "bp", F.concat_ws(":", "chr", "bp", F.lit("G"), F.lit("A"), F.lit("imp")), F.lit("G"), F.lit("A"), six("eaf"), F.lit("0.9"), F.lit("100"), F.lit("ADD"), six("beta"), six("se"), F.lit("1"), F.format_string("%.1f", F.col("study") / 10.0), F.lit("NA"))
+    head = x.spark.createDataFrame([("CHROM GENPOS ID ALLELE0 ALLELE1 A1FREQ INFO N TEST BETA SE CHISQ LOG10P EXTRA",)], "value string")
+    path = _lines(x, head.union(x.snps.select(line)), "protein")
+    return RAW.protein_rows(x.spark.read.text(path)).select("chr", "snp", "bp", "ea", "oa", F.round("eaf", 6).alias("eaf"), F.round("beta", 6).alias("beta"), F.round("p", 8).alias("p"))
+
+
+_MOLECULAR = "SELECT study, chr, bp, CASE WHEN bp % 3000 = 0 THEN 'T' ELSE 'A' END AS ea, 'C' AS oa, eaf, beta, se FROM snps"
+
+
+@query(f"SELECT concat(chr, '_', bp, '_', least(ea, oa), '_', greatest(ea, oa)) AS snp, concat('probe', study) AS probe, round(CASE WHEN ea > oa THEN 1 - eaf ELSE eaf END, 6) AS eaf, round(CASE WHEN ea > oa THEN -beta ELSE beta END, 6) AS beta FROM ({_MOLECULAR})", "snps")
+def d20_molecular_rows(x: Fixtures):
+    from ..sources import raw_layouts as RAW
+
+    return RAW.molecular_rows(_molecular(x))[0].select("snp", "probe", F.round("eaf", 6).alias("eaf"), F.round("beta", 6).alias("beta"))
+
+
+@query(f"SELECT DISTINCT chr, concat('probe', study) AS probe, bp - bp % 5000000 AS probe_bp, concat('esd/chr', chr, '/probe', study, '.esd') AS path, 0 AS genetic_distance FROM ({_MOLECULAR})", "snps")
+def d20_probe_list(x: Fixtures):
+    from ..sources import raw_layouts as RAW
+
+    return RAW.molecular_rows(_molecular(x))[1]
+
+
+def _molecular(x: Fixtures):
+    return x.snps.select(F.concat(F.lit("probe"), "study").alias("phenotype_id"), (F.col("bp") % 5_000_000).alias("distance"), "eaf", F.lit(0.5).alias("p"), "beta", "se", "chr", "bp", F.when(F.col("bp") % 3000 == 0, "T").otherwise("A").alias("ea"), F.lit("C").alias("oa"))
+
+
+_RARE = "(SELECT study, chr, bp, eaf AS maf, CASE WHEN study % 3 = 0 THEN 0.4::DOUBLE ELSE 0.8::DOUBLE END AS info, CASE WHEN bp % 97000 = 0 THEN 1e-6::DOUBLE WHEN bp % 2000 = 0 THEN 0.05::DOUBLE ELSE 0.5::DOUBLE END AS p FROM snps)"
+_FINE = "info >= 0.5 AND (maf BETWEEN 0.000012 AND 0.01 OR 1 - maf BETWEEN 0.000012 AND 0.01)"
+
+
+@query(f"SELECT DISTINCT r.study, r.chr, r.bp FROM {_RARE} r JOIN {_RARE} l ON l.chr = r.chr AND abs(l.bp - r.bp) <= 500000 AND l.p <= 5e-5 AND {_FINE.replace('info', 'l.info').replace('maf', 'l.maf')} WHERE r.p <= 0.1 AND {_FINE.replace('info', 'r.info').replace('maf', 'r.maf')}", "snps")
+def d20_rare_windows(x: Fixtures):
+    """Rare variants around strong ones."""
+    from ..sources import raw_layouts as RAW
+
+    p = F.when(F.col("bp") % 97_000 == 0, 1e-6).when(F.col("bp") % 2000 == 0, 0.05).otherwise(0.5)
+    t = x.snps.select("study", "chr", "bp", F.col("eaf").alias("maf"), F.when(F.col("study") % 3 == 0, 0.4).otherwise(0.8).alias("info"), p.alias("p"))
+    return RAW.rare_windows(t).select("study", "chr", "bp")
+
+
+@query("SELECT CAST(chr AS VARCHAR) AS chr, bp, 'A' AS ea, 'G' AS oa, round(CASE k WHEN 'c' THEN eaf ELSE eaf END, 6) AS eaf, CASE WHEN k = 'b' THEN NULL ELSE round(beta, 6) END AS beta, CASE WHEN k = 'b' THEN round(beta, 6) END AS odds, CASE k WHEN 'a' THEN 'x' WHEN 'b' THEN 'y' END AS trait, k FROM snps CROSS JOIN (SELECT unnest(['a', 'b', 'c']) AS k)", "snps")
+def d20_exome_rows(x: Fixtures):
+    """Three releases of exome results in one form: catalog columns, dashed variants with odds, and markers."""
+    from ..sources import raw_layouts as RAW
+
+    s = x.snps
+    catalog = s.select(F.col("chr").alias("chromosome"), F.col("bp").alias("base_pair_location"), F.lit("A").alias("effect_allele"), F.lit("G").alias("other_allele"), F.col("eaf").alias("effect_allele_frequency"), F.lit(0.1).alias("p_value"), "beta", F.col("se").alias("standard_error"), F.lit("x").alias("Trait"))
+    dash = s.select(F.concat_ws("-", "chr", "bp", F.lit("G"), F.lit("A")).alias("Variant"), F.lit(0.1).alias("p-value"), F.col("eaf").alias("Control AAF"), F.col("beta").alias("Odds ratio"), F.lit(0.1).alias("Odds ratio LCI"), F.lit(0.2).alias("Odds ratio UCI"), F.lit("union#y").alias("Phenotype"), F.lit("g").alias("Gene"))
+    marker = s.select(F.concat(F.lit("chr"), "chr", F.lit(":"), "bp", F.lit("_G/A")).alias("markerID"), F.lit(0.1).alias("Pvalue"), F.col("eaf").alias("AF"), F.col("beta").alias("BETA"), F.col("se").alias("SE"), F.lit("g").alias("gene"))
+    parts = [RAW.exome_rows(t, layout).withColumn("k", F.lit(k)) for t, layout, k in ((catalog, "catalog", "a"), (dash, "dash", "b"), (marker, "marker", "c"))]
+    return parts[0].union(parts[1]).union(parts[2]).select("chr", "bp", "ea", "oa", *[F.round(c, 6).alias(c) for c in ("eaf", "beta", "odds")], "trait", "k")
+
+
 @query("SELECT t.gene AS target, t.category, CASE WHEN t.gene < 'Brand#4' THEN coalesce(e.hit, FALSE) END AS supported FROM (SELECT DISTINCT m.gene, s.category FROM members m JOIN studies s USING (study)) t LEFT JOIN (SELECT m.gene, s.category, bool_or(m.grp % 50 = 0) AS hit FROM members m JOIN studies s USING (study) GROUP BY 1, 2) e ON t.gene = e.gene AND t.category = e.category", "members studies")
 def d21_target_support(x: Fixtures):
     m = x.members.join(x.studies.select("study", "category"), "study").select(F.col("gene").alias("target"), "category", (F.col("grp") % 50 == 0).alias("hit"))

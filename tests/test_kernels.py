@@ -132,3 +132,23 @@ def test_empty_and_null_groups(spark):
     assert A.best_row(t, ["g"], ["v"], ["v"]).count() == 0
     n = spark.createDataFrame([(1, None), (1, 2.0), (2, None)], "g long, v double")
     assert {r["g"]: r["v"] for r in A.keep_first(n, ["g"], [F.col("v").desc_nulls_last()]).collect()} == {1: 2.0, 2: None}
+
+
+def murmur3(data: bytes, seed: int = 42) -> int:
+    """32-bit Murmur3 as the engine's hash has it: whole words first, then the bytes left over one by one."""
+    mask, h = 0xFFFFFFFF, seed
+    turn = lambda v, r: ((v << r) | (v >> (32 - r))) & mask
+    whole = len(data) // 4 * 4
+    words = [int.from_bytes(data[i : i + 4], "little") for i in range(0, whole, 4)] + [(b - 256 if b > 127 else b) & mask for b in data[whole:]]
+    for k in words:
+        h = (turn(h ^ (turn(k * 0xCC9E2D51 & mask, 15) * 0x1B873593 & mask), 13) * 5 + 0xE6546B64) & mask
+    h ^= len(data)
+    h = ((h ^ (h >> 16)) * 0x85EBCA6B) & mask
+    h = ((h ^ (h >> 13)) * 0xC2B2AE35) & mask
+    return h ^ (h >> 16)
+
+
+def test_long_alleles_are_named_by_their_hash(spark):
+    alleles = ["A", "ACGTACGTAC", "ACGTACGTACG", "CCGCCGCCGCCGTTA", "G" * 1000, "é" * 11]
+    got = [r["c"] for r in spark.createDataFrame([(a,) for a in alleles], "a string").select(S.compress_allele("a").alias("c")).collect()]
+    assert got == [a if len(a) <= 10 else f"{murmur3(a.encode()):x}" if murmur3(a.encode()) < 2**31 else f"ffffffff{murmur3(a.encode()):x}" for a in alleles]
