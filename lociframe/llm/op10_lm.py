@@ -129,14 +129,20 @@ def _counted(rows: DataFrame, bits: int) -> DataFrame:
         out = []
         n, kinds, places = _read(docs.column("text").to_pylist())
         chunk, copies = docs.column("chunk")[0].as_py(), docs.column("copies").to_numpy()
-        every = np.repeat(copies, n)
-        target = np.repeat(np.where(docs.column("is_target").to_numpy(zero_copy_only=False).astype(bool), copies, 0), n)
-        totals = int(target.sum()), int(every.sum())
-        for kind, keys in enumerate(kinds):
+        in_target = docs.column("is_target").to_numpy(zero_copy_only=False).astype(bool)
+        every, target = np.repeat(copies, n), np.repeat(np.where(in_target, copies, 0), n)
+        totals, plain = (int(target.sum()), int(every.sum())), copies.max(initial=1) == 1
+
+        def tally(at: np.ndarray, whole: bool, keys: int) -> np.ndarray:
+            if plain:
+                return np.bincount(at if whole else at[target > 0], minlength=keys)
             # sums in float64 are exact to 2^53
+            return np.bincount(at, weights=every if whole else target, minlength=keys).astype(np.int64)
+
+        for kind, keys in enumerate(kinds):
             if not len(keys):
                 continue
-            counts = np.stack([np.bincount(places[of], weights=every if whole else target, minlength=len(keys)).astype(np.int64) for of, whole in TABLES[kind]])
+            counts = np.stack([tally(places[of], whole, len(keys)) for of, whole in TABLES[kind]])
             at = np.searchsorted(first, keys, side="right") - 1
             buckets, starts = np.unique(at, return_index=True)
             for bucket, a, b in zip(buckets.tolist(), starts.tolist(), [*starts[1:].tolist(), len(keys)], strict=True):
