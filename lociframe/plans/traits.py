@@ -87,9 +87,10 @@ def paired(common: DataFrame, rare: DataFrame, fields: DataFrame, manual: DataFr
     second = reduce(DataFrame.unionByName, second)
     common, others = _left(common, second, "common"), _left(others, second, "rare")
     noted = common.drop("field").join(fields.where("field <> ''"), "study_name").select("study_name", "trait", "field")
-    by_field = noted.toDF("study_name_common", "trait_common", "field").join(others.select("field", F.col("study_name").alias("study_name_rare"), F.col("trait").alias("trait_rare")), "field")
-    once = by_field.groupBy("field").agg(F.count("*").alias("_n")).where("_n = 1").select("field")
-    by_field = by_field.join(once, "field").select(F.lit("phenotype").alias("data_type"), *COLUMNS[1:], F.lit("field").alias("step"))
+    # a field pairs once if each side has it once, so others leave before the join and a shared field makes no pairs
+    once = lambda t: t.join(t.groupBy("field").agg(F.count("*").alias("_n")).where("_n = 1").select("field"), "field", "left_semi")
+    by_field = once(noted.toDF("study_name_common", "trait_common", "field")).join(once(others.select("field", F.col("study_name").alias("study_name_rare"), F.col("trait").alias("trait_rare"))), "field")
+    by_field = by_field.select(F.lit("phenotype").alias("data_type"), *COLUMNS[1:], F.lit("field").alias("step"))
     blocks = others.where(trait.rlike("^[A-Z][0-9].*-[A-Z][0-9].*\\(union\\)"))
     by_block = _joined("block", common, trait, blocks, _sub(F.regexp_replace(trait, "^[A-Z][0-9]+-[A-Z][0-9]+ ", ""), (" \\(union\\)", "")))
     by_hand = manual.distinct().select(F.lit("phenotype").alias("data_type"), *COLUMNS[1:], F.lit("manual").alias("step"))
