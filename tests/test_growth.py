@@ -1,9 +1,16 @@
 """Steps that must not grow with the square of a table, held by the rows that they give."""
 
-from .growth import most_rows
+import numpy as np
+import pytest
 
+from lociframe.operators import kernels as K
+from lociframe.plans import registry
 from lociframe.plans import traits as TR
 
+from .growth import most_rows
+
+registry.load()
+
 
 def test_shared_fields_make_no_pairs(spark):
     n = 300
@@ -14,3 +21,29 @@ def test_shared_fields_make_no_pairs(spark):
     out = TR.paired(common, rare, fields, spark.createDataFrame([], ", ".join(f"{c} string" for c in TR.COLUMNS[1:])))
     assert most_rows(out) <= 2 * n
     assert [tuple(r) for r in out.collect()] == [("phenotype", "c0", "r0", "noted 0", "words 0", "field")]
+
+
+@pytest.mark.parametrize("name", ["k18_colocalisation", "k19_masked_colocalisation"])
+def test_pairs_are_not_laid_out_by_snp(spark, sf_dir, name):
+    of = [r["label"] for r in spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("label").collect()]
+    pairs = sum(of.count(v) * (of.count(v) - 1) // 2 for v in set(of))
+    assert most_rows(registry.QUERIES[name](spark, sf_dir)) <= max(3 * pairs, 3 * 64 * len(of))
+
+
+def test_tiles_give_what_the_joins_give(spark):
+    """Studies with SNPs, values and signals of their own (far below another's too), in groups of several tiles."""
+    rng = np.random.default_rng(3)
+    rows = []
+    for s in range(60):
+        for snp in np.flatnonzero(rng.random(70) < (0.1 if s % 13 == 0 else 0.9)):
+            value = None if rng.random() < 0.02 else float(rng.normal(0, 900 if s % 7 == 0 else 4))
+            rows.append((s % 2, f"s{s}", f"o{s // 5}", int(snp), value))
+    lbf = spark.createDataFrame(rows, "blk long, study string, own string, snp long, lbf double")
+    s = lbf.select("blk", "study", "own").distinct()
+    pairs = s.toDF("blk", "a", "x").join(s.toDF("blk", "b", "y"), "blk").where("a < b AND x <> y").select("a", "b")
+    want = K.coloc(pairs, lbf).toPandas().sort_values(["a", "b"], ignore_index=True)
+    for tile in (7, 1000):
+        got = K.coloc_within(lbf, ["blk"], owner="own", tile=tile).drop("blk").toPandas().sort_values(["a", "b"], ignore_index=True)
+        assert got[["a", "b", "nsnps", "ignored"]].equals(want[["a", "b", "nsnps", "ignored"]])
+        assert np.allclose(got[[f"h{i}" for i in range(5)]], want[[f"h{i}" for i in range(5)]], atol=1e-9, equal_nan=True)
+    assert want["h0"].isna().any() and want["h0"].notna().any()
