@@ -47,3 +47,22 @@ def test_tiles_give_what_the_joins_give(spark):
         assert got[["a", "b", "nsnps", "ignored"]].equals(want[["a", "b", "nsnps", "ignored"]])
         assert np.allclose(got[[f"h{i}" for i in range(5)]], want[[f"h{i}" for i in range(5)]], atol=1e-9, equal_nan=True)
     assert want["h0"].isna().any() and want["h0"].notna().any()
+
+
+def test_second_fits_are_made_together(spark):
+    """Studies with SNPs left out are fitted in one call, each as it would be alone on what it has."""
+    from lociframe.operators import finemap as FM
+
+    rng = np.random.default_rng(4)
+    i = np.arange(40)
+    ld = 0.6 ** np.abs(i[:, None] - i)
+    z = rng.normal(0, 1, (6, 40)) @ np.linalg.cholesky(ld).T
+    z[:, 5] += 8
+    z[:, 25] -= 7
+    use = rng.random((6, 40)) < 0.9
+    n = np.full(6, 10_000.0)
+    for s, (sets, lbf, done) in enumerate(FM.susie_all(z, ld, n, use=use)):
+        kept = np.flatnonzero(use[s])
+        want, want_lbf, want_done = FM.susie_all(z[s][kept][None], ld[np.ix_(kept, kept)], n[:1])[0]
+        assert done == want_done and [(k, m.tolist()) for k, m in sets] == [(k, kept[m].tolist()) for k, m in want]
+        assert np.allclose(lbf[:, kept], want_lbf, atol=1e-6)
