@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import log2
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -55,6 +57,10 @@ def _plogp(x):
     return x * np.log2(np.where(x > 0, x, 1.0))
 
 
+def _xlog(x: float) -> float:
+    return x * log2(x) if x > 0 else 0.0
+
+
 def code_length(flow: np.ndarray, leave: np.ndarray, inside: np.ndarray) -> float:
     """Two-level map equation: bits a step of a random walk, from node flows, and modules' exit and whole flows."""
     return float(_plogp(leave.sum()) - 2 * _plogp(leave).sum() - _plogp(flow).sum() + _plogp(leave + inside).sum())
@@ -74,26 +80,32 @@ class _Walk:
     def improve(self, rng: np.random.Generator) -> bool:
         """Move nodes, in random order, to the neighbouring module that shortens the code most, until none does."""
         any_moved, moved = False, True
+        # plain lists and floats: the loop reads single values only
+        nbr, flow, out = self.nbr, self.flow.tolist(), self.out.tolist()
+        own, leave, inside = self.own.tolist(), self.leave.tolist(), self.inside.tolist()
         while moved:
-            moved, q = False, self.leave.sum()
-            for i in rng.permutation(len(self.nbr)):
-                f, to_module = self.own[i], {}
-                for j, v in self.nbr[i].items():
-                    to_module[self.own[j]] = to_module.get(self.own[j], 0.0) + v
-                lf = self.leave[f] - self.out[i] + 2 * to_module.get(f, 0.0)
-                nf, best, target = self.inside[f] - self.flow[i], -1e-12, None
+            moved, q = False, float(np.sum(leave))
+            for i in rng.permutation(len(nbr)).tolist():
+                f, to_module = own[i], {}
+                for j, v in nbr[i].items():
+                    to_module[own[j]] = to_module.get(own[j], 0.0) + v
+                if not to_module.keys() - {f}:
+                    continue
+                lf = leave[f] - out[i] + 2 * to_module.get(f, 0.0)
+                nf, best, target = inside[f] - flow[i], -1e-12, None
+                whole, from_leave, from_all = _xlog(q), _xlog(lf) - _xlog(leave[f]), _xlog(lf + nf) - _xlog(leave[f] + inside[f])
                 for t in sorted(to_module.keys() - {f}):
-                    lt, nt = self.leave[t] + self.out[i] - 2 * to_module[t], self.inside[t] + self.flow[i]
-                    now, then = np.array([self.leave[f], self.leave[t]]), np.array([lf, lt])
-                    gain = _plogp(q - now.sum() + then.sum()) - _plogp(q) - 2 * (_plogp(then) - _plogp(now)).sum()
-                    gain += (_plogp(then + np.array([nf, nt])) - _plogp(now + np.array([self.inside[f], self.inside[t]]))).sum()
+                    lt, nt = leave[t] + out[i] - 2 * to_module[t], inside[t] + flow[i]
+                    gain = _xlog(q - (leave[f] + leave[t]) + (lf + lt)) - whole - 2 * (from_leave + (_xlog(lt) - _xlog(leave[t])))
+                    gain += from_all + (_xlog(lt + nt) - _xlog(leave[t] + inside[t]))
                     if gain < best:
                         best, target = gain, (t, lt, nt)
                 if target:
                     t, lt, nt = target
-                    q += lf + lt - self.leave[f] - self.leave[t]
-                    self.leave[f], self.leave[t], self.inside[f], self.inside[t] = lf, lt, nf, nt
-                    self.own[i], moved, any_moved = t, True, True
+                    q += lf + lt - leave[f] - leave[t]
+                    leave[f], leave[t], inside[f], inside[t] = lf, lt, nf, nt
+                    own[i], moved, any_moved = t, True, True
+        self.own, self.leave, self.inside = np.array(own), np.array(leave), np.array(inside)
         return any_moved
 
     def merged(self) -> tuple["_Walk", np.ndarray]:

@@ -66,3 +66,15 @@ def test_second_fits_are_made_together(spark):
         want, want_lbf, want_done = FM.susie_all(z[s][kept][None], ld[np.ix_(kept, kept)], n[:1])[0]
         assert done == want_done and [(k, m.tolist()) for k, m in sets] == [(k, kept[m].tolist()) for k, m in want]
         assert np.allclose(lbf[:, kept], want_lbf, atol=1e-6)
+
+
+def test_map_equation_reads_single_values(monkeypatch):
+    """The loop over nodes makes no arrays: the logs of arrays are taken for whole partitions only."""
+    from lociframe.operators import graph as G
+
+    calls, whole = [], G._plogp
+    monkeypatch.setattr(G, "_plogp", lambda x: calls.append(1) or whole(x))
+    i = np.arange(60)
+    got = G.communities_kernel(i, np.where(i % 6 == 5, i - 5, i + 1), np.ones(60), trials=1)
+    assert {k: v for k, v in got.items()} == {int(k): int(k) // 6 * 6 for k in i}
+    assert len(calls) < 60
