@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 from .windows import numbered
 
@@ -67,6 +68,31 @@ def overlap_join(a: DataFrame, b: DataFrame, key: str, a_range: tuple[str, str],
     return out.drop("a__first", "a__bin", "b__first", "b__bin")
 
 
+def overlap_totals(a: DataFrame, b: DataFrame, key: str, a_range: tuple[str, str], b_range: tuple[str, str], value: str, width: int = 1_000_000) -> DataFrame:
+    """Rows of ``a`` with n and total: how many intervals of ``b`` each overlaps, and the sum of their ``value``, without the pairs.
+
+    An interval (start <= stop) overlaps all of its key that start at or before
+    its stop, but for those that stop before its start.  Both are running totals
+    over the positions that occur, summed inside bins of ``width`` and over the
+    bins of a key, so the work follows the rows and not the pairs.
+    """
+    (s, e), (t, u) = a_range, b_range
+    none, one, v = F.lit(0).cast("long"), F.lit(1).cast("long"), F.coalesce(value, F.lit(0))
+    b, a = b.where(F.col(t).isNotNull() & F.col(u).isNotNull()), a.where(F.col(s).isNotNull() & F.col(e).isNotNull())
+    at = lambda d, pos, n0, v0, n1, v1: d.select(F.col(key), F.col(pos).alias("_pos"), n0.alias("_n0"), v0.alias("_v0"), n1.alias("_n1"), v1.alias("_v1"))
+    parts = [at(b, t, one, v, none, none), at(b, u, none, none, one, v), at(a, e, none, none, none, none), at(a, s, none, none, none, none)]
+    sums = ["_n0", "_v0", "_n1", "_v1"]
+    points = reduce(DataFrame.union, parts).groupBy(key, "_pos").agg(*[F.sum(c).alias(c) for c in sums]).withColumn("_bin", F.floor(F.col("_pos") / width))
+    before = Window.partitionBy(key).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    bins = points.groupBy(key, "_bin").agg(*[F.sum(c).alias(c) for c in sums]).select(key, "_bin", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_b{c}") for c in sums])
+    inside = Window.partitionBy(key, "_bin").orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
+    run = points.select(key, "_pos", "_bin", *[F.sum(c).over(inside).alias(f"_u{c}") for c in sums], "_n1", "_v1").join(bins, [key, "_bin"])
+    begun = run.select(key, F.col("_pos").alias(e), (F.col("_b_n0") + F.col("_u_n0")).alias("_n_begun"), (F.col("_b_v0") + F.col("_u_v0")).alias("_v_begun"))
+    over = run.select(key, F.col("_pos").alias(s), (F.col("_b_n1") + F.col("_u_n1") - F.col("_n1")).alias("_n_over"), (F.col("_b_v1") + F.col("_u_v1") - F.col("_v1")).alias("_v_over"))
+    out = a.join(begun, [key, e]).join(over, [key, s])
+    return out.select(*a.columns, (F.col("_n_begun") - F.col("_n_over")).alias("n"), (F.col("_v_begun") - F.col("_v_over")).alias("total"))
+
+
 def close_pairs(df: DataFrame, group: str, ident: str, pos: str, distance: int, same: str | None = None) -> DataFrame:
     """Unordered pairs (a < b by ``ident``) in a group that are at most ``distance`` apart or share ``same``.
 

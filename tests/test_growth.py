@@ -78,3 +78,17 @@ def test_map_equation_reads_single_values(monkeypatch):
     got = G.communities_kernel(i, np.where(i % 6 == 5, i - 5, i + 1), np.ones(60), trials=1)
     assert {k: v for k, v in got.items()} == {int(k): int(k) // 6 * 6 for k in i}
     assert len(calls) < 60
+
+
+def test_overlaps_are_counted_without_pairs(spark, sf_dir):
+    genes = spark.read.parquet(f"{sf_dir}/part.parquet").count()
+    assert most_rows(registry.QUERIES["j3_interval_overlap"](spark, sf_dir)) <= 4 * genes
+    from lociframe.operators import joins as J
+
+    rng = np.random.default_rng(5)
+    rows = [("x" if k % 3 else "y", k, int(lo), int(lo + n)) for k, (lo, n) in enumerate(zip(rng.integers(-40, 60, 90), rng.integers(0, 25, 90), strict=True))]
+    t = spark.createDataFrame(rows, "chr string, gene long, lo long, hi long")
+    got = {r["gene"]: (r["n"], r["total"]) for r in J.overlap_totals(t, t, "chr", ("lo", "hi"), ("lo", "hi"), "gene", width=10).collect()}
+    for c, k, lo, hi in rows:
+        met = [j for d, j, s, e in rows if c == d and lo <= e and hi >= s]
+        assert got[k] == (len(met), sum(met))
