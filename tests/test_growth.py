@@ -97,3 +97,15 @@ def test_overlaps_are_counted_without_pairs(spark, sf_dir):
 def test_many_to_many_is_counted_before_it_meets(spark, sf_dir):
     read = lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet").count()
     assert most_rows(registry.QUERIES["j7_many_to_many"](spark, sf_dir)) <= max(read("supplier"), read("customer"))
+
+
+def test_signals_meet_by_bins(spark):
+    """Only what is near by bins meets, and each pair once."""
+    from lociframe.streaming import queue as Q
+
+    up = spark.createDataFrame([(f"g{i}", "b", 1000 * i) for i in range(60)], "guid string, block string, bp long")
+    wh = spark.createDataFrame([(i, "b", 1000 * i + 50, 0.001) for i in range(-5, 60)], "study long, block string, bp long, min_p double")
+    out = Q.near_warehouse(up, wh, 1000, 0.01)
+    assert "_bin" in out._jdf.queryExecution().optimizedPlan().toString()  # the distance alone would compare all of a block
+    got = sorted((r["guid"], r["other"]) for r in out.collect())
+    assert got == sorted((f"g{i}", j) for i in range(60) for j in range(-5, 60) if abs(1000 * i - 1000 * j - 50) <= 1000)
