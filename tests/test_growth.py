@@ -109,3 +109,34 @@ def test_signals_meet_by_bins(spark):
     assert "_bin" in out._jdf.queryExecution().optimizedPlan().toString()  # the distance alone would compare all of a block
     got = sorted((r["guid"], r["other"]) for r in out.collect())
     assert got == sorted((f"g{i}", j) for i in range(60) for j in range(-5, 60) if abs(1000 * i - 1000 * j - 50) <= 1000)
+
+
+def test_worker_keeps_one_state_for_a_bucket_of_guids(spark, tmp_path, monkeypatch):
+    """Many guids in few buckets: one state each, and every guid fares as by itself."""
+    import json
+
+    from lociframe.streaming import uploads as U
+
+    monkeypatch.setattr(U, "BUCKETS", 3)
+    path, n, seen = str(tmp_path), 120, []
+    body = lambda i, more=0: json.dumps({"metadata": {"guid": f"g{i}", "sample_size": more}})
+
+    def handle(m):
+        seen.append({r["guid"]: (r["kind"], json.loads(r["value"])["metadata"]["sample_size"], r["again"]) for r in m.collect()})
+        return m.select("guid", "again")
+
+    deliveries = [
+        [("process", body(i, k)) for i in range(n) for k in (1, 2)] + [("in_progress", body(i, 9)) for i in range(0, n, 4)],
+        [("delete", body(i)) for i in range(0, n, 5)] + [("process", body(i)) for i in range(0, n, 15)],
+        [("in_progress", body(i)) for i in range(n)] + [("process", body(i, 3)) for i in range(0, n, 10)],
+    ]
+    for rows in deliveries:
+        spark.createDataFrame(rows, "kind string, value string").coalesce(1).write.mode("append").json(f"{path}/in")
+        q = U.serve(spark, f"{path}/in", f"{path}/out", f"{path}/cp", handle, "again boolean")
+        q.awaitTermination()
+        assert max(p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress) <= 3
+    assert seen[0] == {f"g{i}": ("process", 2, False) for i in range(n)}
+    assert not seen[1]
+    assert seen[2] == {f"g{i}": ("process", 3, i % 5 != 0) if i % 10 == 0 else ("in_progress", 0, True) for i in range(n) if i % 10 == 0 or i % 5}
+    left = {r["guid"]: r["again"] for r in U.results(spark, f"{path}/out", "again boolean").collect()}
+    assert left == {g: again for g, (_, _, again) in seen[2].items()}
