@@ -49,6 +49,16 @@ def with_sql(*names: str) -> str:
     return "WITH " + ", ".join(f"{n} AS ({SQL[n]})" for n in order) + " "
 
 
+#: Bytes of a table's files that the rows made from it are dealt to one task for.
+BYTES_A_TASK = 4 << 20
+
+
+def dealt_by_size(df: DataFrame, source: DataFrame, *keys: str) -> DataFrame:
+    """``df`` by its keys in so many partitions that each stands for about BYTES_A_TASK of the table that it is made from."""
+    size = int(str(source._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, size // BYTES_A_TASK), *keys)
+
+
 class Fixtures:
     """The same tables as DataFrames."""
 
@@ -99,8 +109,17 @@ class Fixtures:
 
     @property
     def pairs(self) -> DataFrame:
-        """Study pairs with a made-up posterior: edges of a graph."""
-        m = self.members
-        a, b = m.select("grp", F.col("study").alias("a")), m.select("grp", F.col("study").alias("b"))
-        n = a.join(b, "grp").where("a < b").groupBy("a", "b").agg(F.count("*").alias("n"))
+        """Study pairs with a made-up posterior: edges of a graph.
+
+        What pairs are made of is counted first: rows of ``members`` by group and
+        study, from the distinct lines and how many genes and types a part has.
+        Lines and pairs are dealt to as many partitions as their size asks for.
+        """
+        kinds = self.table("part").select("p_partkey", "p_brand", "p_type").distinct().groupBy("p_partkey").agg(F.count("*").alias("rows"))
+        li = self.table("lineitem").where("l_orderkey IS NOT NULL AND l_suppkey IS NOT NULL")
+        li = li.join(kinds, li["l_partkey"] == kinds["p_partkey"]).select(F.col("l_orderkey").cast("long").alias("grp"), F.col("l_suppkey").cast("long").alias("study"), "l_partkey", "rows")
+        m = dealt_by_size(li, self.table("lineitem"), "grp").distinct().groupBy("grp", "study").agg(F.sum("rows").alias("rows"))
+        a, b = m.select("grp", F.col("study").alias("a"), F.col("rows").alias("x")), m.select("grp", F.col("study").alias("b"), F.col("rows").alias("y"))
+        met = a.join(b, "grp").where("a < b").select("a", "b", (F.col("x") * F.col("y")).alias("n"))
+        n = dealt_by_size(met, self.table("lineitem"), "a", "b").groupBy("a", "b").agg(F.sum("n").alias("n"))
         return n.withColumn("h4", F.expr("round(((n * 37 + a * 31 + b * 17) % 1000) / CAST(1000.0 AS DOUBLE), 6)"))

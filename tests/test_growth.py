@@ -140,3 +140,24 @@ def test_worker_keeps_one_state_for_a_bucket_of_guids(spark, tmp_path, monkeypat
     assert seen[2] == {f"g{i}": ("process", 3, i % 5 != 0) if i % 10 == 0 else ("in_progress", 0, True) for i in range(n) if i % 10 == 0 or i % 5}
     left = {r["guid"]: r["again"] for r in U.results(spark, f"{path}/out", "again boolean").collect()}
     assert left == {g: again for g, (_, _, again) in seen[2].items()}
+
+
+def test_pairs_are_dealt_by_size_and_count_repeated_parts(spark, duck, sf_dir, tmp_path, monkeypatch):
+    """More bytes, more partitions; parts given twice, with the same kind or another, count as SQL counts them."""
+    import duckdb
+
+    from lociframe import fixtures
+
+    monkeypatch.setattr(fixtures, "BYTES_A_TASK", 4096)
+    assert fixtures.Fixtures(spark, sf_dir).pairs.rdd.getNumPartitions() > 8
+    lines = [(o, p, s) for o in range(6) for p, s in ((1, 1), (2, 2), (2, 3), (3, 2), (1, 1))] + [(None, 1, 5), (2, None, 5), (2, 1, None), (7, 9, 1), (7, 9, 2)]
+    parts = [(1, "x", "u"), (1, "x", "u"), (2, "x", "u"), (2, "y", "u"), (2, None, "u"), (3, "x", None)]
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_suppkey long").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame(parts, "p_partkey long, p_brand string, p_type string").write.parquet(f"{tmp_path}/part.parquet")
+    con = duckdb.connect()
+    for t in ("lineitem", "part"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet/*.parquet'")
+    want = con.execute(fixtures.with_sql("pairs") + "SELECT a, b, n, h4 FROM pairs ORDER BY a, b").fetchall()
+    got = fixtures.Fixtures(spark, str(tmp_path)).pairs
+    assert got.dtypes == [("a", "bigint"), ("b", "bigint"), ("n", "bigint"), ("h4", "double")]
+    assert sorted(map(tuple, got.collect())) == want and len(want) == 3
