@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from ..scratch import cut_lineage
+
 
 def best_row(df: DataFrame, keys: list[str], order: list[Column | str], keep: list[str], largest: bool = False) -> DataFrame:
     """One row per key: the least (or largest) by ``order``; ties are decided by what ``order`` lists."""
@@ -74,6 +76,33 @@ def gene_pleiotropy(members: DataFrame, categories: DataFrame) -> DataFrame:
     return g.select("gene").distinct().join(by_cat, "gene", "left").join(other, "gene", "left").fillna(0)
 
 
+def quantiles(df: DataFrame, key: str, value: str, shares: dict[str, float]) -> DataFrame:
+    """(key, and the exact quantile of each share under its name), between values in a straight line; null where a key has no values.
+
+    Values are counted, dealt to partitions in their order and numbered on from
+    the counts of the partitions before, so no task holds all values of a key.
+    """
+    counts = df.groupBy(key, value).agg(F.count(value).alias("_n"))
+    parted = cut_lineage(counts.where(F.col(value).isNotNull()).repartitionByRange(key, value).withColumn("_part", F.spark_partition_id()))
+    # one row for each key and partition
+    sizes = parted.groupBy(key, "_part").agg(F.sum("_n").alias("_size"))
+    ahead = Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(F.col(key).alias("_key"), "_part", F.coalesce(F.sum("_size").over(ahead), F.lit(0)).alias("_off"), F.sum("_size").over(Window.partitionBy(key)).alias("_all"))
+    inside = Window.partitionBy("_part", key).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    ends = parted.withColumn("_in", F.sum("_n").over(inside)).withColumnRenamed("_part", "_at").join(F.broadcast(offsets), F.col(key).eqNullSafe(F.col("_key")) & (F.col("_at") == F.col("_part")))
+    last = F.col("_off") + F.col("_in")  # places from 0: this value's are those from last - _n up to it
+    holds = lambda place: F.max(F.when((place >= last - F.col("_n")) & (place < last), F.col(value)))
+    picked = []
+    for name, share in shares.items():
+        place = (F.col("_all") - 1) * F.lit(share)
+        picked += [holds(F.floor(place)).alias(f"_{name}_lo"), holds(F.ceil(place)).alias(f"_{name}_hi"), F.max(place - F.floor(place)).alias(f"_{name}_by")]
+    out = ends.groupBy(key).agg(*picked)
+    between = lambda n: F.col(f"_{n}_lo") + (F.col(f"_{n}_hi") - F.col(f"_{n}_lo")) * F.col(f"_{n}_by")
+    got = out.select(F.col(key).alias("_key"), *[between(n).alias(n) for n in shares])
+    every = counts.select(key).distinct()
+    return every.join(F.broadcast(got), every[key].eqNullSafe(F.col("_key")), "left").select(key, *shares)
+
+
 def risk_ratio(df: DataFrame, supported: str, success: str, over: list[str]) -> DataFrame:
     """Success among the supported over success among the others, with a log-normal interval."""
     s, y = F.col(supported), F.col(success)

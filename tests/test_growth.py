@@ -161,3 +161,16 @@ def test_pairs_are_dealt_by_size_and_count_repeated_parts(spark, duck, sf_dir, t
     got = fixtures.Fixtures(spark, str(tmp_path)).pairs
     assert got.dtypes == [("a", "bigint"), ("b", "bigint"), ("n", "bigint"), ("h4", "double")]
     assert sorted(map(tuple, got.collect())) == want and len(want) == 3
+
+
+def test_quantiles_gather_no_key_in_one_task(spark, sf_dir):
+    from lociframe.operators import aggregates as A
+
+    text = registry.QUERIES["a24_quantiles"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert "percentile" not in text.lower()
+    rng = np.random.default_rng(7)
+    rows = [(k, float(v)) for k in ("a", "b", None) for v in rng.integers(0, 9, 101 if k == "a" else 54)] + [("c", 2.5), ("d", None), ("a", None)]
+    got = {r["k"]: tuple(r)[1:] for r in A.quantiles(spark.createDataFrame(rows, "k string, v double"), "k", "v", {"lo": 0.0, "q": 0.37, "hi": 1.0}).collect()}
+    assert got.pop("d") == (None, None, None) and set(got) == {"a", "b", "c", None}
+    for k, v in got.items():
+        assert np.allclose(v, np.quantile([x for n, x in rows if n == k and x is not None], [0, 0.37, 1]))
