@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
+from pyspark.sql import Window, WindowSpec
 
 from .windows import numbered
 
@@ -115,6 +115,39 @@ def close_pairs(df: DataFrame, group: str, ident: str, pos: str, distance: int,
     return near.where(F.col(f"x_{ident}") != F.col(f"y_{ident}")).select(*map(first, rest), *map(second, rest), group, apart.alias("distance"))
 
 
+def close_pair_totals(df: DataFrame, group: str, pos: str, distance: int, same: str | None = None) -> DataFrame:
+    """(group, n, total): how many pairs ``close_pairs`` gives in each group, and the sum of their distances, without the pairs.
+
+    Every row counts as one of its own (``ident`` would be unique in its group);
+    rows without group, position or ``same`` meet nothing.  Near pairs come from
+    sums over the positions within the distance before each, in a bin of that
+    width and the one before it; pairs that share ``same`` from places in the
+    order of its positions, less those that are near.
+    """
+    keys = [group, same] if same else [group]
+    base = df.select(*keys, F.col(pos).alias("_pos")).where(reduce(Column.__and__, [F.col(c).isNotNull() for c in [*keys, "_pos"]]))
+    zero, width = F.lit(0).cast("long"), max(distance, 1)
+    # of rows with the sums _m and _t of the counts and positions that they meet
+    pairs = lambda m, t: (F.col("_n") * F.col(m), F.col("_n") * (F.col(m) * F.col("_pos") - F.col(t)))
+    alike = F.expr("_n * (_n - 1) div 2")
+
+    def sums(w: WindowSpec, m: str, t: str) -> dict[str, Column]:
+        return {m: F.coalesce(F.sum("_n").over(w), zero), t: F.coalesce(F.sum(F.col("_n") * F.col("_pos")).over(w), zero)}
+
+    points = base.groupBy(group, "_pos").agg(F.count("*").alias("_n")).withColumn("_own", F.floor(F.col("_pos") / width))
+    dealt = points.withColumn("_bin", F.explode(F.array("_own", F.col("_own") + 1)))
+    near = dealt.withColumns(sums(Window.partitionBy(group, "_bin").orderBy("_pos").rangeBetween(-distance, -1), "_m", "_t") if distance else {"_m": zero, "_t": zero}).where("_own = _bin")
+    n, total = pairs("_m", "_t")
+    parts = [near.groupBy(group).agg(F.sum(n + alike).alias("n"), F.sum(total).alias("total"))]
+    if same:
+        w = Window.partitionBy(*keys).orderBy("_pos")
+        fine = base.groupBy(*keys, "_pos").agg(F.count("*").alias("_n"))
+        fine = fine.withColumns(sums(w.rowsBetween(Window.unboundedPreceding, -1), "_m", "_t") | (sums(w.rangeBetween(-distance, -1), "_near_m", "_near_t") if distance else {"_near_m": zero, "_near_t": zero}))
+        (n, total), (near_n, near_total) = pairs("_m", "_t"), pairs("_near_m", "_near_t")  # rows alike are near
+        parts.append(fine.groupBy(group).agg(F.sum(n - near_n).alias("n"), F.sum(total - near_total).alias("total")))
+    return reduce(DataFrame.unionByName, parts).groupBy(group).agg(F.sum("n").alias("n"), F.sum("total").alias("total")).where("n > 0")
+
+
 def first_match(left: DataFrame, right: DataFrame, on: str, order: list[str], keep: list[str]) -> DataFrame:
     """Left join with the first row of each key on the right (by ``order``)."""
     first = right.groupBy(on).agg(F.min_by(F.struct(*keep), F.struct(*order)).alias("_m"))

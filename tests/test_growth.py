@@ -163,6 +163,24 @@ def test_pairs_are_dealt_by_size_and_count_repeated_parts(spark, duck, sf_dir, t
     assert sorted(map(tuple, got.collect())) == want and len(want) == 3
 
 
+def test_close_pairs_are_counted_without_pairs(spark, sf_dir):
+    from lociframe.operators import joins as J
+
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
+    assert most_rows(registry.QUERIES["j5_close_pairs"](spark, sf_dir)) <= 2 * lines
+    rng = np.random.default_rng(6)
+    rows = [(k, "x" if k % 3 else "y", int(p), int(s)) for k, (p, s) in enumerate(zip(rng.integers(-40, 60, 150), rng.integers(0, 8, 150), strict=True))]
+    t = spark.createDataFrame(rows + [(200, None, 1, 1), (201, "x", None, 1)], "id long, chr string, bp long, study long")
+    for distance, same in ((0, "study"), (7, None), (7, "study")):
+        if distance:
+            listed = J.close_pairs(t, "chr", "id", "bp", distance, same).collect()
+            plain = [(r["chr"], r["distance"]) for r in listed]
+        else:
+            plain = [(a[1], abs(a[2] - b[2])) for a in rows for b in rows if a[0] < b[0] and a[1] == b[1] and (a[2] == b[2] or (same and a[3] == b[3]))]
+        want = {c: (sum(d == c for d, _ in plain), sum(n for d, n in plain if d == c)) for c in ("x", "y")}
+        assert {r["chr"]: (r["n"], r["total"]) for r in J.close_pair_totals(t, "chr", "bp", distance, same).collect()} == want, (distance, same)
+
+
 def test_quantiles_gather_no_key_in_one_task(spark, sf_dir):
     from lociframe.operators import aggregates as A
 
