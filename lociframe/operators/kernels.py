@@ -284,46 +284,66 @@ def eigen_imputed(z: np.ndarray, seen: np.ndarray, upto: np.ndarray, vectors: np
 
 
 def elastic_net_path(x: np.ndarray, y: np.ndarray, penalties: np.ndarray, mix: float = 0.5, rounds: int = 2000, tolerance: float = 1e-9, exact: bool = True) -> np.ndarray:
-    """Coefficients (intercept first) for each penalty: half the mean squared error plus penalty * (mix |b| + (1 - mix) / 2 b^2) is least, on scaled columns.
+    """Coefficients (intercept first) for each penalty: half the mean squared error plus penalty * (mix |b| + (1 - mix) / 2 b^2) is least, on scaled columns."""
+    return elastic_net_paths(x, y[None], penalties[None], mix, rounds, tolerance, exact)[0]
 
-    All penalties at once, by alternating directions on the eigenvectors of the
-    Gram matrix; ``exact`` solves for the coefficients found not to be zero.
+
+def elastic_net_paths(x: np.ndarray, y: np.ndarray, penalties: np.ndarray, mix: float = 0.5, rounds: int = 2000, tolerance: float = 1e-9, exact: bool = True) -> np.ndarray:
+    """The same of many responses (rows of ``y``) on one ``x``, each with penalties of its own.
+
+    All responses and penalties at once, by alternating directions on the
+    eigenvectors of the Gram matrix; a response that has settled leaves the
+    rounds.  ``exact`` solves for the coefficients found not to be zero.
     """
+    n, (many, each) = x.shape[0], penalties.shape
     mean, sd = x.mean(0), x.std(0)
     sd = np.where(sd > 0, sd, 1.0)
     z = (x - mean) / sd
-    gram, cross = z.T @ z / len(y), (z.T @ (y - y.mean()) / len(y))[:, None]
+    gram, cross = z.T @ z / n, z.T @ (y - y.mean(1, keepdims=True)).T / n
     ridge, cut, rho = penalties * (1 - mix), penalties * mix, np.maximum(3 * penalties, 1e-3)
     values, vectors = np.linalg.eigh(gram)
-    shrink = 1 / (values[:, None] + ridge + rho)
-    b = u = np.zeros((x.shape[1], len(penalties)))
+    wide = lambda v: v.reshape(len(v), -1, each)
+    found, left = np.zeros((x.shape[1], many, each)), np.arange(many)
+    b = u = np.zeros((x.shape[1], many * each))
     for _ in range(rounds):
-        free = vectors @ (shrink * (vectors.T @ (cross + rho * (b - u))))
+        weight = rho[left].ravel()
+        free = vectors @ (vectors.T @ (np.repeat(cross[:, left], each, axis=1) + weight * (b - u)) / (values[:, None] + ridge[left].ravel() + weight))
         ahead = 1.6 * free - 0.6 * b
-        new = np.sign(ahead + u) * np.maximum(np.abs(ahead + u) - cut / rho, 0.0)
-        u, moved, apart, b = u + ahead - new, np.abs(new - b).max(initial=0.0), np.abs(free - new).max(initial=0.0), new
-        if max(moved, apart) < tolerance:
-            break
+        new = np.sign(ahead + u) * np.maximum(np.abs(ahead + u) - cut[left].ravel() / weight, 0.0)
+        moved = wide(np.maximum(np.abs(new - b), np.abs(free - new))).max(axis=(0, 2), initial=0.0)
+        u, b = u + ahead - new, new
+        if (settled := moved < tolerance).any():
+            found[:, left[settled]] = wide(b)[:, settled]
+            left, b, u = left[~settled], wide(b)[:, ~settled].reshape(len(b), -1), wide(u)[:, ~settled].reshape(len(u), -1)
+            if not len(left):
+                break
+    found[:, left] = wide(b)
     if exact:
-        b = b.copy()
-        for k in range(len(penalties)):
-            on = np.flatnonzero(b[:, k])
-            solved = np.linalg.solve(gram[np.ix_(on, on)] + (ridge[k] + 1e-12) * np.eye(len(on)), cross[on, 0] - cut[k] * np.sign(b[on, k]))
-            if (np.sign(solved) == np.sign(b[on, k])).all():
-                b[on, k] = solved
-    b = (b / sd[:, None]).T
-    return np.column_stack([y.mean() - b @ mean, b])
+        for s in range(many):
+            for k in range(each):
+                on = np.flatnonzero(found[:, s, k])
+                solved = np.linalg.solve(gram[np.ix_(on, on)] + (ridge[s, k] + 1e-12) * np.eye(len(on)), cross[on, s] - cut[s, k] * np.sign(found[on, s, k]))
+                if (np.sign(solved) == np.sign(found[on, s, k])).all():
+                    found[on, s, k] = solved
+    out = (found / sd[:, None, None]).transpose(1, 2, 0)
+    return np.concatenate([(y.mean(1)[:, None] - out @ mean)[:, :, None], out], axis=2)
 
 
 def elastic_net_cv(x: np.ndarray, y: np.ndarray, folds: int = 5, penalties: int = 8) -> np.ndarray:
     """Coefficients at the penalty of least cross-validated error; the folds are fixed."""
-    top = np.abs((x - x.mean(0)).T @ (y - y.mean())).max(initial=1e-6) / len(y)
-    grid, fold = top * np.logspace(0, -3, penalties), np.arange(len(y)) % folds
-    error = np.zeros(penalties)
+    return elastic_nets_cv(x, y[None], folds, penalties)[0]
+
+
+def elastic_nets_cv(x: np.ndarray, y: np.ndarray, folds: int = 5, penalties: int = 8) -> np.ndarray:
+    """The same of many responses (rows of ``y``) on one ``x``, fitted together."""
+    n = x.shape[0]
+    top = np.abs((x - x.mean(0)).T @ (y - y.mean(1, keepdims=True)).T).max(axis=0, initial=1e-6) / n
+    grid, fold = top[:, None] * np.logspace(0, -3, penalties), np.arange(n) % folds
+    error = np.zeros(grid.shape)
     for f in range(folds):
-        b = elastic_net_path(x[fold != f], y[fold != f], grid, tolerance=1e-4, exact=False)
-        error += ((y[fold == f] - b[:, :1] - b[:, 1:] @ x[fold == f].T) ** 2).sum(1)
-    return elastic_net_path(x, y, grid[[int(np.argmin(error))]])[0]
+        b = elastic_net_paths(x[fold != f], y[:, fold != f], grid, tolerance=1e-4, exact=False)
+        error += ((y[:, None, fold == f] - b[:, :, :1] - b[:, :, 1:] @ x[fold == f].T) ** 2).sum(2)
+    return elastic_net_paths(x, y, np.take_along_axis(grid, np.argmin(error, axis=1)[:, None], axis=1))[:, 0]
 
 
 def raiss(z: np.ndarray, seen: np.ndarray, ld: np.ndarray, ridge: float = 0.01, rtol: float = 0.01) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

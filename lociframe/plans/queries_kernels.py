@@ -134,12 +134,21 @@ def k6_eigen_imputation(x: Fixtures):
 
 @query()
 def k7_elastic_net_imputation(x: Fixtures):
-    def f(p, ld):
-        seen = p["seen"].to_numpy()
-        b = K.elastic_net_cv(ld[seen], p["z"].to_numpy()[seen])
-        return {"snp": p["snp"], "z": b[0] + ld @ b[1:]}
+    """Studies of a block that saw the same SNPs are fitted together."""
 
-    return _with_ld(x, f, "snp long, z double")
+    def run(frames: list[pd.DataFrame], held: ld_store.Block) -> list:
+        at, alike, out = [held.places(one["snp"].to_numpy()) for one in frames], {}, [None] * len(frames)
+        for i, one in enumerate(frames):
+            alike.setdefault((at[i].tobytes(), one["seen"].to_numpy().tobytes()), []).append(i)
+        for group in alike.values():
+            a, seen = at[group[0]], frames[group[0]]["seen"].to_numpy()
+            ld = held.r[np.ix_(a, a)]
+            fits = K.elastic_nets_cv(ld[seen], np.array([frames[i]["z"].to_numpy()[seen] for i in group]))
+            for i, b in zip(group, fits, strict=True):
+                out[i] = {"snp": frames[i]["snp"], "z": b[0] + ld @ b[1:]}
+        return out
+
+    return ld_store.by_block(_vectors(x), _store(x), run, "snp long, z double", copies=256).drop("ld_known")
 
 
 @query()

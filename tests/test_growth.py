@@ -192,3 +192,15 @@ def test_quantiles_gather_no_key_in_one_task(spark, sf_dir):
     assert got.pop("d") == (None, None, None) and set(got) == {"a", "b", "c", None}
     for k, v in got.items():
         assert np.allclose(v, np.quantile([x for n, x in rows if n == k and x is not None], [0, 0.37, 1]))
+
+
+def test_elastic_nets_are_fitted_together(monkeypatch):
+    """Responses on one matrix take one decomposition a fold, and each is fitted as it would be alone."""
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(40, 25)) @ np.linalg.cholesky(0.8 ** np.abs(np.subtract.outer(range(25), range(25)))).T
+    y = x[:, rng.integers(0, 25, 30)].T * rng.normal(0, 2, (30, 1)) + rng.normal(size=(30, 40))
+    want = [K.elastic_net_cv(x, one) for one in y]
+    calls, whole = [], np.linalg.eigh
+    monkeypatch.setattr(np.linalg, "eigh", lambda m: calls.append(1) or whole(m))
+    assert np.allclose(K.elastic_nets_cv(x, y), want, atol=1e-8)
+    assert len(calls) == 6
