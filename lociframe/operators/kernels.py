@@ -471,33 +471,99 @@ def principal(x: np.ndarray, k: int = 2) -> tuple[np.ndarray, np.ndarray, np.nda
     return (u * s * sign)[:, :k], loadings, (s**2 / (s**2).sum())[:k]
 
 
-def linkage(x: np.ndarray) -> list[tuple[int, int, float, int]]:
+#: Bytes of the rows of distances that a clustering holds, and of those that it makes at a time.
+HELD_BYTES, PIECE_BYTES = 64 << 20, 8 << 20
+
+
+class _Groups:
+    """Groups of rows and mean distances between them: those of some groups to all others are held, the rest made again when asked for."""
+
+    def __init__(self, x: np.ndarray, held: int):
+        n = len(x)
+        self.x, self.square = x, (x * x).sum(1)
+        self.size, self.there, self.of = np.ones(n, int), np.ones(n, bool), np.arange(n)
+        self.rows = {i: [i] for i in range(n)}
+        self.means = np.zeros((min(n, max(8, held // (8 * n))), n))
+        self.slot: dict[int, int] = {}
+        self.owner, self.used, self.clock = np.full(len(self.means), -1), np.zeros(len(self.means), np.int64), 0
+
+    def to_all(self, c: int) -> np.ndarray:
+        """Mean distances of a group to all others; infinite for itself and what is no more."""
+        self.clock += 1
+        if c not in self.slot:
+            # the smallest group goes, and of these the one that was not asked for longest: it is made again soonest
+            k = int(np.argmin(np.where(self.owner < 0, -1, (self.size[self.owner] << 36) + self.used)))
+            if self.owner[k] >= 0:
+                del self.slot[int(self.owner[k])]
+            self.means[k] = self._made(c)
+            self.slot[c], self.owner[k] = k, c
+        k = self.slot[c]
+        self.used[k] = self.clock
+        return self.means[k]
+
+    def _made(self, c: int) -> np.ndarray:
+        rows, n = np.array(self.rows[c]), len(self.x)
+        total, step = np.zeros(n), max(1, PIECE_BYTES // (8 * n))
+        for lo in range(0, len(rows), step):
+            at = rows[lo : lo + step]
+            both = self.square[at, None] + self.square
+            d = both - 2 * (self.x[at] @ self.x.T)
+            d[d <= 1e-13 * both] = 0  # less than the products' rounding: equal rows
+            total += np.sqrt(d, out=d).sum(0)
+        total = np.bincount(self.of, total, n) / (self.size * len(rows))
+        total[~self.there] = total[c] = np.inf
+        return total
+
+    def join(self, a: int, b: int) -> None:
+        """``b`` becomes part of ``a``."""
+        x, y = self.size[a], self.size[b]
+        i, j = self.slot.get(a), self.slot.pop(b, None)
+        self.means[:, a] = (x * self.means[:, a] + y * self.means[:, b]) / (x + y)
+        self.means[:, b] = np.inf
+        if i is not None and j is not None:
+            self.means[i] = (x * self.means[i] + y * self.means[j]) / (x + y)
+            self.means[i, a] = np.inf
+        elif i is not None:
+            del self.slot[a]
+            self.owner[i] = -1
+        if j is not None:
+            self.owner[j] = -1
+        self.of[self.rows[b]] = a
+        self.rows[a] += self.rows.pop(b)
+        self.size[a] += y
+        self.there[b] = False
+
+
+def linkage(x: np.ndarray, held: int = HELD_BYTES) -> list[tuple[int, int, float, int]]:
     """Average-linkage merges of rows by rising height: (a, b, height, size), groups named by their least row, a < b.
 
-    Chains of nearest neighbours, in quadratic time: a chain is followed until
-    two groups are each other's nearest, which may be joined at once, since
-    joining them brings no other group nearer to any.
+    Chains of nearest neighbours: a chain is followed until two groups are each
+    other's nearest, which may be joined at once, since joining them brings no
+    other group nearer to any.  Memory is that of the rows and of ``held``
+    bytes; distances that are not held are made again from the rows.
     """
     n = len(x)
-    size, there, chain, merges = np.ones(n, int), np.ones(n, bool), [], []
-    square = (x * x).sum(1)
-    d = np.sqrt(np.maximum(square[:, None] + square - 2 * x @ x.T, 0.0))
-    np.fill_diagonal(d, np.inf)
+    groups, chain, came, on, height, merges = _Groups(x, held), [], [], np.zeros(n, bool), np.zeros(n), []
     while len(merges) < n - 1:
         if not chain:
-            chain.append(int(np.argmax(there)))
+            chain, came = [int(np.argmax(groups.there))], [np.inf]
+            on[chain[0]] = True
         while True:
-            row = d[chain[-1]]
+            row = groups.to_all(chain[-1])
             near = int(np.argmin(row))
-            if len(chain) > 1 and row[chain[-2]] <= row[near]:
+            # a distance that is made from either end may differ in its last digits: no chain may turn back on itself
+            if len(chain) > 1 and (row[chain[-2]] <= row[near] or row[near] >= came[-1] or on[near]):
                 break
             chain.append(near)
+            came.append(row[near])
+            on[near] = True
+        h = row[chain[-2]]
         a, b = sorted((chain.pop(), chain.pop()))
-        merges.append((a, b, float(d[a, b]), int(size[a] + size[b])))
-        d[a] = d[:, a] = (size[a] * d[a] + size[b] * d[b]) / (size[a] + size[b])
-        d[b] = d[:, b] = d[a, a] = np.inf
-        size[a] += size[b]
-        there[b] = False
+        del came[-2:]
+        on[a] = on[b] = False
+        height[a] = max(h, height[a], height[b])
+        groups.join(a, b)
+        merges.append((a, b, float(height[a]), int(groups.size[a])))
     return sorted(merges, key=lambda m: m[2])
 
 

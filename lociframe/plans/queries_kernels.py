@@ -12,6 +12,7 @@ from math import erfc, sqrt
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from .. import scratch
@@ -360,19 +361,38 @@ def k21_principal_components(x: Fixtures):
 def _heatmap(x: Fixtures, side: str):
     """(blk, side, step, a, b, height, size, and the order of the leaves) of a block's shares: rows are studies, columns SNPs."""
 
-    def f(pdf: pd.DataFrame) -> pd.DataFrame:
-        wide = pdf.pivot_table(index="study", columns="snp", values="share", fill_value=0).sort_index(axis=0).sort_index(axis=1)
-        v = wide.to_numpy(float)
-        v = (v - v.mean(0)) / np.where(v.std(0, ddof=1) > 0, v.std(0, ddof=1), 1) if len(v) > 1 else v * 0
-        v, names = (v, wide.index.to_numpy()) if side == "row" else (v.T, wide.columns.to_numpy())
+    schema = "blk long, side string, step long, a long, b long, height double, size long, place long"
+
+    def f(t: pa.Table) -> pa.Table:
+        blk, t = t["blk"][0], t.select(["study", "shares"]).sort_by("study").combine_chunks()
+        studies, lists = t["study"].to_numpy(), t["shares"].chunk(0)
+        lengths, (snp, share) = np.diff(lists.offsets.to_numpy()), (c.to_numpy() for c in lists.flatten().flatten())
+        snps, at = np.unique(snp, return_inverse=True)
+        v = np.zeros((len(studies), len(snps)))
+        v[np.repeat(np.arange(len(studies)), lengths), at] = share
+        del t, lists, snp, share, at
+        v -= v.mean(0)
+        if len(v) > 1:
+            sd = v.std(0, ddof=1)
+            v /= np.where(sd > 0, sd, 1)
+        v, names = (v, studies) if side == "row" else (v.T, snps)
         merges = K.linkage(v)
-        place = {i: k for k, i in enumerate(K.leaf_order(merges, len(names)))}
-        out = [(-1, names[i], names[i], 0.0, 1, place[i]) for i in range(len(names))] + [(k, names[a], names[b], h, n, place[a]) for k, (a, b, h, n) in enumerate(merges)]
-        return pd.DataFrame(out, columns=["step", "a", "b", "height", "size", "place"]).assign(blk=pdf["blk"].iloc[0], side=side)[["blk", "side", "step", "a", "b", "height", "size", "place"]]
+        place = np.empty(len(names), np.int64)
+        place[K.leaf_order(merges, len(names))] = np.arange(len(names))
+        a, b = (np.array([m[i] for m in merges], np.int64) for i in (0, 1))
+        n = len(names) + len(merges)
+        return pa.table({
+            "blk": pa.repeat(blk, n), "side": pa.repeat(side, n), "step": np.r_[np.full(len(names), -1), np.arange(len(merges))],
+            "a": np.r_[names, names[a]], "b": np.r_[names, names[b]], "height": np.r_[np.zeros(len(names)), [m[2] for m in merges]],
+            "size": np.r_[np.ones(len(names), np.int64), np.array([m[3] for m in merges], np.int64)], "place": np.r_[place, place[a]],
+        })
 
     total = x.lbf.groupBy("blk", "study").agg(F.sum(F.abs("lbf")).alias("t"))
     shares = x.lbf.join(total, ["blk", "study"]).select("blk", "study", "snp", (F.abs("lbf") / F.col("t")).alias("share"))
-    return K.by_group(shares, ["blk"], f, "blk long, side string, step long, a long, b long, height double, size long, place long")
+    shares = shares.where("share IS NOT NULL AND NOT isnan(share)").groupBy("blk", "study", "snp").agg(F.avg("share").alias("share"))
+    # a study is one row of its block's group
+    vectors = shares.groupBy("blk", "study").agg(F.sort_array(F.collect_list(F.struct("snp", "share"))).alias("shares"))
+    return vectors.groupBy("blk").applyInArrow(f, schema)
 
 
 @query()

@@ -1,5 +1,6 @@
 """Kernels with LD: whole queries against plain loops over the tables, functions against direct solutions."""
 
+import tracemalloc
 from math import erfc, sqrt
 
 import numpy as np
@@ -215,6 +216,29 @@ def test_linkage_is_plain_average_linkage():
     assert K.linkage(x[:1]) == [] and K.leaf_order([], 1) == [0]
 
 
+def test_linkage_holds_no_square_matrix():
+    x = np.random.default_rng(6).normal(size=(4_000, 4))
+    tracemalloc.start()
+    assert len(K.linkage(x)) == 3_999
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < len(x) ** 2 * 8  # all distances
+
+
+def test_linkage_with_few_rows_held_and_with_copies():
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(60, 5))
+    merges, _ = plain_linkage(x)
+    got = K.linkage(x, held=0)
+    assert [m[:2] + m[3:] for m in got] == [m[:2] + m[3:] for m in merges] and np.allclose([m[2] for m in got], [m[2] for m in merges])
+    x = np.repeat(rng.normal(size=(6, 5)), [9, 1, 5, 1, 7, 2], axis=0)[rng.permutation(25)]
+    for held in (0, 1 << 20):
+        got = K.linkage(x, held=held)
+        heights = np.array([m[2] for m in got])
+        assert (heights[:19] == 0).all() and np.allclose(heights[19:], [m[2] for m in plain_linkage(x)[0]][19:])
+        assert sorted(K.leaf_order(got, 25)) == list(range(25))
+
+
 @pytest.mark.parametrize("side", ["row", "column"])
 def test_clustering_of_a_heatmap(spark, sf_dir, studies, side):
     got = registry.QUERIES[f"k22_{side}_order"](spark, sf_dir).toPandas()
