@@ -10,6 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import scratch
 from ..scratch import cut_lineage  # noqa: F401
 
 #: Words are runs of anything but ASCII white space; bytes.split() cuts at just these.
@@ -154,22 +155,27 @@ def connected_components(edges: DataFrame) -> DataFrame:
     Alternates the large-star and small-star steps: every step is one
     min-aggregation with map-side combine and one equi-join, whose skewed keys
     AQE may split, so a hub with most of the nodes isn't gathered in one task.
-    It ends when a round changes nothing.
+    It ends when a round changes nothing.  A round's pairs are written and read
+    again, so that few pairs make few tasks: the driver keeps something of each.
     Self-loops keep isolated nodes; an empty input gives an empty result.
     """
-    pairs = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    pairs = cut_lineage(pairs)
-    nodes = pairs.select("u").union(pairs.select("v")).distinct().withColumnRenamed("u", "node")
+    spark = edges.sparkSession
+    both_ways = lambda pairs: pairs.select(F.inline(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))))
+    pairs, _ = scratch.stored(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "pairs")
+    nodes = both_ways(pairs).select(F.col("u").alias("node")).distinct()
     pairs = pairs.where("u <> v")
-    seen = None
+    seen = before = None
     while True:
-        both = pairs.union(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        both = both_ways(pairs)
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u")
-        small = small.select("u", F.col("m").alias("v")).union(small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")))
-        pairs = cut_lineage(small.where("u <> v").distinct())
+        # (u, m) and, unless it is the same, (v, m)
+        small = large.join(least, "u").select(F.inline(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))))
+        pairs, path = scratch.stored(small.where("u <> v").distinct(), "pairs")
+        if before:
+            scratch.remove(spark, before)
+        before = path
         state = pairs.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == seen:
             break

@@ -51,6 +51,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """The table as written below the base folder, and its path: reading it takes as many tasks as its bytes ask for, unlike a checkpoint."""
+    path = fresh(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
 def clear(spark: SparkSession) -> None:
     """Remove all intermediate tables and checkpoints of this application; results that are read from them are gone then."""
     for path in _given.pop(spark.sparkContext.applicationId, []):

@@ -657,3 +657,23 @@ def test_components_of_a_long_chain(spark):
     got = {r["node"]: r["component"] for r in common.connected_components(e).collect()}
     assert got == {**dict.fromkeys(range(81), 0), 500: 500, 501: 500, 700: 700}
     assert common.connected_components(e.limit(0)).count() == 0
+
+
+def test_components_of_few_pairs_take_few_tasks(spark):
+    e = spark.createDataFrame([(i, i + 1) for i in range(0, 60, 2)] + [(0, 40), (40, 50)], "a long, b long")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "50")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    sc = spark.sparkContext
+    sc.setJobGroup("few_pairs", "")
+    try:
+        got = {r["node"]: r["component"] for r in common.connected_components(e).collect()}
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(got) == 60 and len(set(got.values())) == 28 and got[51] == 0
+    track = sc.statusTracker()
+    stages = {i for j in track.getJobIdsForGroup("few_pairs") for i in track.getJobInfo(j).stageIds}
+    tasks = sum(s.numCompletedTasks for i in stages if (s := track.getStageInfo(i)))
+    assert tasks < 1_200
