@@ -2,18 +2,19 @@
 
 import duckdb
 import numpy as np
-import pytest
 
+from lociframe.operators import kernels as K
 from lociframe.plans import registry
 
 from .compare import rows
+from .growth import most_rows
 
 registry.load()
 
 
 def _both(spark, path, name: str, studies: list[tuple[int, int, list[float]]]):
     """Rows of a query and of its SQL over these vectors (study, block, values)."""
-    spark.createDataFrame([(s, b, [float(np.float32(v)) for v in values]) for s, b, values in studies], "vec_id long, label int, embedding array<float>").write.mode("overwrite").parquet(f"{path}/embeddings.parquet")
+    spark.createDataFrame([(s, b, [None if v is None else float(np.float32(v)) for v in values]) for s, b, values in studies], "vec_id long, label int, embedding array<float>").write.mode("overwrite").parquet(f"{path}/embeddings.parquet")
     con = duckdb.connect()
     con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{path}/embeddings.parquet/*.parquet'")
     return rows(registry.QUERIES[name](spark, str(path)).toPandas()), rows(con.execute(registry.ORACLES[name]).df())
@@ -24,3 +25,29 @@ def test_masked_counts_are_of_rounded_posteriors(spark, tmp_path):
     signal = [0.21730065] + [0.0] * 63
     got, want = _both(spark, tmp_path, "k19_masked_colocalisation", [(1, 0, signal), (2, 0, signal)])
     assert got == want and all("0.8" in r and ", 1.0" in r for r in got)
+
+
+def _studies(seed: int, n: int = 40) -> list[tuple[int, int, list]]:
+    """Studies of two blocks: strong signals far beyond what exp can hold, values left out, few SNPs, none at all."""
+    rng = np.random.default_rng(seed)
+    out = []
+    for s in range(n):
+        v = rng.normal(0, 0.12, 64)
+        if s % 5 == 0:
+            v[int(rng.integers(0, 4))] = 30.0
+        values = [None if s % 4 == 1 and rng.random() < 0.1 else float(x) for x in v]
+        out.append((s, s % 2, values[: 30 if s % 9 == 2 else 64] if s != 7 else [None] * 64))
+    return out
+
+
+def test_all_pairs_give_what_sql_gives(spark, tmp_path):
+    got, want = _both(spark, tmp_path, "k18_colocalisation", _studies(1))
+    assert got == want and len(want) == 2 * 20 * 19 // 2
+
+
+def test_a_group_is_dealt_to_few_tiles(spark):
+    """Many small tiles would lay out each study once for each: what is shuffled would grow with the square of the studies."""
+    n = 300
+    lbf = spark.createDataFrame([(0, s, "own", p, float(s + p)) for s in range(n) for p in range(4)], "blk long, study long, own string, snp long, lbf double")
+    assert most_rows(K.coloc_within(lbf, ["blk"], owner="own", tile=7)) <= K.MOST_TILES * n
+    assert K.coloc_within(lbf, ["blk"], tile=7).count() == n * (n - 1) // 2
