@@ -163,6 +163,37 @@ def coloc_within(lbf: DataFrame, over: list[str], study: str = "study", snp: str
     return dealt.groupBy(*over, "_i", "_j").applyInArrow(run, schema)
 
 
+def coloc_masked(lbf: DataFrame, over: list[str], cuts: tuple[float, ...], study: str = "study", snp: str = "snp", priors: tuple = COLOC_PRIORS, least: int = MIN_SHARED_SNPS, tile: int = TILE_STUDIES, digits: int = 6, high: float = 0.8) -> DataFrame:
+    """(cut, n, mean_h4, high): ``coloc`` of all pairs of a group, where log Bayes factors below a cut (in size) count as 0.
+
+    Pairs, the mean of their rounded h4 and how many reach ``high``, for each
+    cut.  Each two tiles of studies meet once for all cuts and give a row for
+    each, so pairs are summed where they are made.
+    """
+    dealt = _dealt(lbf, over, study, snp, None, tile)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        x, y, _, same = _two_tiles(pa.Table.from_batches(list(batches)))
+        rows = []
+        for cut in cuts:
+            n = known = reach = 0
+            total = 0.0
+            mine = x.masked(cut)
+            for _, keep, count, none, (h,), whole in _met(mine, mine if same else y.masked(cut), same, priors, (4,)):
+                valid = keep & ~(none | (count < least))
+                h /= whole
+                h = _rounded(h.ravel() if valid.all() else h[valid], digits)
+                n, known, total, reach = n + int(keep.sum()), known + len(h), total + float(h.sum()), reach + int((~(h < high)).sum())  # what is no number is above all, as in SQL
+            rows.append((cut, n, known, total, reach))
+        yield pa.RecordBatch.from_arrays([pa.array(v) for v in zip(*rows, strict=True)], names=["cut", "n", "known", "total", "high"])
+
+    sums = dealt.groupBy(*over, "_i", "_j").applyInArrow(run, "cut double, n long, known long, total double, high long")
+    sums = sums.groupBy("cut").agg(*[F.sum(c).alias(c) for c in ("n", "known", "total", "high")])
+    grid = lbf.sparkSession.createDataFrame([(float(c),) for c in cuts], "cut double")
+    whole = lambda c: F.coalesce(c, F.lit(0).cast("long")).alias(c)
+    return grid.join(sums, "cut", "left").select("cut", whole("n"), F.when(F.col("known") > 0, F.col("total") / F.col("known")).alias("mean_h4"), whole("high"))
+
+
 class _Tile:
     """Studies (rows) by SNP: log Bayes factors (-inf where there is none), which SNPs are there, which have a value."""
 
@@ -177,6 +208,12 @@ class _Tile:
         self.sum = self.e.sum(1)
         self.full = bool(there.all() and known.all())
 
+    def masked(self, cut: float) -> _Tile:
+        """The same with 0 for values below the cut in size, and for those without a value."""
+        there = self.there > 0
+        v = np.where(there, np.where((self.known > 0) & ~(np.abs(self.v) < cut), self.v, 0.0), -np.inf)
+        return _Tile(v, self.there, self.there, self.place, self.rank, self.owner)
+
 
 def _two_tiles(t: pa.Table) -> tuple[_Tile, _Tile, pa.Array, bool]:
     """Both tiles of a call in order of name, the names that their places stand for, and whether they are the same tile."""

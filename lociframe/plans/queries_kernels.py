@@ -317,10 +317,8 @@ def _masked_sql(cut: float) -> str:
 
 @query(" UNION ALL ".join(map(_masked_sql, (0.0, 2.0, 5.0))), "lbf")
 def k19_masked_colocalisation(x: Fixtures):
-    grid = x.spark.createDataFrame([(0.0,), (2.0,), (5.0,)], "cut double")
-    masked = x.lbf.crossJoin(F.broadcast(grid)).select("cut", "blk", "study", "snp", F.when(F.abs("lbf") >= F.col("cut"), F.col("lbf")).otherwise(0.0).alias("lbf"))
-    out = K.coloc_within(masked, ["cut", "blk"]).withColumn("h4", _r("h4"))  # means and counts are of rounded posteriors
-    return out.groupBy("cut").agg(F.count("*").alias("n"), _r(F.avg("h4"), 5, "mean_h4"), F.count_if(F.col("h4") >= 0.8).alias("high"))
+    """Means and counts are of rounded posteriors."""
+    return K.coloc_masked(x.lbf, ["blk"], (0.0, 2.0, 5.0), digits=6, high=0.8).select("cut", "n", _r("mean_h4", 5), "high")
 
 
 @query(f"SELECT study, round(slope, 6) AS slope, round(r2, 6) AS r2, n, round({S.f_test_p_sql('(r2 / (1 - r2) * (n - 2))', '1', '(n - 2)')}, 9) AS p FROM (SELECT study, regr_slope(beta, eaf) AS slope, regr_r2(beta, eaf) AS r2, CAST(count(*) AS BIGINT) AS n FROM snps GROUP BY study)", "snps")

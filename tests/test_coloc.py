@@ -51,3 +51,16 @@ def test_a_group_is_dealt_to_few_tiles(spark):
     lbf = spark.createDataFrame([(0, s, "own", p, float(s + p)) for s in range(n) for p in range(4)], "blk long, study long, own string, snp long, lbf double")
     assert most_rows(K.coloc_within(lbf, ["blk"], owner="own", tile=7)) <= K.MOST_TILES * n
     assert K.coloc_within(lbf, ["blk"], tile=7).count() == n * (n - 1) // 2
+
+
+def test_masked_pairs_give_what_sql_gives(spark, tmp_path):
+    got, want = _both(spark, tmp_path, "k19_masked_colocalisation", _studies(2))
+    assert got == want and len(want) == 3
+    got, want = _both(spark, tmp_path, "k19_masked_colocalisation", _studies(3, 1))  # no pair at all
+    assert got == want and len(want) == 3
+
+
+def test_masked_pairs_are_summed_where_they_are_made(spark, sf_dir):
+    """No row for a pair: the most that a step gives is the studies by SNP."""
+    values = 64 * spark.read.parquet(f"{sf_dir}/embeddings.parquet").count()
+    assert most_rows(registry.QUERIES["k19_masked_colocalisation"](spark, sf_dir)) <= values
