@@ -1,6 +1,7 @@
 """Steps that must not grow with the square of a table, held by the rows that they give."""
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from lociframe.operators import kernels as K
@@ -204,3 +205,27 @@ def test_elastic_nets_are_fitted_together(monkeypatch):
     monkeypatch.setattr(np.linalg, "eigh", lambda m: calls.append(1) or whole(m))
     assert np.allclose(K.elastic_nets_cv(x, y), want, atol=1e-8)
     assert len(calls) == 6
+
+
+def test_quality_control_factors_its_first_halves_once(monkeypatch):
+    """Studies of one matrix share the first round's factors, and each is judged as it would be alone."""
+    rng = np.random.default_rng(11)
+    ld = 0.7 ** np.abs(np.subtract.outer(range(60), range(60)))
+    z = rng.normal(0, 1, (8, 60)) @ np.linalg.cholesky(ld).T
+    z[::2, 20] += 12
+    want = [K.dentist(one, ld) for one in z]
+    calls, whole, known = [], np.linalg.eigh, {}
+    monkeypatch.setattr(np.linalg, "eigh", lambda m: calls.append(1) or whole(m))
+    assert all((K.dentist(one, ld, known=known) == w).all() for one, w in zip(z[1::2], want[1::2], strict=True)) and len(calls) == 2
+    assert all((K.dentist(one, ld, known=known) == w).all() for one, w in zip(z[::2], want[::2], strict=True))
+    assert any(w.any() for w in want) and not all(w.any() for w in want)
+
+
+def test_results_of_studies_are_joined_by_column():
+    """One frame for a group, without one for each study; what a study says once holds for all of its rows."""
+    from lociframe.sources import ld_store
+
+    tables = [{"snp": np.array([1, 2]), "lead": None, "why": "a", "blk": 3}, {"snp": [], "lead": None, "why": "b", "blk": 3}, {"snp": pd.Series([5], index=[9]), "lead": 7, "why": "c", "blk": 3}]
+    got = ld_store._joined(tables, ["snp", "lead", "why"], ["blk", "snp", "lead", "why"])
+    assert [tuple(r) for r in got.itertuples(index=False)] == [(3, 1, None, "a"), (3, 2, None, "a"), (3, 5, 7, "c")]
+    assert list(ld_store._joined([], ["snp"], ["blk", "snp"]).columns) == ["blk", "snp"]
