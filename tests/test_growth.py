@@ -229,3 +229,27 @@ def test_results_of_studies_are_joined_by_column():
     got = ld_store._joined(tables, ["snp", "lead", "why"], ["blk", "snp", "lead", "why"])
     assert [tuple(r) for r in got.itertuples(index=False)] == [(3, 1, None, "a"), (3, 2, None, "a"), (3, 5, 7, "c")]
     assert list(ld_store._joined([], ["snp"], ["blk", "snp"]).columns) == ["blk", "snp"]
+
+
+def test_uploads_and_near_signals_are_not_shuffled_as_pairs(spark):
+    """No exchange or window above the join of leads and signals; of an identity's signals the least near one is taken, once."""
+    from lociframe.streaming import uploads as U
+
+    n = 40
+    up = [(f"u{i}", "b", f"u{i}_s", 100 * i, 1e-9, 1e-5, [f"u{i + 1}"]) for i in range(n)] + [("v", "b", f"u{i}_s", 90_000, 1e-9, 1e-5, []) for i in range(3)]
+    wh = [("b", f"w{i % 30}", 37 * i, 1e-9) for i in range(120)] + [("b", "u3_s", 90_010, 1e-9), ("b", "u2_s", 90_020, 1e-9), ("b", "u5_s", 400, 1e-9), ("b", None, 5, 1e-9), ("b", None, 7, 1e-9), ("b", "w0", None, 1e-9)]
+    uploads = spark.createDataFrame(up, "guid string, block string, ident string, bp long, min_p double, p_value_threshold double, compare array<string>")
+    warehouse = spark.createDataFrame(wh, "block string, ident string, bp long, min_p double")
+    others = uploads.drop("compare")
+    for distance in (0, 250):
+        want = {}
+        for g, _, ident, bp, _, _, named in up:
+            first = min(r[3] for r in up if r[0] == g)
+            for key, rank, origin, at in [((g, ident), 0, "upload", bp), *[((g, w[1]), 1, "warehouse", w[2]) for w in wh if w[2] is not None and abs(first - w[2]) <= distance], *[((g, o[2]), 2, "other", o[3]) for o in up if o[0] in named]]:
+                want[key] = min(want.get(key, (9, "", 0)), (rank, origin, at))
+        out = U.compared(uploads, warehouse, others, distance, 1e-6)
+        got = [((r["guid"], r["ident"]), r["origin"], r["bp"]) for r in out.collect()]
+        assert sorted(map(str, got)) == sorted(str((k, v[1], v[2])) for k, v in want.items())
+    plan = U.near(U.leads(uploads), U.beside(uploads, warehouse, others), warehouse)._jdf.queryExecution().executedPlan().toString()
+    above = plan[: plan.index("Join")]
+    assert not any(w in above for w in ("Exchange", "Aggregate", "Window", "Sort "))
