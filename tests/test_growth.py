@@ -253,3 +253,19 @@ def test_uploads_and_near_signals_are_not_shuffled_as_pairs(spark):
     plan = U.near(U.leads(uploads), U.beside(uploads, warehouse, others), warehouse)._jdf.queryExecution().executedPlan().toString()
     above = plan[: plan.index("Join")]
     assert not any(w in above for w in ("Exchange", "Aggregate", "Window", "Sort "))
+
+
+def test_pairs_stand_together_and_leads_go_to_the_bins(spark):
+    """Signals, of which there are more, are laid out once; a lead's pairs follow each other, or with by_signal a signal's."""
+    from lociframe.streaming import queue as Q
+
+    lead = spark.createDataFrame([(f"g{i}", "b", 10 * i) for i in range(5)], "guid string, block string, first_bp long")
+    signals = spark.createDataFrame([(i, "b", i) for i in range(300)], "other long, block string, bp long")
+    for key, by_signal in (("guid", False), ("other", True)):
+        out = Q.within_distance(lead.hint("merge"), signals.hint("merge"), "first_bp", "bp", 20, by_signal)
+        assert most_rows(out) <= 300
+        got = [(r["guid"], r["other"]) for r in out.coalesce(1).collect()]
+        assert sorted(got) == sorted((f"g{i}", j) for i in range(5) for j in range(300) if abs(10 * i - j) <= 20)
+        near = [r[0 if key == "guid" else 1] for r in got]
+        runs = 1 + sum(a != b for a, b in zip(near, near[1:], strict=False))
+        assert runs <= 3 * len(set(near))
