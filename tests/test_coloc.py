@@ -1,7 +1,10 @@
 """Colocalisation of all pairs of a block against SQL and plain joins."""
 
+import re
+
 import duckdb
 import numpy as np
+from pyspark.sql import functions as F
 
 from lociframe.operators import kernels as K
 from lociframe.plans import registry
@@ -64,3 +67,12 @@ def test_masked_pairs_are_summed_where_they_are_made(spark, sf_dir):
     """No row for a pair: the most that a step gives is the studies by SNP."""
     values = 64 * spark.read.parquet(f"{sf_dir}/embeddings.parquet").count()
     assert most_rows(registry.QUERIES["k19_masked_colocalisation"](spark, sf_dir)) <= values
+
+
+def test_calls_of_a_group_go_to_many_tasks(spark):
+    """Tile pairs are dealt by group and tiles: by the group alone, a block with most studies would be one task."""
+    lbf = spark.createDataFrame([(0, s, p, float(s + p)) for s in range(60) for p in range(4)], "blk long, study long, snp long, lbf double")
+    out = K.coloc_within(lbf, ["blk"], tile=7)
+    used = {r["p"] for r in out.select(F.spark_partition_id().alias("p")).distinct().collect()}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"hashpartitioning\(blk#\d+L?, _i#\d+, _j#\d+", plan) and used
